@@ -33,18 +33,26 @@ COMMON_WORDS = {
 }
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-EDGE_MARKS = ".,;:!?\"'()[]"
-#: Character classes counted by pattern; the rest (small letters, in the main) is the last class.
-CLASSES = [SPACE, r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>@=+_/\\~^{}\[\]]", r"[^\x00-\x7F]"]
+#: Left out before the classes are counted: three quarters of common text.
+SMALL = "[a-z]+"
+#: Classes counted by pattern in what SMALL leaves; white space, beyond ASCII and the rest (small letters, in the main) follow.
+CLASSES = [r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>@=+_/\\~^{}\[\]]"]
+LETTER = r"a-z\x{80}-\x{10FFFF}"
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Parameters of the verdict; distances are base-2 Jensen-Shannon distances, 0 to 1."""
+    """Parameters of the verdict; distances are base-2 Jensen-Shannon distances, 0 to 1.
+
+    A histogram over n words strays from its source by about 1/sqrt(n), so each
+    limit is a floor plus an allowance over the square root of the word count.
+    """
 
     min_words: int = 50
-    max_class_distance: float = 0.28
-    max_word_distance: float = 0.62
+    class_floor: float = 0.14
+    class_allowance: float = 1.0
+    word_floor: float = 0.30
+    word_allowance: float = 0.75
     #: The word histogram of a shorter text is too coarse to reject by.
     min_words_for_histogram: int = 120
 
@@ -53,34 +61,46 @@ def _vocabulary() -> list[str]:
     return sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
+def _alternatives(words: list[str]) -> str:
+    """A pattern of words as a tree of first letters, which fails after a letter or two."""
+    if words == [""]:
+        return ""
+    heads = sorted({w[0] for w in words if w})
+    parts = [h + _alternatives(sorted({w[1:] for w in words if w[:1] == h})) for h in heads]
+    return f"(?:{'|'.join(parts)})" + ("?+" if "" in words else "")
+
+
 def features(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in keep, and everything the rules count, from one pass over text."""
-    listed = ",".join(_vocabulary())
-    text = F.coalesce(F.col("_text"), F.lit(""))
-    out = docs.select(*keep, F.col("_lang"), text.alias("_t"))
+    vocabulary = _vocabulary()
+    common = f"(?<![{LETTER}]){_alternatives(vocabulary)}(?![{LETTER}])"
+    out = docs.select(*keep, F.col("_lang"), F.coalesce(F.col("_text"), F.lit("")).alias("_t"))
     out = out.select(
         *keep, "_lang", "_t",
         F.regexp_extract_all("_t", F.lit(f"({WORD})"), F.lit(1)).alias("_w"),
         F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD)).alias("_lines"),
+        F.sort_array(F.regexp_extract_all(F.lower("_t"), F.lit(common), F.lit(0))).alias("_k"),
+        F.regexp_replace("_t", SMALL, "").alias("_rare"),
         F.char_length("_t").cast("long").alias("_n"),
-        *[F.regexp_count("_t", F.lit(p)).cast("long").alias(f"_c{i}") for i, p in enumerate(CLASSES)],
-        F.regexp_count("_t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-    )
+        (F.octet_length("_t") - F.char_length("_t")).cast("long").alias("_wide"),
+    ).drop("_t")
     out = out.withColumns({
         "n_words": F.size("_w").cast("long"),
-        "word_chars": F.col("_n") - F.col("_c0"),
+        "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
+        "n_symbols": F.regexp_count("_rare", F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        # Windows of three words as 64-bit hashes, sorted with their places: equal ones are neighbours.
-        "_tri": F.when(F.size("_w") >= 3, F.array_sort(F.transform(
-            F.sequence(F.lit(0), F.size("_w") - 3),
-            lambda i: F.struct(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("i")),
-        ))),
-        "_k": F.array_sort(F.filter(
-            F.transform("_w", lambda w: F.find_in_set(F.btrim(F.lower(w), F.lit(EDGE_MARKS)), F.lit(listed))), lambda k: k > 0
-        )),
-    }).drop("_w", "_lines", "_t")
+        "_counts": F.array(*[F.regexp_count("_rare", F.lit(p)).cast("long") for p in CLASSES]),
+        # Windows of three words as 64-bit hashes.
+        "_h": F.when(F.size("_w") >= 3, F.transform(
+            F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))),
+    }).drop("_w", "_lines", "_rare")
+    # Only where a window comes twice are they sorted with their places: equal ones are neighbours then.
+    out = out.withColumn("_tri", F.when(
+        F.size(F.array_distinct("_h")) < F.size("_h"),
+        F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    )).drop("_h")
     out = out.withColumns({
-        "_at": F.array_sort(F.transform(
+        "_at": F.sort_array(F.transform(
             F.filter("_tri", lambda x, j: (x["h"] == F.get("_tri", j - 1)["h"]) | (x["h"] == F.get("_tri", j + 1)["h"])),
             lambda x: x["i"],
         )),
@@ -89,6 +109,8 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
             lambda i: (i == 0) | (F.get("_k", i) != F.get("_k", i - 1)),
         ),
     })
+    space = F.col("_n") - F.col("word_chars")
+    small = F.col("_n") - space - F.col("_wide") - F.aggregate("_counts", F.lit(0).cast("long"), lambda a, x: a + x)
     return out.select(
         *keep, "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         # Every place starts three covered words, fewer if the next place comes sooner.
@@ -96,10 +118,10 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
             F.transform("_at", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("_at", j + 1) - p, F.lit(3)))),
             F.lit(0).cast("long"), lambda a, x: a + x,
         ), F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.array(*[F.col(f"_c{i}") for i in range(len(CLASSES))],
-                F.col("_n") - sum((F.col(f"_c{i}") for i in range(len(CLASSES))), F.lit(0))).alias("_classes"),
+        F.concat("_counts", F.array(space, F.col("_wide"), F.greatest(small, F.lit(0)))).alias("_classes"),
         F.coalesce(F.transform("_starts", lambda s, j: F.struct(
-            F.get("_k", s).alias("k"), (F.coalesce(F.get("_starts", j + 1), F.size("_k")) - s).cast("long").alias("c"),
+            F.find_in_set(F.get("_k", s), F.lit(",".join(vocabulary))).alias("k"),
+            (F.coalesce(F.get("_starts", j + 1), F.size("_k")) - s).cast("long").alias("c"),
         )), F.array().cast("array<struct<k:int,c:bigint>>")).alias("_common"),
     )
 
@@ -111,7 +133,7 @@ def references(feats: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     language list times the fixed histogram width.
     """
     tagged = feats.where(F.col("_lang").isin(sorted(COMMON_WORDS)) & (F.col("n_words") > 0))
-    width = len(CLASSES) + 1
+    width = len(CLASSES) + 3
     sums = tagged.groupBy("_lang").agg(
         F.sum("n_words").alias("words"), *[F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(width)]
     ).collect()
@@ -166,8 +188,9 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit
     if refs:
         pairs = F.array(*[F.struct(_class_distance(c).alias("c"), _word_distance(w).alias("w"), F.lit(lang).alias("lang")) for lang, (c, w) in refs.items()])
         out = out.withColumn("_d", pairs)
-        near = F.exists("_d", lambda d: (d["c"] <= limits.max_class_distance) & (
-            (F.col("n_words") < limits.min_words_for_histogram) | (d["w"] <= limits.max_word_distance)))
+        root = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+        near = F.exists("_d", lambda d: (d["c"] <= limits.class_floor + limits.class_allowance / root) & (
+            (F.col("n_words") < limits.min_words_for_histogram) | (d["w"] <= limits.word_floor + limits.word_allowance / root)))
         out = out.withColumns({
             "class_distance": F.round(F.array_min(F.transform("_d", lambda d: d["c"])), 6),
             "word_distance": F.round(F.array_min(F.transform("_d", lambda d: d["w"])), 6),
