@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import quality
+from docweave.llm import quality, simhash
 
-QUERIES = {"op6_quality": quality.op6_quality}
+QUERIES = {"op6_quality": quality.op6_quality, "op10_simhash": simhash.op10_simhash}
 ORACLES: dict[str, str] = {}
