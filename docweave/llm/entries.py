@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import quality, simhash
+from docweave.llm import quality, simhash, suffix_dedup
 
-QUERIES = {"op6_quality": quality.op6_quality, "op10_simhash": simhash.op10_simhash}
+QUERIES = {"op6_quality": quality.op6_quality, "op10_simhash": simhash.op10_simhash, "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup}
 ORACLES: dict[str, str] = {}
