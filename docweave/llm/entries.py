@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from docweave.llm import quality, simhash, suffix_dedup
+from docweave.llm import decontaminate, quality, simhash, suffix_dedup
 
-QUERIES = {"op6_quality": quality.op6_quality, "op10_simhash": simhash.op10_simhash, "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup}
+QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality": quality.op6_quality,
+    "op10_simhash": simhash.op10_simhash,
+}
 ORACLES: dict[str, str] = {}
