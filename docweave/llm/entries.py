@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweave.llm import decontaminate, language, quality, simhash, suffix_dedup, toxicity
+from docweave.llm import decontaminate, html_text, language, quality, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_html_text": html_text.op3_html_text,
     "op4_language": language.op4_language,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality": quality.op6_quality,
