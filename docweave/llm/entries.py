@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import decontaminate, html_text, language, quality, simhash, suffix_dedup, toxicity
+from docweave.llm import decontaminate, html_text, language, quality, repair, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality": quality.op6_quality,
+    "op7_repair": repair.op7_repair,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES: dict[str, str] = {}

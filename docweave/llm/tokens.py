@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 
 SEPARATOR = "<|startoftext|>"
 WORD_END = "</w>"
+MARKS = string.punctuation
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -15,15 +18,26 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def small(text: str) -> str:
+    """A Latin-1 text in small letters, which this vocabulary reads alike; any other unchanged."""
+    if "<|" in text:  # the name of a special token counts as written
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class WordEncoder:
     """Ids as bytes (little-endian, unsigned, 32 bits) of whole texts.
 
     This vocabulary drops white space and never lets a token span it, so a
     text's ids are its words' ids in a row. Words are cut at blanks and line
     ends only; other white space stays inside and is left to the library.
-    Words of plain letters go to the library's model joined by blanks, with
-    marks at their end apart; all others, one by one in effect, through its
-    whole pipeline. The memory for words is bounded: a full generation is
+    Words of plain letters go to the library's model joined by blanks, marks
+    around them apart; all others, one by one in effect, through its whole
+    pipeline. The memory for words is bounded: a full generation is
     dropped when the next one is full.
     """
 
@@ -46,6 +60,7 @@ class WordEncoder:
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.end = np.uint32(end_id).tobytes()
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _cut(self, ids: list[int], plain: bool, words: list[str]) -> list[bytes]:
         ids = np.array(ids, np.uint32)
@@ -72,32 +87,45 @@ class WordEncoder:
     def _learn(self, missing: list[str]) -> None:
         if len(self.known) + len(missing) > self.limit:
             self.older, self.known = self.known, {"": b""}
-        cores: set[str] = set()
-        split: list[tuple[str, str, str]] = []
-        rest: list[str] = []
+        bare: list[str] = []
+        framed: list[tuple[str, str, str, str]] = []
+        rest: set[str] = set()
         for w in missing:
-            core = w.rstrip(".,")
-            # Letters below U+0250 lower-case one by one and are whole in NFC.
-            if core and core.isalpha() and max(core) < "ɐ" and core.lower().isalpha() and len(core) < 200:
-                tail = w[len(core) :]
-                split.append((w, core, tail))
-                cores.add(core)
-                if tail:
-                    rest.append(tail)
-            elif SEPARATOR in w:
+            core = w.strip(MARKS)
+            # Letters below U+0250 lower-case one by one and are whole in NFC. An apostrophe before letters is the library's to judge.
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and core.lower().isalpha())) and len(core) < 200:
+                if len(core) == len(w):
+                    bare.append(w)
+                    continue
+                head, _, tail = w.partition(core)
+                if not head.endswith("'"):
+                    framed.append((w, core, head, tail))
+                    rest.add(head)
+                    rest.add(tail)
+                    continue
+            if SEPARATOR in w:
                 self.known[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
             else:
-                rest.append(w)
-        lowered = list({c.lower() for c in cores})
-        made = self._encode(lowered, True)
-        other = self._encode(list(set(rest)), False)
-        self.known.update(other)
-        for w, core, tail in split:
-            self.known[w] = made[core.lower()] + (other[tail] if tail else b"")
+                rest.add(w)
+        cores = list({*bare, *(f[1] for f in framed)})
+        made = self._encode(cores, True)
+        known = self.known
+        for w in rest:
+            if w in self.marks:
+                known[w] = self.marks[w]
+        new = [w for w in rest if w not in known]
+        other = self._encode(new, False)
+        known.update(other)
+        if len(self.marks) < 10_000:
+            self.marks.update((w, other[w]) for w in new if not w.strip(MARKS))
+        for w in bare:
+            known[w] = made[w]
+        for w, core, head, tail in framed:
+            known[w] = known[head] + made[core] + known[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, with the end id; null counts as empty."""
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        cut = [small(t or "").replace("\n", " ").split(" ") for t in texts]
         new = set().union(*cut).difference(self.known) if cut else set()
         if new and self.older:
             older = self.older
