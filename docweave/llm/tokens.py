@@ -91,6 +91,9 @@ class WordEncoder:
         framed: list[tuple[str, str, str, str]] = []
         rest: set[str] = set()
         for w in missing:
+            if "<|" in w:  # may name a special token
+                self.known[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
+                continue
             core = w.strip(MARKS)
             # Letters below U+0250 lower-case one by one and are whole in NFC. An apostrophe before letters is the library's to judge.
             if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and core.lower().isalpha())) and len(core) < 200:
@@ -103,10 +106,7 @@ class WordEncoder:
                     rest.add(head)
                     rest.add(tail)
                     continue
-            if SEPARATOR in w:
-                self.known[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
-            else:
-                rest.add(w)
+            rest.add(w)
         cores = list({*bare, *(f[1] for f in framed)})
         made = self._encode(cores, True)
         known = self.known
