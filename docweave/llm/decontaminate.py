@@ -205,11 +205,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: Budget = Budget()) -> DataFrame:
-    """docs without the rows that hold an item, in their own columns; rows with a null id are judged by text as well."""
-    marked = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    held = matches(marked, benchmark, "_row", text_col, budget=budget).select(F.col("id").alias("_row")).distinct()
-    return marked.join(held, "_row", "left_anti").drop("_row")
+def _clean_only(items, budget: Budget, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(items.value, budget)
+        for batch in batches:
+            clean = [not matcher.find(normalise(t.as_py())) for t in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", budget: Budget = Budget()) -> DataFrame:
+    """The rows of docs that hold no item, in their own columns; nothing is shuffled."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    out = docs
+    for block in _blocks(items, budget):
+        out = out.mapInArrow(_clean_only(docs.sparkSession.sparkContext.broadcast(block), budget, docs.columns.index(text_col)), docs.schema)
+    return out
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

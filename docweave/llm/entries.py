@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import decontaminate, html_text, language, packing, quality, repair, simhash, suffix_dedup, toxicity
+from docweave.llm import chat, decontaminate, html_text, language, packing, quality, repair, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_repair": repair.op7_repair,
     "op8_packing": packing.op8_packing,
+    "op9_chat": chat.op9_chat,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES: dict[str, str] = {}

@@ -202,6 +202,13 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit
     return out.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c) for c in counts])
 
 
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
+    """The rows of docs that are kept, in their own columns."""
+    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    good = score(keyed.select("_row", text_col, lang_col), text_col, lang_col, limits).where("kept").select("_row").distinct()
+    return keyed.join(good, "_row", "left_semi").drop("_row")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -273,7 +273,18 @@ def _single_windows(window: int):
     return run
 
 
-def _cut_out(window: int):
+def merged_spans(spans: list[dict]) -> list[list[int]]:
+    """The union of spans as maximal runs."""
+    merged: list[list[int]] = []
+    for s, e in sorted((s["s"], s["e"]) for s in spans):
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
+    return merged
+
+
+def _cut_out():
     """The rest of every document, and what went."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,12 +292,7 @@ def _cut_out(window: int):
             sizes, removed, counts, digests, spans_out = [], [], [], [], []
             for data, spans in zip(batch.column("data"), batch.column("spans").to_pylist(), strict=True):
                 view = memoryview(data.as_buffer())
-                merged: list[list[int]] = []
-                for s, e in sorted((s["s"], s["e"]) for s in spans or []):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
+                merged = merged_spans(spans or [])
                 digest, at = hashlib.sha256(), 0
                 for s, e in [*merged, [len(view), len(view)]]:
                     digest.update(view[at:s])
@@ -375,10 +381,48 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", param
     id_type = rows.schema["id"].dataType.simpleString()
     spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans")
     return rows.join(spans, "rid", "left").mapInArrow(
-        _cut_out(params.window),
+        _cut_out(),
         f"id {id_type}, rid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:long,e:long>>")
 
 
+def _cut_texts(at: int):
+    """The rest of every text as text: a span gives back what it holds of a character cut by its ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, stays = [], []
+            for text, spans in zip(batch.column(at), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                stays.append(True)
+                if not spans:
+                    texts.append(text.as_py())
+                    continue
+                data, out, done = text.as_py().encode(), [], 0
+                for s, e in merged_spans(spans):
+                    while s < e and data[s] & 0xC0 == 0x80:
+                        s += 1
+                    while e > s and e < len(data) and data[e] & 0xC0 == 0x80:
+                        e -= 1
+                    out.append(data[done:s])
+                    done = e
+                texts.append(b"".join([*out, data[done:]]).decode())
+                stays[-1] = bool(texts[-1].strip())
+            columns = [*batch.columns[:-1]]
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(stays, pa.bool_()))
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats(keep="first")) -> DataFrame:
+    """docs in their own columns with repeated strings cut out of the text; a text of which nothing is left goes."""
+    spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    joined = docs.withColumn("_rid", F.xxhash64(F.col(id_col), text)).join(spans.withColumnRenamed("rid", "_rid").withColumnRenamed("spans", "_spans"), "_rid", "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
+    out = joined.mapInArrow(_cut_texts(docs.columns.index(text_col)), docs.schema)
+    return out
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to 400-byte strings that start more than once."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
