@@ -32,7 +32,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.repair import texts_to_ids
 from docweave.llm.tokens import encoder
 from docweave.storage import scratch, table
 
@@ -64,22 +63,22 @@ def _pieces(params: Packing):
 
         enc = encoder(params.vocabulary, params.end_id)
         serial = TaskContext.get().partitionId() << 40
-        step = 4 * params.capacity
         for batch in batches:
-            at = 0
-            for some in texts_to_ids(batch.column(1), enc):
+            for row, ids, sizes in enc.blocks(batch.column(1)):
+                flat = memoryview(ids.astype("<u4")).cast("B")
                 rows, serials, pieces, starts, lengths, crcs = [], [], [], [], [], []
-                for ids in some:
-                    for n, a in enumerate(range(0, len(ids), step)):
-                        part = ids[a : a + step]
-                        rows.append(at)
+                begin = 0
+                for i, size in enumerate(sizes.tolist()):
+                    for n, a in enumerate(range(0, size, params.capacity)):
+                        length = min(params.capacity, size - a)
+                        rows.append(row + i)
                         serials.append(serial)
                         pieces.append(n)
-                        starts.append(a // 4)
-                        lengths.append(len(part) // 4)
-                        crcs.append(zlib.crc32(part))
+                        starts.append(a)
+                        lengths.append(length)
+                        crcs.append(zlib.crc32(flat[4 * (begin + a) : 4 * (begin + a + length)]))
                         serial += 1
-                    at += 1
+                    begin += size
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(serials, pa.int64()), pa.array(pieces, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs))],
                     ["doc_id", "serial", "piece", "start", "length", "ids_crc32"])

@@ -182,41 +182,39 @@ class Shard:
         return self.expand(own[a:b])[start - skipped : stop - skipped] if stop > start else own[:0]
 
 
-def texts_to_ids(texts: pa.Array, enc, rows: int = 256) -> Iterator[list[bytes]]:
-    """Ids of texts as bytes, some rows at a time."""
-    for at in range(0, len(texts), rows):
-        yield enc.encode(texts.slice(at, rows).to_pylist())
-
-
 def _write(params: Grammar, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         enc = encoder(params.vocabulary, params.end_id)
-        part, seq = TaskContext.get().partitionId(), 0
-        held: list[bytes] = []
+        part, seq, within = TaskContext.get().partitionId(), 0, 0
+        held: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         names: list = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            sizes = np.array([len(h) // 4 for h in held], np.int64)
-            blob = compress(np.frombuffer(b"".join(held), np.uint32), sizes, params)
+            blob = compress(np.concatenate(held), np.concatenate(counts), params)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([int(sizes.sum())], pa.int64()),
-                 pa.array([names], pa.list_(id_type)), pa.array([blob], pa.binary())], ["part", "seq", "n_ids", "ids", "blob"])
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([within], pa.int64()), pa.array([size], pa.int64()),
+                 pa.array([names], pa.list_(id_type)), pa.array([blob], pa.binary())], ["part", "seq", "within", "n_ids", "ids", "blob"])
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            at = 0
-            for some in texts_to_ids(batch.column(1), enc):
-                for ids in some:
-                    held.append(ids)
-                    names.append(keys[at])
-                    at += 1
-                    size += len(ids) // 4
+            for row, ids, sizes in enc.blocks(batch.column(1)):
+                ends = np.cumsum(sizes)
+                at = 0
+                while at < len(sizes):
+                    before = int(ends[at - 1]) if at else 0
+                    past = min(len(sizes), int(np.searchsorted(ends, before + params.shard_ids - size, "left")) + 1)
+                    held.append(ids[before : int(ends[past - 1])])
+                    counts.append(sizes[at:past])
+                    names += keys[row + at : row + past]
+                    size += int(ends[past - 1]) - before
+                    at = past
                     if size >= params.shard_ids:
                         yield close()
-                        held, names, size, seq = [], [], 0, seq + 1
+                        held, counts, names, seq, within, size = [], [], [], seq + 1, within + size, 0
         if held:
             yield close()
 
@@ -224,13 +222,13 @@ def _write(params: Grammar, id_type: pa.DataType):
 
 
 def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Grammar = Grammar()) -> DataFrame:
-    """Writes the shards of docs and gives their table, read back: part, seq, n_ids, ids (of documents), blob."""
+    """Writes the shards of docs and gives their table, read back: part, seq, within (ids of the part before it), n_ids, ids (of documents), blob."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    return scratch(ordered.mapInArrow(_write(params, to_arrow_type(rows.schema["id"].dataType)), f"part int, seq int, n_ids long, ids array<{kind}>, blob binary"), "repair")
+    return scratch(ordered.mapInArrow(_write(params, to_arrow_type(rows.schema["id"].dataType)), f"part int, seq int, within long, n_ids long, ids array<{kind}>, blob binary"), "repair")
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,12 +250,9 @@ def read_shards(shards: DataFrame) -> DataFrame:
     """(id, start, n_tokens, ids_crc32, shard_symbols) of every document in a table of shards."""
     kind = shards.schema["ids"].dataType.elementType.simpleString()
     sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row for each part: the running sum over parts is short; within a part it is a window of its shards.
+    # One row for each part of the range partitioning: few, and so broadcast.
     before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    inner = Window.partitionBy("part").orderBy("seq")
-    bases = shards.select("part", "seq", (F.sum("n_ids").over(inner) - F.col("n_ids")).alias("within")).join(before, "part").select(
-        "part", "seq", (F.col("before") + F.col("within")).alias("base"))
-    placed = shards.join(bases, ["part", "seq"]).select("base", "ids", "blob")
+    placed = shards.join(F.broadcast(before), "part").select((F.col("before") + F.col("within")).alias("base"), "ids", "blob")
     return placed.mapInArrow(_decode, f"id {kind}, start long, n_tokens long, ids_crc32 long, shard_symbols long")
 
 

@@ -1,10 +1,13 @@
-"""Token ids of whole texts, with each distinct word encoded once by the tokenizers library."""
+"""Token ids of whole texts, with each distinct word of a block encoded once by the tokenizers library."""
 
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SEPARATOR = "<|startoftext|>"
 WORD_END = "</w>"
@@ -18,30 +21,47 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def small(text: str) -> str:
-    """A Latin-1 text in small letters, which this vocabulary reads alike; any other unchanged."""
-    if "<|" in text:  # the name of a special token counts as written
-        return text
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+def prepared(texts: pa.Array) -> pa.Array:
+    """texts with line ends as blanks and ASCII capitals as small letters; null is empty.
+
+    A text that may name a special token, whose letters count as written, keeps
+    its capitals.
+    """
+    flat = pc.fill_null(texts, "").cast(pa.large_string())
+    _, where, held = flat.buffers()
+    offsets = np.frombuffer(where, np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]].copy() if held is not None else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    named = np.flatnonzero(pc.match_substring(flat, "<|").to_numpy(zero_copy_only=False))
+    as_written = [(offsets[i], data[offsets[i] : offsets[i + 1]].copy()) for i in named.tolist()]
+    data += np.uint8(32) * ((data - np.uint8(65)) < 26)
+    for at, raw in as_written:
+        data[at : at + len(raw)] = raw
+    data[data == 10] = 32
+    # "word, " becomes "word , ": a letter and a lone mark are always apart, and there are fewer distinct words so.
+    if len(data) > 2:
+        at = np.flatnonzero(((data[:-2] - np.uint8(97)) < 26) & ((data[1:-1] == 44) | (data[1:-1] == 46)) & (data[2:] == 32)) + 1
+        data = np.insert(data, at, 32)
+        offsets = offsets + np.searchsorted(at, offsets, "left")
+    return pa.Array.from_buffers(pa.large_string(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 class WordEncoder:
-    """Ids as bytes (little-endian, unsigned, 32 bits) of whole texts.
+    """Ids of whole texts, a block of texts at a time.
 
     This vocabulary drops white space and never lets a token span it, so a
     text's ids are its words' ids in a row. Words are cut at blanks and line
     ends only; other white space stays inside and is left to the library.
     Words of plain letters go to the library's model joined by blanks, marks
     around them apart; all others, one by one in effect, through its whole
-    pipeline. The memory for words is bounded: a full generation is
+    pipeline. Capital ASCII letters are made small first, which the vocabulary
+    does anyway. The words of a block are numbered by Arrow, so that only its
+    distinct words are looked up, and ids are gathered by number. The memory
+    for words is bounded: a full generation is
     dropped when the next one is full.
     """
 
-    def __init__(self, path: str, words: int = 300_000, end_id: int = 1):
+    def __init__(self, path: str, words: int = 400_000, end_id: int = 1):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,62 +104,102 @@ class WordEncoder:
         ids = tool.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return dict(zip(words, self._cut(ids, plain, words), strict=True))
 
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.known) + len(missing) > self.limit:
-            self.older, self.known = self.known, {"": b""}
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """The ids of words not met lately."""
+        out: dict[str, bytes] = {}
         bare: list[str] = []
         framed: list[tuple[str, str, str, str]] = []
         rest: set[str] = set()
         for w in missing:
-            if "<|" in w:  # may name a special token
-                self.known[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
+            # Letters below U+0250 lower-case one by one and are whole in NFC.
+            if w.isalpha() and w.isascii() and len(w) < 200:
+                bare.append(w)
+                continue
+            if "<|" in w:
+                out[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
                 continue
             core = w.strip(MARKS)
-            # Letters below U+0250 lower-case one by one and are whole in NFC. An apostrophe before letters is the library's to judge.
             if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and core.lower().isalpha())) and len(core) < 200:
                 if len(core) == len(w):
                     bare.append(w)
                     continue
                 head, _, tail = w.partition(core)
-                if not head.endswith("'"):
+                if not head.endswith("'"):  # an apostrophe before letters is the library's to judge
                     framed.append((w, core, head, tail))
                     rest.add(head)
                     rest.add(tail)
                     continue
             rest.add(w)
-        cores = list({*bare, *(f[1] for f in framed)})
-        made = self._encode(cores, True)
-        known = self.known
-        for w in rest:
-            if w in self.marks:
-                known[w] = self.marks[w]
-        new = [w for w in rest if w not in known]
+        made = self._encode(list({*bare, *(f[1] for f in framed)}), True)
+        marks = self.marks
+        new = [w for w in rest if w not in marks]
         other = self._encode(new, False)
-        known.update(other)
-        if len(self.marks) < 10_000:
-            self.marks.update((w, other[w]) for w in new if not w.strip(MARKS))
+        if len(marks) < 10_000:
+            marks.update((w, other[w]) for w in new if not w.strip(MARKS))
         for w in bare:
-            known[w] = made[w]
+            out[w] = made[w]
         for w, core, head, tail in framed:
-            known[w] = known[head] + made[core] + known[tail]
+            out[w] = (marks[head] if head in marks else other[head]) + made[core] + (marks[tail] if tail in marks else other[tail])
+        for w in rest:
+            out[w] = other[w] if w in other else marks[w]
+        return out
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, as bytes."""
+        get = self.known.get
+        found = [get(w) for w in words]
+        missing = [w for w, f in zip(words, found, strict=True) if f is None]
+        if missing:
+            if self.older:
+                older = self.older
+                back = {w: older[w] for w in missing if w in older}
+                missing = [w for w in missing if w not in back]
+            else:
+                back = {}
+            learned = self._learn(missing)
+            if len(self.known) + len(back) + len(learned) > self.limit:
+                self.older, self.known = self.known, {"": b""}
+            self.known.update(back)
+            self.known.update(learned)
+            found = [f if f is not None else (back[w] if w in back else learned[w]) for w, f in zip(words, found, strict=True)]
+        return found
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, each with its end id; how many each has); null counts as empty."""
+        if len(texts) == 0:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        split = pc.split_pattern(prepared(texts), " ")
+        numbered = split.flatten().dictionary_encode()
+        words = [*numbered.dictionary.to_pylist(), None]
+        found = [*self._ids_of(words[:-1]), self.end]
+        sizes = np.array([len(f) for f in found], np.int64) // 4
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        begins = np.cumsum(sizes) - sizes
+        offsets = split.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        word = np.insert(numbered.indices.to_numpy(), offsets[1:], len(words) - 1)
+        of = sizes[word]
+        done = np.cumsum(of)
+        out = ids[np.repeat(begins[word] - (done - of), of) + np.arange(int(done[-1]))]
+        past = offsets[1:] + np.arange(1, len(texts) + 1)  # words up to each text's end id
+        return out, np.diff(np.concatenate(([0], done[past - 1])))
+
+    def blocks(self, texts: pa.Array, size: int = 6 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, sizes) of texts, about size bytes at a time."""
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        row = 0
+        while row < len(texts):
+            before = int(ends[row - 1]) if row else 0
+            past = max(row + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield row, *self.encode_block(texts.slice(row, past - row))
+            row = past
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, with the end id; null counts as empty."""
-        cut = [small(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*cut).difference(self.known) if cut else set()
-        if new and self.older:
-            older = self.older
-            for w in new & older.keys():
-                self.known[w] = older[w]
-            new.difference_update(self.known)
-        if new:
-            before = self.known
-            self._learn(list(new))
-            if self.known is not before:  # a new generation began: words known to the last one come along
-                for w in set().union(*cut).difference(self.known):
-                    self.known[w] = self.older[w]
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in cut]
+        """The ids of each text as bytes."""
+        ids, sizes = self.encode_block(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        return [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
