@@ -21,9 +21,9 @@ def export_vectors(rows: DataFrame, path: str, id_col: str, vec_col: str, per_fi
     rows.select(F.col(id_col).cast("string").alias("id"), rounded(F.col(vec_col)).alias("values")).write.option("maxRecordsPerFile", per_file).mode("overwrite").json(path)
 
 
-def fingerprint(df: DataFrame, id_col: str, pieces: int = 1024) -> DataFrame:
+def fingerprint(df: DataFrame, id_col: str, digits: int = 3) -> DataFrame:
     """(n, digest): a digest of all ids in order, from digests of hash-dealt pieces, so that no task gathers every id."""
-    piece = F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(pieces))
+    piece = F.substring(F.md5(F.col(id_col).cast("string")), 1, digits)
     part = df.groupBy(piece.alias("piece")).agg(F.count("*").alias("n"), F.md5(F.array_join(F.sort_array(F.collect_list(F.col(id_col).cast("string"))), ",")).alias("d"))
     whole = F.transform(F.sort_array(F.collect_list(F.struct("piece", "d"))), lambda x: x["d"])
     return part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.md5(F.array_join(whole, ",")).alias("digest"))

@@ -17,7 +17,7 @@ def watch(spark: SparkSession, folder: str, checkpoint: str, update: Callable[[D
     Copies of a file's bytes that arrive within the delay are dropped by the
     stream's own state, which the watermark bounds.
     """
-    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").load(folder)
     fresh = files.withColumn("sum", F.sha2("content", 256)).withWatermark("modificationTime", delay).dropDuplicatesWithinWatermark(["sum"])
     out = fresh.writeStream.foreachBatch(lambda df, n: update(parse_contents(df), n)).option("checkpointLocation", checkpoint)
     return (out.trigger(availableNow=True) if once else out).start()
