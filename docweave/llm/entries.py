@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, decontaminate, html_text, language, packing, quality, repair, simhash, suffix_dedup, toxicity
+from docweave.llm import chat, decontaminate, html_text, language, oracles, packing, quality, repair, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,4 +16,4 @@ QUERIES = {
     "op9_chat": chat.op9_chat,
     "op10_simhash": simhash.op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_suffix_dedup": oracles.SUFFIX_DEDUP, "op6_quality": oracles.quality()}
