@@ -49,11 +49,11 @@ def websearch(query: str) -> WebQuery:
 def matches(ts: Column, query: WebQuery) -> Column:
     """Whether an array of terms satisfies a query."""
 
+    # Terms hold no blanks, so a phrase is a part of the terms joined by blanks.
+    joined = F.concat(F.lit(" "), F.array_join(ts, " "), F.lit(" "))
+
     def holds(words: list[str]) -> Column:
-        if len(words) == 1:
-            return F.array_contains(ts, words[0])
-        window = lambda i: F.slice(ts, i, len(words)) == F.array(*[F.lit(w) for w in words])
-        return F.when(F.size(ts) >= len(words), F.exists(F.sequence(F.lit(1), F.size(ts) - len(words) + 1), window)).otherwise(F.lit(False))
+        return F.array_contains(ts, words[0]) if len(words) == 1 else joined.contains(f" {' '.join(words)} ")
 
     found = F.lit(False)
     for group in query.any_of:
