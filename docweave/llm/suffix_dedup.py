@@ -334,7 +334,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # 2. Anchors, and the runs whose anchor hash comes more than once.
     runs = rows.select("rid", "data").mapInArrow(_find_anchors(params), "h long, rid long, lo long, n int, at int")
     runs = scratch(runs.join(later, "rid", "left_anti"), "anchors")
-    twice = runs.groupBy("h").count().where("count > 1").select("h")
+    # Written, so that both sides of the join are dealt for it and a crowded hash can be split between tasks.
+    twice = scratch(runs.groupBy("h").count().where("count > 1").select("h"), "anchors-twice")
     wanted = runs.join(twice, "h").groupBy("rid").agg(F.collect_set(F.struct("h", "lo", "n", "at")).alias("runs"))
 
     # 3. Their bytes, equal runs once.
