@@ -1,10 +1,10 @@
 """Wrapper induction: main text of web pages by aligning pages of one host.
 
-Each page becomes a tree of elements (runs of equal siblings fold into one
-slot). Pages of one host are aligned to a common wrapper tree by simple tree
-matching: equal labels match, children match by the order-keeping pairing of
-greatest weight, and what the wrapper lacks is added to it. Every slot of the
-wrapper counts the texts it has held. A text that most pages of the host have
+Each page becomes a tree of elements (siblings of one label fold into one slot).
+Pages of one host are aligned to a common wrapper tree by simple tree matching:
+equal labels match, children match by the order-keeping pairing of greatest
+weight, and what the wrapper lacks is added to it. Every slot of the wrapper
+counts the texts it has held. A text that most pages of the host have
 in the same slot is template; slots whose text varies are content. Tags and
 class names that name a role (menus, headers, footers, adverts, forms, notices,
 comments and so on) are template in any case, since their text varies too.
@@ -157,13 +157,13 @@ def parse(html: str) -> Node:
     return root
 
 
-def blocks(node: Node, inside: bool, path: tuple[int, ...] = ()) -> list[tuple[str, tuple[int, ...], int]]:
-    """(text, slot path, characters inside links) of the blocks that roles don't drop, in page order."""
-    out: list[tuple[str, tuple[int, ...], int]] = []
+def blocks(node: Node, inside: bool, path: tuple[str, ...] = ()) -> list[tuple[str, tuple[str, ...], int]]:
+    """(text, path of labels, characters inside links) of the blocks that roles don't drop, in page order."""
+    out: list[tuple[str, tuple[str, ...], int]] = []
     pieces: list[str] = []
     linked = 0
 
-    def flush(path: tuple[int, ...]) -> None:
+    def flush(path: tuple[str, ...]) -> None:
         nonlocal linked
         text = " ".join(unescape("".join(pieces)).split())
         if text:
@@ -171,9 +171,8 @@ def blocks(node: Node, inside: bool, path: tuple[int, ...] = ()) -> list[tuple[s
         pieces.clear()
         linked = 0
 
-    def walk(node: Node, path: tuple[int, ...], only_headings: bool, link: bool) -> None:
+    def walk(node: Node, path: tuple[str, ...], only_headings: bool, link: bool) -> None:
         nonlocal linked
-        slot, last = -1, None
         for p in node.parts:
             if isinstance(p, str):
                 if not only_headings or node.tag in HEADINGS:
@@ -181,9 +180,7 @@ def blocks(node: Node, inside: bool, path: tuple[int, ...] = ()) -> list[tuple[s
                     if link:
                         linked += len(p.strip())
                 continue
-            if p.label != last:
-                slot, last = slot + 1, p.label
-            here = (*path, slot)
+            here = (*path, p.label)
             if p.tag == "br":
                 pieces.append(" ")
                 continue
@@ -203,23 +200,21 @@ def blocks(node: Node, inside: bool, path: tuple[int, ...] = ()) -> list[tuple[s
     return out
 
 
-def roots(tree: Node) -> list[tuple[Node, tuple[int, ...]]]:
-    """The outermost article and main elements with their slot paths, else the whole page; dropped roles are not entered."""
-    found: list[tuple[Node, tuple[int, ...]]] = []
+def roots(tree: Node) -> list[tuple[Node, tuple[str, ...]]]:
+    """The outermost article and main elements with their paths, else the whole page; dropped roles are not entered."""
+    found: list[tuple[Node, tuple[str, ...]]] = []
 
-    def walk(node: Node, path: tuple[int, ...]) -> None:
-        slot, last = -1, None
+    def walk(node: Node, path: tuple[str, ...]) -> None:
         for p in node.parts:
             if isinstance(p, str):
                 continue
-            if p.label != last:
-                slot, last = slot + 1, p.label
+            here = (*path, p.label)
             if p.drop or p.head:
                 continue
             if p.main:
-                found.append((p, (*path, slot)))
+                found.append((p, here))
             else:
-                walk(p, (*path, slot))
+                walk(p, here)
 
     walk(tree, ())
     return found
@@ -249,21 +244,22 @@ class Slot:
         return 1 + sum(s.size() for s in self.slots)
 
 
-def skeleton(node: Node, texts: dict[tuple[int, ...], set[str]], path: tuple[int, ...] = ()) -> Slot:
-    """A page's own wrapper: runs of equal siblings are one slot, which holds all their texts once."""
+def skeleton(node: Node, texts: dict[tuple[str, ...], set[str]], path: tuple[str, ...] = ()) -> Slot:
+    """A page's own wrapper: siblings of one label are one slot, which holds all their texts once."""
     out = Slot(node.label)
     out.pages = 1
     out.texts = dict.fromkeys(sorted(texts.get(path, ())), 1)
-    last: Slot | None = None
+    together: dict[str, list[Node]] = {}
     for p in node.parts:
-        if isinstance(p, str):
-            continue
-        if last is not None and last.label == p.label:
-            other = skeleton(p, texts, (*path, len(out.slots) - 1))
-            merge(last, other, 64, 1 << 30, count=False)
-            continue
-        last = skeleton(p, texts, (*path, len(out.slots)))
-        out.slots.append(last)
+        if not isinstance(p, str):
+            together.setdefault(p.label, []).append(p)
+    for label, alike in together.items():
+        if len(alike) > 1:
+            whole = Node(alike[0].tag)
+            whole.label = label
+            whole.parts = [part for p in alike for part in p.parts]
+            alike = [whole]
+        out.slots.append(skeleton(alike[0], texts, (*path, label)))
     return out
 
 
@@ -312,14 +308,10 @@ def add_texts(into: dict[str, int], other: dict[str, int], limit: int) -> None:
             into[t] -= cut
 
 
-def merge(into: Slot, other: Slot, texts: int, slots: int, memo: dict | None = None, count: bool = True) -> None:
+def merge(into: Slot, other: Slot, texts: int, slots: int, memo: dict | None = None) -> None:
     """Aligns other with the wrapper and adds what it has; slots of other that match nothing are put in their place."""
-    if count:
-        into.pages += other.pages
-        add_texts(into.texts, other.texts, texts)
-    else:
-        for t in other.texts:
-            into.texts[t] = 1
+    into.pages += other.pages
+    add_texts(into.texts, other.texts, texts)
     memo = {} if memo is None else memo
     _, pairs = pairing(into.slots, other.slots, memo)
     partner = dict((j, i) for i, j in pairs)
@@ -333,7 +325,7 @@ def merge(into: Slot, other: Slot, texts: int, slots: int, memo: dict | None = N
                 room -= s.size()
             continue
         merged.extend(into.slots[at:i])
-        merge(into.slots[i], s, texts, slots, memo, count)
+        merge(into.slots[i], s, texts, slots, memo)
         merged.append(into.slots[i])
         at = i + 1
     merged.extend(into.slots[at:])
@@ -346,7 +338,7 @@ def digest(text: str) -> str:
     return xxhash.xxh3_64_hexdigest(text.encode("utf-8", "surrogatepass"))
 
 
-def read(html: str) -> tuple[Node, list[tuple[str, tuple[int, ...], int]], bool]:
+def read(html: str) -> tuple[Node, list[tuple[str, tuple[str, ...], int]], bool]:
     """(tree, blocks, whether they come from an article or main element)."""
     tree = parse(html)
     found = roots(tree)
@@ -356,21 +348,22 @@ def read(html: str) -> tuple[Node, list[tuple[str, tuple[int, ...], int]], bool]
 
 
 def own_wrapper(tree: Node, found: list) -> Slot:
-    texts: dict[tuple[int, ...], set[str]] = {}
+    texts: dict[tuple[str, ...], set[str]] = {}
     for text, path, _ in found:
         texts.setdefault(path, set()).add(digest(text))
     return skeleton(tree, texts)
 
 
-def aligned(wrapper: Slot, page: Slot) -> dict[tuple[int, ...], Slot]:
-    """Slot path of the page -> the wrapper's slot."""
+def aligned(wrapper: Slot, page: Slot) -> dict[tuple[str, ...], Slot]:
+    """Path of labels in the page -> the wrapper's slot."""
     out = {(): wrapper}
     memo: dict = {}
 
-    def walk(w: Slot, p: Slot, path: tuple[int, ...]) -> None:
+    def walk(w: Slot, p: Slot, path: tuple[str, ...]) -> None:
         for i, j in pairing(w.slots, p.slots, memo)[1]:
-            out[(*path, j)] = w.slots[i]
-            walk(w.slots[i], p.slots[j], (*path, j))
+            here = (*path, p.slots[j].label)
+            out[here] = w.slots[i]
+            walk(w.slots[i], p.slots[j], here)
 
     walk(wrapper, page, ())
     return out
@@ -388,7 +381,7 @@ def main_text(html: str | None, wrapper: Slot | None, params: Wrapping = Wrappin
     if wrapper is not None and wrapper.pages >= least:
         slots = aligned(wrapper, own_wrapper(tree, found))
 
-        def shared(text: str, path: tuple[int, ...]) -> bool:
+        def shared(text: str, path: tuple[str, ...]) -> bool:
             slot = slots.get(path)
             return slot is not None and slot.pages >= least and slot.texts.get(digest(text), 0) >= share * wrapper.pages
 
