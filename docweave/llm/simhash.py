@@ -195,7 +195,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, fingerprint in 16 hex digits, component_id) for every row of docs."""
     prints = scratch(fingerprints(docs, id_col, text_col, params), "simhash")
     distinct = scratch(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    parts = connected_components(links(distinct.select("fp"), params))
+    parts = connected_components(scratch(links(distinct.select("fp"), params), "simhash-links"))
     named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("part"))
     lowest = named.groupBy("part").agg(F.min("first").alias("component_id"))
