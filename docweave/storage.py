@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context, so that they need no copy of it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_docweave_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="docweave-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(f"{folder}/docweave.zip", "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(f"{folder}/docweave.zip")
+    context._docweave_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; any path that Spark's readers open will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
