@@ -58,7 +58,7 @@ def _frequent(symbols: np.ndarray, free: np.ndarray, params: Grammar) -> tuple[n
     many = np.bincount(bucket[free], minlength=1 << params.bits) >= params.least
     at = np.flatnonzero(many[bucket] & free)
     pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
-    order = np.argsort(pairs, kind="stable")
+    order = np.argsort(pairs)
     ordered = pairs[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.empty(0, np.int64)
     counts = np.diff(np.append(first, len(ordered)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ import pyarrow.compute as pc
 SEPARATOR = "<|startoftext|>"
 WORD_END = "</w>"
 MARKS = string.punctuation
+IS_MARK = np.zeros(256, bool)
+IS_MARK[np.frombuffer(MARKS.encode(), np.uint8)] = True
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -38,9 +41,16 @@ def prepared(texts: pa.Array) -> pa.Array:
     for at, raw in as_written:
         data[at : at + len(raw)] = raw
     data[data == 10] = 32
-    # "word, " becomes "word , ": a letter and a lone mark are always apart, and there are fewer distinct words so.
+    # "word%%, " becomes "word %%, ": letters and a run of marks up to a blank are always apart, and there are fewer distinct words so.
     if len(data) > 2:
-        at = np.flatnonzero(((data[:-2] - np.uint8(97)) < 26) & ((data[1:-1] == 44) | (data[1:-1] == 46)) & (data[2:] == 32)) + 1
+        letter = (data - np.uint8(97)) < 26
+        other = np.flatnonzero(~IS_MARK[data])
+        at = np.flatnonzero(letter[:-1] & IS_MARK[data[1:]]) + 1
+        for i in named.tolist():
+            at = at[(at <= offsets[i]) | (at >= offsets[i + 1])]
+        next_other = np.searchsorted(other, at)
+        at = at[next_other < len(other)]
+        at = at[data[other[next_other[: len(at)]]] == 32]
         data = np.insert(data, at, 32)
         offsets = offsets + np.searchsorted(at, offsets, "left")
     return pa.Array.from_buffers(pa.large_string(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
@@ -52,16 +62,14 @@ class WordEncoder:
     This vocabulary drops white space and never lets a token span it, so a
     text's ids are its words' ids in a row. Words are cut at blanks and line
     ends only; other white space stays inside and is left to the library.
-    Words of plain letters go to the library's model joined by blanks, marks
-    around them apart; all others, one by one in effect, through its whole
-    pipeline. Capital ASCII letters are made small first, which the vocabulary
+    Words of letters go to the library's model joined by blanks; all others, one
+    by one in effect, through its whole pipeline. Capital ASCII letters are made small first, which the vocabulary
     does anyway. The words of a block are numbered by Arrow, so that only its
     distinct words are looked up, and ids are gathered by number. The memory
-    for words is bounded: a full generation is
-    dropped when the next one is full.
+    for words is bounded: when it is full, it starts over with the block's.
     """
 
-    def __init__(self, path: str, words: int = 400_000, end_id: int = 1):
+    def __init__(self, path: str, words: int = 600_000, end_id: int = 1):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,92 +85,65 @@ class WordEncoder:
         self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
         self.separator = vocab.get(SEPARATOR)
         self.limit = words
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.end = np.uint32(end_id).tobytes()
-        self.marks: dict[str, bytes] = {"": b""}
-
-    def _cut(self, ids: list[int], plain: bool, words: list[str]) -> list[bytes]:
-        ids = np.array(ids, np.uint32)
-        flat = ids.tobytes()
-        if plain:
-            past = np.flatnonzero(self.ends[ids]) + 1
-            first = np.concatenate(([0], past[:-1])) if len(past) else past
-        else:
-            at = np.flatnonzero(ids == self.separator)
-            first, past = np.concatenate(([0], at + 1)), np.append(at, len(ids))
-        if len(first) != len(words):
+        self.end_id = end_id
+        self._clear()
+
+    def _clear(self) -> None:
+        """Forgets all words. Number 0 is no word, number 1 the end id; ids of all numbers lie in one store."""
+        self.known: dict[str, int] = {"": 0}
+        self.store = np.array([self.end_id], np.uint32)
+        self.begins = np.array([0, 0], np.int64)
+        self.sizes = np.array([0, 1], np.int32)
+
+    def _plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, how many each word has) of words of letters."""
+        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        past = np.flatnonzero(self.ends[ids]) + 1
+        if len(past) != len(words):
             raise ValueError("the vocabulary doesn't mark the ends of words as expected")
-        return [flat[4 * a : 4 * b] for a, b in zip(first.tolist(), past.tolist(), strict=True)]
-
-    def _encode(self, words: list[str], plain: bool) -> dict[str, bytes]:
-        if not words:
-            return {}
-        if not plain and self.separator is None:
-            return {w: np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes() for w in words}
-        text, tool = (" ".join(words), self.plain) if plain else (SEPARATOR.join(words), self.whole)
-        ids = tool.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return dict(zip(words, self._cut(ids, plain, words), strict=True))
-
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """The ids of words not met lately."""
-        out: dict[str, bytes] = {}
-        bare: list[str] = []
-        framed: list[tuple[str, str, str, str]] = []
-        rest: set[str] = set()
-        for w in missing:
-            # Letters below U+0250 lower-case one by one and are whole in NFC.
-            if w.isalpha() and w.isascii() and len(w) < 200:
-                bare.append(w)
+        return ids, np.diff(past, prepend=0)
+
+    def _other_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any words, through the whole pipeline."""
+        apart = [w for w in words if self.separator is None or "<|" in w]  # may name a special token
+        joined = [w for w in words if self.separator is not None and "<|" not in w]
+        found = {w: np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32) for w in apart}
+        if joined:
+            ids = np.array(self.whole.encode_batch_fast([SEPARATOR.join(joined)], add_special_tokens=False)[0].ids, np.uint32)
+            parts = np.split(ids, np.flatnonzero(ids == self.separator))
+            if len(parts) != len(joined):
+                raise ValueError("the vocabulary doesn't keep its special tokens apart as expected")
+            found |= dict(zip(joined, (p[i > 0 :] for i, p in enumerate(parts)), strict=True))
+        out = [found[w] for w in words]
+        return np.concatenate(out), np.array([len(x) for x in out])
+
+    def _learn(self, words: list[str]) -> None:
+        """Numbers new words."""
+        # Letters below U+0250 lower-case one by one and are whole in NFC.
+        plain = [w for w in words if w.isalpha() and len(w) < 200 and (w.isascii() or (max(w) < "\u0250" and w.lower().isalpha()))]
+        rest = list(set(words).difference(plain))
+        for some, encode in ((plain, self._plain_ids), (rest, self._other_ids)):
+            if not some:
                 continue
-            if "<|" in w:
-                out[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
-                continue
-            core = w.strip(MARKS)
-            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and core.lower().isalpha())) and len(core) < 200:
-                if len(core) == len(w):
-                    bare.append(w)
-                    continue
-                head, _, tail = w.partition(core)
-                if not head.endswith("'"):  # an apostrophe before letters is the library's to judge
-                    framed.append((w, core, head, tail))
-                    rest.add(head)
-                    rest.add(tail)
-                    continue
-            rest.add(w)
-        made = self._encode(list({*bare, *(f[1] for f in framed)}), True)
-        marks = self.marks
-        new = [w for w in rest if w not in marks]
-        other = self._encode(new, False)
-        if len(marks) < 10_000:
-            marks.update((w, other[w]) for w in new if not w.strip(MARKS))
-        for w in bare:
-            out[w] = made[w]
-        for w, core, head, tail in framed:
-            out[w] = (marks[head] if head in marks else other[head]) + made[core] + (marks[tail] if tail in marks else other[tail])
-        for w in rest:
-            out[w] = other[w] if w in other else marks[w]
-        return out
-
-    def _ids_of(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words, as bytes."""
-        get = self.known.get
-        found = [get(w) for w in words]
-        missing = [w for w, f in zip(words, found, strict=True) if f is None]
-        if missing:
-            if self.older:
-                older = self.older
-                back = {w: older[w] for w in missing if w in older}
-                missing = [w for w in missing if w not in back]
-            else:
-                back = {}
-            learned = self._learn(missing)
-            if len(self.known) + len(back) + len(learned) > self.limit:
-                self.older, self.known = self.known, {"": b""}
-            self.known.update(back)
-            self.known.update(learned)
-            found = [f if f is not None else (back[w] if w in back else learned[w]) for w, f in zip(words, found, strict=True)]
-        return found
+            ids, sizes = encode(some)
+            first = len(self.sizes)
+            self.known.update(zip(some, range(first, first + len(some)), strict=True))
+            self.begins = np.concatenate((self.begins, len(self.store) + np.cumsum(sizes) - sizes))
+            self.sizes = np.concatenate((self.sizes, sizes.astype(np.int32)))
+            self.store = np.concatenate((self.store, ids))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of a block's distinct words."""
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            if len(self.known) + len(missing) > self.limit:
+                self._clear()
+                missing = np.arange(len(words))
+            new = [words[i] for i in missing.tolist()]
+            self._learn([w for w in new if w])
+            numbers[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        return numbers
 
     def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with its end id; how many each has); null counts as empty."""
@@ -170,17 +151,14 @@ class WordEncoder:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
         split = pc.split_pattern(prepared(texts), " ")
         numbered = split.flatten().dictionary_encode()
-        words = [*numbered.dictionary.to_pylist(), None]
-        found = [*self._ids_of(words[:-1]), self.end]
-        sizes = np.array([len(f) for f in found], np.int64) // 4
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        begins = np.cumsum(sizes) - sizes
+        numbers = np.append(self._numbers(numbered.dictionary.to_pylist()), 1)
+        sizes, begins = self.sizes[numbers], self.begins[numbers].astype(np.int32)
         offsets = split.offsets.to_numpy()
         offsets = offsets - offsets[0]
-        word = np.insert(numbered.indices.to_numpy(), offsets[1:], len(words) - 1)
+        word = np.insert(numbered.indices.to_numpy(), offsets[1:], len(numbers) - 1)
         of = sizes[word]
-        done = np.cumsum(of)
-        out = ids[np.repeat(begins[word] - (done - of), of) + np.arange(int(done[-1]))]
+        done = np.cumsum(of, dtype=np.int64)
+        out = self.store[np.repeat((begins[word] - (done - of)).astype(np.int32), of) + np.arange(int(done[-1]), dtype=np.int32)]
         past = offsets[1:] + np.arange(1, len(texts) + 1)  # words up to each text's end id
         return out, np.diff(np.concatenate(([0], done[past - 1])))
 
