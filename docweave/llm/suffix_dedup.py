@@ -3,11 +3,14 @@
 A text is UTF-8 bytes. A byte goes if a window of `window` bytes that covers it
 also starts elsewhere (keep="none"), or starts at an earlier place
 (keep="first"; places are ordered by id, then offset). Windows never cross
-documents and are judged on the input.
+documents and are judged on the input. With words=True all lengths count words
+(what white space parts) instead of bytes: a text is the row of its words'
+64-bit hashes, and everything below holds for these as for bytes.
 
 How it is split over a cluster:
 
-1. Equal texts are found by digest; copies beyond the first need no index.
+1. Equal texts are found by digest; copies beyond the first need no index (by
+   bytes; a rule in words indexes them like any other text).
 2. Every window names an anchor: its least `gram`-byte hash, leftmost of ties.
    Equal windows have equal anchors at equal offsets, so consecutive windows of
    one anchor form a run, and only runs whose anchor hash comes twice go on.
@@ -32,6 +35,7 @@ result row; a null id sorts first; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,13 +52,23 @@ BLOCK = 1 << 20
 
 @dataclass(frozen=True)
 class Repeats:
-    """window: bytes of a repeat that counts; gram: bytes of an anchor; keep: "none" or "first"."""
+    """window: bytes of a repeat that counts; gram: bytes of an anchor; keep: "none" or "first"; words: both in words."""
 
     window: int = 400
     gram: int = 64
     keep: str = "none"
     #: Different runs of one anchor hash beyond which its windows are dealt singly; exact either way.
     group: int = 2048
+    words: bool = False
+
+    @property
+    def unit(self) -> int:
+        """Bytes of data in one place."""
+        return 8 if self.words else 1
+
+    def places(self, data) -> np.ndarray:
+        """Data as an array with one value a place."""
+        return np.frombuffer(data, "<u8" if self.words else np.uint8)
 
 
 # ---- names and orders over bytes -------------------------------------------------
@@ -72,11 +86,14 @@ def _mix(left: np.ndarray, right: np.ndarray | None) -> np.ndarray:
 
 
 def names(data: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit name of the `length` bytes at every place; length is a multiple of 8, at least 8."""
+    """A 64-bit name of the `length` bytes (a multiple of 8) or 64-bit words (any number) at every place."""
     if len(data) < length:
         return np.empty(0, np.uint64)
-    eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
-    level, width, out, done = _mix(eight, None), 8, None, 0
+    if data.dtype == np.uint64:
+        level, width, out, done = _mix(data, None), 1, None, 0
+    else:
+        eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
+        level, width, out, done = _mix(eight, None), 8, None, 0
     while True:
         if length & width:
             if out is None:
@@ -146,28 +163,53 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int,
     return hashes[at[first]], doc, first, last, at[first]
 
 
-def _blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, int]]:
-    """(first row, past the last, their bytes, offset in the first row) in blocks; a longer text comes in pieces."""
+class Codes(dict):
+    """Word -> its hash as 8 bytes."""
+
+    def __missing__(self, word: str | bytes) -> bytes:
+        import xxhash
+
+        if len(self) > 50_000:
+            self.clear()
+        self[word] = code = xxhash.xxh3_64_digest(word)
+        return code
+
+
+def _coder(params: Repeats):
+    """Text in UTF-8 -> its data: the bytes themselves, or the hashes of its words."""
+    if not params.words:
+        return lambda data: data.as_buffer()
+    codes = Codes()
+    return lambda data: b"".join([codes[w] for w in data.as_py().decode().split()])
+
+
+def _blocks(column: pa.Array, params: Repeats) -> Iterator[tuple[int, int, np.ndarray, int]]:
+    """(first row, past the last, their places, offset in the first row) in blocks; a longer text comes in pieces."""
     flat = column.cast(pa.large_binary())
     offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
     data = np.frombuffer(flat.buffers()[2], np.uint8) if flat.buffers()[2] is not None else np.empty(0, np.uint8)
-    row = 0
+    data, offsets = params.places(data[offsets[0] : offsets[-1]]), (offsets - offsets[0]) // params.unit
+    row, block = 0, BLOCK // params.unit
     while row < len(flat):
-        past = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK, "right")) - 1)
+        past = max(row + 1, int(np.searchsorted(offsets, offsets[row] + block, "right")) - 1)
         yield row, past, data[offsets[row] : offsets[past]], offsets[row : past + 1] - offsets[row]
         row = past
 
 
 def _find_anchors(params: Repeats):
-    over = params.window - 1
+    over, block = params.window - 1, BLOCK // params.unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coded = _coder(params)
+        if params.words:
+            batches = (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500))
         for batch in batches:
             rids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, past, data, offsets in _blocks(batch.column(1)):
+            column = pa.array([coded(t) for t in batch.column(1)], pa.binary()) if params.words else batch.column(1)
+            for row, past, data, offsets in _blocks(column, params):
                 pieces = [(0, data, offsets)]
-                if past == row + 1 and len(data) > 2 * BLOCK:
-                    pieces = [(at, d := data[at : at + BLOCK + over], np.array([0, len(d)])) for at in range(0, max(1, len(data) - over), BLOCK)]
+                if past == row + 1 and len(data) > 2 * block:
+                    pieces = [(at, d := data[at : at + block + over], np.array([0, len(d)])) for at in range(0, max(1, len(data) - over), block)]
                 for shift, piece, places in pieces:
                     hashes, doc, first, last, at = anchors(piece, places[:-1], places[1:], params.window, params.gram)
                     base = places[doc] - shift
@@ -179,20 +221,22 @@ def _find_anchors(params: Repeats):
     return run
 
 
-def _cut_runs(window: int):
+def _cut_runs(params: Repeats):
     """Bytes of each candidate run of each document."""
+    window, unit = params.window, params.unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        coded = _coder(params)
         for batch in batches:
             kind = batch.schema.field("id").type
             out: list[tuple] = []
             size = 0
-            for id_, rid, data, runs in zip(batch.column("id"), batch.column("rid").to_pylist(), batch.column("data"), batch.column("runs").to_pylist(), strict=True):
-                view = memoryview(data.as_buffer())
-                for r in runs:
-                    part = bytes(view[r["lo"] : r["lo"] + r["n"] - 1 + window])
+            for id_, rid, data, runs in zip(batch.column("id"), batch.column("rid").to_pylist(), batch.column("data"), batch.column("runs"), strict=True):
+                view = memoryview(coded(data))
+                for r in runs.as_py():
+                    part = bytes(view[unit * r["lo"] : unit * (r["lo"] + r["n"] - 1 + window)])
                     out.append((r["h"], xxhash.xxh3_128_digest(part), id_.as_py(), rid, r["lo"], r["at"], part))
                     size += len(part)
                 if size > 8 * BLOCK:
@@ -222,13 +266,15 @@ def _ranges(flags: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int]]
     return out
 
 
-def _rank_groups(window: int, keep: str):
+def _rank_groups(params: Repeats):
     """Rows come sorted by anchor hash and place; whole groups are ranked together in blocks."""
+    window, keep = params.window, params.keep
 
     def rank(keys: list[tuple], parts: list[bytes]) -> pa.RecordBatch:
-        sizes = np.array([len(p) - window + 1 for p in parts])
-        data = np.frombuffer(b"".join(parts), np.uint8)
-        begin = np.concatenate(([0], np.cumsum([len(p) for p in parts])))[:-1]
+        lengths = np.array([len(p) // params.unit for p in parts])
+        sizes = lengths - window + 1
+        data = params.places(b"".join(parts))
+        begin = np.concatenate(([0], np.cumsum(lengths)))[:-1]
         bounds = np.concatenate(([0], np.cumsum(sizes)))
         windows = np.repeat(begin - bounds[:-1], sizes) + np.arange(bounds[-1])
         flags = repeated(names(data, window)[windows], windows, keep)
@@ -258,12 +304,12 @@ def _rank_groups(window: int, keep: str):
     return run
 
 
-def _single_windows(window: int):
+def _single_windows(params: Repeats):
     """One row per run with the names of all its windows, each 8 bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [names(np.frombuffer(p.as_buffer(), np.uint8), window).view(np.int64) for p in batch.column("part")]
+            found = [names(params.places(p.as_buffer()), params.window).view(np.int64) for p in batch.column("part")]
             bounds = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             values = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -315,12 +361,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("rid"), text.cast("binary").alias("data"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
-    """(rid, spans): the byte spans to remove from each document that has any; they may overlap."""
-    rows = _keyed(docs, id_col, text_col).where(F.length("data") >= params.window)
-    id_type = rows.schema["id"].dataType.simpleString()
-
-    # 1. Copies: all but the first row of each text stay out of the index.
+def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
+    """Spans of whole texts that go as copies, and the rows beyond the first of each text."""
     sums = rows.select("id", "rid", F.length("data").alias("size"), F.unhex(F.md5("data")).alias("sum"))
     groups = sums.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct("id", "rid")).alias("first")).where("copies > 1")
     copies = scratch(sums.join(groups, "sum").select(
@@ -330,19 +372,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "rid", F.lit(0).cast("long").alias("s"), F.col("size").cast("long").alias("e")).distinct()
     if params.keep == "first":  # repeated rows share a rid: the one result holds for each, so the first stays whole
         gone = gone.join(copies.where("is_first").select("rid").distinct(), "rid", "left_anti")
+    return gone, later
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
+    """(rid, spans): the spans of bytes (or words) to remove from each document that has any; they may overlap."""
+    length = lambda c: F.expr(f"length({c}) div {params.unit}").cast("int")
+    least = 2 * params.window - 1 if params.words else params.window
+    rows = _keyed(docs, id_col, text_col).where(F.length("data") >= least)
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    # 1. Copies: all but the first row of each text stay out of the index. (Not by words, where a copy may be shorter than the window.)
+    gone, later = None, None
+    if not params.words:
+        gone, later = _copies(rows, params)
 
     # 2. Anchors, and the runs whose anchor hash comes more than once.
     runs = rows.select("rid", "data").mapInArrow(_find_anchors(params), "h long, rid long, lo long, n int, at int")
-    runs = scratch(runs.join(later, "rid", "left_anti"), "anchors")
+    runs = scratch(runs if later is None else runs.join(later, "rid", "left_anti"), "anchors")
     # Written, so that both sides of the join are dealt for it and a crowded hash can be split between tasks.
     twice = scratch(runs.groupBy("h").count().where("count > 1").select("h"), "anchors-twice")
     wanted = runs.join(twice, "h").groupBy("rid").agg(F.collect_set(F.struct("h", "lo", "n", "at")).alias("runs"))
 
     # 3. Their bytes, equal runs once.
     cut = rows.join(wanted, "rid").mapInArrow(
-        _cut_runs(params.window), f"h long, sid binary, id {id_type}, rid long, lo long, at int, part binary")
+        _cut_runs(params), f"h long, sid binary, id {id_type}, rid long, lo long, at int, part binary")
     cut = scratch(cut, "runs")
-    place = F.min(F.struct("id", "lo", "rid")).alias("place")
+    place = F.min(F.struct("id", "rid", "lo")).alias("place")
     distinct = cut.groupBy("h", "sid").agg(place, F.count("*").alias("times"), F.first("part").alias("part"), F.first("at").alias("at"))
     distinct = scratch(distinct, "distinct-runs")
     sizes = distinct.groupBy("h").agg(F.count("*").alias("different"))
@@ -351,13 +407,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if params.keep == "first":  # a lone run, taken whole otherwise, may repeat inside itself (periodic text)
         common = common.unionByName(distinct.join(sizes.where("different = 1").select("h"), "h", "left_semi"))
     ranked = common.select("h", "sid", "place", "part").repartition("h").sortWithinPartitions("h", "place").select(
-        "h", "sid", "part").mapInArrow(_rank_groups(params.window, params.keep), "h long, sid binary, spans array<struct<s:int,e:int>>")
+        "h", "sid", "part").mapInArrow(_rank_groups(params), "h long, sid binary, spans array<struct<s:int,e:int>>")
 
     # 4. Crowded anchors: first place and count of every window name.
     names_of = distinct.join(crowded, "h", "left_semi").select("h", "sid", "place", "part").mapInArrow(
-        _single_windows(params.window), f"h long, sid binary, place struct<id:{id_type},lo:long,rid:long>, names array<long>")
+        _single_windows(params), f"h long, sid binary, place struct<id:{id_type},rid:long,lo:long>, names array<long>")
     single = names_of.select("h", "sid", "place", F.posexplode("names").alias("k", "name"))
-    whole = F.struct(F.col("place.id"), (F.col("place.lo") + F.col("k")).alias("lo"), F.col("place.rid"), "sid", "k")
+    whole = F.struct(F.col("place.id"), F.col("place.rid"), (F.col("place.lo") + F.col("k")).alias("lo"), "sid", "k")
     firsts = single.groupBy("name").agg(F.min(whole).alias("first"), F.count("*").alias("times")).where("times > 1")
     hit = single.join(firsts, "name")
     if params.keep == "first":
@@ -369,11 +425,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lone = distinct.where("times > 1").select("h", "sid", "times", F.col("place").alias("first"))
     ends = lambda s: F.struct((F.col("lo") + s["s"]).alias("s"), (F.col("lo") + s["e"] - 1 + params.window).alias("e"))
     shared = cut.select("h", "sid", "id", "rid", "lo").join(found, ["h", "sid"]).select("rid", F.explode(F.transform("spans", ends)).alias("x")).select("rid", "x.s", "x.e")
-    again = cut.select("h", "sid", "id", "rid", "lo", F.length("part").alias("size")).join(lone, ["h", "sid"])
+    again = cut.select("h", "sid", "id", "rid", "lo", length("part").alias("size")).join(lone, ["h", "sid"])
     if params.keep == "first":
         again = again.where(~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.lo") == F.col("lo")) & (F.col("first.rid") == F.col("rid"))))
     again = again.select("rid", F.col("lo").alias("s"), (F.col("lo") + F.col("size")).alias("e"))
-    return gone.unionByName(shared).unionByName(again).groupBy("rid").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    spans = shared.unionByName(again)
+    return (spans if gone is None else gone.unionByName(spans)).groupBy("rid").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
@@ -386,14 +443,33 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", param
         f"id {id_type}, rid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:long,e:long>>")
 
 
+def word_bytes(text: str, spans: list[dict]) -> list[dict]:
+    """Spans of words as spans of bytes, from the first word's begin to the last word's end."""
+    places = [m.span() for m in re.finditer(r"\S+", text)]
+    out, char, byte = [], 0, 0
+    for s, e in merged_spans(spans):
+        edges = []
+        for at in (places[s][0], places[e - 1][1]):
+            byte += len(text[char:at].encode())
+            char = at
+            edges.append(byte)
+        out.append({"s": edges[0], "e": edges[1]})
+    return out
+
+
 def _cut_texts(at: int):
-    """The rest of every text as text: a span gives back what it holds of a character cut by its ends."""
+    """The rest of every text as text: a span gives back what it holds of a character cut by its ends.
+
+    The last two columns are spans of bytes and spans of words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, stays = [], []
-            for text, spans in zip(batch.column(at), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            for text, spans, of_words in zip(batch.column(at), *(batch.column(batch.num_columns - k).to_pylist() for k in (2, 1)), strict=True):
                 stays.append(True)
+                if of_words:
+                    spans = (spans or []) + word_bytes(text.as_py(), of_words)
                 if not spans:
                     texts.append(text.as_py())
                     continue
@@ -407,21 +483,30 @@ def _cut_texts(at: int):
                     done = e
                 texts.append(b"".join([*out, data[done:]]).decode())
                 stays[-1] = bool(texts[-1].strip())
-            columns = [*batch.columns[:-1]]
+            columns = [*batch.columns[:-2]]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(stays, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-2]).filter(pa.array(stays, pa.bool_()))
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats(keep="first")) -> DataFrame:
-    """docs in their own columns with repeated strings cut out of the text; a text of which nothing is left goes."""
-    spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans")
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats(keep="first"), by_words: Repeats | None = None
+) -> DataFrame:
+    """docs in their own columns with repeated strings cut out of the text; a text of which nothing is left goes.
+
+    by_words is a second rule, in words; what either rule finds is cut.
+    """
+    spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans").select(F.col("rid").alias("_rid"), F.col("spans").alias("_spans"))
+    if by_words is None:
+        spans = spans.withColumn("_words", F.lit(None).cast(spans.schema["_spans"].dataType))
+    else:
+        words = scratch(repeated_spans(docs, id_col, text_col, by_words), "word-spans").select(F.col("rid").alias("_rid"), F.col("spans").alias("_words"))
+        spans = spans.join(words, "_rid", "full")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = docs.withColumn("_rid", F.xxhash64(F.col(id_col), text)).join(spans.withColumnRenamed("rid", "_rid").withColumnRenamed("spans", "_spans"), "_rid", "left")
-    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
-    out = joined.mapInArrow(_cut_texts(docs.columns.index(text_col)), docs.schema)
-    return out
+    joined = docs.withColumn("_rid", F.xxhash64(F.col(id_col), text)).join(spans, "_rid", "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans", "_words")
+    return joined.mapInArrow(_cut_texts(docs.columns.index(text_col)), docs.schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -98,3 +99,22 @@ def test_remove_repeats_keeps_characters_whole(spark):
 
 def test_empty_table(spark):
     assert sd.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_passages_of_more_than_fifty_words_go_at_any_length_in_bytes(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 4))) for _ in range(n))
+    passages = {51: say(51), 62: say(62), 50: say(50)}
+    assert all(len(p) < 400 for p in passages.values())
+    wide = say(200).replace(" ", "")  # no white space
+    rows = [(1, say(30) + " " + " ".join(passages.values()) + " " + wide)]
+    rows += [(10 + n, f"{say(40)} begin\u00a0é {p.replace(' ', chr(10), 3)} end {say(40)}") for n, p in passages.items()]
+    rows += [(90, say(60) + " " + wide + " last"), (91, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = sd.Repeats(window=51, gram=8, keep="first", words=True)
+    for group in (2048, 0):
+        got = {r.doc_id: r.text for r in sd.remove_repeats(docs, by_words=replace(words, group=group)).collect()}
+        assert got[1] == rows[0][1] and got[60] == rows[3][1]  # the first place stays, and so do fifty words
+        for n, row in ((51, rows[1]), (62, rows[2])):
+            assert len(got[10 + n].split()) == len(row[1].split()) - n and got[10 + n].split()[:42] == row[1].split()[:42]
+        assert wide not in got[90] and 91 not in got
