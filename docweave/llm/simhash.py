@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.llm import similar
 from docweave.operators.components import connected_components
 from docweave.storage import scratch, table
 
@@ -204,12 +205,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SimHash = SimHash()) -> DataFrame:
-    """One row of each component, that of least id (then least hash), in the columns of docs."""
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: similar.Similar = similar.Similar()) -> DataFrame:
+    """One row of each group of near copies by five-word similarity, that of least id (then least hash), in the columns of docs."""
     keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    pairs = keyed.withColumn("_id", F.struct(F.col(id_col), F.col("_row"))).select("_id", text_col)
-    parts = near_duplicates(pairs, "_id", text_col, params)
-    chosen = parts.select(F.col("component_id._row").alias("_row")).distinct()
+    chosen = similar.chosen_rows(keyed, "_row", id_col, text_col, params).distinct()
     return keyed.join(chosen, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
 
 
