@@ -4,8 +4,8 @@ A text is UTF-8 bytes. A byte goes if a window of `window` bytes that covers it
 also starts elsewhere (keep="none"), or starts at an earlier place
 (keep="first"; places are ordered by id, then offset). Windows never cross
 documents and are judged on the input. With words=True all lengths count words
-(what white space parts) instead of bytes: a text is the row of its words'
-64-bit hashes, and everything below holds for these as for bytes.
+(what the six ASCII spaces part) instead of bytes: a text is the row of its
+words' 64-bit hashes, and everything below holds for these as for bytes.
 
 How it is split over a cluster:
 
@@ -13,23 +13,28 @@ How it is split over a cluster:
    bytes; a rule in words indexes them like any other text).
 2. Every window names an anchor: its least `gram`-byte hash, leftmost of ties.
    Equal windows have equal anchors at equal offsets, so consecutive windows of
-   one anchor form a run, and only runs whose anchor hash comes twice go on.
-3. Runs with one anchor hash are brought together as bytes, equal runs once. In
-   each group the suffixes at the window starts are put in suffix order, cut
-   at `window` bytes: first by the name of those bytes (names by repeated
-   doubling, Karp, Miller and Rosenberg 1972, with 64-bit mixing), ties by place.
-   There the previous smaller place with a common prefix of `window` bytes is
-   the neighbour before, and the next smaller one lies outside the tie, so the
-   longest-previous-factor reaches `window` exactly for all but the first of a
-   tie, and the longest-next-factor for all but the last.
-4. Runs of an anchor hash with very many different contexts are dealt anew by
-   the name of each window, and the first place of each name is a partial
-   aggregate, so no anchor has to fit one task.
-5. Spans go back to their documents, where their union is cut out.
-
-Nulls and odd rows: a null text is empty; rows are told apart by a 64-bit hash
-of id and text, so repeated rows are copies of each other, each with its own
-result row; a null id sorts first; an empty table gives an empty result.
+   one anchor form a run, and only runs whose anchor hash comes twice go on. No
+   two windows of one run are equal: their anchors would lie at different places.
+3. A run carries the joined 64-bit names of its first and last window, which
+   cover it. Where all runs of an anchor hash have one name (128 bits with the
+   anchor's), they are equal and each is a repeat whole; no bytes are moved.
+4. Of the others, equal runs once, the bytes are fetched and brought together by
+   anchor hash. In each group the suffixes at the window starts are sorted into
+   suffix order by their bytes, cut at `window` (ranks of 8, 24, 72 ... bytes by
+   repeated tripling, after Karp, Miller and Rosenberg 1972); neighbours' common
+   prefixes come from the same ranks; previous and next smaller places in suffix
+   order (by pointer jumping) give each suffix's longest previous factor. A
+   window goes if that reaches `window`.
+5. Runs of an anchor hash with very many different contexts are dealt anew by
+   the name of each window (128 bits with the anchor's), and the first place of
+   each name is a partial aggregate, so no anchor has to fit one task.
+6. Spans go back to their documents, where their union is cut out.
+
+Nulls and odd rows: a null text is empty; rows are told apart by a 128-bit hash
+of id and text, so repeated rows are copies of each other, each with its
+own result row; a null id sorts first; ties on an id go by that hash; a very long
+text is searched in pieces; columns of the user may have any name; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,9 +46,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from docweave.llm.naming import fresh
 from docweave.storage import scratch, table
 
 PLACE_BITS = 22
@@ -119,29 +126,111 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:count], ahead[width - 1 : width - 1 + count])
 
 
-def suffix_order(name: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes ordered by name, ties by place; and whether each shares its name with the one before."""
-    order = np.lexsort((place, name))
-    ordered = name[order]
-    same = np.zeros(len(order), bool)
-    same[1:] = ordered[1:] == ordered[:-1]
-    return order, same
+def _ranked(keys: np.ndarray) -> np.ndarray:
+    """The rank of every key among the distinct keys."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1]))) if len(keys) else 0
+    return out
 
 
-def repeated(name: np.ndarray, place: np.ndarray, keep: str) -> np.ndarray:
-    """Whether the factor at each place also starts before it (or, for keep="none", anywhere else)."""
-    order, before = suffix_order(name, place)
-    found = before.copy()
-    if keep == "none":
-        found[:-1] |= before[1:]
+def rank_levels(data: np.ndarray, window: int) -> list[tuple[int, np.ndarray]]:
+    """(width, rank of the string of that width at every place), narrow ones first, the last at least a third of the window."""
+    if data.dtype != np.uint64 and window >= 8:
+        width, keys = 8, np.ndarray((max(0, len(data) - 7),), ">u8", np.ascontiguousarray(data), 0, (1,)).astype(np.uint64)
+    else:
+        width, keys = 1, data.astype(np.uint64)
+    levels = [(width, _ranked(keys))]
+    fold = 3 if len(data) < 1 << 21 else 2  # three ranks of 21 bits, or two of 32, make a key
+    while fold * width <= window:
+        below = levels[-1][1]
+        width *= fold
+        levels.append((width, _ranked(_joined(below, [width // fold * i for i in range(fold)], len(data) - width + 1, fold))))
+    return levels
+
+
+def _joined(rank: np.ndarray, offsets: list[int], count: int, fold: int) -> np.ndarray:
+    """Ranks at some offsets side by side in one key, for the first `count` places."""
+    key = np.zeros(max(0, count), np.uint64)
+    for o in offsets:
+        key = key << np.uint64(21 if fold == 3 else 32) | rank[o : o + len(key)]
+    return key
+
+
+def suffix_array(data: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common): suffixes at `starts` in suffix order, cut at `window`; and the common prefix of each with the one before it in that order."""
+    if len(starts) == 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    levels = rank_levels(data, window)
+    width, rank = levels[-1]
+    offsets = sorted({*range(0, window - width, width), window - width})
+    fold = 3 if len(data) < 1 << 21 else 2
+    key = _joined(rank, offsets, len(data) - window + 1, fold)[starts]
+    order = np.argsort(key)
+    ordered = key[order]
+    common = np.full(len(order), window, np.int64)
+    common[0] = 0
+    differ = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+    a, b = starts[order[differ - 1]], starts[order[differ]]
+    length = np.zeros(len(differ), np.int64)
+    for width, rank in reversed(levels):
+        for _ in range(fold):  # what a wider string denies is less than that
+            at = np.flatnonzero(length + width <= window)
+            same = at[rank[a[at] + length[at]] == rank[b[at] + length[at]]]
+            if not len(same):
+                break
+            length[same] += width
+    if levels[0][0] > 1:
+        for _ in range(levels[0][0] - 1):
+            at = np.flatnonzero(length < window)
+            same = at[data[a[at] + length[at]] == data[b[at] + length[at]]]
+            # A stopped one stays stopped: its byte differs in every round.
+            if not len(same):
+                break
+            length[same] += 1
+    common[differ] = length
+    return order, common
+
+
+def smaller_before(place: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each in suffix order the nearest one before it with a smaller place (-1: none), and their common prefix."""
+    found = np.arange(len(place)) - 1
+    reach = common.copy()
+    open_ = np.arange(1, len(place))
+    while len(open_):
+        p = found[open_]
+        open_ = open_[(p >= 0) & (place[p] > place[open_])]
+        p = found[open_]
+        # All between an entry and its place so far are greater; so are those it jumps over.
+        found[open_], reach[open_] = found[p], np.minimum(reach[open_], reach[p])
+    reach[found < 0] = 0
+    return found, reach
+
+
+def longest_previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each in suffix order the longest prefix that also starts at a smaller place."""
+    _, before = smaller_before(place, common)
+    turned = np.concatenate(([0], common[:0:-1])) if len(common) else common
+    _, after = smaller_before(place[::-1], turned)
+    return np.maximum(before, after[::-1])
+
+
+def repeated(data: np.ndarray, starts: np.ndarray, window: int, keep: str) -> np.ndarray:
+    """Whether the factor of each window start also starts before it (or, for keep="none", anywhere else)."""
+    order, common = suffix_array(data, starts, window)
+    if keep == "first":
+        longest = longest_previous_factors(order, common)
+    else:
+        longest = np.maximum(common, np.append(common[1:], 0)) if len(common) else common
     out = np.zeros(len(order), bool)
-    out[order] = found
+    out[order] = longest >= window
     return out
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, gram: int):
-    """Runs of windows with one anchor: arrays of hash, document, first and last window, anchor place."""
-    nothing = (np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(4)))
+    """Runs of windows with one anchor: arrays of hash, name, document, first and last window."""
+    nothing = (*(np.empty(0, np.uint64) for _ in range(2)), *(np.empty(0, np.int64) for _ in range(3)))
     if len(data) < window:
         return nothing
     hashes = names(data, gram)
@@ -160,13 +249,14 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int,
     held = inside[first]
     first, last = first[held], last[held]
     doc = np.searchsorted(starts, first, "right") - 1
-    return hashes[at[first]], doc, first, last, at[first]
+    whole = names(data, window)
+    return hashes[at[first]], _mix(whole[first], whole[last] ^ (last - first).astype(np.uint64)), doc, first, last
 
 
 class Codes(dict):
     """Word -> its hash as 8 bytes."""
 
-    def __missing__(self, word: str | bytes) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
         if len(self) > 50_000:
@@ -180,7 +270,7 @@ def _coder(params: Repeats):
     if not params.words:
         return lambda data: data.as_buffer()
     codes = Codes()
-    return lambda data: b"".join([codes[w] for w in data.as_py().decode().split()])
+    return lambda data: b"".join([codes[w] for w in data.as_py().split()])  # bytes part at the six ASCII spaces
 
 
 def _blocks(column: pa.Array, params: Repeats) -> Iterator[tuple[int, int, np.ndarray, int]]:
@@ -204,55 +294,50 @@ def _find_anchors(params: Repeats):
         if params.words:
             batches = (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500))
         for batch in batches:
-            rids = batch.column(0).to_numpy(zero_copy_only=False)
-            column = pa.array([coded(t) for t in batch.column(1)], pa.binary()) if params.words else batch.column(1)
+            text = batch.column(2)
+            column = pa.array([coded(t) for t in text], pa.binary()) if params.words else text
             for row, past, data, offsets in _blocks(column, params):
                 pieces = [(0, data, offsets)]
                 if past == row + 1 and len(data) > 2 * block:
                     pieces = [(at, d := data[at : at + block + over], np.array([0, len(d)])) for at in range(0, max(1, len(data) - over), block)]
                 for shift, piece, places in pieces:
-                    hashes, doc, first, last, at = anchors(piece, places[:-1], places[1:], params.window, params.gram)
-                    base = places[doc] - shift
+                    hashes, name, doc, first, last = anchors(piece, places[:-1], places[1:], params.window, params.gram)
+                    base, of = places[doc] - shift, pa.array(row + doc)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(hashes.view(np.int64)), pa.array(rids[row + doc]),
-                        pa.array((first - base).astype(np.int64)), pa.array((last - first + 1).astype(np.int32)), pa.array((at - first).astype(np.int32)),
-                    ], ["h", "rid", "lo", "n", "at"])
+                        pa.array(hashes.view(np.int64)), pa.array(name.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of),
+                        pa.array((first - base).astype(np.int64)), pa.array((last - first + 1).astype(np.int32)),
+                    ], ["h", "w", "id", "rid", "lo", "n"])
 
     return run
 
 
-def _cut_runs(params: Repeats):
-    """Bytes of each candidate run of each document."""
+def _cut_runs(params: Repeats, id_type: pa.DataType):
+    """Bytes of each wanted run of each document."""
     window, unit = params.window, params.unit
+    place = pa.struct([("id", id_type), ("rid", pa.binary()), ("lo", pa.int64())])
+    shape = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("place", place), ("hot", pa.bool_()), ("part", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         coded = _coder(params)
         for batch in batches:
-            kind = batch.schema.field("id").type
-            out: list[tuple] = []
+            out: list[dict] = []
             size = 0
-            for id_, rid, data, runs in zip(batch.column("id"), batch.column("rid").to_pylist(), batch.column("data"), batch.column("runs"), strict=True):
+            for data, runs in zip(batch.column("data"), batch.column("runs"), strict=True):
                 view = memoryview(coded(data))
                 for r in runs.as_py():
-                    part = bytes(view[unit * r["lo"] : unit * (r["lo"] + r["n"] - 1 + window)])
-                    out.append((r["h"], xxhash.xxh3_128_digest(part), id_.as_py(), rid, r["lo"], r["at"], part))
-                    size += len(part)
-                if size > 8 * BLOCK:
-                    yield _run_rows(out, kind)
-                    out, size = [], 0
+                    lo = r["place"]["lo"]
+                    r["part"] = bytes(view[unit * lo : unit * (lo + r.pop("n") - 1 + window)])
+                    out.append(r)
+                    size += len(r["part"])
+                    if size > 8 * BLOCK:
+                        yield pa.RecordBatch.from_pylist(out, shape)
+                        out, size = [], 0
             if out:
-                yield _run_rows(out, kind)
+                yield pa.RecordBatch.from_pylist(out, shape)
 
     return run
 
 
-def _run_rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    types = [pa.int64(), pa.binary(), kind, pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["h", "sid", "id", "rid", "lo", "at", "part"])
-
-
 def _ranges(flags: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int]]]:
     """For each stretch of flags between bounds, its runs of true flags as (first, past the last)."""
     out = []
@@ -277,25 +362,27 @@ def _rank_groups(params: Repeats):
         begin = np.concatenate(([0], np.cumsum(lengths)))[:-1]
         bounds = np.concatenate(([0], np.cumsum(sizes)))
         windows = np.repeat(begin - bounds[:-1], sizes) + np.arange(bounds[-1])
-        flags = repeated(names(data, window)[windows], windows, keep)
+        flags = repeated(data, windows, window, keep)
         spans = _ranges(flags, bounds)
         held = [i for i, s in enumerate(spans) if s]
         kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
         return pa.RecordBatch.from_arrays([
-            pa.array([keys[i][0] for i in held], pa.int64()), pa.array([keys[i][1] for i in held], pa.binary()),
+            pa.array([keys[i][0] for i in held], pa.int64()), pa.array([keys[i][1] for i in held], pa.int64()),
             pa.array([[{"s": a, "e": b} for a, b in spans[i]] for i in held], kind),
-        ], ["h", "sid", "spans"])
+        ], ["h", "w", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[tuple] = []
         parts: list[bytes] = []
         size = 0
         for batch in batches:
-            for h, sid, part in zip(batch.column("h").to_pylist(), batch.column("sid").to_pylist(), batch.column("part"), strict=True):
+            for h, w, part in zip(batch.column("h").to_pylist(), batch.column("w").to_pylist(), batch.column("part"), strict=True):
+                if keys and keys[-1] == (h, w):
+                    continue  # a repeated row
                 if size > BLOCK and keys[-1][0] != h:
                     yield rank(keys, parts)
                     keys, parts, size = [], [], 0
-                keys.append((h, sid))
+                keys.append((h, w))
                 parts.append(part.as_py())
                 size += len(parts[-1])
         if keys:
@@ -313,8 +400,8 @@ def _single_windows(params: Repeats):
             bounds = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             values = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("sid"), batch.column("place"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
-                ["h", "sid", "place", "names"])
+                [batch.column("h"), batch.column("w"), batch.column("place"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
+                ["h", "w", "place", "names"])
 
     return run
 
@@ -356,9 +443,14 @@ def _cut_out():
     return run
 
 
+def row_key(id_: Column, text: Column) -> Column:
+    """128 bits that tell a row's id and text: two chained 64-bit hashes, one from either end."""
+    return F.concat(*[F.unhex(F.lpad(F.hex(h), 16, "0")) for h in (F.xxhash64(id_, text), F.xxhash64(text, id_))])
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("rid"), text.cast("binary").alias("data"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col(f"`{id_col}`").alias("id"), row_key(F.col(f"`{id_col}`"), text).alias("rid"), text.alias("data"))
 
 
 def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
@@ -375,12 +467,16 @@ def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
     return gone, later
 
 
+#: Tasks over which the runs of one crowded anchor are spread.
+SPREAD = 32
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
     """(rid, spans): the spans of bytes (or words) to remove from each document that has any; they may overlap."""
-    length = lambda c: F.expr(f"length({c}) div {params.unit}").cast("int")
     least = 2 * params.window - 1 if params.words else params.window
     rows = _keyed(docs, id_col, text_col).where(F.length("data") >= least)
-    id_type = rows.schema["id"].dataType.simpleString()
+    id_type = rows.schema["id"].dataType
+    kind = id_type.simpleString()
 
     # 1. Copies: all but the first row of each text stay out of the index. (Not by words, where a copy may be shorter than the window.)
     gone, later = None, None
@@ -388,48 +484,54 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         gone, later = _copies(rows, params)
 
     # 2. Anchors, and the runs whose anchor hash comes more than once.
-    runs = rows.select("rid", "data").mapInArrow(_find_anchors(params), "h long, rid long, lo long, n int, at int")
+    runs = rows.mapInArrow(_find_anchors(params), f"h long, w long, id {kind}, rid binary, lo long, n int")
     runs = scratch(runs if later is None else runs.join(later, "rid", "left_anti"), "anchors")
     # Written, so that both sides of the join are dealt for it and a crowded hash can be split between tasks.
-    twice = scratch(runs.groupBy("h").count().where("count > 1").select("h"), "anchors-twice")
-    wanted = runs.join(twice, "h").groupBy("rid").agg(F.collect_set(F.struct("h", "lo", "n", "at")).alias("runs"))
+    twice = runs.groupBy("h").agg(F.count("*").alias("runs"), F.min("w").alias("a"), F.max("w").alias("z")).where("runs > 1")
+    hits = scratch(runs.join(scratch(twice.select("h", (F.col("a") == F.col("z")).alias("equal")), "anchors-twice"), "h"), "hits")
+    place = F.struct("id", "rid", "lo")
+    whole = [F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + params.window).alias("e")]
 
-    # 3. Their bytes, equal runs once.
-    cut = rows.join(wanted, "rid").mapInArrow(
-        _cut_runs(params), f"h long, sid binary, id {id_type}, rid long, lo long, at int, part binary")
+    # 3. Anchors with one run only, over and over.
+    equal = hits.where("equal")
+    if params.keep == "first":
+        firsts = scratch(equal.groupBy("h").agg(F.min(place).alias("first")), "first-runs")
+        equal = equal.join(firsts, "h").where(~F.col("first").eqNullSafe(place))
+    spans = equal.select("rid", *whole)
+
+    # 4. The bytes of different runs of one anchor, equal runs once; anchors with very many go their own way.
+    mixed = hits.where("NOT equal")
+    distinct = scratch(mixed.groupBy("h", "w").agg(F.min(place).alias("place"), F.count("*").alias("times"), F.first("n").alias("n")), "distinct-runs")
+    crowded = distinct.groupBy("h").agg(F.count("*").alias("different")).where(F.col("different") > params.group)
+    crowded = crowded.select("h", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"), F.lit(True).alias("hot"))
+    marked = distinct.withColumn("salt", F.pmod(F.col("w"), F.lit(SPREAD)).cast("int")).join(crowded, ["h", "salt"], "left")
+    wanted = marked.select(F.col("place.rid").alias("rid"), F.struct("h", "w", "place", F.coalesce("hot", F.lit(False)).alias("hot"), "n").alias("run"))
+    wanted = wanted.groupBy("rid").agg(F.collect_set("run").alias("runs"))
+    cut = rows.join(wanted, "rid").select("data", "runs").mapInArrow(
+        _cut_runs(params, to_arrow_type(id_type)), f"h long, w long, place struct<id:{kind},rid:binary,lo:long>, hot boolean, part binary")
     cut = scratch(cut, "runs")
-    place = F.min(F.struct("id", "rid", "lo")).alias("place")
-    distinct = cut.groupBy("h", "sid").agg(place, F.count("*").alias("times"), F.first("part").alias("part"), F.first("at").alias("at"))
-    distinct = scratch(distinct, "distinct-runs")
-    sizes = distinct.groupBy("h").agg(F.count("*").alias("different"))
-    crowded = sizes.where(F.col("different") > params.group).select("h")
-    common = distinct.join(sizes.where(F.col("different").between(2, params.group)).select("h"), "h", "left_semi")
-    if params.keep == "first":  # a lone run, taken whole otherwise, may repeat inside itself (periodic text)
-        common = common.unionByName(distinct.join(sizes.where("different = 1").select("h"), "h", "left_semi"))
-    ranked = common.select("h", "sid", "place", "part").repartition("h").sortWithinPartitions("h", "place").select(
-        "h", "sid", "part").mapInArrow(_rank_groups(params), "h long, sid binary, spans array<struct<s:int,e:int>>")
-
-    # 4. Crowded anchors: first place and count of every window name.
-    names_of = distinct.join(crowded, "h", "left_semi").select("h", "sid", "place", "part").mapInArrow(
-        _single_windows(params), f"h long, sid binary, place struct<id:{id_type},rid:long,lo:long>, names array<long>")
-    single = names_of.select("h", "sid", "place", F.posexplode("names").alias("k", "name"))
-    whole = F.struct(F.col("place.id"), F.col("place.rid"), (F.col("place.lo") + F.col("k")).alias("lo"), "sid", "k")
-    firsts = single.groupBy("name").agg(F.min(whole).alias("first"), F.count("*").alias("times")).where("times > 1")
-    hit = single.join(firsts, "name")
+    ranked = cut.where("NOT hot").repartition("h").sortWithinPartitions("h", "place").select(
+        "h", "w", "part").mapInArrow(_rank_groups(params), "h long, w long, spans array<struct<s:int,e:int>>")
+
+    # 5. Crowded anchors: first place and count of every window name.
+    single = cut.where("hot").select("h", "w", "place", "part").dropDuplicates(["h", "w"]).mapInArrow(
+        _single_windows(params), f"h long, w long, place struct<id:{kind},rid:binary,lo:long>, names array<long>")
+    single = single.select("h", "w", "place", F.posexplode("names").alias("k", "name"))
+    start = F.struct(F.col("place.id"), F.col("place.rid"), (F.col("place.lo") + F.col("k")).alias("lo"), "w", "k")
+    firsts = single.groupBy("h", "name").agg(F.min(start).alias("first"), F.count("*").alias("times")).where("times > 1")
+    hit = single.join(firsts, ["h", "name"])
     if params.keep == "first":
-        hit = hit.where((F.col("first.sid") != F.col("sid")) | (F.col("first.k") != F.col("k")))
-    crowd = hit.groupBy("h", "sid").agg(F.collect_set(F.struct(F.col("k").alias("s"), (F.col("k") + 1).alias("e"))).alias("spans"))
-
-    # 5. Spans of runs become spans of documents.
-    found = ranked.unionByName(crowd)
-    lone = distinct.where("times > 1").select("h", "sid", "times", F.col("place").alias("first"))
-    ends = lambda s: F.struct((F.col("lo") + s["s"]).alias("s"), (F.col("lo") + s["e"] - 1 + params.window).alias("e"))
-    shared = cut.select("h", "sid", "id", "rid", "lo").join(found, ["h", "sid"]).select("rid", F.explode(F.transform("spans", ends)).alias("x")).select("rid", "x.s", "x.e")
-    again = cut.select("h", "sid", "id", "rid", "lo", length("part").alias("size")).join(lone, ["h", "sid"])
+        hit = hit.where((F.col("first.w") != F.col("w")) | (F.col("first.k") != F.col("k")))
+    crowd = hit.groupBy("h", "w").agg(F.collect_set(F.struct(F.col("k").alias("s"), (F.col("k") + 1).alias("e"))).alias("spans"))
+
+    # 6. Spans of runs become spans of documents. A run that comes twice is a repeat whole, except for its first place.
+    found = distinct.select("h", "w", "times", F.col("place").alias("first")).join(ranked.unionByName(crowd), ["h", "w"], "left").where("times > 1 OR spans IS NOT NULL")
+    again = F.col("times") > 1
     if params.keep == "first":
-        again = again.where(~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.lo") == F.col("lo")) & (F.col("first.rid") == F.col("rid"))))
-    again = again.select("rid", F.col("lo").alias("s"), (F.col("lo") + F.col("size")).alias("e"))
-    spans = shared.unionByName(again)
+        again = again & ~F.col("first").eqNullSafe(place)
+    own = F.transform("spans", lambda s: F.struct((F.col("lo") + s["s"]).alias("s"), (F.col("lo") + s["e"] - 1 + params.window).alias("e")))
+    placed = mixed.join(found, ["h", "w"]).select("rid", F.explode(F.when(again, F.array(F.struct(*whole))).otherwise(own)).alias("x"))
+    spans = spans.unionByName(placed.select("rid", "x.s", "x.e"))
     return (spans if gone is None else gone.unionByName(spans)).groupBy("rid").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
@@ -440,21 +542,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", param
     spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans")
     return rows.join(spans, "rid", "left").mapInArrow(
         _cut_out(),
-        f"id {id_type}, rid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:long,e:long>>")
+        f"id {id_type}, rid binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:long,e:long>>")
+
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-def word_bytes(text: str, spans: list[dict]) -> list[dict]:
+
+def word_bytes(data: bytes, spans: list[dict]) -> list[dict]:
     """Spans of words as spans of bytes, from the first word's begin to the last word's end."""
-    places = [m.span() for m in re.finditer(r"\S+", text)]
-    out, char, byte = [], 0, 0
-    for s, e in merged_spans(spans):
-        edges = []
-        for at in (places[s][0], places[e - 1][1]):
-            byte += len(text[char:at].encode())
-            char = at
-            edges.append(byte)
-        out.append({"s": edges[0], "e": edges[1]})
-    return out
+    places = [m.span() for m in WORD.finditer(data)]
+    return [{"s": places[s][0], "e": places[e - 1][1]} for s, e in merged_spans(spans)]
 
 
 def _cut_texts(at: int):
@@ -469,7 +566,7 @@ def _cut_texts(at: int):
             for text, spans, of_words in zip(batch.column(at), *(batch.column(batch.num_columns - k).to_pylist() for k in (2, 1)), strict=True):
                 stays.append(True)
                 if of_words:
-                    spans = (spans or []) + word_bytes(text.as_py(), of_words)
+                    spans = (spans or []) + word_bytes(text.as_py().encode(), of_words)
                 if not spans:
                     texts.append(text.as_py())
                     continue
@@ -497,15 +594,16 @@ def remove_repeats(
 
     by_words is a second rule, in words; what either rule finds is cut.
     """
-    spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans").select(F.col("rid").alias("_rid"), F.col("spans").alias("_spans"))
+    rid, of_bytes, of_words = fresh(docs.columns, "rid", "spans", "word_spans")
+    spans = scratch(repeated_spans(docs, id_col, text_col, params), "spans").select(F.col("rid").alias(rid), F.col("spans").alias(of_bytes))
     if by_words is None:
-        spans = spans.withColumn("_words", F.lit(None).cast(spans.schema["_spans"].dataType))
+        spans = spans.withColumn(of_words, F.lit(None).cast(spans.schema[of_bytes].dataType))
     else:
-        words = scratch(repeated_spans(docs, id_col, text_col, by_words), "word-spans").select(F.col("rid").alias("_rid"), F.col("spans").alias("_words"))
-        spans = spans.join(words, "_rid", "full")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = docs.withColumn("_rid", F.xxhash64(F.col(id_col), text)).join(spans, "_rid", "left")
-    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans", "_words")
+        words = scratch(repeated_spans(docs, id_col, text_col, by_words), "word-spans").select(F.col("rid").alias(rid), F.col("spans").alias(of_words))
+        spans = spans.join(words, rid, "full")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    joined = docs.withColumn(rid, row_key(F.col(f"`{id_col}`"), text)).join(spans, rid, "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], of_bytes, of_words)
     return joined.mapInArrow(_cut_texts(docs.columns.index(text_col)), docs.schema)
 
 

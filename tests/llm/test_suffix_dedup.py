@@ -72,7 +72,7 @@ def test_long_texts_are_searched_in_pieces(spark, monkeypatch):
     texts = [say(900) + part + say(700), part[50:] + say(40), say(64), say(30) + part]
     found = []
     for keep in (True, False):
-        batch = sd.pa.RecordBatch.from_arrays([sd.pa.array([1, 2, 3, 4]), sd.pa.array([t.encode() for t in texts])], ["rid", "data"])
+        batch = sd.pa.RecordBatch.from_arrays([sd.pa.array([0] * 4), sd.pa.array([1, 2, 3, 4]), sd.pa.array([t.encode() for t in texts])], ["id", "rid", "data"])
         if not keep:
             monkeypatch.setattr(sd, "BLOCK", 1 << 20)
         runs = [r for b in sd._find_anchors(sd.Repeats(window=40, gram=16))([batch]) for r in b.to_pylist()]
@@ -89,6 +89,33 @@ def test_names_tell_strings_apart():
         assert len(set(n.tolist())) == len(set(raw)) and len({(a, b) for a, b in zip(n.tolist(), raw, strict=True)}) == len(set(raw))
 
 
+@pytest.mark.parametrize("words, window, letters", [(False, 40, b"ab"), (False, 400, b"ab"), (False, 16, b"a"), (False, 5, b"ab"), (True, 7, b"abc"), (True, 51, b"ab")])
+def test_suffix_arrays_and_factors_equal_brute_force(words, window, letters):
+    rng = random.Random(window)
+    part = bytes(rng.choices(letters, k=window + 30))
+    raw = b"".join(bytes(rng.choices(letters, k=rng.randint(0, 40))) + part[rng.randint(0, 20) :] for _ in range(6))
+    data = np.frombuffer(raw, np.uint8)
+    if words:
+        data = data.astype(np.uint64) * np.uint64(1 << 50)
+    starts = np.array(sorted(rng.sample(range(len(raw) - window + 1), min(150, len(raw) - window))))
+    order, common = sd.suffix_array(data, starts, window)
+    cut = [raw[i : i + window] for i in starts.tolist()]
+    assert [cut[i] for i in order.tolist()] == sorted(cut)
+    prefix = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), window)
+    assert common.tolist() == [0] + [prefix(cut[a], cut[b]) for a, b in zip(order[:-1].tolist(), order[1:].tolist(), strict=True)]
+    factors = sd.longest_previous_factors(order, common)
+    assert factors.tolist() == [max((prefix(cut[i], cut[j]) for j in range(i)), default=0) for i in order.tolist()]
+    for keep, others in (("first", lambda i: cut[:i]), ("none", lambda i: cut[:i] + cut[i + 1 :])):
+        assert sd.repeated(data, starts, window, keep).tolist() == [c in others(i) for i, c in enumerate(cut)]
+
+
+def test_columns_of_any_name(spark):
+    text = "some text that comes again and again and again"
+    docs = spark.createDataFrame([(1, text, 1, 2, 3), (2, text, 4, 5, 6)], "doc_id long, text string, rid int, spans int, word_spans int")
+    got = sd.remove_repeats(docs, params=sd.Repeats(window=40, gram=16, keep="first"), by_words=sd.Repeats(window=5, gram=2, keep="first", words=True))
+    assert got.columns == docs.columns and [tuple(r)[2:] for r in got.collect()] == [(1, 2, 3)]
+
+
 def test_remove_repeats_keeps_characters_whole(spark):
     a, b = "é" * 40 + "tail of a", "xé" + "é" * 40 + " other"
     docs = spark.createDataFrame([(1, a, 5), (2, b, 6), (3, a, 7), (4, None, 8), (5, "", 9)], "doc_id long, text string, n int")
