@@ -2,9 +2,13 @@
 
 Documents are put in ascending id order by a range partitioning; each task
 tokenizes its range and closes a shard every `shard_ids` ids. In a shard, the
-most frequent pairs of neighbouring symbols are replaced by new symbols, round
-after round, until no pair comes `least` times (or `rounds` are over). Pairs
-never span documents.
+most frequent pairs of neighbouring symbols are replaced by new symbols until no
+pair comes `least` times, which is twice: nothing else ends it. Pairs never span
+documents. Classical Re-Pair (Larsson and Moffat 1999) replaces one pair at a
+time; here all pairs that come at least `floor` times go in one round, the more
+frequent first where places overlap, and the floor halves whenever no pair
+reaches it. So pairs still go in the order of their frequency, to within a
+factor of two, and there are few rounds.
 
 One shard is one binary value in this layout (little-endian, unsigned 32-bit
 unless said): magic b"RPR1"; number of terminals (first symbol that is a rule);
@@ -17,7 +21,8 @@ A document's symbols are found by summing symbol counts, and a token range
 inside it by summing expansion lengths, without decoding what lies before.
 
 Nulls and odd rows: a null text is empty and has the end id only; null ids come
-first; repeated ids stay next to each other, ordered by text; an empty table
+first; repeated ids stay next to each other, ordered by a hash of the text and
+then the text, and very many of them are split between tasks; an empty table
 gives no shard and an empty result.
 """
 
@@ -40,38 +45,58 @@ MAGIC = b"RPR1"
 
 @dataclass(frozen=True)
 class Grammar:
-    """least: times a pair must come; bits: of the hashed first count of pairs; at_once: pairs replaced in a round."""
+    """shard_ids: ids of a shard; least: times a pair must come to be replaced."""
 
     shard_ids: int = 1 << 20
-    least: int = 128
-    rounds: int = 4
-    bits: int = 17
-    at_once: int = 20_000
+    least: int = 2
     vocabulary: str | None = None
     end_id: int = 1
 
 
-def _frequent(symbols: np.ndarray, free: np.ndarray, params: Grammar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, pair number at each, pairs by number) of pairs that come often; a hashed count leaves out most others unsorted."""
+def _countable(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a pair begins at each place but the last: not at a document's end, and in a run of one symbol at every other place only."""
+    free = ~last[:-1]
+    twin = (symbols[:-1] == symbols[1:]) & free
+    at = np.flatnonzero(twin)
+    if len(at):
+        step = np.arange(len(at))
+        begins = np.concatenate(([True], at[1:] != at[:-1] + 1))
+        free[at[(step - np.maximum.accumulate(np.where(begins, step, 0))) % 2 == 1]] = False
+    return free
+
+
+def _frequent(symbols: np.ndarray, free: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(places, pair number at each, pairs by number, the greatest count) of pairs that come at least floor times.
+
+    A hashed count leaves out most others unsorted; where it shows that none
+    reaches the floor, the greatest hashed count stands for the greatest count.
+    """
+    none = np.empty(0, np.int64)
     left, right = symbols[:-1], symbols[1:]
-    bucket = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - params.bits)
-    many = np.bincount(bucket[free], minlength=1 << params.bits) >= params.least
-    at = np.flatnonzero(many[bucket] & free)
+    at = np.flatnonzero(free)
+    if floor > 4:
+        bits = min(20, max(8, int(len(symbols)).bit_length() + 2))
+        bucket = ((left[at] * np.uint32(0x9E3779B1)) ^ (right[at] * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
+        counts = np.bincount(bucket, minlength=1 << bits)
+        many = counts >= floor
+        if not many.any():
+            return none, none, none, int(counts.max())
+        at = at[many[bucket]]
+    if not len(at):
+        return none, none, none, 0
     pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
     order = np.argsort(pairs)
     ordered = pairs[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.empty(0, np.int64)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(first, len(ordered)))
-    often = np.flatnonzero(counts >= params.least)
-    if len(often) > params.at_once:
-        often = often[np.lexsort((ordered[first[often]], -counts[often]))[: params.at_once]]
+    often = np.flatnonzero(counts >= floor)
     rank = often[np.lexsort((ordered[first[often]], -counts[often]))]  # most frequent first, ties by pair
     number = np.full(len(first), -1, np.int64)
     number[rank] = np.arange(len(rank))
     of = np.empty(len(at), np.int64)
     of[order] = np.repeat(number, counts)
     held = of >= 0
-    return at[held], of[held], ordered[first[rank]]
+    return at[held], of[held], ordered[first[rank]], int(counts.max())
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) -> bytes:
@@ -82,36 +107,40 @@ def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) ->
     last = np.zeros(len(symbols), bool)
     last[ends[sizes > 0] - 1] = True
     rules: list[np.ndarray] = []
-    total = 0
-    for _ in range(params.rounds):
-        if len(symbols) < 2:
-            break
-        at, of, pairs = _frequent(symbols, ~last[:-1], params)
+    total, floor = 0, max(params.least, len(symbols))
+    open_: np.ndarray | None = None
+    while len(symbols) > 1:
+        free = _countable(symbols, last)
+        if open_ is not None:  # at the last floor only a pair that came twice before, or holds a new symbol, can come twice now
+            free &= open_[:-1] | (symbols[:-1] == symbols[1:])
+        at, of, pairs, most = _frequent(symbols, free, floor)
         if not len(pairs):
-            break
-        # In a run of one symbol every other place counts.
-        step = np.arange(len(at))
-        again = np.zeros(len(at), bool)
-        again[1:] = (at[1:] == at[:-1] + 1) & (of[1:] == of[:-1])
-        even = (step - np.maximum.accumulate(np.where(again, 0, step))) % 2 == 0
-        at, of = at[even], of[even]
-        # Of overlapping places the more frequent pair wins, the left one of equals.
+            if floor == params.least:
+                break
+            floor = max(params.least, min(floor - 1, most) // 2)
+            continue
+        # Of overlapping places the more frequent pair wins. One pair's places don't overlap, so the most frequent keeps all of its.
         best = np.full(len(symbols) + 1, len(pairs), np.int64)
         best[at + 1] = of
-        take = at[(of < best[at]) & (np.append(best, len(pairs))[at + 2] >= of)]
+        take = at[(of < best[at]) & (best[at + 2] >= of)]
         number = best[take + 1]
-        # Rules that lost all their places are left out again.
+        # Rules that lost all their places, or all but one, are left out.
         used = np.flatnonzero(np.bincount(number, minlength=len(pairs)) > 1)
         new = np.full(len(pairs), -1, np.int64)
         new[used] = np.arange(len(used))
         kept = new[number] >= 0
         take, number = take[kept], new[number[kept]]
-        if not len(take):
-            break
         symbols[take] = (terminals + total + number).astype(np.uint32)
         last[take] |= last[take + 1]
         stay = np.ones(len(symbols), bool)
         stay[take + 1] = False
+        if floor == params.least:
+            open_ = np.zeros(len(symbols), bool)
+            open_[at] = open_[take] = True
+            open_[np.maximum(take - 1, 0)] = True
+            open_ = open_[stay]
+        elif len(take) < len(symbols) >> 6:
+            floor = max(params.least, floor // 2)
         symbols, last = symbols[stay], last[stay]
         rules.append(np.stack([(pairs[used] >> np.uint64(32)).astype(np.uint32), pairs[used].astype(np.uint32)], axis=1))
         total += len(used)
@@ -227,7 +256,7 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = rows.schema["id"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    ordered = rows.withColumn("turn", F.xxhash64("text")).repartitionByRange("id", "turn").sortWithinPartitions("id", "turn", "text").select("id", "text")
     return scratch(ordered.mapInArrow(_write(params, to_arrow_type(rows.schema["id"].dataType)), f"part int, seq int, within long, n_ids long, ids array<{kind}>, blob binary"), "repair")
 
 
