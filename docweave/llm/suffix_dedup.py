@@ -54,7 +54,9 @@ from docweave.llm.naming import fresh
 from docweave.storage import scratch, table
 
 PLACE_BITS = 22
-BLOCK = 1 << 20
+#: Bytes looked at together in the search for anchors, and in the ranking of groups.
+BLOCK = 1 << 19
+RANKED = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -65,7 +67,7 @@ class Repeats:
     gram: int = 64
     keep: str = "none"
     #: Different runs of one anchor hash beyond which its windows are dealt singly; exact either way.
-    group: int = 2048
+    group: int = 1024
     words: bool = False
 
     @property
@@ -130,8 +132,8 @@ def _ranked(keys: np.ndarray) -> np.ndarray:
     """The rank of every key among the distinct keys."""
     order = np.argsort(keys)
     ordered = keys[order]
-    out = np.empty(len(keys), np.uint64)
-    out[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1]))) if len(keys) else 0
+    out = np.empty(len(keys), np.uint32)
+    out[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1])), dtype=np.uint32) if len(keys) else 0
     return out
 
 
@@ -379,7 +381,7 @@ def _rank_groups(params: Repeats):
             for h, w, part in zip(batch.column("h").to_pylist(), batch.column("w").to_pylist(), batch.column("part"), strict=True):
                 if keys and keys[-1] == (h, w):
                     continue  # a repeated row
-                if size > BLOCK and keys[-1][0] != h:
+                if size > RANKED and keys[-1][0] != h:
                     yield rank(keys, parts)
                     keys, parts, size = [], [], 0
                 keys.append((h, w))
