@@ -1,23 +1,33 @@
-"""Grouping genetic algorithm: best-fit packing of documents into sequences.
+"""Grouping genetic algorithm: packing of documents into sequences.
 
 A document's ids (with the end id) are cut into pieces of `capacity` tokens
 only if there are more; full pieces are sequences of their own. All other
-pieces are dealt by hash into blocks of about `block` pieces; what a block
-can't fill is at most part of one sequence.
+pieces are dealt by hash into blocks of about `block` pieces.
 
 A block is packed by several islands, each with its own seed and population.
-A chromosome is a list of sequences (groups of pieces). Crossover injects the
-well-filled sequences of one parent into the other, removes the sequences that
-hold a piece a second time, and puts the displaced pieces back best-fit, longest
-first; mutation empties the least-filled sequences in the same way. After each
-epoch every island sends its elite to the next one (a join in the cluster,
-not the driver), and at the end the best island of a block gives its packing.
-Fewer sequences are better, then fuller ones; an island stops early once it
-meets the lower bound ceil(tokens / capacity).
+A chromosome is a list of sequences (groups of pieces). The population begins
+with best-fit decreasing and packings of it whose sequences were emptied in
+part, always in full number. Crossover injects the well-filled sequences of one
+parent into the other, removes the sequences that hold a piece a second time,
+and gives the displaced pieces back: first one or two of them take the place of
+a piece in a sequence that gets fuller by it (Falkenauer 1996, after Martello
+and Toth), then all that is loose goes best-fit, longest first; mutation empties
+the least-filled sequences in the same way. After each epoch every island sends
+its elite to the next one (a join in the cluster, not the driver), and at the
+end the best island of a block gives its packing. Fewer sequences are better,
+then those whose squared fillings sum to more: so what room is left gathers in
+few sequences. An island stops early only where nothing can be better: the
+lower bound ceil(tokens / capacity) is met and one sequence holds all the room.
+
+The sequences of a block that still have room, usually one, are opened again:
+they are dealt in whole to fewer blocks and packed anew, level by level, until
+one block is left. A level begins with the sequences as they were too, so it
+never needs more of them.
 
 Nulls and odd rows: a null or empty text is one piece with the end id; repeated
-rows are packed each on their own; null ids are kept; an empty table gives an
-empty result.
+rows are packed each on their own; null ids are kept; ties on a length go by
+serial number; a very long text is cut and its pieces are packed like any; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,8 +56,8 @@ class Packing:
     block: int = 4096
     islands: int = 3
     epochs: int = 2
-    population: int = 4
-    offspring: int = 6
+    population: int = 6
+    offspring: int = 12
     well_filled: float = 0.995
     seed: int = 11
     vocabulary: str | None = None
@@ -134,6 +144,48 @@ class Bins:
         fill = sum(((self.capacity - r) / self.capacity) ** 2 for r in self.room.values())
         return len(self.groups), -round(fill, 9)
 
+    def exchange(self, loose: list[int]) -> list[int]:
+        """One or two loose pieces take the place of a piece where the sequence gets fuller by it; what is loose then.
+
+        Sequences with least room come first, so that they fill up.
+        """
+        sizes = self.sizes
+        free = sorted((sizes[i], i) for i in loose)
+        for room, b in list(self.order):
+            if room == 0 or not free:
+                continue
+            group = self.groups[b]
+            best: tuple[int, int, list[int]] | None = None  # gain, position in the group, positions in free
+            for at, i in enumerate(group):
+                size = sizes[i]
+                k = bisect_left(free, (size + room + 1, -1)) - 1
+                if k >= 0 and free[k][0] > size and (best is None or free[k][0] - size > best[0]):
+                    best = (free[k][0] - size, at, [k])
+                x, y = 0, bisect_left(free, (size + room, -1)) - 1
+                while x < y:
+                    both = free[x][0] + free[y][0] - size
+                    if both > room:
+                        y -= 1
+                        continue
+                    if both > 0 and (best is None or both > best[0]):
+                        best = (both, at, [x, y])
+                    x += 1
+                if best is not None and best[0] == room:
+                    break
+            if best is None:
+                continue
+            gain, at, ks = best
+            out = group[at]
+            new = [free[k][1] for k in ks]
+            for k in sorted(ks, reverse=True):
+                del free[k]
+            group[at : at + 1] = new
+            insort(free, (sizes[out], out))
+            del self.order[bisect_left(self.order, (room, b))]
+            self.room[b] = room - gain
+            insort(self.order, (room - gain, b))
+        return [i for _, i in free]
+
     def listed(self) -> list[list[int]]:
         return [sorted(g) for g in self.groups.values()]
 
@@ -159,7 +211,7 @@ def crossover(a: Bins, b: Bins, rng: random.Random, well_filled: float) -> Bins:
             loose += [i for i in g if i not in held]
     for g in injected:
         child.add(g)
-    child.best_fit(loose)
+    child.best_fit(child.exchange(loose))
     return child
 
 
@@ -171,33 +223,38 @@ def mutate(bins: Bins, rng: random.Random, share: float = 0.03) -> None:
     loose: list[int] = []
     for b in dict.fromkeys([*worst, *others]):
         loose += bins.drop(b)
-    rng.shuffle(loose)
-    half = loose[: len(loose) // 2]
-    bins.best_fit(half)
-    bins.best_fit(loose[len(loose) // 2 :])
+    bins.best_fit(bins.exchange(loose))
+
+
+def best_possible(sizes: list[int], capacity: int) -> tuple[int, float]:
+    """The value of a packing with as few sequences as the tokens need, all full but one."""
+    bound = -(-sum(sizes) // capacity)
+    rest = sum(sizes) - (bound - 1) * capacity
+    return bound, -round(bound - 1 + (rest / capacity) ** 2, 9)
 
 
 def evolve(sizes: list[int], population: list[list[list[int]]], seed: int, params: Packing) -> list[list[list[int]]]:
-    """One epoch of one island: its population, best first; an empty one is begun by best-fit decreasing."""
+    """One epoch of one island: its population, best first; best-fit decreasing is always tried."""
     rng = random.Random(seed)
-    bound = -(-sum(sizes) // params.capacity)
     people = [packed(p, sizes, params.capacity) for p in population]
-    if not people:
+    if len(people) < params.population:
         first = Bins(sizes, params.capacity)
         first.best_fit(list(range(len(sizes))))
-        people = [first]
-    while len(people) < params.population and people[0].value()[0] > bound:
+        people.append(first)
+    while len(people) < params.population:
         other = packed(people[0].listed(), sizes, params.capacity)
-        mutate(other, rng, 0.2)
+        mutate(other, rng, rng.uniform(0.05, 0.3))
         people.append(other)
     people.sort(key=Bins.value)
+    goal = best_possible(sizes, params.capacity)
     for _ in range(params.offspring):
-        if people[0].value()[0] <= bound or len(people) < 2:
+        if people[0].value() <= goal:
             break
         a, b = rng.sample(people, 2)
         child = crossover(a, b, rng, params.well_filled)
-        mutate(child, rng)
-        people = sorted([*people, child], key=Bins.value)[: params.population]
+        if rng.random() < 0.5:
+            mutate(child, rng)
+        people = sorted([*people, child], key=Bins.value)[: max(2, params.population)]
     return [p.listed() for p in people]
 
 
@@ -222,33 +279,59 @@ def _epoch(params: Packing, epoch: int):
     return run
 
 
-def pack(parts: DataFrame, params: Packing = Packing()) -> DataFrame:
-    """parts with sequence_id and offset; parts as from pieces()."""
-    whole = parts.where(F.col("length") >= params.capacity).select(
-        "*", F.col("serial").bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest = parts.where(F.col("length") < params.capacity)
-    blocks = max(1, -(-rest.count() // params.block))
-    dealt = rest.withColumn("block", F.pmod(F.xxhash64("serial"), F.lit(blocks)).cast("long"))
-    ordered = dealt.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("serial")) - 1)
-    ordered = scratch(ordered, "dealt")
+def _placed(ordered: DataFrame, begin: DataFrame | None, params: Packing, level: int) -> DataFrame:
+    """(block, bin, turn, place, room): where each piece of each block goes, and the room of its sequence; begin holds (block, people) to start from."""
     lists = ordered.groupBy("block").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", F.col("length").cast("int").alias("n")))), lambda x: x["n"]).alias("sizes"))
-    state = lists.select("block", F.explode(F.sequence(F.lit(0), F.lit(params.islands - 1))).alias("island"), "sizes",
-                         F.lit(None).cast(GROUPS).alias("people"), F.lit(None).cast(GROUPS).alias("elite"))
+    if begin is None:
+        lists = lists.withColumn("people", F.lit(None).cast(GROUPS))
+    else:
+        lists = lists.join(begin, "block")
+    state = lists.select("block", F.explode(F.sequence(F.lit(0), F.lit(params.islands - 1))).alias("island"), "sizes", "people", F.lit(None).cast(GROUPS).alias("elite"))
     shape = f"block long, island int, sizes array<int>, people {GROUPS}, bins int, fill double"
     for epoch in range(params.epochs):
         state = state.repartition("block", "island").mapInArrow(_epoch(params, epoch), shape)
-        state = scratch(state, f"islands-{epoch}")
+        state = scratch(state, f"islands-{level}-{epoch}")
         if epoch + 1 < params.epochs:
             elite = state.select("block", ((F.col("island") + 1) % params.islands).alias("island"), F.slice("people", 1, 1).alias("elite"))
             state = state.join(elite, ["block", "island"]).select("block", "island", "sizes", "people", "elite")
-    best = state.groupBy("block").agg(F.min_by(F.get("people", F.lit(0)), F.struct("bins", "fill", "island")).alias("groups"))
-    placed = best.select("block", F.posexplode("groups").alias("bin", "group")).select("block", "bin", F.posexplode("group").alias("turn", "place"))
-    joined = ordered.join(placed, ["block", "place"])
+    best = state.groupBy("block").agg(F.min_by(F.struct(F.get("people", F.lit(0)).alias("groups"), "sizes"), F.struct("bins", "fill", "island")).alias("best"))
+    bins = best.select("block", "best.sizes", F.posexplode("best.groups").alias("bin", "group"))
+    room = F.lit(params.capacity) - F.aggregate("group", F.lit(0), lambda a, i: a + F.get("sizes", i))
+    return bins.select("block", "bin", room.alias("room"), F.posexplode("group").alias("turn", "place"))
+
+
+def pack(parts: DataFrame, params: Packing = Packing()) -> DataFrame:
+    """parts with sequence_id and offset; parts as from pieces()."""
+    whole = parts.where(F.col("length") >= params.capacity).select(
+        "*", F.col("serial").bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = parts.where(F.col("length") < params.capacity)
+    blocks = max(1, -(-rest.count() // params.block))
+    dealt, begin = rest.withColumn("block", F.pmod(F.xxhash64("serial"), F.lit(blocks)).cast("long")), None
     inside = Window.partitionBy("block", "bin").orderBy("turn")
-    out = joined.select(
-        *parts.columns, (F.col("block") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id"),
-        (F.sum("length").over(inside) - F.col("length")).alias("offset"))
-    return whole.unionByName(out)
+    closed = []
+    for level in range(32):
+        ordered = scratch(dealt.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("serial")) - 1), f"dealt-{level}")
+        if level:  # the sequences as they came are a packing to begin with
+            groups = ordered.groupBy("block", "group").agg(F.sort_array(F.collect_list("place")).alias("places"))
+            begin = groups.groupBy("block").agg(F.array(F.collect_list("places")).alias("people"))
+        joined = ordered.join(_placed(ordered, begin, params, level), ["block", "place"])
+        out = joined.select(
+            *parts.columns, "block", "room", (F.lit(level) * F.lit(1 << 56) + F.col("block") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id"),
+            (F.sum("length").over(inside) - F.col("length")).alias("offset"))
+        out = scratch(out, f"packed-{level}")
+        if blocks == 1:
+            closed.append(out)
+            break
+        open_ = F.col("room") > params.capacity * (1 - params.well_filled)
+        closed.append(out.where(~open_))
+        left = out.where(open_)
+        fewer = min(blocks // 2, max(1, -(-left.count() // params.block)))
+        # Whole blocks go together, so that a sequence's pieces stay together.
+        dealt = left.select(*parts.columns, F.pmod(F.xxhash64("block"), F.lit(fewer)).cast("long").alias("block"), F.col("sequence_id").alias("group"))
+        blocks = fewer
+    for part in closed:
+        whole = whole.unionByName(part.select(*parts.columns, "sequence_id", "offset"))
+    return whole
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
