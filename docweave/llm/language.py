@@ -1,7 +1,9 @@
 """Cross-parsing entropy: language by how few phrases of a language's text make up a document.
 
 For each language a suffix automaton is built over a bounded sample of its
-labelled text. A document is parsed greedily into the longest phrases that
+labelled text: all labelled texts are cut into passages of `passage` characters,
+and those of least hash are taken, equal ones once, so that any part of any text
+may be learned and copies of one text don't crowd out others. A document is parsed greedily into the longest phrases that
 occur in that sample (a character that never occurs there is a phrase of its
 own). With n sampled characters a phrase costs about log2(n) bits to point at,
 so phrases * log2(n) is the normalised count; the language with the least wins.
@@ -13,8 +15,9 @@ are parsed in pieces, which adds a phrase a piece for every language alike.
 
 Nulls and odd rows: `und` with score 0 for a null text or one without a letter,
 and for every row if nothing could be learned; rows with a null language teach
-nothing; repeated rows each get the same answer; an empty table gives an empty
-result.
+nothing; repeated rows each get the same answer; of languages with equal counts
+the first by name wins; very long texts are parsed whole, piece by piece; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,13 +41,14 @@ UND = "und"
 class Parsing:
     """Bounds of what is learned, and how texts are laid side by side.
 
-    sample_chars of each language are learned, from its sample_rows rows of least
-    hash; piece: characters parsed in a row before a new piece begins.
+    sample_chars of each language are learned (fewer if all languages' tables
+    would take more than table_bytes), in passages of `passage` characters;
+    piece: characters parsed in a row before a new piece begins.
     """
 
-    sample_rows: int = 400
-    row_chars: int = 1500
     sample_chars: int = 24_000
+    passage: int = 1500
+    table_bytes: int = 1 << 28
     piece: int = 512
     block_bytes: int = 1 << 21
 
@@ -221,32 +225,37 @@ def _predict(model, params: Parsing):
 
 
 def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", params: Parsing = Parsing()) -> Model:
-    """A model from at most sample_rows rows of each language, those of least text hash.
+    """A model from about sample_chars of each language, in the passages of least hash.
 
-    Each task keeps its own least rows of a language before anything is
-    shuffled, so neither the shuffle nor what comes to the driver follows the input.
+    A bound on the hash that should leave about four times what is needed comes
+    from an estimate of the different passages; where it leaves too little it is
+    widened. Passages below it are made distinct by a partial aggregate, so
+    neither the shuffle nor what comes to the driver follows the input.
     """
-    text = F.substring(F.trim(F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}]+", " ")), 1, params.row_chars)
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col))
-    # The hash bound is found first on hashes alone; then only the texts below it are read out.
-    cut = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    bounds = {r["lang"]: min(1.0, 2.0 * params.sample_rows / r["n"]) for r in cut}
+    rows = labelled.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
+    cut = F.regexp_extract_all(F.col(f"`{text_col}`").cast("string"), F.lit(f"(?s).{{1,{params.passage}}}"), F.lit(0))
+    rows = rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.explode(cut).alias("t")).select("lang", "t", F.xxhash64("t").alias("h"))
+    wanted = -(-params.sample_chars // params.passage)
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    share = {lang: 4.0 * wanted / max(1, n) for lang, n in counts.items()}
     unit = (F.col("h").cast("double") + 2.0**63) / 2.0**64
-    keep = F.lit(False)
-    for lang, share in bounds.items():
-        keep = keep | ((F.col("lang") == lang) & (unit <= share))
-    picked = rows.where(keep).select("lang", "h", text.alias("t"))
-    found = picked.groupBy("lang").agg(F.slice(F.sort_array(F.collect_set(F.struct("h", "t"))), 1, params.sample_rows).alias("rows")).collect()
-    samples = {}
-    for r in found:
-        parts, size = [], 0
-        for x in r["rows"]:
-            if size >= params.sample_chars:
-                break
-            parts.append(x["t"][: params.sample_chars - size])
-            size += len(parts[-1]) + 1
-        samples[r["lang"]] = " ".join(parts).strip()
+    # The widest table: two states a byte, and a column of four bytes for each byte class.
+    chars = max(params.passage, min(params.sample_chars, params.table_bytes // (8 * 256 * max(1, len(counts)))))
+    samples: dict[str, str] = {}
+    while share:
+        keep = F.lit(False)
+        for lang, part in share.items():
+            keep = keep | ((F.col("lang") == lang) & (unit <= part))
+        found = rows.where(keep).groupBy("lang", "h").agg(F.min("t").alias("t"))
+        found = found.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", "t"))).alias("rows")).collect()
+        for r in found:
+            parts, size = [], 0
+            for x in r["rows"]:
+                if size < chars and (t := clean(x["t"])):
+                    parts.append(t)
+                    size += len(t) + 1
+            samples[r["lang"]] = " ".join(parts)
+        share = {lang: 8 * part for lang, part in share.items() if part < 1 and len(samples.get(lang, "")) < chars}
     return fit(samples)
 
 

@@ -44,6 +44,22 @@ def test_odd_rows(spark):
     assert by[8].lang_pred in ("de", "en") and all(0 <= r.score <= 1 for r in got)
 
 
+def test_no_language_is_lost_to_copies_and_any_part_of_a_text_is_learned(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 7)))
+    many = spark.range(10_000).selectExpr("'ein haus ist nicht hier gewesen und der mann' AS text", "'de' AS lang")
+    some = [(" ".join(word("aeiourst") for _ in range(200)), "en") for _ in range(500)]
+    late = "x" * 40_000 + " ".join(word("bcdfgz") for _ in range(20_000))  # one long row of a third language
+    rows = many.unionByName(spark.createDataFrame([*some, (late, "zz")], "text string, lang string")).repartition(8)
+    params = lg.Parsing(sample_chars=6000)
+    model = lg.learn(rows, params=params)
+    assert model.languages == ["de", "en", "zz"]
+    docs = spark.createDataFrame([(1, "der mann ist hier"), (2, some[7][0]), (3, late[-800:])], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in lg.identify(docs, model, ["doc_id"], params=params).collect()}
+    assert got == {1: "de", 2: "en", 3: "zz"}
+    assert model.roots.max() // model.width < 2 * 3 * 8000  # no sample follows the input
+
+
 def test_nothing_learned_and_empty(spark):
     none = lg.fit({})
     assert lg.classify(none, pa.array(["abc", None]), lg.Parsing()) == (["und", "und"], [0.0, 0.0])
