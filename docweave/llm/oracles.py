@@ -5,7 +5,7 @@ from __future__ import annotations
 from docweave.llm.quality import COMMON_WORDS, Limits, _vocabulary
 
 #: Windows as halves of a hexadecimal string, so that bytes can be counted; spans are gaps and islands over their starts.
-SUFFIX_DEDUP = """
+SUFFIX_DEDUP = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
 b AS (SELECT doc_id, n, j * 512 AS o, h[1024 * j + 1 : 1024 * j + 1824] AS p FROM (SELECT doc_id, h, n, unnest(range(0, (n - 400) // 512 + 1)) AS j FROM d WHERE n >= 400)),
 w AS (SELECT doc_id, o + i AS i, md5(p[2 * i + 1 : 2 * i + 800]) AS k FROM (SELECT doc_id, o, p, unnest(range(0, least(512, n - 399 - o))) AS i FROM b)),
@@ -14,10 +14,14 @@ marks AS (SELECT doc_id, i, coalesce(i > lag(i) OVER o + 400, true)::INT AS begi
 runs AS (SELECT doc_id, i, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM marks),
 spans AS (SELECT doc_id, min(i) AS s, max(i) + 400 AS e FROM runs GROUP BY doc_id, r),
 rest AS (SELECT doc_id, s, h[2 * coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) + 1 : 2 * s] AS part, e FROM spans JOIN d USING (doc_id)),
+words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+pw AS (SELECT doc_id, i, md5(array_to_string(ws[i : i + 50], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 49)) AS i FROM words)),
+pc AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i), 51) AS gap FROM pw WHERE k IN (SELECT k FROM pw GROUP BY k HAVING count(*) > 1)),
+passages AS (SELECT doc_id, sum(least(51, gap)) AS n FROM pc GROUP BY doc_id),
 kept AS (SELECT doc_id, string_agg(part, '' ORDER BY s) AS before, max(e) AS e, count(*) AS n_spans, sum(e - s) AS gone FROM rest GROUP BY doc_id)
 SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE before || h[2 * k.e + 1 : ] END)) AS kept_sha256
-FROM d LEFT JOIN kept k USING (doc_id)
+       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN h ELSE before || h[2 * k.e + 1 : ] END)) AS kept_sha256, coalesce(p.n, 0)::BIGINT AS n_passage_words
+FROM d LEFT JOIN kept k USING (doc_id) LEFT JOIN passages p USING (doc_id)
 """
 
 

@@ -18,8 +18,9 @@ effect while the rows stay fewer than the lookups.
 
 Nulls and odd rows: a null or empty text has fingerprint zero and links like
 any other; repeated rows have one fingerprint and so one component; null ids
-never become a component's name unless all ids of it are null; an empty table
-gives an empty result.
+never become a component's name unless all ids of it are null; of several least
+ids, equal, any is the name; very long texts are hashed whole, their bits counted in pieces; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -206,10 +207,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: similar.Similar = similar.Similar()) -> DataFrame:
-    """One row of each group of near copies by five-word similarity, that of least id (then least hash), in the columns of docs."""
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    chosen = similar.chosen_rows(keyed, "_row", id_col, text_col, params).distinct()
-    return keyed.join(chosen, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    """One row of each group of near copies by five-word similarity: see similar.keep_one."""
+    return similar.keep_one(docs, id_col, text_col, params)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

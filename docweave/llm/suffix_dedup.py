@@ -43,9 +43,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -88,33 +90,43 @@ def _mix(left: np.ndarray, right: np.ndarray | None) -> np.ndarray:
     out = left * np.uint64(0x9E3779B97F4A7C15)
     if right is not None:
         out += right
-    out ^= out >> np.uint64(29)
+    shifted = out >> np.uint64(29)
+    out ^= shifted
     out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(32)
+    np.right_shift(out, np.uint64(32), out=shifted)
+    out ^= shifted
     return out
 
 
-def names(data: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit name of the `length` bytes (a multiple of 8) or 64-bit words (any number) at every place."""
-    if len(data) < length:
-        return np.empty(0, np.uint64)
+def name_levels(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(width, name of the string of that width at every place) for doubled widths up to length."""
     if data.dtype == np.uint64:
-        level, width, out, done = _mix(data, None), 1, None, 0
+        level, width = _mix(data, None), 1
     else:
-        eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
-        level, width, out, done = _mix(eight, None), 8, None, 0
-    while True:
-        if length & width:
-            if out is None:
-                out, done = level, width
-            else:
-                keep = len(data) - done - width + 1
-                out = _mix(level[:keep], out[width : width + keep])
-                done += width
-        if done == length:
-            return out
-        level = _mix(level[:-width], level[width:])
+        level, width = _mix(np.ndarray((max(0, len(data) - 7),), "<u8", np.ascontiguousarray(data), 0, (1,)), None), 8
+    levels = [(width, level)]
+    while 2 * width <= length:
+        level = _mix(level[: max(0, len(level) - width)], level[width:])
         width *= 2
+        levels.append((width, level))
+    return levels
+
+
+def _named(levels: list[tuple[int, np.ndarray]], length: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Names of the strings of one length at some places, or at all: the levels that make up the length, wide ones first."""
+    out, done = None, 0
+    count = len(levels[0][1]) + levels[0][0] - length
+    for width, level in reversed(levels):
+        if length & width:
+            part = level[done : done + max(0, count)] if at is None else level[at + done]
+            out = part if out is None else _mix(out, part)
+            done += width
+    return out
+
+
+def names(data: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit name of the `length` bytes (a multiple of 8) or 64-bit words (any number) at every place."""
+    return _named(name_levels(data, length), length) if len(data) >= length else np.empty(0, np.uint64)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -235,7 +247,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int,
     nothing = (*(np.empty(0, np.uint64) for _ in range(2)), *(np.empty(0, np.int64) for _ in range(3)))
     if len(data) < window:
         return nothing
-    hashes = names(data, gram)
+    levels = name_levels(data, window)
+    hashes = _named([x for x in levels if x[0] <= gram], gram)
     low = np.uint64((1 << PLACE_BITS) - 1)
     keyed = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     at = (sliding_min(keyed, window - gram + 1) & low).astype(np.int64)
@@ -251,54 +264,112 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int,
     held = inside[first]
     first, last = first[held], last[held]
     doc = np.searchsorted(starts, first, "right") - 1
-    whole = names(data, window)
-    return hashes[at[first]], _mix(whole[first], whole[last] ^ (last - first).astype(np.uint64)), doc, first, last
+    whole = _mix(_named(levels, window, first), _named(levels, window, last) ^ (last - first).astype(np.uint64))
+    return hashes[at[first]], whole, doc, first, last
 
 
-class Codes(dict):
-    """Word -> its hash as 8 bytes."""
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_RNG = np.random.default_rng(17)
+#: A random number for each byte, and the factor of one place to the next in a word's hash.
+BYTES = _RNG.integers(0, 1 << 64, 256, np.uint64)
+FACTOR = np.uint64(0x2127599BF4325C37)
+LONG_WORD = 64
 
-    def __missing__(self, word: bytes) -> bytes:
-        import xxhash
 
-        if len(self) > 50_000:
-            self.clear()
-        self[word] = code = xxhash.xxh3_64_digest(word)
-        return code
+@lru_cache(maxsize=4)
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The factor and its inverse (modulo 2^64) to the powers 0 to count - 1."""
+    inverse = np.uint64(pow(int(FACTOR), -1, 1 << 64))
+    return tuple(np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(count - 1, x)))) for x in (FACTOR, inverse))
 
 
-def _coder(params: Repeats):
-    """Text in UTF-8 -> its data: the bytes themselves, or the hashes of its words."""
-    if not params.words:
-        return lambda data: data.as_buffer()
-    codes = Codes()
-    return lambda data: b"".join([codes[w] for w in data.as_py().split()])  # bytes part at the six ASCII spaces
-
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the words of some texts in a row, words up to each offset); words end at the six ASCII spaces and at a text's end.
 
-def _blocks(column: pa.Array, params: Repeats) -> Iterator[tuple[int, int, np.ndarray, int]]:
-    """(first row, past the last, their places, offset in the first row) in blocks; a longer text comes in pieces."""
-    flat = column.cast(pa.large_binary())
+    A word's bytes, replaced by random numbers, are the coefficients of a
+    polynomial modulo 2^64, taken from running sums; words of more than
+    LONG_WORD bytes, which could be made to collide there, go to XXH3.
+    """
+    import xxhash
+
+    if not len(data):
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    open_ = np.concatenate(([True], IS_SPACE[data], [True]))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    begins = np.flatnonzero(~open_[1:-1] & (open_[:-2] | edge[:-1]))
+    ends = np.flatnonzero(~open_[1:-1] & (open_[2:] | edge[1:])) + 1
+    size = 1 << max(10, int(len(data)).bit_length())
+    powers, inverse = _powers(size)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTES[data] * powers[: len(data)])))
+    out = _mix((sums[ends] - sums[begins]) * inverse[begins], (ends - begins).astype(np.uint64))
+    for i in np.flatnonzero(ends - begins > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[begins[i] : ends[i]].tobytes())
+    return out, np.searchsorted(begins, offsets, "left")
+
+
+def flattened(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts in a row, their offsets); null is empty."""
+    flat = pc.fill_null(column.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
     data = np.frombuffer(flat.buffers()[2], np.uint8) if flat.buffers()[2] is not None else np.empty(0, np.uint8)
-    data, offsets = params.places(data[offsets[0] : offsets[-1]]), (offsets - offsets[0]) // params.unit
-    row, block = 0, BLOCK // params.unit
-    while row < len(flat):
-        past = max(row + 1, int(np.searchsorted(offsets, offsets[row] + block, "right")) - 1)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def row_blocks(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, past the last, their bytes, offsets) in blocks of about size bytes; a longer text is a block of its own."""
+    data, offsets = flattened(column)
+    row = 0
+    while row < len(column):
+        past = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         yield row, past, data[offsets[row] : offsets[past]], offsets[row : past + 1] - offsets[row]
         row = past
 
 
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes in pieces of bounded size, for a block that may be one very long text."""
+    if len(data) <= 4 * BLOCK:
+        return word_hashes(data, offsets)
+    parts, row_ends, begin, done = [], np.zeros(len(offsets), np.int64), 0, 0
+    while begin < len(data):
+        stop = min(len(data), begin + BLOCK)
+        while stop < len(data):  # on to the next space
+            gap = np.flatnonzero(IS_SPACE[data[stop : stop + BLOCK]])
+            if len(gap):
+                stop += int(gap[0])
+                break
+            stop = min(len(data), stop + BLOCK)
+        inside = np.clip(offsets - begin, 0, stop - begin)
+        found, ends = word_hashes(data[begin:stop], inside)
+        row_ends += ends
+        parts.append(found)
+        begin, done = stop, done + len(found)
+    return np.concatenate(parts), row_ends
+
+
+def _blocks(column: pa.Array, params: Repeats) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, past the last, their places, offsets in them) in blocks."""
+    for row, past, data, offsets in row_blocks(column, BLOCK):
+        if params.words:
+            data, offsets = text_words(data, offsets)
+        yield row, past, data, offsets
+
+
+def _place_data(text: pa.Scalar, params: Repeats) -> memoryview:
+    """One text as the bytes of its places: the text itself, or the hashes of its words."""
+    if not params.words:
+        return memoryview(text.as_buffer())
+    data = np.frombuffer(text.as_buffer(), np.uint8)
+    return memoryview(text_words(data, np.array([0, len(data)]))[0].view(np.uint8))
+
+
 def _find_anchors(params: Repeats):
     over, block = params.window - 1, BLOCK // params.unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded = _coder(params)
-        if params.words:
-            batches = (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500))
         for batch in batches:
-            text = batch.column(2)
-            column = pa.array([coded(t) for t in text], pa.binary()) if params.words else text
-            for row, past, data, offsets in _blocks(column, params):
+            for row, past, data, offsets in _blocks(batch.column(2), params):
                 pieces = [(0, data, offsets)]
                 if past == row + 1 and len(data) > 2 * block:
                     pieces = [(at, d := data[at : at + block + over], np.array([0, len(d)])) for at in range(0, max(1, len(data) - over), block)]
@@ -320,12 +391,11 @@ def _cut_runs(params: Repeats, id_type: pa.DataType):
     shape = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("place", place), ("hot", pa.bool_()), ("part", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded = _coder(params)
         for batch in batches:
             out: list[dict] = []
             size = 0
             for data, runs in zip(batch.column("data"), batch.column("runs"), strict=True):
-                view = memoryview(coded(data))
+                view = _place_data(data, params)
                 for r in runs.as_py():
                     lo = r["place"]["lo"]
                     r["part"] = bytes(view[unit * lo : unit * (lo + r.pop("n") - 1 + window)])
@@ -469,8 +539,9 @@ def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
     return gone, later
 
 
-#: Tasks over which the runs of one crowded anchor are spread.
+#: Tasks over which the runs of one crowded anchor are spread, and the runs of an anchor from which on they are.
 SPREAD = 32
+CROWD = 4096
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
@@ -490,23 +561,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = scratch(runs if later is None else runs.join(later, "rid", "left_anti"), "anchors")
     # Written, so that both sides of the join are dealt for it and a crowded hash can be split between tasks.
     twice = runs.groupBy("h").agg(F.count("*").alias("runs"), F.min("w").alias("a"), F.max("w").alias("z")).where("runs > 1")
-    hits = scratch(runs.join(scratch(twice.select("h", (F.col("a") == F.col("z")).alias("equal")), "anchors-twice"), "h"), "hits")
+    twice = scratch(twice.select("h", (F.col("a") == F.col("z")).alias("equal"), (F.col("runs") > CROWD).alias("many")), "anchors-twice")
+    # A run of an anchor with many is dealt with a salt from here on, and what is joined to those is repeated for every salt.
+    salt = F.when(F.col("many"), F.pmod(F.xxhash64("rid", "lo"), F.lit(SPREAD)).cast("int")).otherwise(0)
+    salts = F.when(F.col("many"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    hits = scratch(runs.join(twice, "h").withColumn("salt", salt), "hits")
     place = F.struct("id", "rid", "lo")
     whole = [F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + params.window).alias("e")]
 
     # 3. Anchors with one run only, over and over.
     equal = hits.where("equal")
     if params.keep == "first":
-        firsts = scratch(equal.groupBy("h").agg(F.min(place).alias("first")), "first-runs")
-        equal = equal.join(firsts, "h").where(~F.col("first").eqNullSafe(place))
+        firsts = equal.groupBy("h").agg(F.min(place).alias("first"), F.first("many").alias("many"))
+        firsts = scratch(firsts.select("h", "first", F.explode(salts).alias("salt")), "first-runs")
+        equal = equal.join(firsts, ["h", "salt"]).where(~F.col("first").eqNullSafe(place))
     spans = equal.select("rid", *whole)
 
     # 4. The bytes of different runs of one anchor, equal runs once; anchors with very many go their own way.
     mixed = hits.where("NOT equal")
-    distinct = scratch(mixed.groupBy("h", "w").agg(F.min(place).alias("place"), F.count("*").alias("times"), F.first("n").alias("n")), "distinct-runs")
+    distinct = scratch(mixed.groupBy("h", "w").agg(F.min(place).alias("place"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("many").alias("many")), "distinct-runs")
     crowded = distinct.groupBy("h").agg(F.count("*").alias("different")).where(F.col("different") > params.group)
     crowded = crowded.select("h", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"), F.lit(True).alias("hot"))
-    marked = distinct.withColumn("salt", F.pmod(F.col("w"), F.lit(SPREAD)).cast("int")).join(crowded, ["h", "salt"], "left")
+    marked = distinct.drop("many").withColumn("salt", F.pmod(F.col("w"), F.lit(SPREAD)).cast("int")).join(crowded, ["h", "salt"], "left")
     wanted = marked.select(F.col("place.rid").alias("rid"), F.struct("h", "w", "place", F.coalesce("hot", F.lit(False)).alias("hot"), "n").alias("run"))
     wanted = wanted.groupBy("rid").agg(F.collect_set("run").alias("runs"))
     cut = rows.join(wanted, "rid").select("data", "runs").mapInArrow(
@@ -527,12 +603,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crowd = hit.groupBy("h", "w").agg(F.collect_set(F.struct(F.col("k").alias("s"), (F.col("k") + 1).alias("e"))).alias("spans"))
 
     # 6. Spans of runs become spans of documents. A run that comes twice is a repeat whole, except for its first place.
-    found = distinct.select("h", "w", "times", F.col("place").alias("first")).join(ranked.unionByName(crowd), ["h", "w"], "left").where("times > 1 OR spans IS NOT NULL")
+    found = distinct.select("h", "w", "times", "many", F.col("place").alias("first")).join(ranked.unionByName(crowd), ["h", "w"], "left")
+    found = found.where("times > 1 OR spans IS NOT NULL").select("h", "w", "times", "first", "spans", F.explode(salts).alias("salt"))
     again = F.col("times") > 1
     if params.keep == "first":
         again = again & ~F.col("first").eqNullSafe(place)
     own = F.transform("spans", lambda s: F.struct((F.col("lo") + s["s"]).alias("s"), (F.col("lo") + s["e"] - 1 + params.window).alias("e")))
-    placed = mixed.join(found, ["h", "w"]).select("rid", F.explode(F.when(again, F.array(F.struct(*whole))).otherwise(own)).alias("x"))
+    placed = mixed.join(scratch(found, "found-runs"), ["h", "w", "salt"]).select("rid", F.explode(F.when(again, F.array(F.struct(*whole))).otherwise(own)).alias("x"))
     spans = spans.unionByName(placed.select("rid", "x.s", "x.e"))
     return (spans if gone is None else gone.unionByName(spans)).groupBy("rid").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
@@ -609,7 +686,24 @@ def remove_repeats(
     return joined.mapInArrow(_cut_texts(docs.columns.index(text_col)), docs.schema)
 
 
+#: Passages of more than 50 words, whatever their length in bytes.
+PASSAGES = Repeats(window=51, gram=16, words=True)
+
+
+def covered_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = PASSAGES) -> DataFrame:
+    """(rid, n_passage_words): words of each document with any that lie in a repeated passage."""
+    spans = scratch(repeated_spans(docs, id_col, text_col, params), "word-spans")
+    # Spans in order, each counted from where all before it end.
+    ordered = F.sort_array("spans")
+    walk = F.aggregate(
+        ordered, F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n")),
+        lambda a, x: F.struct(F.greatest(a["end"], x["e"]).alias("end"), (a["n"] + F.greatest(F.lit(0).cast("long"), x["e"] - F.greatest(x["s"], a["end"]))).alias("n")))
+    return spans.select("rid", walk["n"].alias("n_passage_words"))
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What every document loses to 400-byte strings that start more than once."""
+    """What every document loses to 400-byte strings that start more than once; beside it, its words in passages of 51 words that do."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    words = scratch(covered_words(docs), "passage-words")
+    return dedup(docs).join(words, "rid", "left").select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))

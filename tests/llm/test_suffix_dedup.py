@@ -48,8 +48,9 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("keep, group", [("none", 2048), ("none", 1), ("first", 2048), ("first", 1)])
-def test_equals_brute_force(spark, keep, group):
+@pytest.mark.parametrize("keep, group, crowd", [("none", 2048, 4096), ("none", 1, 1), ("first", 2048, 2), ("first", 1, 4096)])
+def test_equals_brute_force(spark, monkeypatch, keep, group, crowd):
+    monkeypatch.setattr(sd, "CROWD", crowd)
     rows = corpus(3)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, rid string").repartition(3)
     params = sd.Repeats(window=40, gram=16, keep=keep, group=group)
@@ -109,6 +110,32 @@ def test_suffix_arrays_and_factors_equal_brute_force(words, window, letters):
         assert sd.repeated(data, starts, window, keep).tolist() == [c in others(i) for i, c in enumerate(cut)]
 
 
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    rng = random.Random(6)
+    texts = ["", " ", "a", "a b", "\x1c b\u00a0c\u2003 d", "x" * 70 + " " + "x" * 70, " ".join(rng.choice(["aa", "b", "cé", "d" * 90]) for _ in range(400)), "a\tb\nc\x0bd\x0ce\rf"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    seen = {}
+    for block in (1 << 19, 16):
+        monkeypatch.setattr(sd, "BLOCK", block)
+        hashes, ends = sd.text_words(data, offsets)
+        words = [w for t in texts for w in t.encode().split()]
+        assert len(hashes) == len(words) and np.diff(ends).tolist() == [len(t.encode().split()) for t in texts]
+        for h, w in zip(hashes.tolist(), words, strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_words_in_passages_are_counted(spark):
+    rng = random.Random(2)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    p, q = say(60), say(55)
+    docs = spark.createDataFrame([(1, f"{say(9)} {p} {say(70)} {q}"), (2, f"{p} {q} {say(5)}"), (3, say(300)), (4, None), (5, say(51))], "doc_id long, text string")
+    rows = sd._keyed(docs, "doc_id", "text").select("id", "rid")
+    got = {r.id: r.n_passage_words for r in rows.join(sd.covered_words(docs), "rid").collect()}
+    assert got == {1: 115, 2: 115}
+
+
 def test_columns_of_any_name(spark):
     text = "some text that comes again and again and again"
     docs = spark.createDataFrame([(1, text, 1, 2, 3), (2, text, 4, 5, 6)], "doc_id long, text string, rid int, spans int, word_spans int")
