@@ -73,17 +73,20 @@ def _frequent(symbols: np.ndarray, free: np.ndarray, floor: int) -> tuple[np.nda
     """
     none = np.empty(0, np.int64)
     left, right = symbols[:-1], symbols[1:]
-    at = np.flatnonzero(free)
     if floor > 4:
-        bits = min(20, max(8, int(len(symbols)).bit_length() + 2))
-        bucket = ((left[at] * np.uint32(0x9E3779B1)) ^ (right[at] * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
-        counts = np.bincount(bucket, minlength=1 << bits)
+        bits = min(20, max(8, int(len(symbols)).bit_length() + 1))
+        bucket = left * np.uint32(0x9E3779B1)
+        bucket ^= right * np.uint32(0x85EBCA77)
+        bucket >>= np.uint32(32 - bits)
+        counts = np.bincount(bucket, minlength=1 << bits)  # places that begin no pair are counted too, which leaves out less
         many = counts >= floor
         if not many.any():
             return none, none, none, int(counts.max())
-        at = at[many[bucket]]
+        at = np.flatnonzero(many[bucket] & free)
+    else:
+        at = np.flatnonzero(free)
     if not len(at):
-        return none, none, none, 0
+        return none, none, none, floor
     pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
     order = np.argsort(pairs)
     ordered = pairs[order]
@@ -107,7 +110,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) ->
     last = np.zeros(len(symbols), bool)
     last[ends[sizes > 0] - 1] = True
     rules: list[np.ndarray] = []
-    total, floor = 0, max(params.least, len(symbols))
+    total, floor = 0, max(params.least, len(symbols) >> 8)
     open_: np.ndarray | None = None
     while len(symbols) > 1:
         free = _countable(symbols, last)
@@ -139,7 +142,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) ->
             open_[at] = open_[take] = True
             open_[np.maximum(take - 1, 0)] = True
             open_ = open_[stay]
-        elif len(take) < len(symbols) >> 6:
+        elif len(take) < len(symbols) >> 5:
             floor = max(params.least, floor // 2)
         symbols, last = symbols[stay], last[stay]
         rules.append(np.stack([(pairs[used] >> np.uint64(32)).astype(np.uint32), pairs[used].astype(np.uint32)], axis=1))
@@ -194,8 +197,48 @@ class Shard:
             out[place[rule]], out[place[rule] + 1] = pair[:, 0], pair[:, 1]
             symbols = out
 
+    def expansions(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """(the ids of all terminals and rules in a row, where each begins); none if that is much longer than the text.
+
+        Rules are written out from short to long, and a rule's sides are shorter than it.
+        """
+        lengths = np.concatenate((np.ones(self.terminals, np.int64), self.lengths.astype(np.int64)))
+        total = int(lengths.sum())
+        if total > 4 * (int(self.sizes.sum(dtype=np.int64)) + self.terminals):
+            return None
+        begins = np.cumsum(lengths) - lengths
+        store = np.empty(total, np.uint32)
+        store[: self.terminals] = np.arange(self.terminals, dtype=np.uint32)
+        order = np.argsort(self.lengths, kind="stable")
+        sizes = self.lengths[order]
+        edges = np.flatnonzero(np.concatenate(([True], sizes[1:] != sizes[:-1], [True]))) if len(sizes) else []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            of = order[a:b]
+            left, right = self.rules[of, 0], self.rules[of, 1]
+            at, first = begins[self.terminals + of], lengths[left]
+            length = int(sizes[a])
+            for k in range(length) if length <= 16 else ():
+                inside = k < first
+                source = np.where(inside, begins[left] + k, begins[right] + k - first)
+                store[at + k] = store[source]
+            if length > 16:
+                for i in range(b - a):
+                    f = int(first[i])
+                    store[at[i] : at[i] + f] = store[begins[left[i]] : begins[left[i]] + f]
+                    store[at[i] + f : at[i] + length] = store[begins[right[i]] : begins[right[i]] + length - f]
+        return store, begins
+
     def ids(self) -> np.ndarray:
-        return self.expand(self.symbols)
+        """All ids of the shard."""
+        written = self.expansions()
+        if written is None:
+            return self.expand(self.symbols)
+        store, begins = written
+        sizes = np.ones(len(self.symbols), np.int64)
+        rule = self.symbols >= self.terminals
+        sizes[rule] = self.lengths[self.symbols[rule] - self.terminals]
+        past = np.cumsum(sizes)
+        return store[np.repeat(begins[self.symbols] - (past - sizes), sizes) + np.arange(int(past[-1]) if len(past) else 0)]
 
     def read(self, doc: int, start: int = 0, count: int | None = None) -> np.ndarray:
         """Ids of one document from start on, decoding only the symbols that cover them."""
