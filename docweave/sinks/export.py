@@ -37,15 +37,46 @@ def state_digest(df: DataFrame, leave_out: tuple[str, ...] = ()) -> DataFrame:
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
-    """Writes `<name>_next` beside each table, then swaps them in and keeps the old as `<name>_prev`; a table already written is not written again."""
+    """Writes `<name>_next` beside each table, then swaps them in and keeps the old as `<name>_prev`.
+
+    A `<name>_next` that is there already, from a run that died, is taken only
+    if its contents are those of the table now to be written; else it is written anew.
+    """
     jvm = spark.sparkContext._jvm
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for name, df in tables.items():
-        if not fs.exists(path(f"{root}/{name}_next/_SUCCESS")):
-            df.write.mode("overwrite").parquet(f"{root}/{name}_next")
+        there = f"{root}/{name}_next"
+        if fs.exists(path(f"{there}/_SUCCESS")):
+            old = spark.read.parquet(there)
+            if sorted(old.columns) == sorted(df.columns) and state_digest(old).first() == state_digest(df).first():
+                continue
+        df.write.mode("overwrite").parquet(there)
     for name in tables:
         if fs.exists(path(f"{root}/{name}")):
             fs.delete(path(f"{root}/{name}_prev"), True)
             fs.rename(path(f"{root}/{name}"), path(f"{root}/{name}_prev"))
         fs.rename(path(f"{root}/{name}_next"), path(f"{root}/{name}"))
+
+
+def export_dataset(examples: DataFrame, path: str) -> None:
+    """Examples as a dataset folder: data/<template>/<split>/*.parquet, payloads as JSON strings, and the fields and splits in dataset_info.json."""
+    kept = examples.withColumn("split", F.coalesce("split", F.lit("unassigned"))).where("split <> 'cross_split'")
+    kept.repartition("template", "split").sortWithinPartitions("template", "split", "example_id").write.partitionBy("template", "split").mode("overwrite").parquet(f"{path}/data")
+    spark = examples.sparkSession
+    sizes = kept.groupBy("template", "split").agg(F.count("*").alias("num_examples"))
+    fields = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in examples.schema], "name string, dtype string")
+    info = sizes.agg(F.sort_array(F.collect_list(F.struct("template", "split", "num_examples"))).alias("splits"))  # one row a template and split
+    info.join(fields.agg(F.collect_list(F.struct("name", "dtype")).alias("features"))).coalesce(1).write.mode("overwrite").json(f"{path}/dataset_info.json")
+
+
+def export_statements(rows: DataFrame, path: str, table_name: str, per_file: int = 1000) -> None:
+    """INSERT statements, some rows a file, with strings quoted and nulls named; numbers and booleans stay bare."""
+    def literal(c: str, kind: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        plain = kind in ("int", "bigint", "smallint", "tinyint", "double", "float", "boolean") or kind.startswith("decimal")
+        return F.coalesce(text if plain else F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
+
+    values = F.concat_ws(", ", *[literal(c, k) for c, k in rows.dtypes])
+    said = F.concat(F.lit(f"INSERT INTO {table_name} ({', '.join(rows.columns)}) VALUES ("), values, F.lit(");"))
+    rows.select(said.alias("value")).write.option("maxRecordsPerFile", per_file).mode("overwrite").text(path)

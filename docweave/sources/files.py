@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docweave.sources.parsers import ParseError, parse_bytes
+from docweave.sources.parsers import HtmlRules, ParseError, parse_bytes
 
 UNITS = "array<struct<ord:int,kind:string,text:string,heading_path:array<string>>>"
 PARSED = f"path string, mime string, title string, meta map<string,string>, units {UNITS}, error string"
@@ -35,35 +36,52 @@ def discover(paths: list[str]) -> list[tuple[str, int, str]]:
     return [(f, n, top) for f, (n, top) in found.items()]
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            row = {"path": path, "mime": None, "title": None, "meta": None, "units": None, "error": None}
-            try:
-                p = parse_bytes(path, data or b"")
-                row |= {"mime": p.mime, "title": p.title, "meta": [(str(k), str(v)) for k, v in p.meta.items()],
-                        "units": [{"ord": i, "kind": u.kind, "text": u.text, "heading_path": u.heading_path} for i, u in enumerate(p.units)]}
-            except (ParseError, ValueError, RecursionError) as e:
-                row["error"] = str(e)[:500]
-            unit = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("heading_path", pa.list_(pa.string()))])
-            kinds = [pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.list_(unit), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([row[k]], t) for k, t in zip(row, kinds, strict=True)], list(row))
+def _parsed(rules: HtmlRules):
+    unit = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("heading_path", pa.list_(pa.string()))])
+    kinds = [pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.list_(unit), pa.string()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, data, beside in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                row = {"path": path, "mime": None, "title": None, "meta": None, "units": None, "error": None}
+                try:
+                    p = parse_bytes(path, data or b"", {k: v.decode("utf-8", "replace") for k, v in beside or ()}, rules)
+                    row |= {"mime": p.mime, "title": p.title, "meta": [(str(k), str(v)) for k, v in p.meta.items()],
+                            "units": [{"ord": i, "kind": u.kind, "text": u.text, "heading_path": u.heading_path} for i, u in enumerate(p.units)]}
+                except (ParseError, ValueError, RecursionError, yaml.YAMLError) as e:
+                    row["error"] = str(e)[:500]
+                yield pa.RecordBatch.from_arrays([pa.array([row[k]], t) for k, t in zip(row, kinds, strict=True)], list(row))
 
-def parse_contents(contents: DataFrame) -> DataFrame:
+    return run
+
+
+def _siblings(contents: DataFrame) -> DataFrame:
+    """(path, beside): the files that a JSON or YAML file's references name, by the names it uses."""
+    specs = contents.where(F.lower("path").rlike(r"\.(?:json|ya?ml)$"))
+    refs = F.regexp_extract_all(F.col("content").cast("string"), F.lit(r"\$ref['\"]?\s*:\s*['\"]?([^'\"#\s,}]+)"), F.lit(1))
+    named = specs.select("path", F.explode(F.array_distinct(refs)).alias("name"))
+    named = named.withColumn("name", F.regexp_replace("name", r"^\./", "")).withColumn("target", F.concat(F.regexp_extract("path", r"^(.*/|)[^/]*$", 1), "name"))
+    held = named.join(specs.select(F.col("path").alias("target"), "content"), "target")
+    return held.groupBy("path").agg(F.map_from_entries(F.collect_set(F.struct("name", "content"))).alias("beside"))
+
+
+def parse_contents(contents: DataFrame, rules: HtmlRules = HtmlRules()) -> DataFrame:
     """contents (path, content binary) parsed; a file that can't be read has an error instead of units."""
-    return contents.select("path", "content").mapInArrow(_parsed, PARSED)
+    rows = contents.select("path", "content").join(_siblings(contents), "path", "left").select("path", "content", "beside")
+    return rows.mapInArrow(_parsed(rules), PARSED)
+
 
+def read_files(spark: SparkSession, paths: list[str], rules: HtmlRules = HtmlRules()) -> DataFrame:
+    """Discovered files with origin, parsed. Each file is named to Spark's binary reader, which would hide some names in a folder.
 
-def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Discovered files with origin, parsed. Each file is named to Spark's binary reader, which would hide some names in a folder."""
+    Local paths are walked here; a listing made elsewhere goes through parse_contents.
+    """
     found = discover(paths)
     if not found:
         return spark.createDataFrame([], f"{PARSED}, input int, top string")
     origin = spark.createDataFrame([(f"file:{f}", n, t) for f, n, t in found], "path string, input int, top string")
     contents = spark.read.format("binaryFile").load([f for f, _, _ in found])
-    # As many rows as files were listed on the driver.
-    return parse_contents(contents).join(F.broadcast(origin), "path")
+    return parse_contents(contents, rules).join(origin, "path")
 
 
 def units(parsed: DataFrame) -> DataFrame:
@@ -77,8 +95,11 @@ def units(parsed: DataFrame) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType, key: str = "id") -> DataFrame:
-    """JSON lines that fit the schema, one for each key (the last line in the order of the raw text); a bad line is a row of nulls and goes."""
+    """JSON lines that fit the schema, one for each key, the last in the order of file name and line; a bad line is a row of nulls and goes."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     full = StructType([*schema.fields]).add("_bad", "string")
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path).cache()
-    good = rows.where(F.col("_bad").isNull() & F.col(key).isNotNull()).drop("_bad")
-    return good.dropDuplicates([key])
+    rows = lines.select("file", "block", "line", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    good = rows.where(F.col("r._bad").isNull() & F.col(f"r.{key}").isNotNull())
+    # Inside one block of a file the generated ids follow its lines.
+    last = good.groupBy(F.col(f"r.{key}").alias("k")).agg(F.max_by("r", F.struct("file", "block", "line")).alias("r"))
+    return last.select("r.*").drop("_bad")

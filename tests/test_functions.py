@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ def test_grounding():
     assert tx.ground("gateway retries twise", text, 85)[0] == "fuzzy"
     assert tx.ground("database migrations", text)[0] == "ungrounded"
     assert tx.ground("The gateway", text) == ("exact", [(0, 11), (56, 67)])
+    assert tx.ground("  The gateway ", text)[0] == "exact" and tx.ground(" ", text) == ("ungrounded", [])
+    assert tx.ground("aa", "aaaa") == ("exact", [(0, 2), (1, 3), (2, 4)])
+    assert tx.ground("STRASSE x", "in der Straße  x") == ("normalised", [(7, 16)])
     level, [(a, b)] = tx.ground("the  gateway’s cache", text)
     assert text[a:b] == "The GATEWAY's cache"
 
@@ -38,7 +42,12 @@ def test_named_values():
     assert tx.named_values("Applies to VCF 9.0. See 19.0 too", known) == ["9.0", "19.0"]
     assert tx.named_values("release 9.1.1.0", known) == ["9.1"]
     assert tx.named_values("9.0.1.2 of Cloud Edition", known) == ["9.0.1", "Cloud Edition"]
+    assert tx.named_values("an old vcf, VCF.local and CLOUD  edition", ["VCF", "Cloud Edition", "local"]) == ["VCF", "Cloud Edition"]
+    assert tx.named_values("Version 10.0.0.1", known) == [] and tx.named_values("", known) == []
     assert tx.with_parents(["9.1.1.0"], ["9.1", "9.0"]) == ["9.1", "9.1.1.0"]
+    assert tx.with_parents(["9.1.1.0"], ["9.1.1.0", "19.1", "9.1"]) == ["9.1.1.0", "9.1"]
+    assert tx.with_parents(["Box 9.0.2"], ["Box 9.0"]) == ["Box 9.0.2"]
+    assert tx.widened("9.1.1.0", ["9.1"]) == ["9.1", "9.1.1.0"] and tx.widened("9.0", known) == "9.0" and tx.widened({"a": 1}, known) == {"a": 1}
 
 
 def test_name_keys(spark):
@@ -49,21 +58,56 @@ def test_name_keys(spark):
     assert tx.token_set_ratio("alpha", "omega") < 60
 
 
-def test_roles_and_splits():
-    assert tx.structural_role([("list", 10), ("paragraph", 4)], ordered=True) == "procedure"
-    assert tx.structural_role([("table", 10)]) == "reference"
-    assert tx.structural_role([("code", 5), ("paragraph", 5)]) is None
-    assert tx.structural_role([("heading", 3)]) == "heading"
-    assert tx.split_section([5] + [10] * 7, 40) == [(0, 4), (4, 8)]
-    assert len(tx.split_section([10] * 12, 35)) == 4
-    assert tx.split_section([50, 10, 10], 1000) == [(0, 3)]
+def test_roles():
+    assert tx.structural_role([("list", 10, True), ("paragraph", 4, False)]) == "procedure"
+    assert tx.structural_role([("list", 10, False), ("paragraph", 4, False)]) is None
+    assert tx.structural_role([("table", 10, False)]) == "reference"
+    assert tx.structural_role([("code", 6, False), ("paragraph", 5, False)]) == "example"
+    assert tx.structural_role([("code", 5, False), ("paragraph", 5, False)]) is None
+    assert tx.structural_role([("heading", 3, False)]) == tx.structural_role([]) == "heading"
 
 
-def test_fit_text_loses_nothing():
+def test_sections_split_into_few_even_pieces_that_fit():
+    assert tx.split_section([5] + [10] * 7, 40) == [(0, 4), (4, 8)]
+    assert tx.split_section([6, 6, 6], 10) == [(0, 1), (1, 2), (2, 3)]
+    assert len(tx.split_section([10] * 12, 35)) == 4
+    assert tx.split_section([50, 10, 10], 1000) == [(0, 3)] and tx.split_section([], 10) == []
+    assert tx.split_section([90, 10], 20) == [(0, 1), (1, 2)]
+    units = [("paragraph", "t"), ("paragraph", "Run this:"), ("code", "t"), ("paragraph", "t")]
+    assert tx.split_section([10] * 4, 30, [i for i, u in enumerate(units) if tx.leads_on(*u)]) == [(0, 3), (3, 4)]
+    assert tx.split_section([10] * 4, 20, [0]) == [(0, 2), (2, 4)]
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes, cap = [rng.randint(1, 40) for _ in range(rng.randint(1, 20))], rng.randint(5, 80)
+        spans = tx.split_section(sizes, cap, rng.sample(range(len(sizes)), len(sizes) // 3))
+        assert [i for a, b in spans for i in range(a, b)] == list(range(len(sizes)))
+        assert all(sum(sizes[a:b]) <= cap or b - a == 1 for a, b in spans)
+
+
+def test_fit_text_keeps_lines_and_loses_only_breaks():
+    assert tx.fit_text("A b.\n\nC d.", 100) == ["A b.\n\nC d."]
+    assert tx.fit_text("aaaa bbbb\ncccc dddd", 3) == ["aaaa bbbb", "cccc dddd"]
     text = "One sentence here. " * 40 + "x" * 900 + "\n" + "word " * 200
-    parts = tx.fit_text(text, 50)
-    assert all(len(p) <= 200 for p in parts)
-    assert "".join("".join(parts).split()) == "".join(text.split())
+    for parts in (tx.fit_text(text, 50), tx.split_unit("paragraph", text, 50), tx.split_unit("code", text, 50)):
+        assert all(len(p) <= 200 for p in parts)
+        assert "".join("".join(parts).split()) == "".join(text.split())
+    assert tx.split_unit("paragraph", "One here. Two there. Three.", 5) == ["One here. Two there.", "Three."]
+    assert tx.split_unit("heading", "x" * 99, 5) == ["x" * 99]
+
+
+def test_lines_of_spans():
+    text = "one\ntwo three\nfour"
+    assert [tx.line_of(text, a, b) for a, b in ((0, 3), (4, 7), (8, 13), (5, 15), (18, 18))] == ["one", "two three", "two three", "two three\nfour", "four"]
+
+
+def test_renders_caps_and_languages(spark):
+    assert tx.chunk_cap(512, 32000, 0.25, 2000, 0.5) == 256 and tx.chunk_cap(1, 1, 0.1, 1, 0.1) == 1
+    rows = spark.createDataFrame([(["A", "B"], "T", "x"), ([], "", "y"), (None, None, None)], "p array<string>, t string, x string")
+    assert [r.c for r in rows.select(tx.chunk_text(F.col("p"), F.col("t"), F.col("x")).alias("c")).collect()] == ["A > B\nT\nx", "y", ""]
+    ents = spark.createDataFrame([("n", "k", "d"), ("n", "k", None)], "n string, k string, d string")
+    assert [r.c for r in ents.select(tx.entity_text(F.col("n"), F.col("k"), F.col("d")).alias("c")).collect()] == ["n (k): d", "n (k)"]
+    texts = spark.createDataFrame([("the cat and the dog",), ("der Hund und die Katze",), ("zzz",), ("le chat et les chiens",)], "t string")
+    assert [r.l for r in texts.select(tx.language(F.col("t"), ["en", "de"], "xx").alias("l")).collect()] == ["en", "de", "xx", "xx"]
 
 
 @pytest.mark.parametrize("k, n, p, low", [(7, 8, 0.5, True), (6, 8, 0.5, False), (30, 100, 0.15, True), (160, 1000, 0.15, False), (200, 1000, 0.15, True)])

@@ -44,7 +44,7 @@ def test_markdown():
         ("heading", "Guide", ["Guide"]), ("paragraph", "Intro text", ["Guide"]), ("heading", "Steps", ["Guide", "Steps"]), ("list", "1. first", ["Guide", "Steps"]),
         ("code", "# not a heading", ["Guide", "Steps"]), ("table", "| a | b |", ["Guide", "Steps"]), ("heading", "Setext", ["Guide", "Setext"]), ("paragraph", "quoted", ["Guide", "Setext"]),
     ]
-    assert parsers.front_matter("---\n- a\n---\nx")[0] == {}
+    assert parsers.front_matter("---\n- a\n---\nx") == ({}, "---\n- a\n---\nx") and parsers.front_matter("---\na: [\n---\n")[0] == {} and parsers.front_matter("x\n---\na: b\n---\n")[0] == {}
 
 
 def test_html():
@@ -125,3 +125,56 @@ def test_landing_stream(spark, tmp_path):
     for _ in range(2):
         landing.watch(spark, str(tmp_path / "in"), str(tmp_path / "cp"), lambda df, n: seen.extend(r.units[0].text for r in df.collect())).awaitTermination(60)
     assert seen == ["hello"]
+
+
+def test_html_rules_and_stated_dates():
+    html = """<html><head><meta name="date" content="2020-01-01"><script type="application/ld+json">{"@graph": [{"@type": "x", "dateModified": "2024-05-06", "name": "N"}, {"name": "other"}]}</script></head>
+    <body><p>before</p><div role="main" class="a b"><p class="note">go</p><p>stay</p><p>see <img alt="no"> this</p><ul><li>x</ul></div><p>after</p></body></html>"""
+    p = parsers.parse_html(html, parsers.HtmlRules(strip=("p.note",)))
+    assert [u.text for u in p.units] == ["stay", "see this", "- x"]
+    assert p.meta == {"dateModified": "2024-05-06", "name": "N"}
+    assert [u.text for u in parsers.parse_html(html, parsers.HtmlRules(main=("#none",))).units][0] == "before"
+
+
+def test_dispatch():
+    kinds_ = {"a.md": b"x", "a.json": b'{"a": 1}', "a.yaml": b"openapi: 3.0.0", "a.raw": b" <!DOCTYPE html><p>", "a.csv": b"x", "a.bin": b"x", "a.pdf": b"", "b": b"%PDF-1"}
+    assert [parsers.kind_of(n, d) for n, d in kinds_.items()] == ["markdown", None, "spec", "html", "plain", None, "pdf", "pdf"]
+    assert parsers.parse_bytes("x.txt", b"a\xff\n\nb").units[1].text == "b"
+
+
+def test_openapi_reads_files_beside_it_and_yaml_words_stay(spark):
+    spec = "openapi: 3.0.0\ninfo: {title: yes}\npaths:\n  /a:\n    get: {responses: {200: {$ref: './shared.yaml#/ok'}}, tags: [on]}\n"
+    rows = [("dir/api.yaml", spec.encode()), ("dir/shared.yaml", b"ok: {description: all is well}"), ("other/shared.yaml", b"ok: {description: wrong}")]
+    got = {r.path: r for r in files.parse_contents(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    texts = [u.text for u in got["dir/api.yaml"].units]
+    assert any("| 200 | all is well |" in t for t in texts) and texts[0] == "yes" and "on" in texts
+    assert got["dir/shared.yaml"].error
+
+
+def test_a_dead_run_is_not_published(spark, tmp_path):
+    root = str(tmp_path / "served")
+    spark.range(3).write.parquet(f"{root}/t_next")
+    export.publish(spark, {"t": spark.range(99)}, root)
+    assert spark.read.parquet(f"{root}/t").count() == 99
+    spark.range(5).write.parquet(f"{root}/t_next")
+    export.publish(spark, {"t": spark.range(5)}, root)
+    assert spark.read.parquet(f"{root}/t").count() == 5
+
+
+def test_datasets_and_statements(spark, tmp_path):
+    df = spark.createDataFrame([("qa", "train", "1", "{}"), ("qa", "cross_split", "2", "{}"), ("qa", None, "3", "it's")], "template string, split string, example_id string, payload string")
+    export.export_dataset(df, str(tmp_path / "ds"))
+    assert spark.read.parquet(str(tmp_path / "ds/data")).count() == 2
+    info = spark.read.json(str(tmp_path / "ds/dataset_info.json")).first()
+    assert [(s.split, s.num_examples) for s in info.splits] == [("train", 1), ("unassigned", 1)] and len(info.features) == 4
+    export.export_statements(df.select("example_id", "split", "payload"), str(tmp_path / "sql"), "t", 1)
+    said = sorted(r.value for r in spark.read.text(str(tmp_path / "sql")).collect())
+    assert said[2] == "INSERT INTO t (example_id, split, payload) VALUES ('3', NULL, 'it''s');"
+
+
+def test_the_last_record_of_a_key_stays(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text("".join(f'{{"id": "k{i % 5}", "n": {i}}}\n' for i in range(1000)))
+    from pyspark.sql.types import LongType, StringType, StructType
+
+    got = files.read_records(spark, str(tmp_path / "r.jsonl"), StructType().add("id", StringType()).add("n", LongType()))
+    assert sorted((r.id, r.n) for r in got.collect()) == [(f"k{i}", 995 + i) for i in range(5)]
