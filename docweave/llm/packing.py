@@ -279,7 +279,7 @@ def _epoch(params: Packing, epoch: int):
     return run
 
 
-def _placed(ordered: DataFrame, begin: DataFrame | None, params: Packing, level: int) -> DataFrame:
+def _placed(ordered: DataFrame, begin: DataFrame | None, params: Packing, level: int, blocks: int) -> DataFrame:
     """(block, bin, turn, place, room): where each piece of each block goes, and the room of its sequence; begin holds (block, people) to start from."""
     lists = ordered.groupBy("block").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", F.col("length").cast("int").alias("n")))), lambda x: x["n"]).alias("sizes"))
     if begin is None:
@@ -289,7 +289,8 @@ def _placed(ordered: DataFrame, begin: DataFrame | None, params: Packing, level:
     state = lists.select("block", F.explode(F.sequence(F.lit(0), F.lit(params.islands - 1))).alias("island"), "sizes", "people", F.lit(None).cast(GROUPS).alias("elite"))
     shape = f"block long, island int, sizes array<int>, people {GROUPS}, bins int, fill double"
     for epoch in range(params.epochs):
-        state = state.repartition("block", "island").mapInArrow(_epoch(params, epoch), shape)
+        # An island is little data and much work, so there is a task for each, up to some thousands.
+        state = state.repartition(min(4096, blocks * params.islands), "block", "island").mapInArrow(_epoch(params, epoch), shape)
         state = scratch(state, f"islands-{level}-{epoch}")
         if epoch + 1 < params.epochs:
             elite = state.select("block", ((F.col("island") + 1) % params.islands).alias("island"), F.slice("people", 1, 1).alias("elite"))
@@ -314,7 +315,7 @@ def pack(parts: DataFrame, params: Packing = Packing()) -> DataFrame:
         if level:  # the sequences as they came are a packing to begin with
             groups = ordered.groupBy("block", "group").agg(F.sort_array(F.collect_list("place")).alias("places"))
             begin = groups.groupBy("block").agg(F.array(F.collect_list("places")).alias("people"))
-        joined = ordered.join(_placed(ordered, begin, params, level), ["block", "place"])
+        joined = ordered.join(_placed(ordered, begin, params, level, blocks), ["block", "place"])
         out = joined.select(
             *parts.columns, "block", "room", (F.lit(level) * F.lit(1 << 56) + F.col("block") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id"),
             (F.sum("length").over(inside) - F.col("length")).alias("offset"))
