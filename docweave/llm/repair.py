@@ -41,6 +41,8 @@ from docweave.llm.tokens import encoder
 from docweave.storage import scratch, table
 
 MAGIC = b"RPR1"
+#: By how much the floor falls from one round to the next.
+FALL = 8
 
 
 @dataclass(frozen=True)
@@ -120,7 +122,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) ->
         if not len(pairs):
             if floor == params.least:
                 break
-            floor = max(params.least, min(floor - 1, most) // 2)
+            floor = max(params.least, min(floor - 1, most) // FALL)
             continue
         # Of overlapping places the more frequent pair wins. One pair's places don't overlap, so the most frequent keeps all of its.
         best = np.full(len(symbols) + 1, len(pairs), np.int64)
@@ -143,7 +145,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, params: Grammar = Grammar()) ->
             open_[np.maximum(take - 1, 0)] = True
             open_ = open_[stay]
         elif len(take) < len(symbols) >> 5:
-            floor = max(params.least, floor // 2)
+            floor = max(params.least, floor // FALL)
         symbols, last = symbols[stay], last[stay]
         rules.append(np.stack([(pairs[used] >> np.uint64(32)).astype(np.uint32), pairs[used].astype(np.uint32)], axis=1))
         total += len(used)

@@ -69,7 +69,7 @@ class WordEncoder:
     for words is bounded: when it is full, it starts over with the block's.
     """
 
-    def __init__(self, path: str, words: int = 600_000, end_id: int = 1):
+    def __init__(self, path: str, words: int = 400_000, end_id: int = 1):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,7 +162,7 @@ class WordEncoder:
         past = offsets[1:] + np.arange(1, len(texts) + 1)  # words up to each text's end id
         return out, np.diff(np.concatenate(([0], done[past - 1])))
 
-    def blocks(self, texts: pa.Array, size: int = 6 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def blocks(self, texts: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, sizes) of texts, about size bytes at a time."""
         lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths)
