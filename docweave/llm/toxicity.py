@@ -1,41 +1,55 @@
 """Weighted finite-state pattern grammar: toxicity of clauses, not of isolated words.
 
-Five lexical transducers read words and write marks: INSULT (stems learned from
-labelled rows), THREAT, TARGET, NEGATION and REPORT (reported speech; fixed
-word lists). They are composed with a clause transducer whose states remember
-whether a target, a negation or reported speech stands in the clause before the
-matched word, or a target after it. It emits one of the clause patterns in
-PATTERNS for every insult or threat. A text's score is the logistic of the
-pattern weights, summed over log(1 + count); the weights are fitted on the
-labelled sample.
+A lexical transducer reads the words of a clause and writes marks: INSULT and
+WEAK (stems learned from labelled rows), THREAT, TARGET, NEGATION and REPORT
+(reported speech; fixed word lists), quote marks, or a dot. Four transducers over
+marks are composed with each other (fst.compose):
+
+- NEGATION rewrites an insult or a threat within three marks after a negation;
+- REPORT rewrites an insult inside quotes after a word of reported speech, and a
+  threat anywhere after one;
+- TARGET parts insults and threats with a target in their clause, before or after
+  them, from those without: it guesses at the word and only paths whose guess
+  comes true can end;
+- SCORE gives every pattern that is written its weight.
+
+The best path of a clause's marks through the composed transducer names the
+patterns of the clause. A text's score is the logistic of the pattern weights,
+summed over log(1 + matches); the weights are fitted on the labelled sample. So
+an insult that is negated, reported or aimed at somebody weighs differently
+from a bare one. A bare insult has a weight of its own, which the labels decide.
 
 Only clauses with an insult or a threat can emit anything, so a text is first
 scanned once for those; clauses around hits are then transduced in full.
 
 Learning takes a bounded sample of labelled rows (sample_rows of least id hash;
-equal texts count once); everything is scored. Labels, language, source and id
-are never inputs of a score.
+equal texts count once); everything is scored. Stems and patterns of the sample
+are counted in the cluster, so no text comes to the driver. Labels, language,
+source and id are never inputs of a score.
 
 Nulls and odd rows: a null or empty text gets the score of a text without
 matches; labels that are null or without a document teach nothing; repeated
-rows get equal scores; with no labelled rows the seed weights stand; an empty
-table gives an empty result.
+rows get equal scores; of equally good stems the shorter one stands, and of
+equally good paths the one whose arcs were added first; very long texts are
+scanned whole; columns of the user may have any name; with no labelled rows the
+seed weights stand; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.storage import table
+from docweave.llm.fst import Fst, compose
+from docweave.storage import scratch, table
 
 # Words of the transducers that are not learned.
 THREATS = "kill hurt stab shoot strangle murder destroy töten umbringen schlagen tuer frapper matar golpear".split()
@@ -55,6 +69,7 @@ LEAST_WORDS = 400
 WORD = re.compile(r"[^\W\d_]+|[\"“”«»„.!?;\n]")
 CLAUSE_END = re.compile(r"[.!?;\n]")
 CLAUSE_ENDS = frozenset(".!?;\n")
+DOTS = re.compile(r"\.{4,}")
 QUOTES = frozenset("\"“”«»„")
 
 
@@ -70,7 +85,70 @@ class Learning:
     mean_times: float = 1.8
     precision: float = 0.96
     weak_precision: float = 0.88
-    max_stems: int = 400
+
+
+#: What the composed transducers write for each pattern.
+WRITTEN = dict(zip("BAikVhmJ", PATTERNS, strict=True))
+MARKS = ".TNRQIJH"
+#: Marks after a negation that it reaches.
+REACH = 3
+
+
+def negation() -> Fst:
+    out = Fst(0, final=dict.fromkeys(range(REACH + 1), 0.0))
+    for left in range(REACH + 1):
+        for m in MARKS:
+            after = REACH if m == "N" else max(0, left - 1)
+            out.arc(left, m, {"I": "i", "H": "h"}.get(m, m) if left else m, after)
+    return out
+
+
+def report() -> Fst:
+    out = Fst("plain", final=dict.fromkeys(("plain", "said", "quoted", "open"), 0.0))
+    for state in ("plain", "said", "quoted", "open"):  # open: inside quotes, nobody said to speak
+        for m in MARKS + "ih":
+            after, write = state, m
+            if m == "R":
+                after = "quoted" if state in ("quoted", "open") else "said"
+            elif m == "Q":
+                after = {"plain": "open", "open": "plain", "said": "quoted", "quoted": "said"}[state]
+            elif m in "Ii" and state == "quoted":
+                write = "k"
+            elif m in "Hh" and state in ("said", "quoted"):
+                write = "m"
+            out.arc(state, m, write, after)
+    return out
+
+
+def target() -> Fst:
+    """States: none yet; seen; ahead (promised, so that only a target leads to an end); never (denied, so that no target may come)."""
+    out = Fst("none", final={"none": 0.0, "seen": 0.0, "never": 0.0})
+    for m in MARKS + "ihkm":
+        aimed, bare = {"I": ("A", "B"), "H": ("V", ".")}.get(m, (m, m))
+        for state in ("none", "seen", "ahead", "never"):
+            if m == "T":
+                if state != "never":
+                    out.arc(state, m, m, "seen")
+            elif aimed == bare:
+                out.arc(state, m, m, state)
+            elif state == "none":
+                out.arc(state, m, aimed, "ahead")
+                out.arc(state, m, bare, "never")
+            else:
+                out.arc(state, m, bare if state == "never" else aimed, state)
+    return out
+
+
+def scores(weights: dict[str, float]) -> Fst:
+    out = Fst(0, final={0: 0.0})
+    for m in MARKS + "ihkmABV":
+        out.arc(0, m, m if m in WRITTEN else ".", 0, weights.get(WRITTEN.get(m, ""), 0.0))
+    return out
+
+
+def clause_transducer(weights: dict[str, float] | None = None) -> Fst:
+    """NEGATION, REPORT, TARGET and SCORE in one."""
+    return reduce(compose, (negation(), report(), target(), scores(weights or {})))
 
 
 @dataclass
@@ -93,6 +171,8 @@ class Grammar:
         self.lengths = sorted({len(s) for s in [*self.stems, *self.weak]})
         self.by_stem = {s: "J" for s in self.weak} | {s: "I" for s in self.stems}
         heads = [re.escape(s) for s in self.by_stem] + [rf"{re.escape(w)}\b" for w in THREATS]
+        self.transducer = clause_transducer(dict(zip(PATTERNS, self.weights[1:].tolist(), strict=True)))
+        self.known: dict[str, tuple[int, ...]] = {}
         self.trigger = re.compile(rf"(?<![^\W\d_])(?:{tree(sorted(set(heads)))})") if heads else None
 
     def lexical(self, word: str) -> str:
@@ -106,39 +186,16 @@ class Grammar:
                 return found
         return self.marks.get(word, ".")
 
-    def clause(self, marks: str, counts: list[int]) -> None:
-        """The clause transducer over one clause's marks; adds to the pattern counts."""
-        counts[7] += marks.count("J")
-        target = negated = reported = False
-        ahead = [False] * (len(marks) + 1)
-        for i in range(len(marks) - 1, -1, -1):
-            ahead[i] = ahead[i + 1] or marks[i] == "T"
-        quoted = False
-        for i, m in enumerate(marks):
-            if m == "T":
-                target = True
-            elif m == "N":
-                negated = True
-            elif m == "R":
-                reported = True
-            elif m == "Q":
-                quoted = not quoted
-            elif m == "I":
-                if reported and quoted:
-                    counts[3] += 1
-                elif negated and marks.rfind("N", 0, i) >= i - 3:
-                    counts[2] += 1
-                elif target or ahead[i]:
-                    counts[1] += 1
-                else:
-                    counts[0] += 1
-            elif m == "H":
-                if reported:
-                    counts[6] += 1
-                elif negated:
-                    counts[5] += 1
-                elif ahead[i]:
-                    counts[4] += 1
+    def clause(self, marks: str) -> tuple[int, ...]:
+        """How often the best path of a clause's marks writes each pattern."""
+        # What a mark does never reaches over more than REACH dots, so longer runs of dots are alike.
+        short = DOTS.sub("." * (REACH + 1), marks)
+        if short not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            _, written = self.transducer.best(short)
+            self.known[short] = tuple(map(written.count, WRITTEN))
+        return self.known[short]
 
     def patterns(self, text: str | None) -> list[int]:
         """How often each pattern is matched in the whole text."""
@@ -153,7 +210,8 @@ class Grammar:
             begin = max(low.rfind(c, done, hit.start()) for c in CLAUSE_ENDS) + 1 or done
             end = CLAUSE_END.search(low, hit.end())
             done = end.start() if end else len(low)
-            self.clause("".join(map(self.lexical, WORD.findall(low, begin, done))), counts)
+            found = self.clause("".join(map(self.lexical, WORD.findall(low, begin, done))))
+            counts = [a + b for a, b in zip(counts, found, strict=True)]
         return counts
 
     def features(self, counts: np.ndarray, chars: np.ndarray) -> np.ndarray:
@@ -175,29 +233,29 @@ def tree(patterns: list[str]) -> str:
     return "|".join(f"{h}(?:{'|'.join(x[1:] for x in sorted(xs, key=len))})" if h != "\\" else "|".join(xs) for h, xs in sorted(heads.items()))
 
 
-def learn_stems(rows: list[tuple[str, int]], params: Learning = Learning()) -> tuple[list[str], list[str]]:
-    """Stems (word beginnings) that mark toxic texts, strong and weak; rows: text, label.
+def stem_counts(text: str, params: Learning) -> Counter:
+    """How often each stem (word beginning) comes in a text."""
+    stems: Counter = Counter()
+    for w, c in Counter(w for w in WORD.findall(text.lower()) if len(w) >= params.stem_lengths[0]).items():
+        for n in params.stem_lengths:
+            if n <= len(w):
+                stems[w[:n]] += c
+    return stems
+
 
+def choose_stems(counts: dict[str, tuple[int, int, int, int, int]], params: Learning = Learning()) -> tuple[list[str], list[str]]:
+    """Stems that mark toxic texts, strong and weak.
+
+    counts: of each stem the toxic and the harmless texts that hold it, those
+    that hold it twice, and its times in toxic texts (six a text at most).
     Strong: hardly any harmless text holds it. Weak: hardly any harmless text
     holds it twice.
     """
-    once, twice, times = (Counter(), Counter()), (Counter(), Counter()), Counter()
-    for text, label in rows:
-        words = Counter(w for w in WORD.findall(text.lower()) if len(w) >= params.stem_lengths[0])
-        stems: Counter = Counter()
-        for w, c in words.items():
-            for n in params.stem_lengths:
-                if n <= len(w):
-                    stems[w[:n]] += c
-        once[label].update(stems.keys())
-        twice[label].update(s for s, c in stems.items() if c > 1)
-        if label:
-            times.update({s: min(c, 6) for s, c in stems.items()})
 
     def shortest(good: dict[str, int]) -> dict[str, int]:
         """Of a stem and its longer forms, the one that is as long as it can be without losing texts."""
         kept: dict[str, int] = {}
-        for s in sorted(good, key=len):
+        for s in sorted(good, key=lambda s: (len(s), s)):
             short = next((s[:n] for n in params.stem_lengths if n < len(s) and s[:n] in kept), None)
             if short is None:
                 kept[s] = good[s]
@@ -207,27 +265,23 @@ def learn_stems(rows: list[tuple[str, int]], params: Learning = Learning()) -> t
         return kept
 
     strong, weak = {}, {}
-    for s, pos in once[1].items():
-        neg, pos2, neg2 = once[0][s], twice[1][s], twice[0][s]
-        if pos >= params.least_support and pos >= params.precision * (pos + neg) and (pos >= params.support or times[s] >= params.mean_times * pos):
+    for s, (pos, neg, pos2, neg2, times) in counts.items():
+        if pos >= params.least_support and pos >= params.precision * (pos + neg) and (pos >= params.support or times >= params.mean_times * pos):
             strong[s] = pos
-        elif pos2 >= params.least_support + 1 and pos2 >= params.weak_precision * (pos2 + neg2) and times[s] >= 2 * pos:
+        elif pos2 >= params.least_support + 1 and pos2 >= params.weak_precision * (pos2 + neg2) and times >= 2 * pos:
             weak[s] = pos2
     weak = shortest(weak)
     longer = lambda s: any(s[:n] in weak for n in params.stem_lengths if n < len(s))
     strong = shortest({s: c for s, c in strong.items() if not longer(s)})
-    order = lambda d: sorted(d, key=lambda s: (-d[s], s))[: params.max_stems]
+    order = lambda d: sorted(d, key=lambda s: (-d[s], s))
     return order(strong), order(weak)
 
 
-def fit(rows: list[tuple[str, int]], params: Learning = Learning()) -> Grammar:
-    """Stems and pattern weights from labelled rows."""
-    rows = [(t, y) for t, y in dict.fromkeys((t, y) for t, y in rows if t and y in (0, 1))]
-    grammar = Grammar(*learn_stems(rows, params))
-    labels = np.array([y for _, y in rows], float)
-    if len(rows) < 20 or labels.min() == labels.max():
+def fitted(grammar: Grammar, counts: np.ndarray, chars: np.ndarray, labels: np.ndarray) -> Grammar:
+    """The grammar with weights fitted to the patterns and labels of some texts."""
+    if len(labels) < 20 or labels.min() == labels.max():
         return grammar
-    x = grammar.features(np.array([grammar.patterns(t) for t, _ in rows]), np.array([len(t) for t, _ in rows]))
+    x = grammar.features(counts, chars)
     prior = np.array(SEED_WEIGHTS)
     w = prior.copy()
     pull = np.full(len(w), 0.5)
@@ -239,17 +293,40 @@ def fit(rows: list[tuple[str, int]], params: Learning = Learning()) -> Grammar:
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    grammar.weights = w
-    return grammar
+    return Grammar(grammar.stems, grammar.weak, w)
+
+
+def _stems(params: Learning):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, label in zip(batch.column("t"), batch.column("y").to_pylist(), strict=True):
+                found = stem_counts(text.as_py(), params)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(found), pa.string()), pa.array(np.full(len(found), label, np.int32)), pa.array(list(found.values()), pa.int64())], ["stem", "y", "c"])
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", params: Learning = Learning()) -> Grammar:
-    """A grammar from at most sample_rows labelled documents, those of least id hash."""
-    named = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_i"), F.col(label_col).cast("int").alias("_y"))
-    bound = named.select("_i", "_y", F.xxhash64("_i").alias("_h")).orderBy("_h", "_i").limit(params.sample_rows).select("_i", "_y")
-    # The bound of the broadcast side is sample_rows.
-    rows = docs.join(F.broadcast(bound), F.col(id_col) == F.col("_i")).where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"), "_y", "_i")
-    return fit([(r["t"], r["_y"]) for r in sorted(rows.collect(), key=lambda r: (r["_i"], r["t"]))], params)
+    """A grammar from at most sample_rows labelled documents, those of least id hash.
+
+    What comes to the driver is bounded by the sample: stems that enough of its
+    toxic texts hold, and eight numbers for each of its texts.
+    """
+    named = labels.where(F.col(f"`{label_col}`").isin(0, 1) & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").cast("int").alias("y"))
+    bound = named.distinct().select("i", "y", F.xxhash64("i").alias("h")).orderBy("h", "i", "y").limit(params.sample_rows).select("i", "y")
+    texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t")).where("t <> ''")
+    # The bound of the broadcast side is sample_rows. Equal texts count once, so repeated rows don't add up.
+    sample = scratch(texts.join(F.broadcast(bound), "i").groupBy(F.md5("t").alias("m"), "y").agg(F.first("t").alias("t")), "toxicity-sample")
+    each = sample.select("t", "y").mapInArrow(_stems(params), "stem string, y int, c long")
+    sums = each.groupBy("stem").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"), F.count_if((F.col("y") == 1) & (F.col("c") > 1)).alias("pos2"),
+        F.count_if((F.col("y") == 0) & (F.col("c") > 1)).alias("neg2"), F.sum(F.col("y") * F.least("c", F.lit(6))).alias("times"))
+    counts = {r["stem"]: tuple(r)[1:] for r in sums.where(F.col("pos") >= params.least_support).collect()}
+    grammar = Grammar(*choose_stems(counts, params))
+    rows = score(sample.select("t", "y", F.char_length("t").alias("n")), grammar, ["y", "n"], "t").collect()
+    rows.sort(key=tuple)  # sums of floating point follow one order
+    return fitted(grammar, np.array([[r[p] for p in PATTERNS] for r in rows]).reshape(-1, len(PATTERNS)), np.array([r["n"] for r in rows]), np.array([float(r["y"]) for r in rows]))
 
 
 def _score(grammar):
@@ -268,7 +345,7 @@ def _score(grammar):
 
 def score(docs: DataFrame, grammar: Grammar, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns in keep, the score, and the count of every pattern."""
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("_text"))
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").cast("string").alias("_text"))
     kinds = ", ".join(f"_k{i} {inner.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keep)))
     shared = docs.sparkSession.sparkContext.broadcast((grammar.stems, grammar.weak, grammar.weights))
     out = inner.mapInArrow(_score(shared), f"{kinds}, score double, {', '.join(f'{p} long' for p in PATTERNS)}")
