@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.ids import sha_id
+from docweave.operators.ordering import positions
 from docweave.operators.relational import first_per_key, top_per_key
 
 # ---- metadata and ownership ------------------------------------------------------------
@@ -63,9 +64,8 @@ def evenly(values: DataFrame, column: str, n: int) -> DataFrame:
     count = values.count()
     if count <= n:
         return values
-    wanted = [(i * count) // n for i in range(n)]
-    ranked = values.withColumn("_r", F.row_number().over(Window.orderBy(column)) - 1)
-    return ranked.where(F.col("_r").isin(wanted)).drop("_r")
+    wanted = [(i * count) // n + 1 for i in range(n)]
+    return positions(values, "place_", [column]).where(F.col("place_").isin(wanted)).drop("place_")
 
 
 def snippets(mentions: DataFrame, texts: DataFrame, width: int, n: int) -> DataFrame:
@@ -98,7 +98,8 @@ def context_prefix(chunks: DataFrame) -> DataFrame:
 
 def batches(items: DataFrame, size: int, *order: str, by: Sequence[str] = ()) -> DataFrame:
     """Items numbered in batches of a fixed size, over all items and not just those to be done."""
-    return items.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / size).cast("long"))
+    numbered = positions(items, "place_", order, by)
+    return numbered.withColumn("batch", F.floor((F.col("place_") - 1) / size).cast("long")).drop("place_")
 
 
 def verified_items(items: DataFrame, gates: DataFrame) -> DataFrame:
