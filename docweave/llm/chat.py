@@ -5,18 +5,23 @@ form passages: neighbouring lines of one level. Each passage is normalised
 (marks off, small letters, white space as one blank) and hashed, whole and line
 by line; so is every message's own text. Passages are joined to the earliest
 message of the conversation that has the same hash and comes before; the whole
-passage counts first, else its lines. A message replies to the original of its
-shallowest linked passage, the latest of several.
+passage counts first, then its lines that say enough, then the short ones. A
+message replies to the original of its shallowest linked passage, the latest of
+several. A passage that links to nothing isn't lost: it stands in `unlinked`.
 
 Only the first turn of each (conversation, hash) is kept, by a partial
 aggregate, so one very long conversation or one very common line never has to
 fit a task, and a lookup meets one row at most. Threads are found by pointer
 doubling over the links: a message's thread is the turn its chain of replies
-begins at. Rows are in reply order when sorted by conversation, thread, turn.
+begins at. `position` numbers the messages of a conversation in reply order
+(thread, then turn), by a range sort that splits long conversations.
 
 Nulls and odd rows: a null text is empty; messages without a conversation or
-turn are never linked; repeated rows stay, each with the same link; ties on a
-turn are linked to by their common turn; an empty table gives an empty result.
+turn are never linked, and null conversations are numbered as one; repeated rows
+stay, each with the same link; ties on a turn are linked to by their common
+turn and numbered in any order; a very long text is parsed whole, line by line;
+columns beside the four named ones may have any name and are left out; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.operators.ordering import positions
 from docweave.storage import scratch, table
 
 MARKED = re.compile(r"\s*((?:>[ \t]?)+)(.*)", re.S)
@@ -38,7 +44,7 @@ INTRODUCTION = re.compile(r"(?:\bwrote|\bsaid|\bschrieb(?:en)?|a écrit|\bescrib
 
 @dataclass(frozen=True)
 class Linking:
-    """min_chars: normalised characters of a single line that is told enough to be looked up."""
+    """min_chars: normalised characters from which on a single line says enough to be looked up before shorter ones."""
 
     min_chars: int = 12
     template: str = "<|{role}|>\n{text}"
@@ -78,16 +84,16 @@ def _hash(text: str) -> int:
 
 
 def hashes(text: str, params: Linking) -> list[int]:
-    """The hash of the whole text, then of its lines that say enough; none for an empty text."""
+    """The hash of the whole text, then of its lines, those that say enough first; none for an empty text."""
     whole = normalise(text)
     if not whole:
         return []
-    lines = [n for x in text.split("\n") if len(n := normalise(x)) >= params.min_chars]
-    return list(dict.fromkeys(_hash(x) for x in [whole, *lines]))
+    lines = [n for x in text.split("\n") if (n := normalise(x))]
+    return list(dict.fromkeys(_hash(x) for x in [whole, *sorted(lines, key=lambda n: len(n) < params.min_chars)]))
 
 
 def _parse(params: Linking):
-    passage = pa.struct([("level", pa.int32()), ("hashes", pa.list_(pa.int64()))])
+    passage = pa.struct([("level", pa.int32()), ("text", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,7 +102,7 @@ def _parse(params: Linking):
                 own, passages = parse(text.as_py())
                 owns.append(own)
                 units.append(hashes(own, params))
-                found.append([{"level": level, "hashes": hashes("\n".join(lines), params)} for level, lines in passages])
+                found.append([{"level": level, "text": "\n".join(lines), "hashes": hashes("\n".join(lines), params)} for level, lines in passages])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(owns, pa.string()), pa.array(found, pa.list_(passage)), pa.array(units, pa.list_(pa.int64()))],
                 [*batch.schema.names[:-1], "own", "passages", "units"])
@@ -105,7 +111,7 @@ def _parse(params: Linking):
 
 
 def quote_links(parsed: DataFrame) -> DataFrame:
-    """(conv, turn, reply_to, n_linked): one row for each message with a linked passage."""
+    """(conv, turn, reply_to, linked): one row for each message with a linked passage; linked holds the places of its linked passages."""
     known = parsed.where("conv IS NOT NULL AND turn IS NOT NULL")
     firsts = known.select("conv", "turn", F.explode("units").alias("h")).groupBy("conv", "h").agg(F.min("turn").alias("origin"))
     asked = known.where(F.size("passages") > 0).select("conv", "turn", F.posexplode("passages").alias("p", "passage")).select(
@@ -113,7 +119,7 @@ def quote_links(parsed: DataFrame) -> DataFrame:
     hits = asked.join(firsts, ["conv", "h"]).where("origin < turn")
     each = hits.groupBy("conv", "turn", "p", "level").agg(F.min_by("origin", "rank").alias("origin"))
     return each.groupBy("conv", "turn").agg(
-        F.max_by("origin", F.struct(-F.col("level"), "origin")).alias("reply_to"), F.count("*").alias("n_linked"))
+        F.max_by("origin", F.struct(-F.col("level"), "origin")).alias("reply_to"), F.collect_set("p").alias("linked"))
 
 
 def threads(links: DataFrame, rounds: int = 64) -> DataFrame:
@@ -131,20 +137,23 @@ def threads(links: DataFrame, rounds: int = 64) -> DataFrame:
 
 def conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", params: Linking = Linking()) -> DataFrame:
     """Every message without its quotes, with what it replies to, its thread, and its text as a chat turn."""
-    rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).cast("string").alias("text"))
+    rows = messages.select(*[F.col(f"`{c}`").alias(n) for c, n in ((conv_col, "conv"), (turn_col, "turn"), (role_col, "role"))], F.col(f"`{text_col}`").cast("string").alias("text"))
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("conv", "turn", "role"))
-    parsed = scratch(rows.mapInArrow(_parse(params), f"{kinds}, own string, passages array<struct<level:int,hashes:array<long>>>, units array<long>"), "parsed")
+    parsed = scratch(rows.mapInArrow(_parse(params), f"{kinds}, own string, passages array<struct<level:int,text:string,hashes:array<long>>>, units array<long>"), "parsed")
     links = scratch(quote_links(parsed), "quote-links")
     placed = links.join(threads(links), ["conv", "turn"])
     role = F.coalesce(F.col("role"), F.lit("user"))
     before, _, rest = params.template.partition("{role}")
     between, _, after = rest.partition("{text}")
-    return parsed.join(placed, ["conv", "turn"], "left").select(
+    linked = F.coalesce("linked", F.array().cast("array<int>"))
+    unlinked = F.filter("passages", lambda x, i: ~F.array_contains(linked, i))
+    joined = parsed.join(placed, ["conv", "turn"], "left").select(
+        "conv", "turn", "role", "own", F.size("passages").cast("long").alias("n_passages"), F.size(linked).cast("long").alias("n_linked"), "reply_to",
+        F.coalesce("thread", "turn").alias("thread"), F.transform(unlinked, lambda x: x["text"]).alias("unlinked"),
+        F.concat(F.lit(before), role, F.lit(between), F.col("own"), F.lit(after)).alias("chat"))
+    return positions(joined, "position", ["thread", "turn"], ["conv"]).select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), F.col("own").alias(text_col),
-        F.size("passages").cast("long").alias("n_passages"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        "reply_to", F.coalesce("thread", "turn").alias("thread"),
-        F.concat(F.lit(before), role, F.lit(between), F.col("own"), F.lit(after)).alias("chat"),
-    )
+        "n_passages", "n_linked", "reply_to", "thread", "position", "unlinked", "chat")
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

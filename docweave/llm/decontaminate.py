@@ -12,10 +12,15 @@ free.
 Items are a stated query set: they are read in blocks of bounded size, each
 block is broadcast, and all documents are scanned once per block.
 
-Nulls and odd rows: a null or empty text or item matches nothing; items of
-fewer than `min_chars` characters are too short to tell and match nothing;
-repeated items and repeated documents each get their own rows; null ids are
-kept; an empty table on either side gives an empty result.
+Items of fewer than `min_chars` characters leave no room for edits: they are
+found where they stand as whole words, exactly. Such a match says little, so it
+is reported, but a document isn't removed for it.
+
+Nulls and odd rows: a null or empty text or item matches nothing;
+repeated items and repeated documents each get their own rows; of places with
+equal distance the first counts; null ids are kept; very long texts are searched
+whole; columns of the user may have any name; an empty table on either side
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -78,14 +83,18 @@ def myers(peq: dict[str, int], m: int, text: str) -> tuple[int, int]:
 class Matcher:
     """All items of a block, ready to be searched in one pass over a text."""
 
-    def __init__(self, items: list[tuple[object, str]], budget: Budget):
+    def __init__(self, items: list[tuple[object, str]], budget: Budget, short: bool = True):
         import ahocorasick
 
         self.items = []
+        self.short: dict[str, list] = {}
         where: dict[str, list[tuple[int, int, int, int]]] = {}
         for item_id, raw in items:
             text = normalise(raw)
+            if not text or (len(text) < budget.min_chars and not short):
+                continue
             if len(text) < budget.min_chars:
+                self.short[text] = [*self.short.get(text, ()), item_id]
                 continue
             k = int(len(text) * budget.rate)
             count = max(2, k + 1 + (k + 1) % 2)
@@ -98,9 +107,9 @@ class Matcher:
         self.where = where
         self.pairs: dict[tuple[int, int], dict[str, int]] = {}
         self.automaton = ahocorasick.Automaton()
-        for piece in where:
+        for piece in {**where, **self.short}:
             self.automaton.add_word(piece, piece)
-        if where:
+        if where or self.short:
             self.automaton.make_automaton()
 
     def _pair_fits(self, text: str, n: int, start: int, a: int, b: int) -> bool:
@@ -118,19 +127,23 @@ class Matcher:
 
     def find(self, text: str) -> list[tuple[object, int, int, int]]:
         """(item, distance, start, end) for each item within its budget: its best place, the first of ties."""
-        if not self.where or not text:
+        if not (self.where or self.short) or not text:
             return []
         places: dict[int, list[int]] = {}
+        found = []
+        seen: set[str] = set()
         for last, piece in self.automaton.iter(text):
             begin = last + 1 - len(piece)
-            for n, offset, a, b in self.where[piece]:
+            if piece in self.short and piece not in seen and not (text[begin - 1 : begin].isalnum() or text[last + 1 : last + 2].isalnum()):
+                seen.add(piece)
+                found += [(item_id, 0, begin, last + 1) for item_id in self.short[piece]]
+            for n, offset, a, b in self.where.get(piece, ()):
                 at = begin - offset
                 known = places.setdefault(n, [])
                 if known and at in known[-8:]:
                     continue
                 if self._pair_fits(text, n, at + a, a, b):
                     known.append(at)
-        found = []
         for n, starts in places.items():
             item_id, pattern, k, ahead, back = self.items[n]
             best: tuple[int, int, int] | None = None
@@ -193,8 +206,8 @@ def _blocks(items: DataFrame, budget: Budget) -> Iterator[list[tuple[object, str
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", budget: Budget = Budget()) -> DataFrame:
     """(id, item, distance, start, end) for each document and each item in it; places count characters of the normalised text."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text")).where("text IS NOT NULL")
     id_type, item_type = (x.schema[c].dataType.simpleString() for x, c in ((rows, "id"), (items, "item")))
     schema = f"id {id_type}, item {item_type}, distance long, start long, end long"
     spark = docs.sparkSession
@@ -207,7 +220,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def _clean_only(items, budget: Budget, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items.value, budget)
+        matcher = Matcher(items.value, budget, short=False)
         for batch in batches:
             clean = [not matcher.find(normalise(t.as_py())) for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
@@ -216,8 +229,8 @@ def _clean_only(items, budget: Budget, at: int):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", budget: Budget = Budget()) -> DataFrame:
-    """The rows of docs that hold no item, in their own columns; nothing is shuffled."""
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    """The rows of docs that hold no item of min_chars or more, in their own columns; nothing is shuffled."""
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text")).where("text IS NOT NULL")
     out = docs
     for block in _blocks(items, budget):
         out = out.mapInArrow(_clean_only(docs.sparkSession.sparkContext.broadcast(block), budget, docs.columns.index(text_col)), docs.schema)

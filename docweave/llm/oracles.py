@@ -45,7 +45,7 @@ f7 AS (SELECT *, list_append(c6, greatest(0, n - list_sum(c6))) AS c FROM f),
 v(word, k) AS (VALUES {words}),
 tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(t), '[^{letters}]+')) AS word FROM d),
 runs AS (SELECT doc_id, k, count(*) AS c FROM tok JOIN v USING (word) GROUP BY doc_id, k),
-refs AS (SELECT lang, sum(n_words) AS words, [sum(c[1]), sum(c[2]), sum(c[3]), sum(c[4]), sum(c[5]), sum(c[6]), sum(c[7])] AS s FROM f7 WHERE lang IN ({langs}) AND n_words > 0 GROUP BY lang),
+refs AS (SELECT lang, sum(n_words) AS words, [sum(c[1]), sum(c[2]), sum(c[3]), sum(c[4]), sum(c[5]), sum(c[6]), sum(c[7])] AS s FROM f7 WHERE lang IN ({langs}) AND n_words > 0 GROUP BY lang HAVING sum(n_words) >= {limits.reference_words}),
 r AS (SELECT lang, words, list_transform(s, lambda x: x / list_sum(s)::DOUBLE) AS c FROM refs),
 rk AS (SELECT r.lang, k, sum(runs.c) / any_value(r.words)::DOUBLE AS q FROM runs JOIN f7 USING (doc_id) JOIN r ON r.lang = f7.lang GROUP BY r.lang, k),
 ro AS (SELECT lang, greatest(0.0, 1.0 - sum(q)) AS q FROM rk GROUP BY lang),
@@ -57,6 +57,6 @@ near AS (SELECT doc_id, min(cd) AS cd, min(wd) AS wd, bool_or(cd <= {limits.clas
   FROM dist JOIN f7 USING (doc_id) GROUP BY doc_id),
 base AS (SELECT f7.*, coalesce(n_repeat, 0) AS n_repeat, n_words < {limits.min_words} OR 100 * coalesce(n_repeat, 0) > 50 * n_words AS failed FROM f7 LEFT JOIN rep USING (doc_id))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat::BIGINT AS n_repeat_words, failed AS base_failed,
-       NOT failed AND ok AS kept, round(cd, 6) AS class_distance, round(wd, 6) AS word_distance
-FROM base JOIN near USING (doc_id)
+       NOT failed AND (coalesce(ok, false) OR (lang IS NOT NULL AND lang NOT IN (SELECT lang FROM refs))) AS kept, round(cd, 6) AS class_distance, round(wd, 6) AS word_distance
+FROM base LEFT JOIN near USING (doc_id)
 """

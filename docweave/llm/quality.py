@@ -6,19 +6,29 @@ tag, summed), by Jensen-Shannon distance. A document is kept if some language
 lies near enough in both, or is the nearest in one and the text too short for
 the other to mean anything.
 
+Every language tag of which there are `reference_words` words or more makes a
+reference. Its common words are a fixed list where there is one, else the most
+frequent words of its own documents. A document with a tag of which there is too
+little text for a reference is judged by the base rule alone, and so is every
+document if there is no reference at all; one without a tag must be near some
+reference.
+
 Nulls and odd rows: a null or empty text has no words and fails the base rule;
 a null language only keeps the row out of the references; repeated rows are
-judged each alone; an empty table gives an empty result. With no reference
-language at all, the base rule decides alone.
+judged each alone; of words equally frequent the first by letters is common;
+very long texts are counted whole; columns of the user may have any name; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docweave.llm.naming import fresh
 from docweave.storage import scratch, table
 
 # Common words of the reference languages.
@@ -37,6 +47,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SMALL = "[a-z]+"
 #: Classes counted by pattern in what SMALL leaves; white space, beyond ASCII and the rest (small letters, in the main) follow.
 CLASSES = [r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>@=+_/\\~^{}\[\]]"]
+#: What score adds to a row.
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"]
 LETTER = r"a-z\x{80}-\x{10FFFF}"
 
 
@@ -55,10 +67,30 @@ class Limits:
     word_allowance: float = 0.75
     #: The word histogram of a shorter text is too coarse to reject by.
     min_words_for_histogram: int = 120
+    #: Words of a language that make a reference, and its most frequent words where no list is fixed.
+    reference_words: int = 2000
+    learned_words: int = 34
+
+
+def _vocabulary(learned: Iterable[str] = ()) -> list[str]:
+    return sorted({w for words in COMMON_WORDS.values() for w in words} | set(learned))
 
 
-def _vocabulary() -> list[str]:
-    return sorted({w for words in COMMON_WORDS.values() for w in words})
+def learned_words(inner: DataFrame, limits: Limits) -> list[str]:
+    """The most frequent words of each language tag that has no fixed list.
+
+    Words are counted by partial aggregates; a few for each language come to the driver.
+    """
+    unlisted = inner.where(F.col("_lang").isNotNull() & ~F.col("_lang").isin(sorted(COMMON_WORDS)))
+    if not unlisted.head(1):
+        return []
+    words = unlisted.select("_lang", F.explode(F.split(F.lower("_text"), f"[^{LETTER}]+")).alias("word")).where("word <> ''")
+    counts = words.groupBy("_lang", "word").agg(F.count("*").alias("n"))
+    enough = counts.groupBy("_lang").agg(F.sum("n").alias("all")).where(F.col("all") >= limits.reference_words).select("_lang")
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.desc("n"), "word"))
+    # A word that is not among a thousandth of its language's words is none of the most frequent; so the ranking is over few rows.
+    often = counts.join(counts.groupBy("_lang").agg((F.sum("n") / 1000).alias("least")), "_lang").where("n >= least").join(enough, "_lang")
+    return sorted({r["word"] for r in often.withColumn("rank", rank).where(F.col("rank") <= limits.learned_words).select("word").collect()})
 
 
 def _alternatives(words: list[str]) -> str:
@@ -70,9 +102,9 @@ def _alternatives(words: list[str]) -> str:
     return f"(?:{'|'.join(parts)})" + ("?+" if "" in words else "")
 
 
-def features(docs: DataFrame, keep: list[str]) -> DataFrame:
+def features(docs: DataFrame, keep: list[str], learned: Iterable[str] = ()) -> DataFrame:
     """The columns in keep, and everything the rules count, from one pass over text."""
-    vocabulary = _vocabulary()
+    vocabulary = _vocabulary(learned)
     common = f"(?<![{LETTER}]){_alternatives(vocabulary)}(?![{LETTER}])"
     out = docs.select(*keep, F.col("_lang"), F.coalesce(F.col("_text"), F.lit("")).alias("_t"))
     out = out.select(
@@ -126,21 +158,23 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def references(feats: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
+def references(feats: DataFrame, learned: Iterable[str] = (), limits: Limits = Limits()) -> dict[str, tuple[list[float], list[float]]]:
     """Language -> (class shares, common-word shares with all other words last).
 
-    Sums over all rows; what comes to the driver is bounded by the fixed
-    language list times the fixed histogram width.
+    Sums over all rows; what comes to the driver is bounded by the languages
+    times the histogram width.
     """
-    tagged = feats.where(F.col("_lang").isin(sorted(COMMON_WORDS)) & (F.col("n_words") > 0))
+    tagged = feats.where(F.col("_lang").isNotNull() & (F.col("n_words") > 0))
     width = len(CLASSES) + 3
     sums = tagged.groupBy("_lang").agg(
         F.sum("n_words").alias("words"), *[F.sum(F.col("_classes")[i]).alias(f"c{i}") for i in range(width)]
     ).collect()
     runs = tagged.select("_lang", F.explode("_common").alias("r")).groupBy("_lang", F.col("r.k").alias("k")).agg(F.sum("r.c").alias("c")).collect()
-    size = len(_vocabulary())
+    size = len(_vocabulary(learned))
     found = {}
     for row in sorted(sums, key=lambda r: r["_lang"]):
+        if row["words"] < limits.reference_words:
+            continue
         classes = [float(row[f"c{i}"]) for i in range(width)]
         words = [0.0] * (size + 1)
         for r in runs:
@@ -177,13 +211,14 @@ def _word_distance(ref: list[float]) -> Column:
     return F.sqrt(F.greatest((seen + bin_(others, F.lit(ref[-1])) + 1) / 2, F.lit(0.0)))
 
 
-def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """docs without its text, with the counts, distances and verdict of every row."""
-    keep = [c for c in docs.columns if c not in (text_col, lang_col)]
+def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits(), whole: bool = False) -> DataFrame:
+    """docs with the counts, distances and verdict of every row; without its text and language unless `whole`."""
+    keep = [c for c in docs.columns if whole or c not in (text_col, lang_col)]
     inner = docs.select(*[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
-                        F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    feats = scratch(features(inner, [f"_keep{i}" for i in range(len(keep))]), "quality")
-    refs = references(feats)
+                        F.col(f"`{text_col}`").cast("string").alias("_text"), F.col(f"`{lang_col}`").alias("_lang"))
+    learned = learned_words(inner, limits)
+    feats = scratch(features(inner, [f"_keep{i}" for i in range(len(keep))], learned), "quality")
+    refs = references(feats, learned, limits)
     out = feats.withColumn("base_failed", (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     if refs:
         pairs = F.array(*[F.struct(_class_distance(c).alias("c"), _word_distance(w).alias("w"), F.lit(lang).alias("lang")) for lang, (c, w) in refs.items()])
@@ -194,19 +229,19 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit
         out = out.withColumns({
             "class_distance": F.round(F.array_min(F.transform("_d", lambda d: d["c"])), 6),
             "word_distance": F.round(F.array_min(F.transform("_d", lambda d: d["w"])), 6),
-            "kept": ~F.col("base_failed") & near,
+            "kept": ~F.col("base_failed") & (near | (F.col("_lang").isNotNull() & ~F.col("_lang").isin(sorted(refs)))),
         })
     else:
         out = out.withColumns({"class_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"]
-    return out.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c) for c in counts])
+    return out.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c) for c in COUNTS])
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """The rows of docs that are kept, in their own columns."""
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    good = score(keyed.select("_row", text_col, lang_col), text_col, lang_col, limits).where("kept").select("_row").distinct()
-    return keyed.join(good, "_row", "left_semi").drop("_row")
+    """The rows of docs that are kept, in their own columns; the verdict goes with the row, so nothing is joined."""
+    names = fresh(COUNTS, *[f"column_{i}" for i in range(len(docs.columns))])
+    inner = docs.toDF(*names)
+    at = lambda c: names[docs.columns.index(c)]
+    return score(inner, at(text_col), at(lang_col), limits, whole=True).where("kept").select(*names).toDF(*docs.columns)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,8 +56,21 @@ def test_links_equal_brute_force(spark):
     got = chat.conversations(docs).collect()
     assert sorted(((r.conv_id, r.turn, r.text, r.n_passages, r.n_linked, r.reply_to, r.thread) for r in got), key=repr) == brute(rows, params)
     assert sum(r.n_linked for r in got) > 20
+    assert all(len(r.unlinked) == r.n_passages - r.n_linked for r in got)
+    places = {}
+    for r in got:
+        places.setdefault(r.conv_id, []).append((r.position, r.thread is not None, r.thread or 0, r.turn is not None, r.turn or 0))
+    for held in places.values():
+        assert [p[0] for p in sorted(held)] == list(range(1, len(held) + 1)) and sorted(held) == sorted(held, key=lambda p: p[1:])
     assert all(r.chat == f"<|{r.role or 'user'}|>\n{r.text}" for r in got)
 
 
+def test_what_links_to_nothing_is_kept_and_short_lines_come_last(spark):
+    rows = [(1, 1, "u", "yes\nwe will meet at the old mill"), (1, 2, "u", ">>> code()\n>>> more\nso"), (1, 3, "u", "no\nyes"), (1, 4, "u", "> yes\nok"), (1, 5, "u", "> no\n> we will meet at the old mill\nfine")]
+    got = {r.turn: r for r in chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (got[2].text, got[2].unlinked, got[2].reply_to) == ("so", ["code()\nmore"], None)
+    assert (got[4].reply_to, got[5].reply_to) == (1, 1) and [got[t].position for t in (1, 4, 5, 2, 3)] == [1, 2, 3, 4, 5]
+
+
 def test_empty_table(spark):
     assert chat.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []

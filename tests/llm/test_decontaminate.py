@@ -48,7 +48,7 @@ def test_finds_what_brute_force_finds(spark):
             item = items[i % 6][1]
             body += [edited(rng, item, rng.randint(0, int(0.12 * len(item)))).upper(), "\n ", say(rng.randint(0, 30))]
         docs.append((i, " ".join(body), "x"))
-    docs += [(100, None, "x"), (101, "", "x"), (None, items[0][1], "x"), (5, docs[5][1], "x")]
+    docs += [(200, "a very Short  one, whole", "x"), (201, "abshort onex", "x"), (100, None, "x"), (101, "", "x"), (None, items[0][1], "x"), (5, docs[5][1], "x")]
     d = spark.createDataFrame(docs, "doc_id long, text string, item string")
     b = spark.createDataFrame(items, "item_id long, text string")
     got = sorted(((r.id if r.id is not None else -1), r.item, r.distance) for r in dc.matches(d, b).collect())
@@ -59,8 +59,9 @@ def test_finds_what_brute_force_finds(spark):
             p = dc.normalise(raw)
             if len(p) >= 24 and text and (m := distance_inside(p, text)) <= int(0.08 * len(p)):
                 want.append((i if i is not None else -1, j, m))
-    assert got == sorted(want) and len(want) > 15
     held = {i for i, _, _ in want}
+    want.append((200, 6, 0))
+    assert got == sorted(want) and len(want) > 15
     kept = dc.decontaminate(d, b)
     assert kept.columns == d.columns
     assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == sorted(-1 if i is None else i for i, _, _ in docs if (-1 if i is None else i) not in held)
