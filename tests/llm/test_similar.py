@@ -57,7 +57,8 @@ def test_large_buckets_link_by_centers(spark):
     assert {r.doc_id for r in simhash.keep_one(docs, params=similar.Similar(pairs=8)).collect()} == {0, 999}
 
 
-def test_no_link_is_lost_in_large_buckets(spark):
+@pytest.mark.parametrize("work", [0, 10**9])
+def test_no_link_is_lost_in_large_buckets(spark, work):
     # A chain: each text is like its neighbours only, and most are like none of the centers of their buckets.
     rng = random.Random(12)
     words = [f"w{i}" for i in range(120)]
@@ -69,7 +70,7 @@ def test_no_link_is_lost_in_large_buckets(spark):
     rng.shuffle(rows)
     docs = spark.createDataFrame([(i, t, "r", 1) for i, t in rows], "doc_id long, text string, row string, _row int").repartition(3)
     want = brute_kept(sorted(rows))
-    got = simhash.keep_one(docs, params=similar.Similar(pairs=2, centers=1, bands=60, rows=2))
+    got = simhash.keep_one(docs, params=similar.Similar(pairs=2, centers=1, bands=60, rows=2, work=work))
     assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == want == {0}
 
 
