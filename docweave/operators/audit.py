@@ -56,6 +56,38 @@ def drift(pairs: DataFrame, boundary: float = 0.5, max_flips: float = 0.05, max_
     return out.withColumn("breach", breach)
 
 
+def drift_answers(pairs: DataFrame, boundary: float = 0.5, max_flips: float = 0.05, max_stdev: float = 0.1, min_compared: int = 20) -> DataFrame:
+    """drift over answers of every kind: rows (kind, old_p, new_p, old_choice, new_choice, levels, old_model, new_model).
+
+    A yes-or-no answer is its probability, a score is rescaled to 0 to 1 by its
+    levels (with fewer than two it is compared but has no difference), a choice
+    only flips. Flips are counted over all kinds. Answers of another model than
+    before are a breach whatever the numbers.
+    """
+    scale = F.when(F.col("kind") == "noul", F.lit(1.0)).when((F.col("kind") == "score") & (F.col("levels") > 1), F.col("levels") - 1)
+    old, new = F.col("old_p") / scale, F.col("new_p") / scale
+    flips = F.when(F.col("kind") == "choice", F.col("old_choice") != F.col("new_choice")).otherwise((old >= boundary) != (new >= boundary))
+    out = pairs.agg(
+        F.count("*").alias("compared"), F.count_if(flips).alias("flips"), F.coalesce(F.stddev_pop(new - old), F.lit(0.0)).alias("stdev"),
+        F.coalesce(F.bool_or(F.col("old_model") != F.col("new_model")), F.lit(False)).alias("other_model"))
+    wide = (F.col("compared") >= min_compared) & ((F.col("flips") / F.col("compared") > max_flips) | (F.col("stdev") > max_stdev))
+    return out.withColumn("breach", wide | F.col("other_model"))
+
+
+def estimate(items: DataFrame, runs: DataFrame, prior: tuple[float, float, float], calls_per_minute: float, tokens_per_second: float, concurrency: int) -> DataFrame:
+    """(stage, items, calls, seconds) for stages with items to do (stage, items).
+
+    Calls an item and tokens a call come from a stage's last finished run (stage,
+    status, ended_at, done, calls, tokens), else from the prior; so do, always,
+    the drafting seconds of an item. The slower of the two limits counts.
+    """
+    last = runs.where("status = 'done' AND done > 0 AND calls > 0").groupBy("stage").agg(F.max_by(F.struct("done", "calls", "tokens"), "ended_at").alias("r"))
+    per_item, per_call = F.coalesce(F.col("r.calls") / F.col("r.done"), F.lit(prior[0])), F.coalesce(F.col("r.tokens") / F.col("r.calls"), F.lit(prior[1]))
+    rows = items.join(last, "stage", "left").select("stage", "items", (F.col("items") * per_item).alias("calls"), per_call.alias("per_call"))
+    seconds = F.greatest(F.col("calls") / calls_per_minute * 60, F.col("calls") * F.col("per_call") / tokens_per_second) + F.col("items") * prior[2] / concurrency
+    return rows.select("stage", "items", F.round("calls", 6).alias("calls"), F.round(seconds, 6).alias("seconds"))
+
+
 def multiset_changes(old: DataFrame, new: DataFrame, key: str, values: str) -> DataFrame:
     """(before, after, n): how often a list of values, order aside, turned into another."""
     a = old.select(key, F.array_join(F.sort_array(values), ",").alias("before"))

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.storage import scratch
+
 
 def _matrix(table: pa.Table) -> np.ndarray:
     column = table.column("vec").combine_chunks()
@@ -54,3 +56,74 @@ def nearest(df: DataFrame, k: int, id_col: str, vec_col: str, group_col: str | N
     best = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_pair(k, places, bool(group_col)), f"id {kind}, neighbor {kind}, dist double")
     order = Window.partitionBy("id").orderBy("dist", "neighbor")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
+
+
+def centroids(df: DataFrame, vec_col: str, cells: int, sample_rows: int = 20_000, steps: int = 8) -> np.ndarray:
+    """Unit vectors of cells, by k-means over the rows of least hash, of which sample_rows at most come to the driver."""
+    rows = df.select(F.col(vec_col).cast("array<double>").alias("vec")).where(F.exists("vec", lambda x: x != 0)).distinct()
+    sample = rows.orderBy(F.xxhash64("vec")).limit(sample_rows).collect()
+    if not sample:
+        return np.empty((0, 0))
+    points = np.array([r["vec"] for r in sample])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    # Begin with points far from each other, as k-means++ without chance.
+    found = points[:1]
+    near = points @ found[0]
+    while len(found) < min(cells, len(points)):
+        found = np.vstack([found, points[np.argmin(near)]])
+        near = np.maximum(near, points @ found[-1])
+    for _ in range(steps):
+        cell = np.argmax(points @ found.T, axis=1)
+        sums = np.zeros_like(found)
+        np.add.at(sums, cell, points)
+        norms = np.linalg.norm(sums, axis=1, keepdims=True)
+        found = np.where(norms > 0, sums / np.maximum(norms, 1e-12), found)
+    return found
+
+
+def _cells(centers, probes: int):
+    def run(batches):
+        for batch in batches:
+            column = batch.column(1)
+            points = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+            near = np.argsort(-(points @ centers.value.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1, dtype=np.int32) * near.shape[1]), pa.array(near.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "cells"])
+
+    return run
+
+
+def approximate(df: DataFrame, k: int, id_col: str, vec_col: str, queries: DataFrame | None = None, cells: int = 64, probes: int = 8, block_rows: int = 4096, places: int = 9) -> DataFrame:
+    """(id, neighbor, rank, dist): the k nearest of each row among the rows of the `probes` cells nearest to it.
+
+    Every row is in the index, in the cell of its nearest centroid; rows are
+    asked in full, or those of queries (id_col) only. Work is rows * probes / cells
+    of the exact mode's. A cell of any size is compared in blocks of block_rows.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & F.exists("vec", lambda x: x != 0))
+    spark = df.sparkSession
+    centers = centroids(df, vec_col, cells)
+    if not len(centers):
+        return spark.createDataFrame([], f"id {kind}, neighbor {kind}, rank int, dist double")
+    placed = scratch(rows.mapInArrow(_cells(spark.sparkContext.broadcast(centers), min(probes, len(centers))), f"id {kind}, vec array<double>, cells array<int>"), "cells")
+    asked = placed if queries is None else placed.join(queries.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+    right = placed.select(F.col("id").alias("id"), F.col("vec").alias("vec"), F.element_at("cells", 1).alias("cell"))
+    left = asked.select(F.col("id").alias("id"), F.col("vec").alias("vec"), F.explode("cells").alias("cell"))
+    blocks = lambda side, name: side.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
+    # A row for each cell.
+    sizes = F.broadcast(blocks(left, "ni").join(blocks(right, "nj"), "cell"))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    grp = F.lit(None).cast("string").alias("grp")
+    a = left.join(sizes, "cell").select("cell", own("ni").alias("i"), every("nj").alias("j"), "id", "vec", grp)
+    b = right.join(sizes, "cell").select("cell", every("ni").alias("i"), own("nj").alias("j"), "id", "vec", grp)
+    best = a.groupBy("cell", "i", "j").cogroup(b.groupBy("cell", "i", "j")).applyInArrow(_pair(k, places, False), f"id {kind}, neighbor {kind}, dist double")
+    order = Window.partitionBy("id").orderBy("dist", "neighbor")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(asked, expected, found, recall) of neighbours (id, neighbor) against the exact ones of the same ids."""
+    hit = exact.select("id", "neighbor").join(found.select("id", "neighbor", F.lit(1).alias("hit")), ["id", "neighbor"], "left")
+    return hit.agg(F.countDistinct("id").alias("asked"), F.count("*").alias("expected"), F.count("hit").alias("found"), F.round(F.count("hit") / F.count("*"), 4).alias("recall"))

@@ -27,17 +27,45 @@ def round_robin(df: DataFrame, strata: Sequence[str], quota: int, *order: Column
     return ranked.orderBy("turn", *strata).limit(quota)
 
 
-def shared_entity_pairs(mentions: DataFrame, chunk: str, entity: str, k: int) -> DataFrame:
-    """(a, b, shared, rank): for each chunk the k others that share most entities, ties by id."""
+def shared_entity_pairs(mentions: DataFrame, chunk: str, entity: str, k: int, hot: int = 1000) -> DataFrame:
+    """(a, b, shared, rank): for each chunk the k others that share most entities, ties by id.
+
+    Entities of more than `hot` chunks are never joined with themselves. Chunks
+    that share the same set of them are one class; of each class only its k + 1
+    least ids can matter to a chunk that shares nothing else with it, since they
+    all share as many hot entities. So pairs through hot entities grow with the
+    classes and not with the square of a hot entity's chunks.
+    """
     m = mentions.select(F.col(chunk).alias("a"), F.col(entity).alias("e")).where("a IS NOT NULL AND e IS NOT NULL").distinct()
-    pairs = m.join(m.withColumnRenamed("a", "b"), "e").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    return top_per_key(pairs, ["a"], k, F.desc("shared"), F.col("b"))
+    often = m.groupBy("e").count().where(F.col("count") > hot).select("e")
+    cold = m.join(often, "e", "left_anti")
+    pairs = cold.join(cold.withColumnRenamed("a", "b"), "e").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("cold"))
+    none = F.array().cast(f"array<{m.schema['e'].dataType.simpleString()}>")
+    marks = m.join(often, "e", "left_semi").groupBy("a").agg(F.sort_array(F.collect_set("e")).alias("hot"))
+    other = marks.select(F.col("a").alias("b"), F.col("hot").alias("hot_b"))
+    direct = pairs.join(marks, "a", "left").join(other, "b", "left").select("a", "b", (F.col("cold") + F.size(F.array_intersect(F.coalesce("hot", none), F.coalesce("hot_b", none)))).alias("shared"))
+    members = top_per_key(marks, ["hot"], k + 1, F.col("a")).select(F.col("hot").alias("hot_b"), F.col("a").alias("b"))
+    classes = marks.select("hot").distinct()
+    meet = classes.select("hot", F.explode("hot").alias("e")).join(classes.select(F.col("hot").alias("hot_b"), F.explode("hot").alias("e")), "e").groupBy("hot", "hot_b").agg(F.count("*").alias("shared"))
+    offered = top_per_key(meet.join(members, "hot_b"), ["hot"], k + 1, F.desc("shared"), F.col("b")).select("hot", "b", "shared")
+    through = marks.join(offered, "hot").where("a <> b").select("a", "b", "shared")
+    best = direct.unionByName(through).groupBy("a", "b").agg(F.max("shared").cast("long").alias("shared"))
+    return top_per_key(best, ["a"], k, F.desc("shared"), F.col("b"))
 
 
 def section_pairs(members: DataFrame, section: str, item: str, limit: int) -> DataFrame:
-    """The first `limit` pairs (a < b) of items in one section, over all sections, in (a, b) order."""
-    m = members.select(F.col(section).alias("s"), F.col(item).alias("a"))
-    return m.join(m.withColumnRenamed("a", "b"), "s").where("a < b").select("a", "b").distinct().orderBy("a", "b").limit(limit)
+    """The first `limit` pairs (a < b) of items in one section, over all sections, in (a, b) order.
+
+    Every item but a section's last begins a pair, so the pairs begin with one
+    of the `limit` least such items; and from a section no more than its first
+    2 * limit items can stand in them.
+    """
+    m = members.select(F.col(section).alias("s"), F.col(item).alias("a")).where("s IS NOT NULL AND a IS NOT NULL").distinct()
+    first = top_per_key(m, ["s"], 2 * limit, F.col("a")).select("s", "a")
+    last = m.groupBy("s").agg(F.max("a").alias("last"))
+    begins = first.join(last, "s").where("a < last").select("a").distinct().orderBy("a").limit(limit)
+    pairs = first.join(begins, "a", "left_semi").join(first.withColumnRenamed("a", "b"), "s").where("a < b")
+    return pairs.select("a", "b").distinct().orderBy("a", "b").limit(limit)
 
 
 def candidate_union(**sources: DataFrame) -> DataFrame:
@@ -112,3 +140,31 @@ def runnable(items: DataFrame, ledger: DataFrame, max_attempts: int = 3) -> Data
         .when((F.col("_s") == "failed") & (F.col("attempts") >= max_attempts), "failed_final").otherwise(F.col("_s"))
     )
     return items.join(led, "item_id", "left").withColumn("state", state).withColumn("runs", F.col("state").isin("missing", "stale", "pending", "failed")).drop("_h", "_s")
+
+
+def changed_files(documents: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(doc_id, source_uri): live documents of files (source_uri, content_hash) whose contents are now others; they fall with all that came from them."""
+    now = incoming.select("source_uri", F.col("content_hash").alias("hash_now")).distinct()
+    live = documents.where("status <> 'superseded'").join(now, "source_uri")
+    same = live.where("content_hash = hash_now").select("doc_id").distinct()
+    return live.select("doc_id", "source_uri").distinct().join(same, "doc_id", "left_anti")
+
+
+def claimed(ledger: DataFrame, now: Column, seconds: int, count: int, max_attempts: int = 3) -> DataFrame:
+    """The first `count` items of a ledger (item_id, status, lease_until, attempts) that a worker may take, with their new lease.
+
+    Those are pending ones and those whose lease is over, tried less often than allowed; in id order.
+    """
+    free = (F.col("status") == "pending") | ((F.col("status") == "running") & (F.col("lease_until") < now))
+    taken = ledger.where(free & (F.col("attempts") < max_attempts)).orderBy("item_id").limit(count)
+    return taken.select("item_id", F.lit("running").alias("status"), (now + F.make_dt_interval(secs=F.lit(seconds))).alias("lease_until"), (F.col("attempts") + 1).alias("attempts"))
+
+
+def content_chunks(chunks: DataFrame) -> DataFrame:
+    """Chunks that aren't boilerplate; what was never judged isn't."""
+    return chunks.where(~F.coalesce(F.col("boilerplate"), F.lit(False)))
+
+
+def latest(rows: DataFrame, n: int, at: str = "created_at", id_col: str = "id") -> DataFrame:
+    """The n newest rows, ties by id."""
+    return rows.orderBy(F.desc(at), id_col).limit(n)

@@ -15,9 +15,10 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
-def postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf, length): the inverted index."""
-    each = df.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("ts")).select("id", F.size("ts").alias("length"), F.explode("ts").alias("term"))
+def postings(df: DataFrame, id_col: str, text_col: str, words: list[str] | None = None) -> DataFrame:
+    """(id, term, tf, length): the inverted index, or its part for some words, which are picked before anything is exploded."""
+    found = F.col("ts") if words is None else F.filter("ts", lambda t: t.isin(list(words)))
+    each = df.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("ts")).select("id", F.size("ts").alias("length"), F.explode(found).alias("term"))
     return each.groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
 
 
@@ -69,7 +70,7 @@ def matches(ts: Column, query: WebQuery) -> Column:
 def bm25(df: DataFrame, id_col: str, text_col: str, words: list[str], k: int, k1: float = 1.2, b: float = 0.75, places: int = 9) -> DataFrame:
     """(id, score, rank): the k best rows for a bag of words (Robertson's formula with the +1 inside the logarithm)."""
     sizes = df.select(F.size(terms(F.col(text_col))).alias("n")).agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
-    hit = postings(df, id_col, text_col).where(F.col("term").isin(words))
+    hit = postings(df, id_col, text_col, words)
     spread = hit.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
@@ -87,9 +88,15 @@ def reciprocal_ranks(*lists: DataFrame, k: int = 60) -> DataFrame:
 
 
 def keyword_matches(asks: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """(id, neighbour, score, rank): for each row (id, keyword) the rows whose terms share most keywords, ties by id."""
-    asked = asks.select("id", F.lower("keyword").alias("term")).distinct()
-    hits = asked.join(index.select(F.col("id").alias("neighbour"), "term", "tf"), "term").where("id <> neighbour")
-    scored = hits.groupBy("id", "neighbour").agg(F.count("*").alias("score"))
+    """(id, neighbour, score, rank): for each row (id, keyword) the rows that satisfy most keywords, ties by id.
+
+    A keyword of several words asks for all of them; keywords are alternatives,
+    so `a b` and `c` stand for (a and b) or c. index holds (id, term, tf).
+    """
+    asked = asks.select("id", "keyword", F.array_distinct(terms(F.col("keyword"))).alias("ts")).where(F.size("ts") > 0).distinct()
+    each = asked.select("id", "keyword", F.size("ts").alias("need"), F.explode("ts").alias("term"))
+    hits = each.join(index.select(F.col("id").alias("neighbour"), "term").distinct(), "term").where("id <> neighbour")
+    met = hits.groupBy("id", "keyword", "need", "neighbour").agg(F.count("*").alias("have")).where("have = need")
+    scored = met.groupBy("id", "neighbour").agg(F.count("*").alias("score"))
     w = Window.partitionBy("id").orderBy(F.desc("score"), "neighbour")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.functions import vectors as vec
 from docweave.ids import sha_id, unit_fraction
-from docweave.operators.relational import top_per_key
+from docweave.operators.relational import round_robin, top_per_key
+from docweave.storage import cut
 
 
 def split_of(key: Column, shares: dict[str, float], salt: str = "split") -> Column:
@@ -25,10 +29,125 @@ def example_splits(sources: DataFrame, example: str, split: str) -> DataFrame:
     return found.select(example, F.when(F.size("_s") == 1, F.get("_s", F.lit(0))).when(F.size("_s") == 0, "unassigned").otherwise("cross_split").alias(split))
 
 
-def example_status(checks: DataFrame, example: str, outcome: str = "outcome") -> DataFrame:
-    """rejected if any check rejects, accepted if all accept, else review."""
-    return checks.groupBy(example).agg(
+def example_status(checks: DataFrame, example: str, outcome: str = "outcome", rules: DataFrame | None = None) -> DataFrame:
+    """rejected if any check rejects, accepted if all accept, else review.
+
+    rules (example, round, outcome) are the checks of the output rules, of which
+    the last counts: an example whose last one rejects is rejected whatever else,
+    and earlier ones don't matter.
+    """
+    status = checks.groupBy(example).agg(
         F.when(F.bool_or(F.col(outcome) == "reject"), "rejected").when(F.bool_and(F.col(outcome) == "accept"), "accepted").otherwise("review").alias("status"))
+    if rules is None:
+        return status
+    last = rules.groupBy(example).agg(F.max_by("outcome", "round").alias("last_"))
+    return status.join(last, example, "left").select(example, F.when(F.col("last_") == "reject", "rejected").otherwise(F.col("status")).alias("status"))
+
+
+def reauthor(records: DataFrame, check: Callable[[DataFrame], DataFrame], rewrite: Callable[[DataFrame], DataFrame], id_col: str, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(records, checks): drafts checked against the output rules; what breaks one is written again, at most `rounds` times.
+
+    check gives (id_col, outcome) of records, rewrite takes the failing ones and
+    gives new versions of some of them. A record that is not written again keeps
+    its last version and its last, failing check.
+    """
+    held, todo, checks = records, records, None
+    for turn in range(rounds + 1):
+        now = cut(check(todo).select(id_col, F.lit(turn).alias("round"), "outcome"))
+        checks = now if checks is None else checks.unionByName(now)
+        failing = todo.join(now.where("outcome = 'reject'"), id_col, "left_semi")
+        if turn == rounds or not failing.head(1):
+            break
+        todo = cut(rewrite(failing).select(*records.columns))
+        if not todo.head(1):
+            break
+        held = cut(held.join(todo, id_col, "left_anti").unionByName(todo))
+    return held, checks
+
+
+def sources(kinds: Sequence[tuple[str, str, int | None]], tables: dict[str, DataFrame], strata: Sequence[str] = ("doc_type", "role"), claims_per_chunk: int = 4, min_tokens: int = 40) -> DataFrame:
+    """(template, kind, source_key): what each template (name, kind, quota) is made of.
+
+    chunks (chunk_id, doc_type, role, tokens) serve qa_single and instruction: all
+    by coverage without a quota, else in turn over the strata, by hash inside;
+    paths (path_id) multi-hop questions; edges (edge_id, rel) graph reasoning, in
+    turn over the relations; edges and claims (claim_id, chunk_id) triples; accepted
+    examples (example_id) what is derived from them, the first ids up to the quota.
+    """
+    out = None
+    for template, kind, quota in kinds:
+        hashed = lambda c, template=template: sha_id(F.lit(template), F.col(c).cast("string"))
+        take = lambda df, keys, c: round_robin(df.withColumn("h_", hashed(c)), keys, quota, F.col("h_"), F.col(c)) if quota is not None else df  # noqa: B023, E731
+        if kind in ("qa_single", "instruction") and quota is None:
+            rows = coverage(tables["claims"], tables["chunks"], claims_per_chunk, min_tokens, template).select(F.coalesce(F.col("claim_id").cast("string"), F.col("chunk_id").cast("string")).alias("source_key"))
+        elif kind in ("qa_single", "instruction"):
+            rows = take(tables["chunks"], list(strata), "chunk_id").select(F.col("chunk_id").cast("string").alias("source_key"))
+        elif kind == "qa_multihop":
+            rows = tables["paths"].orderBy("path_id").limit(quota).select(F.col("path_id").cast("string").alias("source_key"))
+        elif kind == "graph_reasoning":
+            rows = take(tables["edges"], ["rel"], "edge_id").select(F.col("edge_id").cast("string").alias("source_key"))
+        elif kind == "triples":
+            rows = tables["edges"].select(F.col("edge_id").cast("string").alias("source_key")).unionByName(tables["claims"].select(F.col("claim_id").cast("string").alias("source_key")))
+        elif kind in ("retrieval_pairs", "rerank_soft_labels"):
+            rows = tables["examples"].where("status = 'accepted'").orderBy("example_id").limit(quota).select(F.col("example_id").cast("string").alias("source_key"))
+        else:
+            raise ValueError(f"no sources for {kind}")
+        made = rows.select(F.lit(template).alias("template"), F.lit(kind).alias("kind"), "source_key")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
+def hop_edges(edges: DataFrame, nodes: DataFrame, relations: Sequence[str], max_similarity: float) -> DataFrame:
+    """Edges (edge_id, src, dst, rel, directed) that a path may follow, with the split of their ends.
+
+    Their relation carries a fact on, both ends (nodes: id, language, split, vec)
+    have one language (two unknown ones are one), lie in one split, and aren't
+    near copies: their cosine similarity is below the bound, or one has no vector.
+    """
+    side = lambda name: nodes.select(F.col("id").alias(name), F.struct("language", "split", "vec").alias(f"{name}_"))
+    both = edges.where(F.col("rel").isin(list(relations))).join(side("src"), "src").join(side("dst"), "dst")
+    a, b = F.col("src_"), F.col("dst_")
+    near = 1 - vec.cosine_distance(a["vec"], b["vec"])
+    fits = a["language"].eqNullSafe(b["language"]) & (a["split"] == b["split"]) & F.coalesce(near < max_similarity, F.lit(True))
+    return both.where(fits).select(*edges.columns, a["split"].alias("split"))
+
+
+def hop_paths(edges: DataFrame, min_hops: int, max_hops: int, limit: int | None = None, salt: str = "path", fan: int = 20_000) -> DataFrame:
+    """(start, nodes, edge_ids): of each node one simple path over edges (edge_id, src, dst, directed), of a length drawn by hash.
+
+    It is the path that a search in depth meets first, which tries edges in the
+    order of their hashes; beginnings are followed in that order, `fan` of a node
+    at most. With a limit, the starts of least hash that have a path count.
+    """
+    h = lambda *c: sha_id(F.lit(salt), *c)
+    one = edges.select("edge_id", "src", "dst", h(F.col("edge_id").cast("string")).alias("h"))
+    back = edges.where("NOT directed").select("edge_id", F.col("dst").alias("src"), F.col("src").alias("dst"), h(F.col("edge_id").cast("string")).alias("h"))
+    ways = one.unionByName(back)
+    span = max_hops - min_hops + 1
+    starts = ways.select(F.col("src").alias("start")).distinct()
+    starts = starts.withColumn("target", min_hops + F.floor(unit_fraction(h(F.lit("hops"), F.col("start").cast("string"))) * span).cast("int"))
+    paths = starts.select("start", "target", F.array("start").alias("nodes"), F.array().cast("array<string>").alias("hashes"), F.array().cast(f"array<{edges.schema['edge_id'].dataType.simpleString()}>").alias("edge_ids"))
+    done = None
+    for hop in range(1, max_hops + 1):
+        step = paths.withColumn("src", F.element_at("nodes", -1)).join(ways, "src").where(~F.array_contains("nodes", F.col("dst")))
+        grown = step.select("start", "target", F.array_append("nodes", F.col("dst")).alias("nodes"), F.array_append("hashes", F.col("h")).alias("hashes"), F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids"))
+        complete = grown.where(F.col("target") == hop)
+        done = complete if done is None else done.unionByName(complete)
+        paths = top_per_key(grown.where(F.col("target") > hop), ["start"], fan, F.col("hashes"), F.col("nodes")).drop("rank")
+    best = done.groupBy("start").agg(F.min_by(F.struct("nodes", "edge_ids"), F.struct("hashes", "nodes")).alias("p")).select("start", "p.nodes", "p.edge_ids")
+    return best if limit is None else best.orderBy(h(F.col("start").cast("string")), "start").limit(limit)
+
+
+def split_hop_paths(edges: DataFrame, shares: dict[str, float], quota: int, min_hops: int, max_hops: int, salt: str = "path") -> DataFrame:
+    """hop_paths of edges with a split: each split gets its share of the quota, and the largest what the others leave."""
+    largest = max(shares, key=shares.get)
+    out, left = None, quota
+    for split in sorted(shares, key=lambda s: (s == largest, s)):
+        found = hop_paths(edges.where(F.col("split") == split), min_hops, max_hops, left if split == largest else round(quota * shares[split]), salt)
+        found = cut(found.select(F.lit(split).alias("split"), "*"))
+        left -= found.count()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def hard_negatives(near: DataFrame, texts: DataFrame, splits: DataFrame, n: int = 3) -> DataFrame:

@@ -32,12 +32,47 @@ def render(items: DataFrame, question_set: str, questions: Sequence[Question], m
     return rows.withColumn("cache_key", sha_id(F.lit(model), F.lit(question_set), "state", "question", F.to_json("options")))
 
 
-def packed(asked: DataFrame, most: int, by: str = "state") -> DataFrame:
-    """Questions numbered into calls of at most `most`, all of one state together."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(by).orderBy("question", "cache_key")
-    return asked.withColumn("call", F.floor((F.row_number().over(w) - 1) / most).cast("long"))
+def packed(asked: DataFrame, window: int, most: int = 1 << 30, longest: int = 1 << 30, by: str = "state") -> DataFrame:
+    """Questions of one state numbered into as few calls as its window of estimated tokens takes, in the order of question and key.
+
+    A call holds the state once and at most `most` questions. A state or a
+    question that is too long alone is an error.
+    """
+    size = lambda c: F.ceil(F.char_length(c) / 4).cast("long")
+    each = F.struct("question", "cache_key", size(F.concat_ws(" ", F.col("question"), F.array_join("options", " "))).alias("n"))
+    room = F.lit(window) - size(F.col(by))
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("held"), F.lit(0).cast("long").alias("call"), F.array().cast("array<struct<cache_key:string,call:bigint>>").alias("out"))
+
+    def step(acc, x):
+        full = (acc["held"] > 0) & ((acc["used"] + x["n"] > F.col("room")) | (acc["held"] >= most))
+        call = acc["call"] + full.cast("long")
+        return F.struct(
+            F.when(full, x["n"]).otherwise(acc["used"] + x["n"]).alias("used"), F.when(full, F.lit(1).cast("long")).otherwise(acc["held"] + 1).alias("held"), call.alias("call"),
+            F.array_append(acc["out"], F.struct(x["cache_key"].alias("cache_key"), call.alias("call"))).alias("out"))
+
+    lists = asked.groupBy(by).agg(F.sort_array(F.collect_set(each)).alias("qs")).withColumn("room", room)
+    too_long = F.exists("qs", lambda q: (q["n"] > F.col("room")) | (q["n"] > longest)) | (F.col("room") <= 0)
+    checked = lists.withColumn("qs", F.when(too_long, F.raise_error(F.lit("a state or question is over the window")).cast(lists.schema["qs"].dataType)).otherwise(F.col("qs")))
+    calls = checked.select(by, F.explode(F.aggregate("qs", start, step)["out"]).alias("c")).select(by, "c.cache_key", "c.call")
+    return asked.join(calls, [by, "cache_key"])
+
+
+def hierarchical(items: DataFrame, question_set: str, name: str, tree: dict[str, Sequence[str]], provider: Callable | None = None, model: str = "offline") -> DataFrame:
+    """(item_id, parent, choice): a choice among too many options in two steps, first among the parents, then among the children of the chosen one.
+
+    A parent with one child needs no second question. tree is configuration, and small.
+    """
+    ask = provider or offline
+    first = render(items, question_set, [Question(name, "choice", tuple(tree))], model)
+    parents = valid(first, answer(first, provider=ask)).select("item_id", F.col("choice").alias("parent"))
+    children = parents.sparkSession.createDataFrame([(p, list(c)) for p, c in tree.items()], "parent string, children array<string>")
+    chosen = items.join(parents, "item_id").join(F.broadcast(children), "parent")
+    lone = chosen.where(F.size("children") == 1).select("item_id", "parent", F.get("children", F.lit(0)).alias("choice"))
+    more = chosen.where(F.size("children") > 1)
+    asked = more.select("item_id", "state", F.concat_ws("/", F.lit(name), "parent").alias("question"), F.lit("choice").alias("kind"), F.col("children").alias("options"), F.lit(0).alias("levels"), "parent")
+    asked = asked.withColumn("cache_key", sha_id(F.lit(model), F.lit(question_set), "state", "question", F.to_json("options")))
+    said = valid(asked, answer(asked, provider=ask)).select("item_id", "choice")
+    return lone.unionByName(more.select("item_id", "parent").join(said, "item_id"))
 
 
 def offline(question: str, kind: str, options: Sequence[str], levels: int, state: str) -> tuple[float | None, str | None, float | None]:

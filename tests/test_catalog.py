@@ -4,7 +4,7 @@ import os
 import duckdb
 import pytest
 
-from docweave.plans import catalog, catalog_stages  # noqa: F401
+from docweave.plans import catalog, catalog_more, catalog_stages  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
