@@ -34,9 +34,24 @@ def reassign_owner(chunks: DataFrame, occurrences: DataFrame, dead_docs: DataFra
     return hit.join(live, "chunk_id", "left").select("chunk_id", "doc_id", F.col("o.doc_id").alias("new_doc"))
 
 
-def picked(fields: Column, names: Sequence[str]) -> Column:
-    """Entries of a map<string, string> among names, without nulls and empty strings."""
-    return F.map_filter(fields, lambda k, v: k.isin(list(names)) & v.isNotNull() & (v != ""))
+def picked(row: DataFrame, fields: dict[str, str], untrusted: Sequence[str] = ()) -> DataFrame:
+    """row with a column `state`: a JSON object of named fields, each from a dotted path of its columns.
+
+    What is null, an empty text or an empty list is left out; a number is refused,
+    since a state holds words; an untrusted field stands inside {"data": ...}, so
+    that what it says can't be taken for instructions.
+    """
+    from pyspark.sql.types import ArrayType, NumericType
+
+    parts = []
+    for name, path in fields.items():
+        kind = row.select(F.col(path)).schema[0].dataType
+        if isinstance(kind.elementType if isinstance(kind, ArrayType) else kind, NumericType):
+            raise ValueError(f"{path} is a number; a state holds no numbers")
+        empty = F.size(path) == 0 if isinstance(kind, ArrayType) else F.col(path).cast("string") == ""
+        value = F.when(~empty, F.col(path))
+        parts.append((F.when(value.isNotNull(), F.struct(value.alias("data"))) if name in untrusted else value).alias(name))
+    return row.withColumn("state", F.to_json(F.struct(*parts)))
 
 
 # ---- sampling ---------------------------------------------------------------------------

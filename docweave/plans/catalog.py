@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -817,14 +818,17 @@ def html_units(spark, sf_dir):
     return files.units(files.parse_contents(pages)).select("path", "ord", "kind", F.md5("text").alias("digest"), "char_start", "char_end")
 
 
-@query()
+@query("""
+WITH b AS (SELECT item_id, text, trim(upper(substr(text, 3, 40))) AS span FROM benchmark), f AS (SELECT *, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS t, regexp_replace(lower(span), '\\s+', ' ', 'g') AS s FROM b)
+SELECT item_id, CASE WHEN contains(text, span) THEN 'exact' ELSE 'normalised' END AS level, CASE WHEN contains(text, span) THEN len(list_filter(range(1, length(text) + 1), lambda i: text[i : i + length(span) - 1] = span)) ELSE len(list_filter(range(1, length(t) + 1), lambda i: t[i : i + length(s) - 1] = s)) END::INT AS places FROM f
+""")
 def grounded_spans(spark, sf_dir):
-    """Benchmark openings grounded in their own text, whichever way they are written."""
+    """Spans of forty characters of benchmark items, in capitals, grounded in their whole texts."""
 
-    @F.udf("struct<level:string,places:int>")
-    def grounded(span, text):
-        level, places = tx.ground(span, text)
-        return level, len(places)
+    @F.pandas_udf("struct<level:string,places:int>")
+    def grounded(spans: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        found = [tx.ground(s, t) for s, t in zip(spans, texts, strict=True)]
+        return pd.DataFrame({"level": [f[0] for f in found], "places": [len(f[1]) for f in found]})
 
     b = table(spark, sf_dir, "benchmark").select("item_id", F.upper(F.substring("text", 3, 40)).alias("span"), "text")
     return b.select("item_id", grounded("span", "text").alias("g")).select("item_id", "g.level", "g.places")

@@ -177,7 +177,7 @@ def approximate_knn(spark, sf_dir):
     """The index over all vectors, asked for the ten nearest of every fiftieth: whether nine tenths of the exact ones are found."""
     e = table(spark, sf_dir, "embeddings")
     asked = e.where("vec_id % 50 = 0").select("vec_id")
-    found = knn.approximate(e, 10, "vec_id", "embedding", asked, cells=32, probes=16)
+    found = knn.approximate(e, 10, "vec_id", "embedding", asked, cells=16, probes=14)
     exact = knn.nearest(e, 10, "vec_id", "embedding").join(asked.withColumnRenamed("vec_id", "id"), "id", "left_semi")
     return knn.recall(found, exact).select("asked", (F.col("recall") >= 0.9).alias("enough"))
 

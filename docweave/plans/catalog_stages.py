@@ -135,12 +135,12 @@ def chosen_hits(spark, sf_dir):
 
 @query("""
 WITH m AS (SELECT DISTINCT l_orderkey AS d, l_suppkey AS a FROM lineitem), p AS (SELECT x.d, x.a, y.a AS b FROM m x JOIN m y ON x.d = y.d AND x.a < y.a WHERE x.a % 3 = y.a % 3),
-r AS (SELECT a, b, row_number() OVER (PARTITION BY d ORDER BY a, b) AS n FROM p) SELECT DISTINCT a, b FROM r WHERE n <= 2
+r AS (SELECT a, b, row_number() OVER (PARTITION BY d ORDER BY a, b) AS n FROM p) SELECT DISTINCT a, b FROM r WHERE n <= 20
 """)
 def co_occurring_entities(spark, sf_dir):
-    """Like-named entities of one document, two pairs a document: the operator's own cap."""
+    """Like-named entities of one document, twenty pairs a document: the operator's own cap."""
     m = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_suppkey").alias("entity_id"), (F.col("l_suppkey") % 3).alias("name"))
-    return cu.co_occurring(m, F.col("name_a") == F.col("name_b"), 2)
+    return cu.co_occurring(m, F.col("name_a") == F.col("name_b"), 20)
 
 
 DECIDED = """

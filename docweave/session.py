@@ -88,6 +88,25 @@ class GraphSession:
         """Accepted communities that hold any of some chunks."""
         return self.table("communities").where(F.col("status") == "accepted").where(F.arrays_overlap("member_ids", F.array(*[F.lit(i) for i in ids])))
 
+    def build(self, stages: Sequence[tuple[str, Callable[[GraphSession], set[str]]]], max_reopened: int = 2) -> list[str]:
+        """Runs named stages in order and gives the names as they ran.
+
+        A stage gives the names of earlier stages that have work again through it
+        (an audit that sends a lone chunk back to be linked, say); from the first
+        of these on all run again, at most max_reopened times.
+        """
+        names, ran = [n for n, _ in stages], []
+        begin = 0
+        for _ in range(1 + max_reopened):
+            reopened: set[str] = set()
+            for name, stage in stages[begin:]:
+                reopened |= set(stage(self) or ())
+                ran.append(name)
+            if not reopened:
+                break
+            begin = min(names.index(n) for n in reopened)
+        return ran
+
     def update(self, stages: Sequence[Callable[[GraphSession, dict[str, DataFrame]], dict[str, DataFrame]]]) -> None:
         """Runs stages in order; each gives new versions of tables, which are swapped in before the next begins. A failure stops the rest."""
         for stage in stages:

@@ -36,19 +36,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which every executor sees.
 
-    Where it is unset (tests, one machine) a temporary folder takes its place
-    and is remembered for the session.
+    Where it is unset and everything runs on this machine (tests), a temporary
+    folder takes its place and is remembered for the session; on a cluster,
+    whose executors would not see that folder, it is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="docweave-")
+        atexit.register(shutil.rmtree, where, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint."""
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    where = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(where)
     return df.checkpoint(eager=True)
 
 
@@ -56,9 +64,13 @@ def scratch(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """df written as Parquet in the shared folder and read back.
 
     Columnar and compressed, so smaller than a checkpoint of the same rows; a
-    lost executor costs only the tasks that it was running.
+    lost executor costs only the tasks that it was running. The table goes when
+    the driver's process ends.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/docweave-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,0 +1,55 @@
+import pytest
+
+from docweave import registry as rg
+from docweave.session import GraphSession
+
+
+def tree(root, **held):
+    for name, text in held.items():
+        f = root / name.replace("__", "/")
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_text(text)
+    return root
+
+
+def test_versions_changes_and_activation(tmp_path):
+    root = tree(tmp_path / "reg", **{"policies.yaml": "a: 1\n", "q__x.yaml": "n: 1\n", ".hidden": "z"})
+    draft = tree(tmp_path / "draft", **{"policies.yaml": "a: 2\n", "q__y.yaml": "n: 1\n"})
+    assert rg.changed(root, draft) == ["policies.yaml", "q/x.yaml", "q/y.yaml"]
+    assert rg.version(root, "q") != rg.version(draft, "q") and rg.version(root, "none") == rg.version(draft, "none")
+    name = rg.stage(root, draft)
+    assert name == rg.version(draft) == rg.stage(root, draft) and rg.find(root, name[:6]).name == name
+    before = rg.version(root)
+    with pytest.raises(rg.RegistryError):
+        rg.activate(root, name, lambda d: False)
+    assert rg.version(root) == before and "-a: 1" in rg.diff(root, draft) and "+a: 2" in rg.diff(root, draft)
+    tree(rg.find(root, name), **{"policies.yaml": "a: 3\n"})
+    with pytest.raises(rg.RegistryError):
+        rg.activate(root, name, lambda d: True)
+    tree(rg.find(root, name), **{"policies.yaml": "a: 2\n"})
+    assert rg.activate(root, name, lambda d: "+a: 2" in d) == name == rg.version(root)
+    with pytest.raises(rg.RegistryError):
+        rg.find(root, name)
+
+
+def test_overrides_keep_keys_and_types():
+    base = {"a": {"b": 1, "c": "x"}, "d": [1]}
+    assert rg.overridden(base, {"a": {"b": 2.5}}) == {"a": {"b": 2.5, "c": "x"}, "d": [1]}
+    for bad in ({"z": 1}, {"a": {"b": "x"}}, {"a": 1}):
+        with pytest.raises(rg.RegistryError):
+            rg.overridden(base, bad)
+
+
+def test_lint(tmp_path):
+    good = "name: link\nversion: 2\nquestions:\n- {name: related}\n- {name: rel, kind: choice, options: [none, cites]}\naccept: {all: [{question: related}, {not: {question: rel}}]}\n"
+    bad = "name: bad\nquestions:\n- {name: a, kind: odd}\n- {name: a, kind: score, levels: 1}\n- {name: c, kind: choice, options: [x], threshold: 2}\naccept: {any: [{question: zz}]}\n"
+    root = tree(tmp_path, **{"question_sets__link.yaml": good, "question_sets__bad.yaml": bad})
+    assert set(rg.question_sets(root)) == {"link@2", "bad@1"}
+    assert [w.split(": ")[0] for w in rg.lint(root)] == ["bad@1"] * 6
+
+
+def test_reopened_stages_run_again(spark):
+    turns = iter([{"links"}, set()])
+    ran = []
+    stages = [(n, lambda s, n=n: ran.append(n) or (next(turns) if n == "audit" else None)) for n in ("ingest", "links", "audit")]
+    assert GraphSession(spark, "nowhere").build(stages) == ran == ["ingest", "links", "audit", "links", "audit"]
