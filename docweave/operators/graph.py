@@ -162,13 +162,29 @@ def refused_unions(evidence: DataFrame) -> DataFrame:
     return _evidence_groups(evidence)[0].groupBy("component").applyInPandas(run, f"a {kind}, b {kind}, reason string")
 
 
+def connected_parts(nodes: set, near: dict) -> list[set]:
+    """A set of nodes parted into what hangs together inside it; near: node -> its neighbours."""
+    left, out = set(nodes), []
+    while left:
+        part, todo = set(), [left.pop()]
+        while todo:
+            n = todo.pop()
+            part.add(n)
+            ahead = left & near[n].keys()
+            left -= ahead
+            todo += ahead
+        out.append(part)
+    return out
+
+
 def communities(edges: DataFrame, resolution: float = 1.0, min_size: int = 4, passes: int = 20) -> DataFrame:
     """(component, community, members): modularity communities of the usable edges, one component a group.
 
     Weights are rounded to three decimals; null, NaN and what rounds to nothing
     is left out. Nodes move, in id order, to the neighbouring community of
-    greatest gain until none moves; communities are then merged the same way.
-    Only communities of at least min_size nodes are given.
+    greatest gain until none moves; communities are then merged the same way,
+    and what isn't connected inside is parted at the end. Only communities of at
+    least min_size nodes are given.
     """
     kind = edges.schema["src"].dataType.simpleString()
     usable = edges.where(F.col("weight").isNotNull() & ~F.isnan("weight")).select("src", "dst", F.bround(F.col("weight").cast("double"), 3).alias("weight")).where("weight > 0 AND src <> dst")
@@ -223,7 +239,7 @@ def communities(edges: DataFrame, resolution: float = 1.0, min_size: int = 4, pa
                     else:
                         merged[c][label[m]] = merged[c].get(label[m], 0.0) + w
             level, loops, groups = merged, new_loops, new_groups
-        rows = [(component, min(g), sorted(g)) for g in groups.values() if len(g) >= min_size]
+        rows = [(component, min(g), sorted(g)) for whole in groups.values() for g in connected_parts(whole, near) if len(g) >= min_size]
         return pd.DataFrame(rows, columns=["component", "community", "members"])
 
     return inside.groupBy("component").applyInPandas(run, f"component {kind}, community {kind}, members array<{kind}>")

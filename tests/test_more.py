@@ -116,3 +116,16 @@ def test_states_of_words(spark):
     assert got == ['{"title":"a","deep":{"data":"x"}}', '{"title":"b","keys":["k"],"deep":{"data":"y"}}']
     with pytest.raises(ValueError):
         curation.picked(df, {"n": "s.n"})
+
+
+def test_communities_hang_together(spark):
+    rng = random.Random(8)
+    edges = [(a, b, round(rng.random(), 2)) for a in range(60) for b in range(a) if rng.random() < (0.3 if a // 12 == b // 12 else 0.02)]
+    got = graph.communities(spark.createDataFrame(edges, "src long, dst long, weight double"), min_size=1).collect()
+    near = {}
+    for a, b, w in edges:
+        if round(w, 3) > 0:
+            near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = w
+    assert sorted(n for r in got for n in r.members) == sorted(near)
+    assert all(len(graph.connected_parts(set(r.members), near)) == 1 and r.community == min(r.members) for r in got)
+    assert graph.connected_parts({1, 2, 3}, {1: {2: 1}, 2: {1: 1}, 3: {}}) in ([{1, 2}, {3}], [{3}, {1, 2}])
