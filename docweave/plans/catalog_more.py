@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.operators import audit, graph, knn, repeated, training
+from docweave.operators import curation as cu
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
 from docweave.plans import provider
@@ -407,3 +408,74 @@ SELECT q, kept[i][1] AS id, 'p' || i::VARCHAR AS passage FROM (SELECT q, kept, u
 """
 ORACLES["soft_relevance"] = KNN_SQL.format(where="") + f"SELECT vec_id AS id, neighbor_id AS neighbor, {OFFLINE.format(q=chr(39) + 'relevant' + chr(39), s='vec_id::VARCHAR || chr(45) || neighbor_id::VARCHAR')}::DOUBLE AS label, 'accepted' AS status FROM r WHERE rank <= 10"
 ORACLES["provider_gates"] = f"SELECT item_id::VARCHAR AS item_id, CASE WHEN {OFFLINE.format(q=chr(39) + 'related' + chr(39), s='text')} > 0.5 THEN 'accept' ELSE 'reject' END AS outcome FROM benchmark"
+
+# ---- stage steps without a query so far -----------------------------------------------------
+
+
+@query("""
+WITH c AS (SELECT conv_id AS doc_id, turn AS ord, [role, substr(text, 1, 5)] AS p FROM conversations)
+SELECT doc_id, ord, coalesce(array_to_string(lag(p) OVER (PARTITION BY doc_id ORDER BY ord), ' > '), '') AS prefix FROM c
+""")
+def context_prefixes(spark, sf_dir):
+    """Chunks with the headings at the end of the chunk before."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("ord"), F.array("role", F.substring("text", 1, 5)).alias("last_heading_path"))
+    return cu.context_prefix(c).select("doc_id", "ord", F.coalesce("context_prefix", F.lit("")).alias("prefix"))
+
+
+@query("""
+SELECT l_orderkey AS doc_id, l_linenumber AS id FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) o WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey % 3 = 0)
+AND l_linenumber NOT IN (SELECT l_linenumber FROM lineitem WHERE l_suppkey % 3 = 0 AND l_orderkey % 5 = 0 AND l_linenumber < 4)
+""")
+def items_no_longer_made(spark, sf_dir):
+    """Items of orders that were made anew, but not made again."""
+    line = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("id"), "l_suppkey").distinct()
+    scope = line.where("l_suppkey % 3 = 0").select("doc_id", F.when((F.col("doc_id") % 5 == 0) & (F.col("id") < 4), F.col("id")).alias("id"))
+    return cu.no_longer_made(line.select("doc_id", "id").distinct(), scope, "id", "doc_id")
+
+
+@query("SELECT l_orderkey AS example_id, CASE WHEN bool_and(l_suppkey % 2 = 0) THEN 'accepted' ELSE 'rejected' END AS status FROM lineitem GROUP BY 1")
+def needed_hops(spark, sf_dir):
+    """Multi-hop examples of which every hop is needed."""
+    checks = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("example_id"), F.when(F.col("l_suppkey") % 2 == 0, "reject").otherwise("accept").alias("outcome"))
+    return cu.hop_status(checks)
+
+
+@query("SELECT event_id::VARCHAR || '-review' AS review_id, 'reject' AS verdict, event_type <> 'click' AS overturned FROM events WHERE event_id = 7")
+def resolved_review(spark, sf_dir):
+    """One review found by the beginning of its id, and whether its verdict overturns the outcome."""
+    q = table(spark, sf_dir, "events").select(F.concat(F.col("event_id").cast("string"), F.lit("-review")).alias("review_id"), F.when(F.col("event_type") == "click", "reject").otherwise("accept").alias("outcome"))
+    return cu.resolve_review(q, "7-", "reject").select("review_id", "verdict", "overturned")
+
+
+@query("SELECT list_sort(list(DISTINCT p_type)) AS kept FROM part WHERE p_type LIKE 'S%' AND p_type NOT LIKE '%TIN'")
+def kept_proposals(spark, sf_dir):
+    """Proposed names that are supported and overlap nothing."""
+    names = [r[0] for r in table(spark, sf_dir, "part").where("p_type LIKE 'S%'").select("p_type").distinct().collect()]  # a controlled vocabulary, as proposals are
+    kept = cu.kept_proposals(names, {n for n in names if n.endswith("TIN")}, set(), ["known"])
+    return spark.createDataFrame([(kept,)], "kept array<string>")
+
+
+@query("""
+WITH w AS (SELECT p_partkey AS id, p_size::VARCHAR AS own FROM part)
+SELECT id, CASE WHEN id % 2 = 0 THEN '9.1,9.1.' || own ELSE own END AS "values" FROM w
+""")
+def widened_values(spark, sf_dir):
+    """Own values with the broader ones that the corpus knows."""
+
+    def wide(v):
+        got = tx.widened(v, ["9.0", "9.1"])
+        return ",".join(got) if isinstance(got, list) else got
+
+    widen = F.pandas_udf(lambda vs: vs.map(wide), "string")
+    own = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("9.1."), F.col("p_size").cast("string"))).otherwise(F.col("p_size").cast("string"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), widen(own).alias("values"))
+
+
+@query("""
+WITH v AS (SELECT p_partkey AS id, p_name AS a, array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS b FROM part) SELECT id, 100.0::DOUBLE AS ratio FROM v
+""")
+def name_ratios(spark, sf_dir):
+    """Likeness of names by their sets of words: turned names are the same."""
+    ratio = F.pandas_udf(lambda a, b: a.combine(b, tx.token_set_ratio), "double")
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_name", F.array_join(F.reverse(F.split("p_name", " ")), " ").alias("turned"))
+    return p.select("id", ratio("p_name", "turned").alias("ratio"))
