@@ -62,6 +62,8 @@ class Packing:
     seed: int = 11
     vocabulary: str | None = None
     end_id: int = 1
+    #: Bytes of text tokenized together.
+    block_bytes: int = 5 << 20
 
 
 # ---- pieces ----------------------------------------------------------------------
@@ -74,7 +76,7 @@ def _pieces(params: Packing):
         enc = encoder(params.vocabulary, params.end_id)
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for row, ids, sizes in enc.blocks(batch.column(1)):
+            for row, ids, sizes in enc.blocks(batch.column(1), params.block_bytes):
                 flat = memoryview(ids.astype("<u4")).cast("B")
                 rows, serials, pieces, starts, lengths, crcs = [], [], [], [], [], []
                 begin = 0
@@ -106,6 +108,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", para
 # ---- the genetic algorithm on one block -------------------------------------------
 
 
+#: Loose pieces up to which pairs of them are tried in place of one.
+PAIRS = 150
+
+
 class Bins:
     """Sequences of a block, with their free room kept in order for best-fit."""
 
@@ -147,9 +153,10 @@ class Bins:
     def exchange(self, loose: list[int]) -> list[int]:
         """One or two loose pieces take the place of a piece where the sequence gets fuller by it; what is loose then.
 
-        Sequences with least room come first, so that they fill up.
+        Sequences with least room come first, so that they fill up. Pairs are
+        tried where few pieces are loose; many find their place best-fit.
         """
-        sizes = self.sizes
+        sizes, pairs = self.sizes, len(loose) <= PAIRS
         free = sorted((sizes[i], i) for i in loose)
         for room, b in list(self.order):
             if room == 0 or not free:
@@ -162,7 +169,7 @@ class Bins:
                 if k >= 0 and free[k][0] > size and (best is None or free[k][0] - size > best[0]):
                     best = (free[k][0] - size, at, [k])
                 x, y = 0, bisect_left(free, (size + room, -1)) - 1
-                while x < y:
+                while pairs and x < y:
                     both = free[x][0] + free[y][0] - size
                     if both > room:
                         y -= 1
@@ -190,10 +197,13 @@ class Bins:
         return [sorted(g) for g in self.groups.values()]
 
 
-def packed(groups: list[list[int]], sizes: list[int], capacity: int) -> Bins:
+def packed(groups: list[list[int]], sizes: list[int], capacity: int, rooms: list[int] | None = None) -> Bins:
+    """Bins of copies of some groups, whose rooms may be known."""
     out = Bins(sizes, capacity)
-    for g in groups:
-        out.add(list(g))
+    out.groups = {b: list(g) for b, g in enumerate(groups)}
+    out.room = dict(enumerate(rooms if rooms is not None else [capacity - sum(map(sizes.__getitem__, g)) for g in groups]))
+    out.order = sorted((r, b) for b, r in out.room.items())
+    out.next = len(groups)
     return out
 
 
@@ -201,16 +211,17 @@ def crossover(a: Bins, b: Bins, rng: random.Random, well_filled: float) -> Bins:
     """A child of a with whole well-filled groups of b."""
     full = [k for k, r in b.room.items() if r <= (1 - well_filled) * b.capacity]
     rng.shuffle(full)
-    injected = [list(b.groups[k]) for k in full[: max(1, len(full) // 2)]]
+    full = full[: max(1, len(full) // 2)]
+    injected = [b.groups[k] for k in full]
     held = {i for g in injected for i in g}
-    child, loose = Bins(a.sizes, a.capacity), []
-    for g in a.groups.values():
+    kept, rooms, loose = [], [], []
+    for k, g in a.groups.items():
         if held.isdisjoint(g):
-            child.add(list(g))
+            kept.append(g)
+            rooms.append(a.room[k])
         else:
             loose += [i for i in g if i not in held]
-    for g in injected:
-        child.add(g)
+    child = packed([*kept, *injected], a.sizes, a.capacity, [*rooms, *(b.room[k] for k in full)])
     child.best_fit(child.exchange(loose))
     return child
 
@@ -242,7 +253,7 @@ def evolve(sizes: list[int], population: list[list[list[int]]], seed: int, param
         first.best_fit(list(range(len(sizes))))
         people.append(first)
     while len(people) < params.population:
-        other = packed(people[0].listed(), sizes, params.capacity)
+        other = packed(list(people[0].groups.values()), sizes, params.capacity, list(people[0].room.values()))
         mutate(other, rng, rng.uniform(0.05, 0.3))
         people.append(other)
     people.sort(key=Bins.value)
