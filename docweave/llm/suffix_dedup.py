@@ -59,6 +59,9 @@ PLACE_BITS = 22
 #: Bytes looked at together in the search for anchors, and in the ranking of groups.
 BLOCK = 1 << 19
 RANKED = 1 << 18
+#: Tasks over which the rows of one crowded key are spread, and the runs of an anchor from which on its rows carry a salt.
+SPREAD = 32
+CROWD = 4096
 
 
 @dataclass(frozen=True)
@@ -525,11 +528,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), row_key(F.col(f"`{id_col}`"), text).alias("rid"), text.alias("data"))
 
 
+def _grouped(rows: DataFrame, keys: list[str], order: Column, own: list[str]) -> DataFrame:
+    """rows whose keys come more than once, with the first of their key by an order.
+
+    A key is dealt over SPREAD tasks by what is a row's own, and only the salts
+    that a key has are joined back, so no key has to fit one task.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*own), F.lit(SPREAD)).cast("int"))
+    parts = salted.groupBy(*keys, "salt").agg(F.count("*").alias("times"), F.min(order).alias("first"))
+    whole = parts.groupBy(*keys).agg(F.sum("times").alias("times"), F.min("first").alias("first"), F.collect_set("salt").alias("salts")).where("times > 1")
+    return salted.join(whole.select(*keys, "first", F.explode("salts").alias("salt")), [*keys, "salt"])
+
+
 def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
     """Spans of whole texts that go as copies, and the rows beyond the first of each text."""
     sums = rows.select("id", "rid", F.length("data").alias("size"), F.unhex(F.md5("data")).alias("sum"))
-    groups = sums.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct("id", "rid")).alias("first")).where("copies > 1")
-    copies = scratch(sums.join(groups, "sum").select(
+    found = _grouped(sums, ["sum"], F.struct("id", "rid"), ["rid"])
+    copies = scratch(found.select(
         "rid", "size", ((F.col("first.id").eqNullSafe(F.col("id"))) & (F.col("first.rid") == F.col("rid"))).alias("is_first")), "copies")
     later = copies.where("NOT is_first").select("rid").distinct()
     gone = copies.where(F.lit(params.keep == "none") | ~F.col("is_first")).select(
@@ -539,11 +554,6 @@ def _copies(rows: DataFrame, params: Repeats) -> tuple[DataFrame, DataFrame]:
     return gone, later
 
 
-#: Tasks over which the runs of one crowded anchor are spread, and the runs of an anchor from which on they are.
-SPREAD = 32
-CROWD = 4096
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Repeats = Repeats()) -> DataFrame:
     """(rid, spans): the spans of bytes (or words) to remove from each document that has any; they may overlap."""
     least = 2 * params.window - 1 if params.words else params.window
@@ -596,8 +606,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _single_windows(params), f"h long, w long, place struct<id:{kind},rid:binary,lo:long>, names array<long>")
     single = single.select("h", "w", "place", F.posexplode("names").alias("k", "name"))
     start = F.struct(F.col("place.id"), F.col("place.rid"), (F.col("place.lo") + F.col("k")).alias("lo"), "w", "k")
-    firsts = single.groupBy("h", "name").agg(F.min(start).alias("first"), F.count("*").alias("times")).where("times > 1")
-    hit = single.join(firsts, ["h", "name"])
+    hit = _grouped(single, ["h", "name"], start, ["w", "k"])
     if params.keep == "first":
         hit = hit.where((F.col("first.w") != F.col("w")) | (F.col("first.k") != F.col("k")))
     crowd = hit.groupBy("h", "w").agg(F.collect_set(F.struct(F.col("k").alias("s"), (F.col("k") + 1).alias("e"))).alias("spans"))
