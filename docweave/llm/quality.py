@@ -217,7 +217,8 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit
     inner = docs.select(*[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
                         F.col(f"`{text_col}`").cast("string").alias("_text"), F.col(f"`{lang_col}`").alias("_lang"))
     learned = learned_words(inner, limits)
-    feats = scratch(features(inner, [f"_keep{i}" for i in range(len(keep))], learned), "quality")
+    # Snappy, since a zstd writer takes native memory beside the heap, and this stage fills the heap.
+    feats = scratch(features(inner, [f"_keep{i}" for i in range(len(keep))], learned), "quality", "snappy")
     refs = references(feats, learned, limits)
     out = feats.withColumn("base_failed", (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     if refs:
