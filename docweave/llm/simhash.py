@@ -1,4 +1,4 @@
-"""Multi-index hashing: SimHash near-duplicates by Hamming balls in fingerprint halves.
+"""Multi-index hashing: SimHash near-duplicates by Hamming balls in pieces of the fingerprint.
 
 Fingerprints come from 3-word shingles (repeats count) of the text with A-Z in
 lower case. Two documents link if their fingerprints differ in at most three
@@ -6,13 +6,14 @@ of 64 bits. Of the two 32-bit halves of a linked pair one differs in at most
 one bit, so every distinct fingerprint is stored under both halves, and looks
 up each half and the ball of one bit around it; complete distances decide.
 A half that differs in one bit has a 0 there on exactly one side, so only
-flips from 0 to 1 are looked up.
+flips from 0 to 1 are looked up. A distance of seven has four pieces of 16 bits
+in the place of the halves; the near copies of the pipeline use that (similar.py).
 
 Copies collapse to one row per fingerprint before any lookup. A bucket of a
-half that very many fingerprints share is dealt anew by a piece of the other
-half (four pieces of eight bits where the halves agree: three errors leave one
-piece untouched; three pieces where one bit was flipped), so no bucket has to
-fit a task whole because of its half alone. In a bucket only links that join
+piece that very many fingerprints share is dealt anew by the remaining bits, in
+one part more than the distance where the pieces agree (that many errors leave
+one part untouched; one part fewer where one bit was flipped), so no bucket has to
+fit a task whole because of its piece alone. In a bucket only links that join
 two so far unconnected parts leave the task: components keep every link's
 effect while the rows stay fewer than the lookups.
 
@@ -27,28 +28,39 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import similar
 from docweave.operators.components import connected_components
 from docweave.storage import scratch, table
 
+if TYPE_CHECKING:
+    from docweave.llm.similar import Similar
+
 SEED = 42
 
 
 @dataclass(frozen=True)
 class SimHash:
-    """words: shingle length; distance: most differing bits of a link, 3 for the two-half index."""
+    """words: shingle length; distance: most differing bits of a link, 3 for an index of two halves, 7 for one of four pieces."""
 
     words: int = 3
     distance: int = 3
-    #: Fingerprints under one half beyond which its bucket is dealt anew; exact either way.
+    #: Fingerprints under one piece beyond which its bucket is dealt anew; exact either way.
     bucket: int = 2048
 
+    @property
+    def pieces(self) -> int:
+        """Pieces of a fingerprint, of which one differs in at most one bit where the distance holds."""
+        count = (self.distance + 1) // 2
+        if self.distance % 2 == 0 or count < 2 or 64 % count:
+            raise ValueError("the index is built for distances of 3, 7 and 15")
+        return count
+
 
 def fingerprint(text: bytes, words: int) -> int:
     """The 64-bit SimHash of a text in UTF-8; bytes.split knows the same six ASCII spaces."""
@@ -66,6 +78,11 @@ def fingerprint(text: bytes, words: int) -> int:
         digest = xxhash.xxh64_intdigest
         spans = zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)
         hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the 64-bit hashes; zero if there are none."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536]
@@ -91,32 +108,44 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(_fingerprints(params.words), f"id {kind}, fp long")
 
 
-def _entries(prints: DataFrame) -> DataFrame:
-    """(half, key, probe, fp): every fingerprint under its halves, and its lookups one flip away."""
-    flips = F.expr("filter(sequence(0, 31), b -> (part >> b) & 1 = 0)")
-    halves = prints.select("fp", F.posexplode(F.array(F.expr("fp & 4294967295"), F.expr("shiftrightunsigned(fp, 32)"))).alias("half", "part"))
-    return halves.select(
-        "half", "fp", F.explode(F.concat(
+def _entries(prints: DataFrame, count: int) -> DataFrame:
+    """(piece, key, probe, fp): every fingerprint under its pieces, and its lookups one flip away."""
+    width = 64 // count
+    flips = F.expr(f"filter(sequence(0, {width - 1}), b -> (part >> b) & 1 = 0)")
+    parts = F.array(*[F.expr(f"shiftrightunsigned(fp, {width * i}) & {(1 << width) - 1}") for i in range(count)])
+    pieces = prints.select("fp", F.posexplode(parts).alias("piece", "part"))
+    return pieces.select(
+        "piece", "fp", F.explode(F.concat(
             F.array(F.struct(F.col("part").alias("key"), F.lit(False).alias("probe"))),
             F.transform(flips, lambda b: F.struct(F.expr("part").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)).alias("key"), F.lit(True).alias("probe"))),
         )).alias("e"),
-    ).select("half", "e.key", "e.probe", "fp")
+    ).select("piece", "e.key", "e.probe", "fp")
+
 
+def _remaining(count: int):
+    """The bits of a fingerprint without its piece, moved together."""
+    width, out = 64 // count, F.lit(None).cast("long")
+    for i in range(count):
+        low = f"(fp & {(1 << width * i) - 1})"
+        both = low if i == count - 1 else f"{low} | shiftleft(shiftrightunsigned(fp, {width * (i + 1)}), {width * i})"
+        out = F.when(F.col("piece") == i, F.expr(both)).otherwise(out)
+    return out
 
-def _pieces(other, count: int):
-    """The other half in pieces, each with its place, as one long apiece."""
-    width = [32 // count + (1 if i < 32 % count else 0) for i in range(count)]
+
+def _parts(other, bits: int, count: int):
+    """Remaining bits in parts, each with its place, as one long apiece."""
+    width = [bits // count + (1 if i < bits % count else 0) for i in range(count)]
     at = [sum(width[:i]) for i in range(count)]
-    return [F.shiftright(other, a).bitwiseAND(F.lit((1 << w) - 1)) + F.lit((count * 8 + i) << 32) for i, (a, w) in enumerate(zip(at, width, strict=True))]
+    return [F.shiftright(other, a).bitwiseAND(F.lit((1 << w) - 1)) + F.lit((count * 16 + i) << 32) for i, (a, w) in enumerate(zip(at, width, strict=True))]
 
 
-def _deal_hot(entries: DataFrame, hot: DataFrame) -> DataFrame:
-    """sub: 0 in common buckets; in hot ones each row once for each piece of its other half."""
-    marked = entries.join(hot.withColumn("hot", F.lit(True)), ["half", "key"], "left")
-    other = F.when(F.col("half") == 0, F.expr("shiftrightunsigned(fp, 32)")).otherwise(F.expr("fp & 4294967295"))
-    exact, flipped = _pieces(other, 4), _pieces(other, 3)
+def _deal_hot(entries: DataFrame, hot: DataFrame, params: SimHash) -> DataFrame:
+    """sub: 0 in common buckets; in hot ones each row once for each part of its remaining bits."""
+    marked = entries.join(hot.withColumn("hot", F.lit(True)), ["piece", "key"], "left")
+    other, bits = _remaining(params.pieces), 64 - 64 // params.pieces
+    exact, flipped = _parts(other, bits, params.distance + 1), _parts(other, bits, params.distance)
     subs = F.when(F.col("hot").isNull(), F.array(F.lit(0).cast("long"))).when(F.col("probe"), F.array(*flipped)).otherwise(F.array(*exact, *flipped))
-    return marked.select("half", "key", F.explode(subs).alias("sub"), "probe", "fp")
+    return marked.select("piece", "key", F.explode(subs).alias("sub"), "probe", "fp")
 
 
 def _bucket_links(fps: np.ndarray, probe: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -126,24 +155,19 @@ def _bucket_links(fps: np.ndarray, probe: np.ndarray, distance: int) -> list[tup
     everyone = np.concatenate((stored, bits[probe]))
     if len(stored) == 0 or len(everyone) < 2:
         return []
-    root = np.arange(len(everyone))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    part = np.arange(len(everyone))
     found = []
     step = max(1, (1 << 20) // len(everyone))
     for a in range(0, len(stored), step):
         near = np.bitwise_count(stored[a : a + step, None] ^ everyone[None, :]) <= distance
         near &= np.arange(len(everyone))[None, :] > np.arange(a, min(a + step, len(stored)))[:, None]
-        for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
-            x, y = find(a + i), find(j)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                found.append((everyone[a + i], everyone[j]))
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
+            at = np.flatnonzero(near[i])
+            joined, first = np.unique(part[at], return_index=True)
+            apart = joined != part[a + i]
+            if apart.any():
+                found += [(stored[a + i], x) for x in everyone[at[first[apart]]]]
+                part[np.isin(part, joined)] = part[a + i]
     return found
 
 
@@ -157,12 +181,12 @@ def _links(distance: int):
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)))
-            half, key, sub, probe, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            new = np.flatnonzero((half[1:] != half[:-1]) | (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])) + 1
+            piece, key, sub, probe, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            new = np.flatnonzero((piece[1:] != piece[:-1]) | (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])) + 1
             cuts = [0, *new.tolist()]
             found = _many(fp, probe, cuts, distance)
             last = cuts[-1]
-            held = [(half[last:], key[last:], sub[last:], probe[last:], fp[last:])]
+            held = [(piece[last:], key[last:], sub[last:], probe[last:], fp[last:])]
             if found:
                 yield emit(found)
         if held and len(held[0][0]):
@@ -185,11 +209,9 @@ def _many(fp: np.ndarray, probe: np.ndarray, cuts: list[int], distance: int) ->
 
 def links(prints: DataFrame, params: SimHash = SimHash()) -> DataFrame:
     """(src, dst): links between distinct fingerprints, enough of them to span every component."""
-    if params.distance != 3:
-        raise ValueError("the two-half index is built for a distance of 3")
-    entries = _entries(prints)
-    hot = entries.where("NOT probe").groupBy("half", "key").count().where(F.col("count") > params.bucket).select("half", "key")
-    dealt = _deal_hot(entries, hot).repartition("half", "key", "sub").sortWithinPartitions("half", "key", "sub")
+    entries = _entries(prints, params.pieces)
+    hot = entries.where("NOT probe").groupBy("piece", "key").count().where(F.col("count") > params.bucket).select("piece", "key")
+    dealt = _deal_hot(entries, hot, params).repartition("piece", "key", "sub").sortWithinPartitions("piece", "key", "sub")
     return dealt.mapInArrow(_links(params.distance), "src long, dst long")
 
 
@@ -206,9 +228,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: similar.Similar = similar.Similar()) -> DataFrame:
-    """One row of each group of near copies by five-word similarity: see similar.keep_one."""
-    return similar.keep_one(docs, id_col, text_col, params)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Similar | None = None) -> DataFrame:
+    """One row of each group of near copies by five-word similarity, found by these links first: see similar.keep_one."""
+    from docweave.llm import similar
+
+    return similar.keep_one(docs, id_col, text_col, params or similar.Similar())
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,22 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Words are parted by the six ASCII spaces, with A-Z in lower case; a text of
-fewer words is one shingle. Equal sets collapse first. Candidates come from
-min-hashes in bands: two sets share a band with a chance of J^rows, and at
-J = 0.8 all bands miss a pair with a chance of (1 - 0.8^4)^20 = 3e-5. Each
-candidate pair is then decided by its true similarity, so a link is never wrong.
+fewer words is one shingle. Equal sets collapse first.
+
+The search is that of simhash.py: SimHash fingerprints of the sets, and its
+multi-index for a distance of `bits` of 64. Sets of one fingerprint are compared
+with the first of them, and fingerprints by the index's links; each such pair is
+decided by its true similarity, so a link is never wrong. Fingerprints alone
+can't reach the bound: a pair of similarity 0.8 differs in 9.7 bits on average,
+and an index for the 19 bits that would take in all but one pair in a thousand
+has pieces of so few bits that it compares nearly everything with everything.
+
+So what the index leaves apart is searched once more, for pairs whose
+fingerprints lie farther off, by min-hashes in bands: two sets share a band with
+a chance of J^rows, and at J = 0.8 all bands miss a pair with a chance of
+(1 - 0.8^4)^20 = 3e-5. Buckets whose sets the index has joined already are
+passed over, and so are pairs of joined sets; the others are decided by their
+true similarity.
 
 Buckets with the same members are looked at once. A bucket of up to `pairs`
 sets gives all its pairs. In a larger one each member is compared with a few
@@ -38,18 +50,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm import simhash
 from docweave.llm.naming import fresh
 from docweave.llm.suffix_dedup import _mix, names, row_blocks, row_key, text_words
 from docweave.operators.components import connected_components
+from docweave.storage import discard
 from docweave.storage import scratch as written
 
 
 @dataclass(frozen=True)
 class Similar:
-    """words: shingle length; share: least similarity of a link; bands of so many rows find the candidates."""
+    """words: shingle length; share: least similarity of a link; bits: distance of the fingerprints' index; bands of so many rows find what it leaves."""
 
     words: int = 5
     share: float = 0.8
+    bits: int = 7
     bands: int = 20
     rows: int = 4
     #: Sets of one bucket up to which all pairs are compared, and the members compared with all others beyond.
@@ -114,11 +129,12 @@ def _prints(params: Similar):
         import xxhash
 
         for batch in _small(batches):
-            sids, keys = [], []
+            sids, prints, keys = [], [], []
             for _, found in shingle_sets(batch.column(1), params.words):
                 sids.append(xxhash.xxh3_128_digest(found.tobytes()))
+                prints.append(simhash.majority(found))
                 keys.append(band_keys(found, params).view(np.int64) if len(found) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["row", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.binary()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["row", "digest", "fp", "keys"])
 
     return run
 
@@ -150,32 +166,46 @@ def _verified(share: float):
 
 
 def _centers(members: DataFrame, count: int, salt: int) -> DataFrame:
-    """(key, other): for each key some of its members by hash, one row each."""
-    some = [F.min(F.struct(F.xxhash64("sid", "key", F.lit(salt + i)), "sid"))["sid"] for i in range(count)]
-    return members.groupBy("key").agg(F.array(*some).alias("o")).select("key", F.explode(F.array_distinct("o")).alias("other"))
+    """(key, other, other_part): for each key some of its members by hash, one row each."""
+    some = [F.min_by(F.struct(F.col("sid").alias("other"), F.col("part").alias("other_part")), F.struct(F.xxhash64("sid", "key", F.lit(salt + i)), "sid")) for i in range(count)]
+    return members.groupBy("key").agg(F.array(*some).alias("o")).select("key", F.explode(F.array_distinct("o")).alias("o")).select("key", "o.*")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("sid <> other").select(F.least("sid", "other").alias("src"), F.greatest("sid", "other").alias("dst")).distinct()
+    """The pairs once each, without those of sets that are joined already, where that is known."""
+    apart = "part <> other_part" if "other_part" in pairs.columns else "sid <> other"
+    return pairs.where(apart).select(F.least("sid", "other").alias("src"), F.greatest("sid", "other").alias("dst")).distinct()
+
+
+def printed_pairs(distinct: DataFrame, params: Similar) -> DataFrame:
+    """(src, dst): sets with the first of their fingerprint, and the firsts of fingerprints that the multi-index links."""
+    prints = scratch(distinct.groupBy("fp").agg(F.min("sid").alias("other")), "similar-prints")
+    found = scratch(simhash.links(prints.select("fp"), simhash.SimHash(params.words, params.bits)), "similar-index").distinct()
+    ends = found.join(prints.select(F.col("fp").alias("src"), F.col("other").alias("sid")), "src").join(prints.select(F.col("fp").alias("dst"), "other"), "dst")
+    return _ordered(distinct.join(prints, "fp").select("sid", "other").unionByName(ends.select("sid", "other")))
 
 
 def candidates(entries: DataFrame, large: DataFrame, params: Similar) -> DataFrame:
-    """(src, dst): pairs of sets that share a small bucket, or a large one (its members are given) with one of them a center of it."""
-    buckets = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.min("sid").alias("low"))
+    """(src, dst): pairs of sets of different parts that share a small bucket, or a large one (its members are given) with one of them a center of it."""
+    buckets = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.min("sid").alias("low"), F.min("part").alias("a"), F.max("part").alias("b"))
     # Of buckets with the same members one is enough.
-    few = buckets.where(F.col("n").between(2, params.pairs)).groupBy("n", "x", "low").agg(F.min("key").alias("key")).select("key")
+    few = buckets.where((F.col("n") <= params.pairs) & (F.col("a") < F.col("b"))).groupBy("n", "x", "low").agg(F.min("key").alias("key")).select("key")
     small = scratch(entries.join(few, "key"), "similar-members")
-    pairs = small.join(small.select("key", F.col("sid").alias("other")), "key").where("sid < other").select("sid", "other")
+    pairs = small.join(small.select("key", F.col("sid").alias("other"), F.col("part").alias("other_part")), "key").where("sid < other").select("sid", "other", "part", "other_part")
     degree = large.groupBy("sid").agg(F.count("*").alias("degree"))
-    first = large.join(degree, "sid").groupBy("key").agg(F.max_by("sid", F.struct("degree", "sid")).alias("other"))
+    first = large.join(degree, "sid").groupBy("key").agg(F.max_by(F.struct(F.col("sid").alias("other"), F.col("part").alias("other_part")), F.struct("degree", "sid")).alias("o")).select("key", "o.*")
     centers = first.unionByName(_centers(large, params.centers - 1, 0)) if params.centers > 1 else first
-    return _ordered(pairs.unionByName(large.join(centers.distinct(), "key").select("sid", "other")))
+    return _ordered(pairs.unionByName(large.join(centers.distinct(), "key").select("sid", "other", "part", "other_part")))
+
+
+def _in_parts(sets: DataFrame, parts: DataFrame, *others: str) -> DataFrame:
+    """(others, sid, part): the component of each set, itself where it has none."""
+    return sets.join(parts, sets["sid"] == parts["node"], "left").select(*others, "sid", F.coalesce("component", "sid").alias("part"))
 
 
 def _split(large: DataFrame, parts: DataFrame) -> DataFrame:
     """(key, sid, part, main): members of large buckets that span several components; main is the bucket's largest."""
-    part = F.coalesce("component", "sid").alias("part")
-    members = scratch(large.join(parts, large["sid"] == parts["node"], "left").select("key", "sid", part), "similar-large")
+    members = scratch(_in_parts(large.select("key", "sid"), parts, "key"), "similar-large")
     sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
     return scratch(members.join(main, "key"), "similar-split")
@@ -228,13 +258,16 @@ def _compared(params: Similar):
 def leftovers(split: DataFrame, sizes: DataFrame, distinct: DataFrame, rows: DataFrame, params: Similar) -> DataFrame:
     """(src, dst): links of one large bucket between components, one end outside the bucket's largest."""
     blocks = sizes.select("key", F.ceil(F.col("all") / params.block).cast("int").alias("nj"), F.ceil(F.col("rest") / params.block).cast("int").alias("ni"))
-    dealt = split.join(blocks, "key").join(_sets_of(split.select("sid").distinct(), distinct, rows, params), "sid")
+    sets = _sets_of(split.select("sid").distinct(), distinct, rows, params)
+    dealt = split.join(blocks, "key").join(sets, "sid")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     place = lambda n: F.pmod(F.xxhash64("sid"), F.col(n)).cast("int")
     rest = dealt.where("part <> main").select("key", place("ni").alias("i"), F.explode(every("nj")).alias("j"), F.lit(True).alias("rest"), "sid", "part", "shingles")
     members = dealt.select("key", F.explode(every("ni")).alias("i"), place("nj").alias("j"), F.lit(False).alias("rest"), "sid", "part", "shingles")
     together = rest.unionByName(members).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return scratch(together.mapInArrow(_compared(params), "src long, dst long"), "similar-rest")
+    links = scratch(together.mapInArrow(_compared(params), "src long, dst long"), "similar-rest")
+    discard(sets)
+    return links
 
 
 def _sets_of(sids: DataFrame, distinct: DataFrame, rows: DataFrame, params: Similar) -> DataFrame:
@@ -247,20 +280,24 @@ def _links(pairs: DataFrame, distinct: DataFrame, rows: DataFrame, params: Simil
     """The pairs whose true similarity is high enough."""
     sets = _sets_of(pairs.select(F.explode(F.array("src", "dst")).alias("sid")).distinct(), distinct, rows, params)
     held = pairs.join(sets.select(F.col("sid").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("sid").alias("dst"), F.col("shingles").alias("b")), "dst")
-    return scratch(held.select("src", "dst", "a", "b").mapInArrow(_verified(params.share), "src long, dst long"), "similar-links")
+    links = scratch(held.select("src", "dst", "a", "b").mapInArrow(_verified(params.share), "src long, dst long"), "similar-links")
+    discard(sets)
+    return links
 
 
 def chosen_rows(docs: DataFrame, row_col: str, id_col: str, text_col: str, params: Similar = Similar()) -> DataFrame:
     """(row_col): of each group of near copies the row of least id, then least row."""
     rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), F.col(f"`{row_col}`").alias("row")).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    prints = rows.mapInArrow(_prints(params), f"row {kind}, digest binary, keys array<long>")
-    distinct = prints.groupBy("digest").agg(F.min("row").alias("first"), F.any_value("keys").alias("keys"))
-    distinct = scratch(distinct.select(F.monotonically_increasing_id().alias("sid"), "first", "keys"), "similar")
-    entries = distinct.select("sid", F.explode("keys").alias("key"))
-    crowded = entries.groupBy("key").count().where(F.col("count") > params.pairs).select("key")
+    prints = rows.mapInArrow(_prints(params), f"row {kind}, digest binary, fp long, keys array<long>")
+    distinct = prints.groupBy("digest").agg(F.min("row").alias("first"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys"))
+    distinct = scratch(distinct.select(F.monotonically_increasing_id().alias("sid"), "first", "fp", "keys"), "similar")
+    links = _links(scratch(printed_pairs(distinct, params), "similar-printed"), distinct, rows, params)
+    parts = connected_components(links)
+    entries = _in_parts(distinct.select("sid", "keys"), parts, "keys").select("sid", "part", F.explode("keys").alias("key"))
+    crowded = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("b")).where((F.col("n") > params.pairs) & (F.col("a") < F.col("b"))).select("key")
     large = scratch(entries.join(crowded, "key"), "similar-crowded")
-    links = _links(scratch(candidates(entries, large, params), "similar-pairs"), distinct, rows, params)
+    links = links.unionByName(_links(scratch(candidates(entries, large, params), "similar-pairs"), distinct, rows, params))
     parts = scratch(connected_components(links), "similar-parts")
     for turn in range(params.rounds + 1):
         split = _split(large, parts)
@@ -273,7 +310,7 @@ def chosen_rows(docs: DataFrame, row_col: str, id_col: str, text_col: str, param
             more = leftovers(split, sizes, distinct, rows, params)
         else:
             centers = _centers(split.where("part = main"), params.centers, 1000 * (turn + 1))
-            pairs = scratch(_ordered(split.where("part <> main").join(centers, "key").select("sid", "other")), "similar-pairs")
+            pairs = scratch(_ordered(split.where("part <> main").join(centers, "key").select("sid", "other", "part", "other_part")), "similar-pairs")
             more = _links(pairs, distinct, rows, params)
         if more.head(1):
             links = links.unionByName(more)

@@ -66,6 +66,27 @@ def test_links_span_the_brute_force_components(spark, bucket):
     assert [find(i) for i in range(len(prints))] == brute_parts(prints)
 
 
+@pytest.mark.parametrize("bucket", [0, 2048])
+def test_four_pieces_reach_a_distance_of_seven(spark, bucket):
+    rng = np.random.default_rng(8)
+    mask, prints = (1 << 64) - 1, {0, (1 << 64) - 1}
+    for _ in range(40):
+        near = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(0, 2))
+        for apart in (0, 6, 7, 7, 8, 9):
+            for b in rng.permutation(64)[:apart].tolist():
+                near ^= 1 << b
+            prints.add(near)
+    prints = sorted(prints)
+    rows = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    found = [(r.src & mask, r.dst & mask) for r in simhash.links(rows, simhash.SimHash(distance=7, bucket=bucket)).collect()]
+    assert all((a ^ b).bit_count() <= 7 for a, b in found)
+    part = {p: p for p in prints}
+    for a, b in found:
+        part = {k: part[a] if v == part[b] else v for k, v in part.items()}
+    close = [(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= 7]
+    assert len(close) > len(prints) and all(part[a] == part[b] for a, b in close)
+
+
 def test_near_duplicates_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(400))
     texts = [None, "", "A b", "a B", long, long, long.replace("w399", "x"), "lonely text here now", " \t\n", long + "   Ünï"]

@@ -45,6 +45,19 @@ def test_near_copies_of_similarity_from_four_fifths_go(spark):
     assert {r.doc_id for r in simhash.keep_one(docs).collect()} == want
 
 
+def test_the_index_of_fingerprints_finds_the_closest_copies_without_bands(spark):
+    rows = corpus((0.0, 0.005, 0.005))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, got = brute_kept(rows), {r.doc_id for r in simhash.keep_one(docs, params=similar.Similar(bands=0)).collect()}
+    assert want <= got and len(got - want) < 0.2 * (len(rows) - len(want))
+
+
+def test_bands_pass_over_what_the_index_joined(spark):
+    entries = spark.createDataFrame([(k, sid, sid // 2) for k, sids in ((1, (2, 3)), (2, (2, 3, 4)), (3, (2, 4))) for sid in sids], "key long, sid long, part long")
+    pairs = similar.candidates(entries, entries.where("false"), similar.Similar()).collect()
+    assert sorted(tuple(r) for r in pairs) == [(2, 4), (3, 4)]
+
+
 def test_large_buckets_link_by_centers(spark):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(200)]
