@@ -77,9 +77,13 @@ class Similar:
     block: int = 256
 
 
-def scratch(df: DataFrame, label: str) -> DataFrame:
-    """A scratch table with a light codec: hashes don't compress, and a zstd writer takes native memory."""
-    return written(df, label, "snappy")
+def scratch(df: DataFrame, label: str, rows: int | None = None, of: int = 100_000) -> DataFrame:
+    """A scratch table with a light codec: hashes don't compress, and a zstd writer takes native memory.
+
+    Where its rows, or those that it takes to make it, are known to be at most
+    `rows`, there are tasks and part files for `of` rows each and no more.
+    """
+    return written(df if rows is None else df.coalesce(max(12, rows // of)), label, "snappy")
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -179,18 +183,19 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def printed_pairs(distinct: DataFrame, params: Similar) -> DataFrame:
     """(src, dst): sets with the first of their fingerprint, and the firsts of fingerprints that the multi-index links."""
-    prints = scratch(distinct.groupBy("fp").agg(F.min("sid").alias("other")), "similar-prints")
-    found = scratch(simhash.links(prints.select("fp"), simhash.SimHash(params.words, params.bits)), "similar-index").distinct()
+    index, n = simhash.SimHash(params.words, params.bits), distinct.count()
+    prints = scratch(distinct.groupBy("fp").agg(F.min("sid").alias("other")), "similar-prints", n)
+    found = scratch(simhash.links(prints.select("fp"), index), "similar-index", n * (32 + index.pieces)).distinct()
     ends = found.join(prints.select(F.col("fp").alias("src"), F.col("other").alias("sid")), "src").join(prints.select(F.col("fp").alias("dst"), "other"), "dst")
     return _ordered(distinct.join(prints, "fp").select("sid", "other").unionByName(ends.select("sid", "other")))
 
 
-def candidates(entries: DataFrame, large: DataFrame, params: Similar) -> DataFrame:
+def candidates(entries: DataFrame, large: DataFrame, params: Similar, rows: int | None = None) -> DataFrame:
     """(src, dst): pairs of sets of different parts that share a small bucket, or a large one (its members are given) with one of them a center of it."""
     buckets = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.min("sid").alias("low"), F.min("part").alias("a"), F.max("part").alias("b"))
     # Of buckets with the same members one is enough.
     few = buckets.where((F.col("n") <= params.pairs) & (F.col("a") < F.col("b"))).groupBy("n", "x", "low").agg(F.min("key").alias("key")).select("key")
-    small = scratch(entries.join(few, "key"), "similar-members")
+    small = scratch(entries.join(few, "key"), "similar-members", rows)
     pairs = small.join(small.select("key", F.col("sid").alias("other"), F.col("part").alias("other_part")), "key").where("sid < other").select("sid", "other", "part", "other_part")
     degree = large.groupBy("sid").agg(F.count("*").alias("degree"))
     first = large.join(degree, "sid").groupBy("key").agg(F.max_by(F.struct(F.col("sid").alias("other"), F.col("part").alias("other_part")), F.struct("degree", "sid")).alias("o")).select("key", "o.*")
@@ -203,12 +208,12 @@ def _in_parts(sets: DataFrame, parts: DataFrame, *others: str) -> DataFrame:
     return sets.join(parts, sets["sid"] == parts["node"], "left").select(*others, "sid", F.coalesce("component", "sid").alias("part"))
 
 
-def _split(large: DataFrame, parts: DataFrame) -> DataFrame:
+def _split(large: DataFrame, parts: DataFrame, rows: int) -> DataFrame:
     """(key, sid, part, main): members of large buckets that span several components; main is the bucket's largest."""
-    members = scratch(_in_parts(large.select("key", "sid"), parts, "key"), "similar-large")
+    members = scratch(_in_parts(large.select("key", "sid"), parts, "key"), "similar-large", rows)
     sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    return scratch(members.join(main, "key"), "similar-split")
+    return scratch(members.join(main, "key"), "similar-split", rows)
 
 
 def _compared(params: Similar):
@@ -280,7 +285,7 @@ def _links(pairs: DataFrame, distinct: DataFrame, rows: DataFrame, params: Simil
     """The pairs whose true similarity is high enough."""
     sets = _sets_of(pairs.select(F.explode(F.array("src", "dst")).alias("sid")).distinct(), distinct, rows, params)
     held = pairs.join(sets.select(F.col("sid").alias("src"), F.col("shingles").alias("a")), "src").join(sets.select(F.col("sid").alias("dst"), F.col("shingles").alias("b")), "dst")
-    links = scratch(held.select("src", "dst", "a", "b").mapInArrow(_verified(params.share), "src long, dst long"), "similar-links")
+    links = scratch(held.select("src", "dst", "a", "b").mapInArrow(_verified(params.share), "src long, dst long"), "similar-links", pairs.count(), 2000)
     discard(sets)
     return links
 
@@ -292,25 +297,27 @@ def chosen_rows(docs: DataFrame, row_col: str, id_col: str, text_col: str, param
     prints = rows.mapInArrow(_prints(params), f"row {kind}, digest binary, fp long, keys array<long>")
     distinct = prints.groupBy("digest").agg(F.min("row").alias("first"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys"))
     distinct = scratch(distinct.select(F.monotonically_increasing_id().alias("sid"), "first", "fp", "keys"), "similar")
-    links = _links(scratch(printed_pairs(distinct, params), "similar-printed"), distinct, rows, params)
+    sets = distinct.count()
+    every = sets * params.bands
+    links = _links(scratch(printed_pairs(distinct, params), "similar-printed", sets), distinct, rows, params)
     parts = connected_components(links)
     entries = _in_parts(distinct.select("sid", "keys"), parts, "keys").select("sid", "part", F.explode("keys").alias("key"))
     crowded = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("b")).where((F.col("n") > params.pairs) & (F.col("a") < F.col("b"))).select("key")
-    large = scratch(entries.join(crowded, "key"), "similar-crowded")
-    links = links.unionByName(_links(scratch(candidates(entries, large, params), "similar-pairs"), distinct, rows, params))
+    large = scratch(entries.join(crowded, "key"), "similar-crowded", every)
+    links = links.unionByName(_links(scratch(candidates(entries, large, params, every), "similar-pairs", every), distinct, rows, params))
     parts = scratch(connected_components(links), "similar-parts")
     for turn in range(params.rounds + 1):
-        split = _split(large, parts)
+        split = _split(large, parts, every)
         sizes = split.groupBy("key").agg(F.count("*").alias("all"), F.count_if(F.col("part") != F.col("main")).alias("rest"))
         work = sizes.agg(F.sum(F.col("all") * F.col("rest"))).first()[0]
         if not work:
             break
-        last = turn == params.rounds or work <= params.work * distinct.count()
+        last = turn == params.rounds or work <= params.work * sets
         if last:
             more = leftovers(split, sizes, distinct, rows, params)
         else:
             centers = _centers(split.where("part = main"), params.centers, 1000 * (turn + 1))
-            pairs = scratch(_ordered(split.where("part <> main").join(centers, "key").select("sid", "other", "part", "other_part")), "similar-pairs")
+            pairs = scratch(_ordered(split.where("part <> main").join(centers, "key").select("sid", "other", "part", "other_part")), "similar-pairs", every)
             more = _links(pairs, distinct, rows, params)
         if more.head(1):
             links = links.unionByName(more)

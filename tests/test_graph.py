@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
@@ -25,6 +26,21 @@ def test_components_of_random_graphs(spark):
     assert {r.node: r.component for r in connected_components(df).collect()} == {x: find(x) for x in parent} | ({} if 3 in parent else {3: 3})
 
 
+def test_components_leave_few_part_files(spark):
+    where = Path(spark.conf.get("spark.checkpoint.dir"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        before = set(where.rglob("part-*"))
+        found = connected_components(spark.createDataFrame([(i, i + 1) for i in range(600)], "src long, dst long"))
+        assert len(set(where.rglob("part-*")) - before) <= 8
+        assert found.where("component = 0").count() == 601
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def roots(spark, rows):
     df = spark.createDataFrame(rows, "a string, b string, kind string, p double")
     return {r.id: r.root for r in graph.guarded_union_find(df).collect()}
