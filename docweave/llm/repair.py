@@ -43,6 +43,8 @@ from docweave.storage import scratch, table
 MAGIC = b"RPR1"
 #: By how much the floor falls from one round to the next.
 FALL = 8
+#: Bytes of text that are tokenized together: the more, the fewer words are looked up again.
+BLOCK = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -275,7 +277,7 @@ def _write(params: Grammar, id_type: pa.DataType):
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for row, ids, sizes in enc.blocks(batch.column(1)):
+            for row, ids, sizes in enc.blocks(batch.column(1), BLOCK):
                 ends = np.cumsum(sizes)
                 at = 0
                 while at < len(sizes):

@@ -151,7 +151,7 @@ class WordEncoder:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
         split = pc.split_pattern(prepared(texts), " ")
         numbered = split.flatten().dictionary_encode()
-        numbers = np.append(self._numbers(numbered.dictionary.to_pylist()), 1)
+        numbers = np.append(self._numbers(numbered.dictionary.to_numpy(zero_copy_only=False).tolist()), 1)
         sizes, begins = self.sizes[numbers], self.begins[numbers].astype(np.int32)
         offsets = split.offsets.to_numpy()
         offsets = offsets - offsets[0]
