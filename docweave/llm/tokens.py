@@ -43,19 +43,32 @@ def prepared(texts: pa.Array) -> pa.Array:
     data[data == 10] = 32
     # "word%%, " becomes "word %%, ": letters and a run of marks up to a blank are always apart, and there are fewer distinct words so.
     if len(data) > 2:
-        letter = (data - np.uint8(97)) < 26
-        other = np.flatnonzero(~IS_MARK[data])
-        at = np.flatnonzero(letter[:-1] & IS_MARK[data[1:]]) + 1
+        mark = IS_MARK[data]
+        at = np.flatnonzero(((data[:-1] - np.uint8(97)) < 26) & mark[1:]) + 1
         for i in named.tolist():
             at = at[(at <= offsets[i]) | (at >= offsets[i + 1])]
-        next_other = np.searchsorted(other, at)
-        at = at[next_other < len(other)]
-        at = at[data[other[next_other[: len(at)]]] == 32]
+        past = _past_marks(mark, at)
+        at = at[past < len(data)]
+        at = at[data[past[: len(at)]] == 32]
         data = np.insert(data, at, 32)
         offsets = offsets + np.searchsorted(at, offsets, "left")
     return pa.Array.from_buffers(pa.large_string(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
+def _past_marks(mark: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first place from each of some on (ascending) that is no mark; the length if there is none."""
+    past, going = at.copy(), np.arange(len(at))
+    for _ in range(16):
+        going = going[past[going] < len(mark)]
+        going = going[mark[past[going]]]
+        if not len(going):
+            return past
+        past[going] += 1
+    other = np.append(np.flatnonzero(~mark), len(mark))  # runs of very many marks
+    past[going] = other[np.searchsorted(other, past[going])]
+    return past
+
+
 class WordEncoder:
     """Ids of whole texts, a block of texts at a time.
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from docweave.llm import repair
+from docweave.llm import repair, tokens
 from docweave.llm.tokens import WordEncoder, vocabulary_path
 
 
@@ -92,6 +92,15 @@ def test_words_encode_as_whole_texts():
             assert enc.encode(ODD[at : at + 4]) == reference(ODD[at : at + 4])
 
 
+def test_runs_of_marks_end_where_they_end():
+    data = np.frombuffer(b"a,. b" + b"%" * 40 + b" c. d" + b"!" * 16 + b"e;" + b"?" * 20, np.uint8)
+    mark = tokens.IS_MARK[data]
+    at = np.flatnonzero(~mark[:-1] & mark[1:]) + 1
+    assert tokens._past_marks(mark, at).tolist() == [next((k for k in range(i, len(data)) if not mark[k]), len(data)) for i in at.tolist()]
+    texts = ["a,. b" + "%" * 40 + " c. d" + "!" * 16 + "e;" + "?" * 20, "x" + "." * 17 + " y" + "." * 16, "..", "z."]
+    assert WordEncoder(vocabulary_path()).encode(texts) == reference(texts)
+
+
 def test_table_round_trip(spark):
     rows = [(i * 7 % 40, (t or "") + f" doc {i} the same words again and again" if t is not None else None, 1) for i, t in enumerate(ODD * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, id int").repartition(5)
