@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, decontaminate, html_text, language, oracles, packing, quality, repair, simhash, suffix_dedup, toxicity
+from docweave.llm import ball_kmeans, chat, decontaminate, html_text, language, oracles, order_packing, packing, quality, repair, simhash, suffix_dedup, toxicity, whitening
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_chat": chat.op9_chat,
     "op10_simhash": simhash.op10_simhash,
+    "op11_ball_kmeans": ball_kmeans.op11_ball_kmeans,
+    "op12_order_packing": order_packing.op12_order_packing,
+    "op13_whitening": whitening.op13_whitening,
 }
-ORACLES = {"op1_suffix_dedup": oracles.SUFFIX_DEDUP, "op6_quality": oracles.quality()}
+ORACLES = {"op1_suffix_dedup": oracles.SUFFIX_DEDUP, "op6_quality": oracles.quality(), "op11_ball_kmeans": oracles.ball_kmeans()}

@@ -60,3 +60,25 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT failed AND (coalesce(ok, false) OR (lang IS NOT NULL AND lang NOT IN (SELECT lang FROM refs))) AS kept, round(cd, 6) AS class_distance, round(wd, 6) AS word_distance
 FROM base LEFT JOIN near USING (doc_id)
 """
+
+
+def ball_kmeans(k: int = 40, size: int = 64, scale: int = 256, rounds: int = 5, salt: str = "2:") -> str:
+    """Lloyd's rounds written out: every vector against every centroid, sums of each component by cluster."""
+    steps = [
+        f"v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::HUGEINT) AS q FROM embeddings WHERE len(embedding) = {size}"
+        f" AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})",
+        f"c0 AS (SELECT (row_number() OVER (ORDER BY h, q) - 1)::INT AS cluster, q AS c FROM (SELECT q, sha256('{salt}' || vec_id::VARCHAR) AS h FROM v ORDER BY h, q LIMIT {k}))",
+    ]
+    square = "list_sum(list_transform(list_zip(v.q, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS (SELECT vec_id, q, min(struct_pack(d := d, cluster := cluster)) AS best FROM (SELECT v.vec_id, v.q, c.cluster, {square} AS d FROM v, c{r} c) GROUP BY vec_id, q)")
+        if r < rounds:
+            steps.append(
+                f"m{r} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n) ORDER BY i) AS c FROM (SELECT best.cluster AS cluster, i, sum(q[i])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{r}, range(1, {size + 1}) t(i) GROUP BY 1, 2) GROUP BY cluster)")
+            steps.append(f"c{r + 1} AS (SELECT cluster, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m USING (cluster))")
+    return f"""
+WITH {", ".join(f"{s.split(' AS ', 1)[0]} AS MATERIALIZED {s.split(' AS ', 1)[1]}" for s in steps)}
+SELECT vec_id, best.cluster AS cluster, best.d::BIGINT AS distance, (sum(best.d) OVER (PARTITION BY best.cluster))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.cluster = best.cluster
+"""
