@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.naming import fresh
 from docweave.storage import scratch
 
 
@@ -20,15 +21,14 @@ def positions(df: DataFrame, name: str, order: Sequence[str], by: Sequence[str]
     table nor a group with most of its rows has to fit a task. Nulls come first
     and are a group of their own; the order should end in an id to be total.
     """
-    clash = [c for c in ("range_", "row_") if c in df.columns]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    keys = [F.col(f"`{c}`") for c in (*by, *order)]
+    part, row, first, held, shift, *keys_ = fresh(df.columns, "range", "row", "first", "held", "shift", *[f"by_{i}" for i in range(len(by))])
+    named = lambda cs: [F.col(f"`{c}`") for c in cs]
+    keys = named([*by, *order])
     sorted_ = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    numbered = scratch(sorted_.select("*", F.spark_partition_id().alias("range_"), F.monotonically_increasing_id().alias("row_")), "ordered")
-    pieces = numbered.groupBy("range_", *[F.col(f"`{c}`") for c in by]).agg(F.min("row_").alias("first_"), F.count("*").alias("held_"))
-    before = Window.partitionBy(*[F.col(f"`{c}`") for c in by]).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select("range_", *[F.col(f"`{c}`").alias(f"by_{i}") for i, c in enumerate(by)], (F.coalesce(F.sum("held_").over(before), F.lit(0)) - F.col("first_") + 1).alias("shift_"))
-    same = [numbered["range_"] == offsets["range_"], *[numbered[f"`{c}`"].eqNullSafe(offsets[f"by_{i}"]) for i, c in enumerate(by)]]
+    numbered = scratch(sorted_.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().alias(row)), "ordered")
+    pieces = numbered.groupBy(part, *named(by)).agg(F.min(row).alias(first), F.count("*").alias(held))
+    before = Window.partitionBy(*named(by)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(part, *[F.col(f"`{c}`").alias(k) for c, k in zip(by, keys_, strict=True)], (F.coalesce(F.sum(held).over(before), F.lit(0)) - F.col(first) + 1).alias(shift))
+    same = [numbered[part] == offsets[part], *[numbered[f"`{c}`"].eqNullSafe(offsets[k]) for c, k in zip(by, keys_, strict=True)]]
     joined = numbered.join(offsets, reduce(lambda a, b: a & b, same))
-    return joined.select(*[numbered[f"`{c}`"] for c in df.columns], (F.col("row_") + F.col("shift_")).alias(name))
+    return joined.select(*[numbered[f"`{c}`"] for c in df.columns], (F.col(row) + F.col(shift)).alias(name))

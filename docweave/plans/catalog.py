@@ -7,6 +7,7 @@ for edges. Doubles are rounded, every ranking ends in an id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -19,8 +20,9 @@ from docweave.ids import sha_id, short_key, unit_fraction
 from docweave.operators import audit, gating, graph, knn, search, training
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
+from docweave.operators.text_index import Report, TextIndex
 from docweave.sinks.export import fingerprint
-from docweave.storage import table
+from docweave.storage import delete_on_exit, shared_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,8 @@ def query(sql: str | None = None):
     """Registers a query under its function's name."""
 
     def take(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"a query of this name is there already: {f.__name__}")
         QUERIES[f.__name__] = f
         if sql is not None:
             ORACLES[f.__name__] = sql
@@ -194,6 +198,17 @@ def search_filter_hydrate(spark, sf_dir):
 # ---- text search ---------------------------------------------------------------------
 
 TERMS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')"
+_INDEXES: dict[tuple[str, str], TextIndex] = {}
+
+
+def text_index(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """The inverted index of the documents of a folder, written once for an application and read by all searches."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES or not _INDEXES[key].exists():
+        where = f"{shared_dir(spark).rstrip('/')}/docweave-text-index-{uuid.uuid4().hex}"
+        delete_on_exit(spark, where)
+        _INDEXES[key] = TextIndex.build(table(spark, sf_dir, "documents"), "doc_id", "text", where)
+    return _INDEXES[key]
 
 
 @query(f"""
@@ -202,8 +217,7 @@ SELECT doc_id FROM s WHERE ((list_contains(ts, 'and') AND contains(j, ' of the '
 """)
 def fts_match_and_or_phrase_not(spark, sf_dir):
     """Documents that match a web-style query."""
-    q = search.websearch('and "of the" or der -trash')
-    return table(spark, sf_dir, "documents").where(search.matches(search.terms(F.col("text")), q)).select("doc_id")
+    return text_index(spark, sf_dir).match(search.websearch('and "of the" or der -trash')).select(F.col("id").alias("doc_id"))
 
 
 BM25_SQL = f"""
@@ -217,7 +231,7 @@ r AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM
 
 
 def _bm25(spark, sf_dir):
-    return search.bm25(table(spark, sf_dir, "documents"), "doc_id", "text", ["thing", "clown", "und", "avec"], 50)
+    return text_index(spark, sf_dir).top(["thing", "clown", "und", "avec"], 50)
 
 
 @query(BM25_SQL + "SELECT id AS doc_id, round(score, 6) AS score, rank::INT AS rank FROM r")
@@ -226,6 +240,14 @@ def bm25_topk(spark, sf_dir):
     return _bm25(spark, sf_dir).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
 
 
+@query()
+def index_reads(spark, sf_dir):
+    """What bm25_topk reads of the index: blocks and postings of its terms, and of them those whose bound reaches the threshold."""
+    report = Report()
+    text_index(spark, sf_dir).top(["thing", "clown", "und", "avec"], 50, report=report)
+    return spark.createDataFrame([tuple(vars(report).values())], "blocks long, blocks_read long, postings long, postings_read long")
+
+
 @query(BM25_SQL + """, x AS (SELECT doc_id AS id, row_number() OVER (ORDER BY length(text) DESC, doc_id) AS rank FROM documents QUALIFY rank <= 50),
 u AS (SELECT id, rank FROM r UNION ALL SELECT id, rank FROM x)
 SELECT id AS doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf FROM u GROUP BY id""")
@@ -258,7 +280,7 @@ def keyword_fts_candidates(spark, sf_dir):
     """For each labelled document with keywords, the 3 others that hold most of them."""
     words = F.array(*[F.lit(w) for w in ("clown", "idiot", "moron", "trash", "scum", "loser")])
     asks = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"), F.explode(words).alias("keyword"))
-    return rel_order(search.keyword_matches(asks, search.postings(table(spark, sf_dir, "documents"), "doc_id", "text"), 3))
+    return rel_order(search.keyword_matches(asks, text_index(spark, sf_dir).postings(), 3))
 
 
 def rel_order(df: DataFrame) -> DataFrame:
@@ -494,7 +516,7 @@ h AS (SELECT a, b, sha256('path|' || a::VARCHAR || '|' || b::VARCHAR) AS h FROM
 p AS (SELECT x.a, x.b, y.b AS c, row_number() OVER (PARTITION BY x.a ORDER BY x.h, y.h, x.b, y.b) AS n FROM h x JOIN h y ON x.b = y.a AND x.a <> y.b)
 SELECT a, b, c FROM p WHERE n = 1
 """)
-def hop_paths(spark, sf_dir):
+def two_hop_paths(spark, sf_dir):
     """For each start one simple two-hop path, by hash order."""
     return graph.two_hop_paths(_edges(spark, sf_dir).where("status = 'accepted'"))
 

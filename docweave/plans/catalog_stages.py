@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.operators import curation as cu
-from docweave.operators import search
 from docweave.plans import provider
-from docweave.plans.catalog import TERMS, _knn, query
+from docweave.plans.catalog import TERMS, _knn, query, text_index
 from docweave.storage import table
 
 
@@ -303,5 +302,5 @@ SELECT term, count(DISTINCT id) AS documents, count(*) AS uses FROM p GROUP BY t
 """)
 def term_statistics(spark, sf_dir):
     """Document frequency of terms in the inverted index."""
-    p = search.postings(table(spark, sf_dir, "documents"), "doc_id", "text")
+    p = text_index(spark, sf_dir).postings()
     return p.groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("uses")).where("documents >= 20")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from docweave.functions import vectors as vec
 from docweave.functions.text import hashed_vector
 from docweave.operators import graph, search
+from docweave.operators.text_index import TextIndex
 from docweave.sinks.export import publish
+from docweave.storage import delete, modified
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,12 @@ class GraphSession:
                 c = c.where(F.col(column).isin(list(values)))
         return c
 
+    def text_index(self) -> TextIndex:
+        """The inverted index of the live chunks, beside the tables; written anew when documents or chunks were swapped."""
+        version = "-".join(str(modified(self.spark, f"{self.root}/{name}")) for name in ("documents", "chunks"))
+        found = TextIndex(self.spark, f"{self.root}/text_index/{version}")
+        return found if found.exists() else TextIndex.build(self.live_chunks(), "chunk_id", "text", found.path)
+
     def nearest(self, query: str, k: int, filters: Filters = Filters()) -> DataFrame:
         """(id, dist, rank): the k nearest chunks to the query's vector, exactly."""
         q = F.array(*[F.lit(x) for x in hashed_vector(query, self.size)])
@@ -63,7 +71,8 @@ class GraphSession:
         judge takes the fused candidates (id, rrf) and gives (id, score).
         """
         words = [w for group in search.websearch(query).any_of for phrase in group for w in phrase]
-        texts = search.bm25(self.live_chunks(filters), "chunk_id", "text", words, fetch) if words else None
+        among = self.live_chunks(filters).select(F.col("chunk_id").alias("id")) if filters != Filters() else None
+        texts = self.text_index().top(words, fetch, among=among) if words else None
         lists = [self.nearest(query, fetch, filters), *([texts] if texts is not None else [])]
         fused = search.reciprocal_ranks(*lists)
         scored = fused.join(judge(fused), "id", "left") if judge else fused.withColumn("score", F.lit(0.0))
@@ -108,8 +117,9 @@ class GraphSession:
         return ran
 
     def update(self, stages: Sequence[Callable[[GraphSession, dict[str, DataFrame]], dict[str, DataFrame]]]) -> None:
-        """Runs stages in order; each gives new versions of tables, which are swapped in before the next begins. A failure stops the rest."""
+        """Runs stages in order; each gives new versions of tables, which are swapped in before the next begins. A failure stops the rest. Text indexes of older versions go at the end."""
         for stage in stages:
             made: dict[str, DataFrame] = {}
             made |= stage(self, made)
             publish(self.spark, made, self.root)
+        delete(self.spark, f"{self.root}/text_index")

@@ -60,6 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Has a folder deleted when the driver ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def scratch(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """df written as Parquet in the shared folder and read back.
 
@@ -71,8 +77,7 @@ def scratch(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/docweave-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    delete_on_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -80,5 +85,16 @@ def scratch(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Deletes a scratch table that nothing reads any more, before the driver ends."""
-    place = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
-    place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    delete(df.sparkSession, df._scratch)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a folder was last written, in milliseconds."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()

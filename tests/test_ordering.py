@@ -28,3 +28,9 @@ def test_evenly_and_batches_over_all_rows(spark):
     assert curation.evenly(spark.range(3), "id", 7).count() == 3
     got = {r.v: r.batch for r in curation.batches(df, 64, "v").collect()}
     assert got == {v: v // 64 for v in range(1000)}
+
+
+def test_positions_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame([(2, "b", 1), (1, "a", 1), (3, "c", 2)], "range long, Row string, `by_0` int")
+    got = {(r.range, r.Row, r.by_0): r.n for r in positions(df, "n", ["range"], ["by_0"]).collect()}
+    assert got == {(1, "a", 1): 1, (2, "b", 1): 2, (3, "c", 2): 1}
