@@ -1,126 +1,156 @@
-"""Exact nearest neighbours of every row, by pairs of bounded blocks."""
+"""Exact nearest neighbours of every row: products of bounded blocks, a proven shortlist, blocks that can't matter left out."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.operators.cells import centroids, sampled, unit, usable
+from docweave.operators.vector_index import approximate  # noqa: F401  (its old place)
 from docweave.storage import scratch
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    column = table.column("vec").combine_chunks()
-    return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+def _shortlisted(a: np.ndarray, b: np.ndarray, barred: np.ndarray, k: int, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of each row's k nearest, ties by the place in b.
+
+    Similarities in single precision choose a shortlist, which is compared in
+    double. It is proven if what it leaves out, error added, is farther than
+    the k-th; rows without proof get a list eight times as long, up to all of b.
+    """
+    close = a.astype(np.float32) @ b.astype(np.float32).T
+    close[barred] = -np.inf
+    # Rounding of both factors and of their sum, and what rounding of distances may make equal.
+    error = (a.shape[1] + 8) * 2.0**-24 + 10.0**-places
+    out, rows, width = [], np.arange(len(a)), min(k + 8, len(b))
+    while len(rows):
+        some = close[rows]
+        best = np.sort(np.argpartition(-some, width - 1, axis=1)[:, :width], axis=1)
+        exact = np.empty(best.shape)
+        for at in range(0, len(rows), 512):
+            exact[at : at + 512] = np.einsum("id,ijd->ij", a[rows[at : at + 512]], b[best[at : at + 512]])
+        dist = np.round(1 - exact, places)
+        dist[~np.isfinite(np.take_along_axis(some, best, axis=1))] = np.inf
+        order = np.argsort(dist, axis=1, kind="stable")[:, :k]
+        got, dist = np.take_along_axis(best, order, axis=1), np.take_along_axis(dist, order, axis=1)
+        left_out = np.take_along_axis(some, best, axis=1).min(axis=1).astype(np.float64)
+        proven = np.full(len(rows), width == len(b)) | (1 - left_out - error > dist[:, -1]) if dist.shape[1] == k else np.full(len(rows), width == len(b))
+        proven |= ~np.isfinite(left_out)  # only barred rows are left out
+        r, c = np.nonzero(proven[:, None] & np.isfinite(dist))
+        out.append((rows[r], got[r, c], dist[r, c]))
+        rows, width = rows[~proven], min(8 * width, len(b))
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(3)) if out else (np.empty(0, int), np.empty(0, int), np.empty(0))
 
 
 def _pair(k: int, places: int, groups: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["id", "neighbor", "dist"]
         if len(left) == 0 or len(right) == 0:
-            return pa.table({n: pa.array([], pa.float64() if n == "dist" else left.column("id").type) for n in names})
-        a, b = _matrix(left), _matrix(right)
-        dist = 1 - (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
+            return pa.table({"id": left.column("id").combine_chunks().slice(0, 0), "neighbor": right.column("id").combine_chunks().slice(0, 0), "dist": pa.array([], pa.float64())})
+        right = right.take(pc.sort_indices(right.column("id")))
         ids, others = np.asarray(left.column("id")), np.asarray(right.column("id"))
-        dist[ids[:, None] == others[None, :]] = np.inf
+        barred = ids[:, None] == others[None, :]
         if groups:
-            dist[np.asarray(left.column("grp"))[:, None] == np.asarray(right.column("grp"))[None, :]] = np.inf
-        by_id = np.argsort(others, kind="stable")
-        dist, others = np.round(dist[:, by_id], places), others[by_id]
-        best = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        d = np.take_along_axis(dist, best, axis=1)
-        rows, cols = np.nonzero(np.isfinite(d))
-        return pa.table({"id": pa.array(ids[rows]), "neighbor": pa.array(others[best[rows, cols]]), "dist": pa.array(d[rows, cols])})
+            barred |= np.asarray(left.column("grp"))[:, None] == np.asarray(right.column("grp"))[None, :]
+        rows, cols, dist = _shortlisted(unit(left.column("vec").combine_chunks()), unit(right.column("vec").combine_chunks()), barred, k, places)
+        return pa.table({"id": pa.array(ids[rows]), "neighbor": pa.array(others[cols]), "dist": pa.array(dist)})
 
     return run
 
 
+def _rows(df: DataFrame, id_col: str, vec_col: str, group_col: str | None) -> DataFrame:
+    return usable(df, id_col, vec_col, (F.col(group_col).cast("string") if group_col else F.lit(None).cast("string")).alias("grp"))
+
+
+def _ranked(best: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("id").orderBy("dist", "neighbor")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
+
+
 def nearest(df: DataFrame, k: int, id_col: str, vec_col: str, group_col: str | None = None, block_rows: int = 4096, places: int = 9) -> DataFrame:
     """(id, neighbor, rank, dist): the k nearest others of each row by cosine distance.
 
-    Rows with a null or zero vector have no neighbours; with group_col, rows of
-    one group aren't neighbours. Distances are ordered to `places` decimals,
-    ties by neighbour id. Rows are dealt into blocks by id; every pair of
-    blocks is one bounded matrix product, and only each pair's k best leave it.
+    Rows with a null id, or a null, zero or non-finite vector, have no neighbours;
+    with group_col, rows of one group aren't neighbours. Distances are ordered to
+    `places` decimals, ties by neighbour id. Rows are dealt into blocks by id;
+    every pair of blocks is one bounded matrix product, and only each pair's k
+    best leave it. Where rows lie in clumps, `pruned` leaves pairs out.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    grp = F.col(group_col).cast("string") if group_col else F.lit(None).cast("string")
-    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), grp.alias("grp")).where(
-        F.col("id").isNotNull() & F.exists("vec", lambda x: x != 0))
+    rows = _rows(df, id_col, vec_col, group_col)
     count = max(1, -(-rows.count() // block_rows))
     block = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = rows.select("*", block.alias("i"), every.alias("j"))
     right = rows.select("*", block.alias("j"), every.alias("i"))
     best = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_pair(k, places, bool(group_col)), f"id {kind}, neighbor {kind}, dist double")
-    order = Window.partitionBy("id").orderBy("dist", "neighbor")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
+    return _ranked(best, k)
 
 
-def centroids(df: DataFrame, vec_col: str, cells: int, sample_rows: int = 20_000, steps: int = 8) -> np.ndarray:
-    """Unit vectors of cells, by k-means over the rows of least hash, of which sample_rows at most come to the driver."""
-    rows = df.select(F.col(vec_col).cast("array<double>").alias("vec")).where(F.exists("vec", lambda x: x != 0)).distinct()
-    sample = rows.orderBy(F.xxhash64("vec")).limit(sample_rows).collect()
-    if not sample:
-        return np.empty((0, 0))
-    points = np.array([r["vec"] for r in sample])
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    # Begin with points far from each other, as k-means++ without chance.
-    found = points[:1]
-    near = points @ found[0]
-    while len(found) < min(cells, len(points)):
-        found = np.vstack([found, points[np.argmin(near)]])
-        near = np.maximum(near, points @ found[-1])
-    for _ in range(steps):
-        cell = np.argmax(points @ found.T, axis=1)
-        sums = np.zeros_like(found)
-        np.add.at(sums, cell, points)
-        norms = np.linalg.norm(sums, axis=1, keepdims=True)
-        found = np.where(norms > 0, sums / np.maximum(norms, 1e-12), found)
-    return found
-
-
-def _cells(centers, probes: int):
-    def run(batches):
+def _placed(centers):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(1)
-            points = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
-            near = np.argsort(-(points @ centers.value.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1, dtype=np.int32) * near.shape[1]), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "cells"])
+            if len(batch):
+                close = unit(batch.column("vec")) @ centers.value.T
+                cell = np.argmax(close, axis=1)
+                away = np.arccos(np.clip(close[np.arange(len(cell)), cell], -1, 1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(away)], ["id", "vec", "grp", "cell", "away"])
 
     return run
 
 
-def approximate(df: DataFrame, k: int, id_col: str, vec_col: str, queries: DataFrame | None = None, cells: int = 64, probes: int = 8, block_rows: int = 4096, places: int = 9) -> DataFrame:
-    """(id, neighbor, rank, dist): the k nearest of each row among the rows of the `probes` cells nearest to it.
+def pruned(df: DataFrame, k: int, id_col: str, vec_col: str, group_col: str | None = None, cells: int = 64, first: int = 4, sample_rows: int = 20_000, block_rows: int = 4096, places: int = 9, report: dict | None = None) -> DataFrame:
+    """The same as nearest, with pairs of cells left out that can't hold a neighbour.
 
-    Every row is in the index, in the cell of its nearest centroid; rows are
-    asked in full, or those of queries (id_col) only. Work is rows * probes / cells
-    of the exact mode's. A cell of any size is compared in blocks of block_rows.
+    Rows lie in the cell of their nearest centroid (fitted on a bounded sample);
+    a cell's radius is the greatest angle from its centroid. Each cell is compared
+    with itself and the `first` next cells; the farthest k-th neighbour found is
+    its reach. Another cell matters only if the angle between the centroids less
+    both radii is within that reach. Products are of blocks of block_rows of two
+    cells; report gets how many were made, of how many.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & F.exists("vec", lambda x: x != 0))
     spark = df.sparkSession
-    centers = centroids(df, vec_col, cells)
-    if not len(centers):
+    rows = _rows(df, id_col, vec_col, group_col)
+    points = sampled(rows, sample_rows)
+    out = f"id {kind}, neighbor {kind}, dist double"
+    if not len(points):
         return spark.createDataFrame([], f"id {kind}, neighbor {kind}, rank int, dist double")
-    placed = scratch(rows.mapInArrow(_cells(spark.sparkContext.broadcast(centers), min(probes, len(centers))), f"id {kind}, vec array<double>, cells array<int>"), "cells")
-    asked = placed if queries is None else placed.join(queries.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-    right = placed.select(F.col("id").alias("id"), F.col("vec").alias("vec"), F.element_at("cells", 1).alias("cell"))
-    left = asked.select(F.col("id").alias("id"), F.col("vec").alias("vec"), F.explode("cells").alias("cell"))
-    blocks = lambda side, name: side.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
-    # A row for each cell.
-    sizes = F.broadcast(blocks(left, "ni").join(blocks(right, "nj"), "cell"))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    grp = F.lit(None).cast("string").alias("grp")
-    a = left.join(sizes, "cell").select("cell", own("ni").alias("i"), every("nj").alias("j"), "id", "vec", grp)
-    b = right.join(sizes, "cell").select("cell", every("ni").alias("i"), own("nj").alias("j"), "id", "vec", grp)
-    best = a.groupBy("cell", "i", "j").cogroup(b.groupBy("cell", "i", "j")).applyInArrow(_pair(k, places, False), f"id {kind}, neighbor {kind}, dist double")
-    order = Window.partitionBy("id").orderBy("dist", "neighbor")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
+    centers = centroids(points, cells)
+    rows = rows.where(F.size("vec") == points.shape[1])
+    placed = scratch(rows.mapInArrow(_placed(spark.sparkContext.broadcast(centers)), f"id {kind}, vec array<double>, grp string, cell int, away double"), "cells")
+    told = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()}  # a row for each cell
+    apart = np.arccos(np.clip(centers @ centers.T, -1, 1))
+    blocks = {c: -(-r["n"] // block_rows) for c, r in told.items()}
+
+    def compared(pairs: list[tuple[int, int]]) -> DataFrame:
+        table = spark.createDataFrame([(a, b, blocks[a], blocks[b]) for a, b in pairs], "a int, b int, ni int, nj int")  # cells squared at most
+        own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        bare = lambda name: placed.select(*[F.col(c).alias(c) for c in ("id", "vec", "grp")], F.col("cell").alias(name))
+        left = bare("a").join(F.broadcast(table), "a").select("a", "b", own("ni").alias("i"), every("nj").alias("j"), "id", "vec", "grp")
+        right = bare("b").join(F.broadcast(table), "b").select(F.col("a").alias("a"), "b", every("ni").alias("i"), own("nj").alias("j"), "id", "vec", "grp")
+        keys = ["a", "b", "i", "j"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_pair(k, places, bool(group_col)), out)
+
+    near = [(a, b) for a in told for b in sorted(told, key=lambda b: (apart[a, b], b))[: first + 1]]
+    found = scratch(_ranked(compared(near), k), "near-cells")
+    kth = placed.select("id", "cell").join(found.where(F.col("rank") == k).select("id", "dist"), "id", "left")
+    # A row with fewer than k so far reaches everywhere; distances are rounded.
+    reach = {r["cell"]: r["reach"] for r in kth.groupBy("cell").agg(F.max(F.coalesce(F.col("dist"), F.lit(2.0))).alias("reach")).collect()}
+    done = set(near)
+    angle = lambda d: np.arccos(np.clip(1 - d - 2 * 10.0**-places, -1, 1)) + 1e-7
+    more = [(a, b) for a in told for b in told if (a, b) not in done and apart[a, b] - told[a]["radius"] - told[b]["radius"] <= angle(reach[a])]
+    if report is not None:
+        count = lambda pairs: sum(blocks[a] * blocks[b] for a, b in pairs)
+        report |= {"products": count(near) + count(more), "of": count([(a, b) for a in told for b in told])}
+    if not more:
+        return found
+    every = found.select("id", "neighbor", "dist").unionByName(compared(more))
+    return _ranked(every, k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

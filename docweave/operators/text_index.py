@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from docweave.operators.ordering import positions
 from docweave.operators.search import WebQuery, terms
-from docweave.storage import discard, scratch
+from docweave.storage import discard, scratch, written
 
 #: Ranges of segments in one pushed filter; more are left to a join.
 RANGES = 200
@@ -106,8 +106,7 @@ class TextIndex:
         return TextIndex(spark, path, layout)
 
     def exists(self) -> bool:
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/blocks/_SUCCESS")
-        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+        return written(self.spark, f"{self.path}/blocks")
 
     def stats(self):
         return self.spark.read.parquet(f"{self.path}/stats").first()

@@ -12,10 +12,11 @@ from docweave.operators import audit, graph, knn, repeated, training
 from docweave.operators import curation as cu
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
+from docweave.operators.vector_index import Coding, VectorIndex
 from docweave.plans import provider
 from docweave.plans.catalog import EDGES_SQL, KNN_SQL, ORACLES, _edges, query
 from docweave.session import GraphSession, Plan
-from docweave.storage import shared_dir, table
+from docweave.storage import delete_on_exit, shared_dir, table
 
 # ---- text rules ------------------------------------------------------------------------
 
@@ -173,14 +174,42 @@ def changed_documents(spark, sf_dir):
 # ---- vectors and graphs ------------------------------------------------------------------
 
 
-@query("SELECT count(*) AS asked, true AS enough FROM embeddings WHERE vec_id % 50 = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0")
+@query()
 def approximate_knn(spark, sf_dir):
-    """The index over all vectors, asked for the ten nearest of every fiftieth: whether nine tenths of the exact ones are found."""
-    e = table(spark, sf_dir, "embeddings")
-    asked = e.where("vec_id % 50 = 0").select("vec_id")
-    found = knn.approximate(e, 10, "vec_id", "embedding", asked, cells=16, probes=14)
-    exact = knn.nearest(e, 10, "vec_id", "embedding").join(asked.withColumnRenamed("vec_id", "id"), "id", "left_semi")
-    return knn.recall(found, exact).select("asked", (F.col("recall") >= 0.9).alias("enough"))
+    """The index over all vectors, asked for the ten nearest of every fiftieth: the share of the exact ones that is found, and of rows whose codes and vectors are compared."""
+    e, report = table(spark, sf_dir, "embeddings"), {}
+    asked = e.where("vec_id % 50 = 0")
+    found = vector_index_of(spark, sf_dir).search(asked, "vec_id", "embedding", 10, report=report)
+    exact = knn.nearest(e, 10, "vec_id", "embedding").join(asked.select(F.col("vec_id").alias("id")), "id", "left_semi")
+    return knn.recall(found, exact).select("asked", "recall", F.lit(round(report["coded"], 4)).alias("codes_compared"), F.lit(round(report["compared"], 4)).alias("vectors_compared"))
+
+
+@query(KNN_SQL.format(where="WHERE a.vec_id % 50 = 0") + "SELECT vec_id, neighbor_id, rank::INT AS rank, round(dist, 6) AS dist FROM r WHERE rank <= 10")
+def index_knn_proven(spark, sf_dir):
+    """The ten nearest of every fiftieth vector through the index, with bounds that prove the rest farther."""
+    asked = table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0")
+    found = vector_index_of(spark, sf_dir).search(asked, "vec_id", "embedding", 10, prove=True)
+    return found.select(F.col("id").alias("vec_id"), F.col("neighbor").alias("neighbor_id"), "rank", F.round("dist", 6).alias("dist"))
+
+
+@query(KNN_SQL.format(where="AND a.label <> b.label") + "SELECT vec_id, neighbor_id, rank::INT AS rank, round(dist, 6) AS dist FROM r WHERE rank <= 8")
+def knn_pruned_cells(spark, sf_dir):
+    """The eight nearest vectors of other groups, cell by cell, with cells left out that can't hold one."""
+    found = knn.pruned(table(spark, sf_dir, "embeddings"), 8, "vec_id", "embedding", "label", cells=8)
+    return found.select(F.col("id").alias("vec_id"), F.col("neighbor").alias("neighbor_id"), "rank", F.round("dist", 6).alias("dist"))
+
+
+_VECTORS: dict[tuple[str, str], VectorIndex] = {}
+
+
+def vector_index_of(spark, sf_dir):
+    """The index of the vectors of a folder, written once for an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _VECTORS or not _VECTORS[key].exists():
+        where = f"{shared_dir(spark).rstrip('/')}/docweave-vector-index-{uuid.uuid4().hex}"
+        delete_on_exit(spark, where)
+        _VECTORS[key] = VectorIndex.build(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", where, Coding(cells=16))
+    return _VECTORS[key]
 
 
 @query(EDGES_SQL + """, c AS (SELECT src AS x, dst AS y FROM e WHERE status = 'accepted' AND weight > 0.3), u AS (SELECT x, y FROM c UNION SELECT y, x FROM c),

@@ -98,3 +98,9 @@ def modified(spark: SparkSession, path: str) -> int:
     """When a folder was last written, in milliseconds."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a table that was written to its end."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
