@@ -86,82 +86,6 @@ def two_hop_paths(edges: DataFrame, salt: str = "path") -> DataFrame:
     return paths.groupBy("a").agg(F.min_by(F.struct("b", "c"), F.struct("h1", "h2", "b", "c")).alias("p")).select("a", "p.b", "p.c")
 
 
-JUDGED_DIFFERENT = "judged_different"
-JOINS_EXISTING = "joins_existing"
-
-
-def _guarded(pdf: pd.DataFrame) -> tuple[dict, list[tuple]]:
-    """(root of each node, refused pairs with reason) of one component: strongest evidence first, never across a pair judged different."""
-    clusters = {x: {x} for x in pdf[["a", "b"]].to_numpy().ravel().tolist()}
-    of = {x: x for x in clusters}
-    fixed: dict = {}  # cluster -> the root it had before
-    apart = {frozenset(p) for p in pdf.loc[pdf.kind == "different", ["a", "b"]].itertuples(index=False)}
-
-    def unite(keep, drop) -> None:
-        for x in clusters[drop]:
-            of[x] = keep
-        clusters[keep] |= clusters.pop(drop)
-
-    for r in pdf[pdf.kind == "existing"].sort_values(["b", "a"]).itertuples(index=False):
-        fixed[of[r.b]] = r.b
-        if of[r.a] != of[r.b]:
-            unite(of[r.b], of[r.a])
-    strength = {"identical": 2.0}
-    held = [(-strength.get(r.kind, r.p if r.p == r.p and r.p is not None else 1.0), r.a, r.b) for r in pdf[pdf.kind.isin(["identical", "same"])].itertuples(index=False)]
-    refused = []
-    for _, a, b in sorted(held):
-        x, y = of[a], of[b]
-        if x == y:
-            continue
-        few, many = sorted((clusters[x], clusters[y]), key=len)
-        if any(frozenset((u, v)) in apart for u in few for v in many):
-            refused.append((a, b, JUDGED_DIFFERENT))
-        elif x in fixed and y in fixed:
-            refused.append((a, b, JOINS_EXISTING))
-        else:
-            keep, drop = (x, y) if x in fixed or (y not in fixed and x < y) else (y, x)
-            unite(keep, drop)
-    return {x: fixed.get(c, min(clusters[c])) for x, c in of.items()}, refused
-
-
-def _evidence_groups(evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(evidence with its component, nodes on joining evidence): a pair judged different matters only inside a component."""
-    parts = connected_components(evidence.where("kind <> 'different'"), "a", "b")
-    ends = parts.select(F.col("node").alias("a"), F.col("component")), parts.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
-    return evidence.join(ends[0], "a").join(ends[1], "b").where("component = component_b").drop("component_b"), parts
-
-
-def guarded_union_find(evidence: DataFrame) -> DataFrame:
-    """(id, root) from rows (a, b, kind, p); kind: identical, same, different or existing (b is a's root).
-
-    Evidence is merged greedily, identical pairs first, then by falling p, ties
-    by (a, b). A union is refused if any pair across it was judged different,
-    or if it would join two existing clusters. An existing root stays, else the
-    least id is root; a node without joining evidence is its own. Components of
-    the joining evidence can't affect each other, so each is one group.
-    """
-    kind = evidence.schema["a"].dataType.simpleString()
-    inside, parts = _evidence_groups(evidence)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(_guarded(pdf)[0].items()), columns=["id", "root"])
-
-    merged = inside.groupBy("component").applyInPandas(run, f"id {kind}, root {kind}")
-    nodes = evidence.select(F.explode(F.array("a", "b")).alias("id")).where("id IS NOT NULL").distinct()
-    alone = nodes.join(parts.select(F.col("node").alias("id")), "id", "left_anti")
-    return merged.unionByName(alone.select("id", F.col("id").alias("root")))
-
-
-def refused_unions(evidence: DataFrame) -> DataFrame:
-    """(a, b, reason): pairs that guarded_union_find saw evidence for and did not join."""
-    kind = evidence.schema["a"].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_guarded(pdf)[1], columns=["a", "b", "reason"])
-
-    return _evidence_groups(evidence)[0].groupBy("component").applyInPandas(run, f"a {kind}, b {kind}, reason string")
-
-
 def connected_parts(nodes: set, near: dict) -> list[set]:
     """A set of nodes parted into what hangs together inside it; near: node -> its neighbours."""
     left, out = set(nodes), []
@@ -245,22 +169,6 @@ def communities(edges: DataFrame, resolution: float = 1.0, min_size: int = 4, pa
     return inside.groupBy("component").applyInPandas(run, f"component {kind}, community {kind}, members array<{kind}>")
 
 
-def greedy_dedup(pairs: DataFrame) -> DataFrame:
-    """(dropped, kept): of similar pairs (a, b), in order of the lower id, the higher goes unless its partner went before."""
-    kind = pairs.schema["a"].dataType.simpleString()
-    p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    parts = connected_components(p, "a", "b")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone: dict = {}
-        for r in pdf.sort_values(["a", "b"]).itertuples(index=False):
-            if r.a not in gone and r.b not in gone:
-                gone[r.b] = r.a
-        return pd.DataFrame(list(gone.items()), columns=["dropped", "kept"])
-
-    return p.join(parts.withColumnRenamed("node", "a"), "a").groupBy("component").applyInPandas(run, f"dropped {kind}, kept {kind}")
-
-
 def passages(rows: DataFrame, query: str, budget: int) -> DataFrame:
     """Cited passages of each query: in (doc_id, ord, id) order, an oversize passage is skipped and the next may still fit."""
     lists = rows.withColumn("_t", F.struct("doc_id", "ord", "id", "tokens")).groupBy(query).agg(F.sort_array(F.collect_list("_t")).alias("ts"))

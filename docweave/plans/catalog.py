@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.functions import vectors as vec
 from docweave.ids import sha_id, short_key, unit_fraction
-from docweave.operators import audit, gating, graph, knn, search, training
+from docweave.operators import audit, gating, graph, knn, merging, search, training
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
 from docweave.operators.text_index import Report, TextIndex
@@ -521,7 +521,22 @@ def two_hop_paths(spark, sf_dir):
     return graph.two_hop_paths(_edges(spark, sf_dir).where("status = 'accepted'"))
 
 
-@query()
+@query("""
+WITH RECURSIVE l AS (SELECT p_type || '/' || p_size::VARCHAR AS g, p_partkey AS b, lag(p_partkey) OVER (PARTITION BY p_type, p_size ORDER BY p_partkey) AS a FROM part),
+ev AS (SELECT g, a, b, h, CASE WHEN h < 2 THEN 'different' WHEN h < 4 THEN 'identical' WHEN h = 9 AND a % 5 = 0 THEN 'existing' ELSE 'same' END AS kind FROM (SELECT *, (a * 7 + b * 3) % 10 AS h FROM l WHERE a IS NOT NULL)),
+old(g, node, name) AS (SELECT g, a, b FROM ev WHERE kind = 'existing' UNION SELECT g, b, b FROM ev WHERE kind = 'existing' UNION SELECT o.g, o.node, e.b FROM old o JOIN ev e ON e.kind = 'existing' AND e.a = o.name),
+named AS (SELECT g, node, max(name) AS name FROM old GROUP BY 1, 2),
+nodes AS (SELECT g, list(node ORDER BY node) AS ns, list(coalesce(name, node) ORDER BY node) AS cs, list(DISTINCT name) FILTER (WHERE name IS NOT NULL) AS fs FROM (SELECT DISTINCT g, unnest([a, b]) AS node FROM ev) LEFT JOIN named USING (g, node) GROUP BY g),
+aparts AS (SELECT g, list([a, b]) AS ds FROM ev WHERE kind = 'different' GROUP BY g),
+joins AS (SELECT g, list([a, b] ORDER BY CASE kind WHEN 'identical' THEN 2.0 ELSE h / 10.0 END DESC, a, b) AS js FROM ev WHERE kind IN ('identical', 'same') GROUP BY g),
+r(g, n, ns, cs, fs, ds, js) AS (
+  SELECT nodes.g, 1, ns, cs, coalesce(fs, []), coalesce(ds, []), coalesce(js, []) FROM nodes LEFT JOIN aparts USING (g) LEFT JOIN joins USING (g)
+  UNION ALL SELECT g, n + 1, ns, CASE WHEN x = y OR clash OR (list_contains(fs, x) AND list_contains(fs, y)) THEN cs ELSE list_transform(cs, lambda c: CASE WHEN c = x OR c = y THEN keep ELSE c END) END, fs, ds, js
+  FROM (SELECT *, CASE WHEN list_contains(fs, x) THEN x WHEN list_contains(fs, y) THEN y ELSE least(x, y) END AS keep,
+          len(list_filter(ds, lambda d: (cs[list_position(ns, d[1])] = x AND cs[list_position(ns, d[2])] = y) OR (cs[list_position(ns, d[1])] = y AND cs[list_position(ns, d[2])] = x))) > 0 AS clash
+        FROM (SELECT *, cs[list_position(ns, js[n][1])] AS x, cs[list_position(ns, js[n][2])] AS y FROM r WHERE n <= len(js))))
+SELECT unnest(ns) AS id, unnest(cs) AS root FROM r WHERE n = len(js) + 1
+""")
 def guarded_union_find(spark, sf_dir):
     """Parts of one type merged by evidence; some pairs judged different, some roots known before."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
@@ -529,7 +544,7 @@ def guarded_union_find(spark, sf_dir):
     pairs = p.select(F.col("p_partkey").alias("b"), F.lag("p_partkey").over(w).alias("a")).where("a IS NOT NULL")
     h = (F.col("a") * 7 + F.col("b") * 3) % 10
     kind = F.when(h < 2, "different").when(h < 4, "identical").when((h == 9) & (F.col("a") % 5 == 0), "existing").otherwise("same")
-    return graph.guarded_union_find(pairs.select("a", "b", kind.alias("kind"), (h / 10.0).alias("p")))
+    return merging.guarded_union_find(pairs.select("a", "b", kind.alias("kind"), (h / 10.0).alias("p")))
 
 
 @query()
@@ -728,7 +743,7 @@ def _near_pairs(spark, sf_dir):
 @query()
 def greedy_dedup(spark, sf_dir):
     """Near duplicates dropped greedily, the lower id kept."""
-    return graph.greedy_dedup(_near_pairs(spark, sf_dir))
+    return merging.greedy_dedup(_near_pairs(spark, sf_dir))
 
 
 @query(KNN_SQL.format(where="") + """, t AS (SELECT doc_id AS id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents), s AS (

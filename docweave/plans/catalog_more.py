@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
-from docweave.operators import audit, graph, knn, repeated, training
+from docweave.operators import audit, graph, knn, merging, repeated, training
 from docweave.operators import curation as cu
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
@@ -272,7 +272,7 @@ def union_find_without_conflicts(spark, sf_dir):
     """Evidence that nothing speaks against joins whole components."""
     w = Window.partitionBy("p_type", "p_size").orderBy("p_partkey")
     pairs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("b"), F.lag("p_partkey").over(w).alias("a")).where("a IS NOT NULL")
-    return graph.guarded_union_find(pairs.select("a", "b", F.when(F.col("a") % 2 == 0, "identical").otherwise("same").alias("kind"), (F.col("b") % 10 / 10.0).alias("p")))
+    return merging.guarded_union_find(pairs.select("a", "b", F.when(F.col("a") % 2 == 0, "identical").otherwise("same").alias("kind"), (F.col("b") % 10 / 10.0).alias("p")))
 
 
 @query("""
@@ -285,7 +285,7 @@ def refused_unions(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", F.row_number().over(w).alias("n"), F.lag("p_partkey").over(w).alias("a"), F.lag("p_partkey", 2).over(w).alias("c"))
     same = p.where("n IN (2, 3)").select("a", F.col("p_partkey").alias("b"), F.lit("same").alias("kind"), (1.0 - F.col("n") / 10).alias("p"))
     apart = p.where("n = 3").select(F.col("c").alias("a"), F.col("p_partkey").alias("b"), F.lit("different").alias("kind"), F.lit(0.9).alias("p"))
-    return graph.refused_unions(same.unionByName(apart))
+    return merging.refused_unions(same.unionByName(apart))
 
 
 # ---- training data -----------------------------------------------------------------------

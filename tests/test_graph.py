@@ -3,7 +3,7 @@ from pathlib import Path
 
 import numpy as np
 
-from docweave.operators import graph, knn
+from docweave.operators import graph, knn, merging
 from docweave.operators.components import connected_components
 from docweave.operators.relational import neighbours, round_robin, upsert
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ def test_components_leave_few_part_files(spark):
 
 def roots(spark, rows):
     df = spark.createDataFrame(rows, "a string, b string, kind string, p double")
-    return {r.id: r.root for r in graph.guarded_union_find(df).collect()}
+    return {r.id: r.root for r in merging.guarded_union_find(df).collect()}
 
 
 def test_union_find_guard(spark):

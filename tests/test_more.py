@@ -14,8 +14,8 @@ from docweave.plans import provider
 def test_lone_nodes_are_their_own_and_refusals_are_told(spark):
     rows = [("a", "b", "same", 0.9), ("b", "c", "same", 0.8), ("a", "c", "different", 0.9), ("x", "y", "different", 0.5), ("e", "E", "existing", None), ("f", "F", "existing", None), ("e", "f", "same", 0.7)]
     df = spark.createDataFrame(rows, "a string, b string, kind string, p double")
-    assert {r.id: r.root for r in graph.guarded_union_find(df).collect()} == {"a": "a", "b": "a", "c": "c", "x": "x", "y": "y", "e": "E", "E": "E", "f": "F", "F": "F"}
-    assert sorted(map(tuple, graph.refused_unions(df).collect())) == [("b", "c", "judged_different"), ("e", "f", "joins_existing")]
+    assert {r.id: r.root for r in merging.guarded_union_find(df).collect()} == {"a": "a", "b": "a", "c": "c", "x": "x", "y": "y", "e": "E", "E": "E", "f": "F", "F": "F"}
+    assert sorted(map(tuple, merging.refused_unions(df).collect())) == [("b", "c", "judged_different"), ("e", "f", "joins_existing")]
 
 
 @pytest.mark.parametrize("hot", [1, 3, 1000])
