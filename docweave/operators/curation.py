@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -278,3 +279,43 @@ def refreshed(old: DataFrame, new: DataFrame, text_changed: DataFrame) -> DataFr
     out = both.withColumn("after", after)
     state = F.when(F.col("_c"), "text_changed").when(F.array_sort("before") == F.array_sort("after"), "same").otherwise("gained")
     return out.select("doc_id", "before", "after", state.alias("state"))
+
+
+def structural_roles(units: DataFrame, key: str, share: float = 0.5) -> DataFrame:
+    """(key, role) of chunks from their units (key, n, kind, tokens, ordered).
+
+    heading where there is nothing else; procedure, reference or example where
+    ordered lists, tables or code hold more than share of the tokens, headings
+    aside (ties: what comes first); else null.
+    """
+    body = F.col("kind") != "heading"
+    of = {"procedure": (F.col("kind") == "list") & F.col("ordered"), "reference": F.col("kind") == "table", "example": F.col("kind") == "code"}
+    sums = [F.struct(F.sum(F.when(c, F.col("tokens"))).alias("held"), (-F.min(F.when(c, F.col("n")))).alias("turn"), F.lit(role).alias("role")).alias(role) for role, c in of.items()]
+    found = units.groupBy(key).agg(F.sum(F.when(body, F.col("tokens"))).alias("all"), F.count_if(body).alias("bodies"), *sums)
+    best = F.greatest(*of)
+    role = F.when(F.col("bodies") == 0, "heading").when(best["held"] > share * F.greatest("all", F.lit(1)), best["role"])
+    return found.select(key, role.alias("role"))
+
+
+def binomial_tail(k: Column, n: Column, p: float) -> Column:
+    """P(X >= k) for n draws of chance p, its terms added up in logarithms."""
+    start = F.struct((n * math.log1p(-p)).cast("double").alias("term"), F.when(k <= 0, F.exp(n * math.log1p(-p))).otherwise(F.lit(0.0)).alias("tail"))
+
+    def step(acc: Column, i: Column) -> Column:
+        term = acc["term"] + F.log((n - i + 1) / i) + math.log(p / (1 - p))
+        return F.struct(term.alias("term"), (acc["tail"] + F.when(i >= k, F.exp(term)).otherwise(0.0)).alias("tail"))
+
+    draws = F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.least(F.lit(1.0), F.aggregate(draws, start, step)["tail"])
+
+
+def evolution_due(picks: DataFrame, by: str, support: float, baseline: float, alpha: float = 0.05, final: bool = False) -> DataFrame:
+    """(by, others, named, due): whether the pick `other` comes so often that the relations on offer lack one.
+
+    picks: (by, pick); none counts nothing. It is due where others alone have
+    enough support, and (if the count isn't final) are more than the baseline explains.
+    """
+    counts = picks.groupBy(by).agg(F.count_if(F.col("pick") == "other").alias("others"), F.count_if(F.col("pick") != "none").alias("named"))
+    enough = (F.col("others") > 0) & (F.pow(F.lit(support), F.col("others")) < alpha)
+    due = enough if final else enough & (binomial_tail(F.col("others"), F.col("named"), baseline) < alpha)
+    return counts.select(by, "others", "named", due.alias("due"))

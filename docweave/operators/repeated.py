@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from docweave.sources.parsers import VOID, HtmlRules
 
-#: What a CSS selector may hold without escapes.
-NAME = re.compile(r"-?[_a-zA-Z][_a-zA-Z0-9-]*")
+#: An identifier of the CSS grammar, without escapes: letters (any but ASCII marks), digits, _ and -, not beginning with a digit.
+NAME = re.compile(r"(?:--|-?[^\W\d])[\w-]*")
 #: Classes of one element of which all combinations are tried; of more, single ones and all together.
 COMBINED = 4
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from docweave.functions import fuzzy
+from docweave.functions import sentences as se
 from docweave.functions import text as tx
 from docweave.operators import audit, graph, knn, merging, repeated, training
 from docweave.operators import curation as cu
@@ -54,15 +57,10 @@ SELECT i.id, CASE WHEN t.id IS NULL THEN 'heading' WHEN best.s > 0.5 * t.t THEN
 """)
 def structural_roles(spark, sf_dir):
     """Roles of chunks by the kinds of their units."""
-
-    @F.pandas_udf("string")
-    def role(chunks):
-        return chunks.map(lambda us: tx.structural_role([(u["kind"], u["tokens"], u["ordered"]) for u in us]))
-
     kinds = F.element_at(F.array(*[F.lit(k) for k in ("heading", "list", "table", "code", "paragraph")]), (F.col("l_partkey") % 5 + 1).cast("int"))
-    unit = F.struct(F.col("l_linenumber").alias("n"), kinds.alias("kind"), F.col("l_quantity").cast("long").alias("tokens"), (F.col("l_suppkey") % 2 == 0).alias("ordered"))
-    chunks = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(unit)).alias("units"))
-    return chunks.select("id", role("units").alias("role"))
+    units = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), kinds.alias("kind"), F.col("l_quantity").cast("long").alias("tokens"), (F.col("l_suppkey") % 2 == 0).alias("ordered"))
+    return cu.structural_roles(units, "id")
 
 
 @query("""
@@ -490,14 +488,93 @@ SELECT id, CASE WHEN id % 2 = 0 THEN '9.1,9.1.' || own ELSE own END AS "values"
 """)
 def widened_values(spark, sf_dir):
     """Own values with the broader ones that the corpus knows."""
+    own = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("9.1."), F.col("p_size").cast("string"))).otherwise(F.col("p_size").cast("string"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.array_join(tx.widened(F.array(own), ["9.0", "9.1"]), ",").alias("values"))
 
-    def wide(v):
-        got = tx.widened(v, ["9.0", "9.1"])
-        return ",".join(got) if isinstance(got, list) else got
 
-    widen = F.pandas_udf(lambda vs: vs.map(wide), "string")
-    own = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("9.1."), F.col("p_size").cast("string"))).otherwise(F.col("p_size").cast("string"))
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), widen(own).alias("values"))
+#: The common subsequence of strings x and y, a row of the table for each letter.
+LCS = """list_last(list_reduce(list_prepend(list_transform(range(length({y}) + 1), lambda i: 0), list_transform(range(1, length({x}) + 1), lambda i: [ascii({x}[i])])),
+  lambda old, c: list_transform(range(1, length({y}) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda i: CASE WHEN i > 1 AND ascii({y}[i - 1]) = c[1] THEN old[i - 1] + 1 ELSE old[i] END)))))"""
+RATIO = "200.0::DOUBLE * " + LCS + " / (length({x}) + length({y}))"
+
+SETS = """
+WITH p AS (SELECT p_partkey AS id, p_name AS a, p_type || ' ' || p_name AS b FROM part), n AS (SELECT DISTINCT p_name || ' of ' || p_type AS x, p_type || 's ' || split_part(p_name, ' ', 2) AS y FROM part),
+w AS (SELECT x, y, list_sort(list_distinct(string_split(x, ' '))) AS xs, list_sort(list_distinct(string_split(y, ' '))) AS ys FROM n),
+s AS (SELECT x, y, array_to_string(list_sort(list_intersect(xs, ys)), ' ') AS core, array_to_string(list_filter(xs, lambda v: NOT list_contains(ys, v)), ' ') AS ox, array_to_string(list_filter(ys, lambda v: NOT list_contains(xs, v)), ' ') AS oy FROM w),
+t AS (SELECT *, trim(core || ' ' || ox) AS l, trim(core || ' ' || oy) AS r FROM s)
+"""
+
+
+@query(SETS + "SELECT x, y, round(CASE WHEN core <> '' AND (ox = '' OR oy = '') THEN 100.0 ELSE greatest(" + RATIO.format(x="l", y="r") + ", CASE WHEN core <> '' THEN greatest(" + RATIO.format(x="core", y="l") + ", " + RATIO.format(x="core", y="r") + ") ELSE 0 END) END, 6) AS ratio FROM t")
+def unlike_name_ratios(spark, sf_dir):
+    """Likeness by sets of words of names that share some words and differ in others."""
+    ratio = F.pandas_udf(lambda a, b: a.combine(b, fuzzy.token_set_ratio), "double")
+    p = table(spark, sf_dir, "part")
+    names = p.select(F.concat_ws(" of ", "p_name", "p_type").alias("x"), F.concat(F.col("p_type"), F.lit("s "), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("y")).distinct()
+    return names.select("x", "y", F.round(ratio("x", "y"), 6).alias("ratio"))
+
+
+@query("WITH n AS (SELECT DISTINCT p_name || ' ' || p_type AS s FROM part), q AS (SELECT a.s AS a, b.s AS b FROM n a JOIN n b ON a.s < b.s), r AS (SELECT a, b, " + RATIO.format(x="a", y="b") + " AS ratio FROM q) SELECT a, b, round(ratio, 6) AS ratio FROM r WHERE ratio >= 85")
+def alike_names(spark, sf_dir):
+    """Pairs of names with a ratio of 85 or more, found by a join on pairs of letters."""
+    names = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("s"))
+    return fuzzy.alike(names, "s", 85).select("a", "b", F.round("ratio", 6).alias("ratio"))
+
+
+@query(r"""
+WITH f AS (SELECT item_id, text, length(text) AS n, 2 + item_id % 7 AS p FROM benchmark), s AS (SELECT item_id, text, p, substr(text, p::INT, 40) AS span FROM f WHERE n >= p + 60),
+g AS (SELECT item_id, text, p, substr(span, 1, 17) || '~' || substr(span, 19) AS span FROM s WHERE span = trim(span) AND instr(text, span) = p AND NOT regexp_matches(span, '\s\s|\n'))
+SELECT item_id, 'fuzzy' AS level, (p - 1)::INT AS char_start, (p + 39)::INT AS char_end FROM g
+""")
+def fuzzy_spans(spark, sf_dir):
+    """Spans with one letter changed, grounded where they came from."""
+
+    @F.pandas_udf("struct<level:string,a:int,b:int>")
+    def grounded(spans: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        found = [tx.ground(s, t) for s, t in zip(spans, texts, strict=True)]
+        return pd.DataFrame({"level": [f[0] for f in found], "a": [f[1][0][0] if f[1] else None for f in found], "b": [f[1][0][1] if f[1] else None for f in found]})
+
+    b = table(spark, sf_dir, "benchmark").withColumn("at", (2 + F.col("item_id") % 7).cast("int"))
+    s = b.where(F.char_length("text") >= F.col("at") + 60).withColumn("span", F.substring("text", F.col("at"), F.lit(40)))
+    plain = (F.col("span") == F.trim("span")) & (F.instr("text", F.col("span")) == F.col("at")) & ~F.rlike("span", F.lit(r"\s\s|\n"))
+    changed = F.concat(F.substring("span", 1, 17), F.lit("~"), F.substring("span", 19, 40))
+    return s.where(plain).select("item_id", grounded(changed, "text").alias("g")).select("item_id", "g.level", F.col("g.a").alias("char_start"), F.col("g.b").alias("char_end"))
+
+
+PUNKT = r"""
+WITH x AS (SELECT unnest(regexp_extract_all(' ' || regexp_replace(lower(text), '([^\p{L}\p{N}_.])', ' \1 ', 'g') || ' ', '[\p{L}\p{N}_.]+')) AS w FROM documents),
+w AS (SELECT regexp_replace(w, '[.]$', '') AS word, ends_with(w, '.')::INT AS stop FROM x WHERE regexp_full_match(w, '\p{L}+([.]\p{L}+)*[.]?')),
+c AS (SELECT word, count(*)::DOUBLE AS n, sum(stop)::DOUBLE AS k FROM w GROUP BY word), p AS (SELECT greatest(least(sum(k) / sum(n), 1 - 1e-9), 1e-9) AS p FROM c), z AS (SELECT *, length(replace(word, '.', '')) AS m FROM c, p),
+a AS (SELECT word, 2 * (k * ln(0.99) + (n - k) * ln(0.01) - k * ln(p) - (n - k) * ln(1 - p)) * exp(-m) * (length(word) - m + 1) * pow(m, -(n - k)) AS score FROM z WHERE k > 0 AND m <= 12)
+"""
+
+
+@query(PUNKT + "SELECT word, round(score, 6) AS score FROM a WHERE score >= 0.3")
+def learned_abbreviations(spark, sf_dir):
+    """Words of all documents that a stop belongs to, by counts."""
+    return se.abbreviations(table(spark, sf_dir, "documents"), "text").select("word", F.round("score", 6).alias("score"))
+
+
+@query()
+def document_sentences(spark, sf_dir):
+    """Sentences of all documents, none cut after the hundred surest abbreviations."""
+    d = table(spark, sf_dir, "documents")
+    short = [r["word"] for r in se.abbreviations(d, "text").orderBy(F.desc("score"), "word").limit(100).collect()]  # a list of bounded length
+    found = d.select("doc_id", se.sentences(F.col("text"), short).alias("s"))
+    return found.select("doc_id", F.size("s").alias("sentences"), F.md5(F.array_join("s", "\n")).alias("digest"))
+
+
+@query("""
+WITH c AS (SELECT user_id % 40 AS stage, count(*) FILTER (WHERE event_type = 'error') AS k, count(*) FILTER (WHERE event_type <> 'signup') AS n FROM events GROUP BY 1),
+t AS (SELECT stage, k, n, (SELECT coalesce(sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.15) + (n - i) * ln(0.85))), 0) FROM range(k, n + 1) r(i)) AS tail FROM c)
+SELECT stage, k AS others, n AS named, round(least(1, tail), 6)::DOUBLE AS tail, k > 0 AND pow(0.5, k) < 0.05 AND least(1, tail) < 0.05 AS due FROM t
+""")
+def relations_due(spark, sf_dir):
+    """Groups whose picks name `other` more often than chance explains."""
+    kind = F.when(F.col("event_type") == "error", "other").when(F.col("event_type") == "signup", "none").otherwise("named")
+    picks = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("stage"), kind.alias("pick"))
+    found = cu.evolution_due(picks, "stage", 0.5, 0.15)
+    return found.select("stage", "others", "named", F.round(cu.binomial_tail(F.col("others"), F.col("named"), 0.15), 6).alias("tail"), "due")
 
 
 @query("""

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
+from docweave.operators import curation
 from docweave.ids import canonical_json, sha_id, sha_text
 
 
@@ -44,10 +45,17 @@ def test_named_values():
     assert tx.named_values("9.0.1.2 of Cloud Edition", known) == ["9.0.1", "Cloud Edition"]
     assert tx.named_values("an old vcf, VCF.local and CLOUD  edition", ["VCF", "Cloud Edition", "local"]) == ["VCF", "Cloud Edition"]
     assert tx.named_values("Version 10.0.0.1", known) == [] and tx.named_values("", known) == []
-    assert tx.with_parents(["9.1.1.0"], ["9.1", "9.0"]) == ["9.1", "9.1.1.0"]
-    assert tx.with_parents(["9.1.1.0"], ["9.1.1.0", "19.1", "9.1"]) == ["9.1.1.0", "9.1"]
-    assert tx.with_parents(["Box 9.0.2"], ["Box 9.0"]) == ["Box 9.0.2"]
-    assert tx.widened("9.1.1.0", ["9.1"]) == ["9.1", "9.1.1.0"] and tx.widened("9.0", known) == "9.0" and tx.widened({"a": 1}, known) == {"a": 1}
+
+
+@pytest.mark.parametrize(
+    "values, known, more",
+    [(["9.1.1.0"], ["9.1", "9.0"], ["9.1", "9.1.1.0"]), (["9.1.1.0"], ["9.1.1.0", "19.1", "9.1"], ["9.1.1.0", "9.1"]), (["Box 9.0.2"], ["Box 9.0"], ["Box 9.0.2"]),
+     (["9.0"], ["9.0", "9.1"], ["9.0"]), (["x", "9.1.2"], ["9.1", "x"], ["9.1", "x", "9.1.2"]), ([], ["9.0"], []), (["9"], [], ["9"]), (["9.1"], ["9"], ["9.1"])])
+def test_broader_values(spark, values, known, more):
+    assert column(spark, values, "array<string>", lambda c: tx.broader(c, known)) == more
+    wide = column(spark, values, "array<string>", lambda c: tx.widened(c, known))
+    assert wide == (more if set(more) - set(values) else values)
+    assert column(spark, None, "array<string>", lambda c: tx.widened(c, known)) is None
 
 
 def test_name_keys(spark):
@@ -58,13 +66,15 @@ def test_name_keys(spark):
     assert tx.token_set_ratio("alpha", "omega") < 60
 
 
-def test_roles():
-    assert tx.structural_role([("list", 10, True), ("paragraph", 4, False)]) == "procedure"
-    assert tx.structural_role([("list", 10, False), ("paragraph", 4, False)]) is None
-    assert tx.structural_role([("table", 10, False)]) == "reference"
-    assert tx.structural_role([("code", 6, False), ("paragraph", 5, False)]) == "example"
-    assert tx.structural_role([("code", 5, False), ("paragraph", 5, False)]) is None
-    assert tx.structural_role([("heading", 3, False)]) == tx.structural_role([]) == "heading"
+def test_roles_of_chunks(spark):
+    chunks = {
+        "a": [("list", 10, True), ("paragraph", 4, False)], "b": [("list", 10, False), ("paragraph", 4, False)], "c": [("table", 10, False)], "d": [("code", 6, False), ("paragraph", 5, False)],
+        "e": [("code", 5, False), ("paragraph", 5, False)], "f": [("heading", 3, False)], "g": [("paragraph", 0, False)], "h": [("heading", 50, False), ("table", 4, False), ("code", 3, False)]}
+    rows = [(k, n, *u) for k, us in chunks.items() for n, u in enumerate(us)]
+    df = spark.createDataFrame(rows, "id string, n int, kind string, tokens long, ordered boolean")
+    got = {r.id: r.role for r in curation.structural_roles(df, "id").collect()}
+    assert got == {"a": "procedure", "b": None, "c": "reference", "d": "example", "e": None, "f": "heading", "g": None, "h": "reference"}
+    assert {r.role for r in curation.structural_roles(df.where("id = 'h'"), "id", 0.3).collect()} == {"reference"}
 
 
 def test_sections_split_into_few_even_pieces_that_fit():
@@ -92,6 +102,7 @@ def test_fit_text_keeps_lines_and_loses_only_breaks():
         assert all(len(p) <= 200 for p in parts)
         assert "".join("".join(parts).split()) == "".join(text.split())
     assert tx.split_unit("paragraph", "One here. Two there. Three.", 5) == ["One here. Two there.", "Three."]
+    assert tx.split_unit("paragraph", "Dr. Smith met Mr. Low. They left.", 6, frozenset({"dr", "mr"})) == ["Dr. Smith met Mr. Low.", "They left."]
     assert tx.split_unit("heading", "x" * 99, 5) == ["x" * 99]
 
 
@@ -111,17 +122,20 @@ def test_renders_caps_and_languages(spark):
 
 
 @pytest.mark.parametrize("k, n, p, low", [(7, 8, 0.5, True), (6, 8, 0.5, False), (30, 100, 0.15, True), (160, 1000, 0.15, False), (200, 1000, 0.15, True)])
-def test_binomial_tail(k, n, p, low):
-    assert (tx.binomial_tail(k, n, p) < 0.05) is low
-    exact = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1))
-    assert tx.binomial_tail(k, n, p) == pytest.approx(exact)
-
-
-def test_evolution_due():
-    assert tx.evolution_due(["other"] * 30 + ["rel"] * 70 + ["none"] * 900, 0.5, 0.15) == (True, 30, 100)
-    assert tx.evolution_due(["other"] * 4, 0.5, 0.15, final=True)[0] is False
-    assert tx.evolution_due(["other"] * 5, 0.5, 0.15, final=True)[0] is True
-    assert tx.evolution_due([], 0.5, 0.15, final=True) == (False, 0, 0)
+def test_binomial_tail(spark, k, n, p, low):
+    got = spark.range(1).select(curation.binomial_tail(F.lit(k), F.lit(n), p).alias("t")).first().t
+    assert (got < 0.05) is low
+    assert got == pytest.approx(sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1)))
+
+
+def test_evolution_due(spark):
+    picks = ["other"] * 30 + ["rel"] * 70 + ["none"] * 900
+    rows = [("a", p) for p in picks] + [("b", "other")] * 4 + [("c", "other")] * 5 + [("d", "none")]
+    df = spark.createDataFrame(rows, "stage string, pick string")
+    got = {r.stage: (r.due, r.others, r.named) for r in curation.evolution_due(df, "stage", 0.5, 0.15).collect()}
+    assert got == {"a": (True, 30, 100), "b": (False, 4, 4), "c": (True, 5, 5), "d": (False, 0, 0)}
+    final = {r.stage: r.due for r in curation.evolution_due(df, "stage", 0.5, 0.15, final=True).collect()}
+    assert final == {"a": True, "b": False, "c": True, "d": False}
 
 
 def test_tidy_and_embedding(spark):
