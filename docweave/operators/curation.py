@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.functions.fuzzy import alike
 from docweave.ids import sha_id
 from docweave.operators.ordering import positions
 from docweave.operators.relational import first_per_key, top_per_key
@@ -146,14 +147,21 @@ def no_longer_made(old: DataFrame, new: DataFrame, key: str, scope: str) -> Data
 # ---- entities and links --------------------------------------------------------------------
 
 
-def co_occurring(mentions: DataFrame, similar: Column, cap: int) -> DataFrame:
+def co_occurring(mentions: DataFrame, cap: int, at_least: float | None = None) -> DataFrame:
     """(a, b): entities of one document whose names are alike, the first cap pairs a document in id order.
 
-    similar is a condition over columns name_a and name_b.
+    Alike are equal names, with at_least also names of that indel ratio (found by
+    a join of distinct names). Of entities of one name in one document the first
+    2 * cap can stand in these pairs, so no document is joined with itself whole.
     """
-    m = mentions.select("doc_id", F.col("entity_id").alias("a"), F.col("name").alias("name_a")).distinct()
-    n = m.select("doc_id", F.col("a").alias("b"), F.col("name_a").alias("name_b"))
-    pairs = m.join(n, "doc_id").where("a < b").where(similar)
+    m = mentions.select("doc_id", F.col("entity_id").alias("a"), F.col("name").alias("name_a")).where("a IS NOT NULL AND name_a IS NOT NULL").distinct()
+    few = top_per_key(m, ["doc_id", "name_a"], 2 * cap, F.col("a")).drop("rank")
+    names = few.select("name_a", F.col("name_a").alias("name_b")).distinct()
+    if at_least is not None:
+        near = alike(mentions, "name", at_least).select(F.col("a").alias("name_a"), F.col("b").alias("name_b"))
+        names = names.unionByName(near).unionByName(near.select(F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b")))
+    other = few.select("doc_id", F.col("a").alias("b"), F.col("name_a").alias("name_b"))
+    pairs = few.join(names, "name_a").join(other, ["doc_id", "name_b"]).where("a < b").select("doc_id", "a", "b").distinct()
     return top_per_key(pairs, ["doc_id"], cap, F.col("a"), F.col("b")).select("a", "b").distinct()
 
 
@@ -217,13 +225,34 @@ def kept_proposals(proposed: Sequence[str], unsupported: set[str], overlaps: set
 
 
 def definition_pairs(items: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """(a, b): unordered pairs of relation definitions (name, pos, kind) to compare, those that touch `only` if it is given."""
-    r = items.where("kind = 'relation'").select("name", "pos")
-    pairs = r.select(F.col("name").alias("a"), F.col("pos").alias("i")).join(r.select(F.col("name").alias("b"), F.col("pos").alias("j")), F.col("i") < F.col("j")).select("a", "b")
-    if only is None:
-        return pairs
-    some = only.select(F.col("name").alias("_n"))
-    return pairs.join(some, pairs["a"] == some["_n"], "left_semi").unionByName(pairs.join(some, pairs["b"] == some["_n"], "left_semi")).distinct()
+    """(a, b): unordered pairs of relation definitions (name, pos, kind) to compare, those that touch `only` (name) if it is given.
+
+    Definitions are numbered and each gives its partners' numbers, so pairs are
+    made by an equi-join; with only, just those of its definitions are made. Of a
+    null name or place there is no pair, nor of equal places.
+    """
+    r = items.where("kind = 'relation' AND name IS NOT NULL AND pos IS NOT NULL").select("name", "pos")
+    n = positions(r, "n_", ["pos", "name"])
+    count = n.agg(F.coalesce(F.max("n_"), F.lit(0))).first()[0]
+    begin = n if only is None else n.join(only.select("name").distinct(), "name", "left_semi")
+    # Every pair from its lower end; with only, from the end that is in it.
+    to = F.sequence(F.col("n_") + 1 if only is None else F.lit(1).cast("long"), F.lit(count).cast("long"))
+    each = begin.where(F.col("n_") < count if only is None else F.lit(True)).select(F.col("name").alias("x"), F.col("pos").alias("i"), F.col("n_").alias("own"), F.explode(to).alias("n_"))
+    found = each.join(n.select("n_", F.col("name").alias("y"), F.col("pos").alias("j")), "n_").where("own <> n_ AND i <> j")
+    return found.select(F.when(F.col("i") < F.col("j"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("i") < F.col("j"), F.col("y")).otherwise(F.col("x")).alias("b")).distinct()
+
+
+def supported(items: DataFrame, answers: DataFrame, share: float | None = None) -> DataFrame:
+    """(name, cited, yes, supported) of definitions (name, evidence array<string>) by answers (name, outcome) on what they cite.
+
+    Supported is what any cited passage confirms, or with share, at least that
+    share of them; a definition that cites nothing is unsupported without asking.
+    """
+    told = answers.groupBy("name").agg(F.count("*").alias("asked"), F.count_if(F.col("outcome") == "accept").alias("yes"))
+    cited = F.coalesce(F.size(F.array_compact("evidence")), F.lit(0))
+    rows = items.select("name", F.greatest(cited, F.lit(0)).alias("cited")).join(told, "name", "left").select("name", "cited", F.coalesce("asked", F.lit(0)).alias("asked"), F.coalesce("yes", F.lit(0)).alias("yes"))
+    enough = F.col("yes") > 0 if share is None else F.col("yes") >= share * F.greatest("asked", F.lit(1))
+    return rows.select("name", "cited", "yes", ((F.col("cited") > 0) & enough).alias("supported"))
 
 
 # ---- answers, citations, training ------------------------------------------------------------

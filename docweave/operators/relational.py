@@ -168,3 +168,21 @@ def content_chunks(chunks: DataFrame) -> DataFrame:
 def latest(rows: DataFrame, n: int, at: str = "created_at", id_col: str = "id") -> DataFrame:
     """The n newest rows, ties by id."""
     return rows.orderBy(F.desc(at), id_col).limit(n)
+
+
+def least_pairs(members: DataFrame, keys: Sequence[str], item: str, cap: int, kind: str | None = None) -> DataFrame:
+    """(keys, a, b): of each group the first cap pairs (a < b) of its items, in (a, b) order; with kind, of items of different kinds.
+
+    No group is joined with itself. If an item begins no pair (all later ones
+    are of its kind), no later one does either; so the first cap items are all
+    that can begin one, and what they lead to is among the first 2 * cap items of a kind.
+    """
+    held = members.select(*keys, F.col(item).alias("a"), *([F.col(kind).alias("kind_")] if kind else [])).where("a IS NOT NULL").distinct()
+    kinds = [*keys, "kind_"] if kind else list(keys)
+    few = top_per_key(held, kinds, 2 * cap, F.col("a")).drop("rank")
+    first = top_per_key(few, list(keys), cap, F.col("a")).drop("rank")
+    other = few.select(*keys, F.col("a").alias("b"), *([F.col("kind_").alias("kind_b")] if kind else []))
+    pairs = first.join(other, list(keys)).where("a < b")
+    if kind:
+        pairs = pairs.where("kind_ <> kind_b")
+    return top_per_key(pairs, list(keys), cap, F.col("a"), F.col("b")).select(*keys, "a", "b")

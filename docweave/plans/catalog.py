@@ -811,8 +811,7 @@ SELECT a, b FROM x WHERE n <= 50
 def name_key_blocking(spark, sf_dir):
     """Cross-type pairs of one name, 50 a name: the operator's own cap."""
     e = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("kind"), F.lower(F.get(F.split("p_name", " "), F.lit(0))).alias("k"))
-    a, b = e.select(F.col("id").alias("a"), F.col("kind").alias("ka"), "k"), e.select(F.col("id").alias("b"), F.col("kind").alias("kb"), "k")
-    return rel.top_per_key(a.join(b, "k").where("ka <> kb AND a < b"), ["k"], 50, F.col("a"), F.col("b")).select("a", "b")
+    return rel.least_pairs(e, ["k"], "id", 50, "kind").select("a", "b")
 
 
 @query("""

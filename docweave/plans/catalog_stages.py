@@ -139,7 +139,7 @@ r AS (SELECT a, b, row_number() OVER (PARTITION BY d ORDER BY a, b) AS n FROM p)
 def co_occurring_entities(spark, sf_dir):
     """Like-named entities of one document, twenty pairs a document: the operator's own cap."""
     m = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_suppkey").alias("entity_id"), (F.col("l_suppkey") % 3).alias("name"))
-    return cu.co_occurring(m, F.col("name_a") == F.col("name_b"), 20)
+    return cu.co_occurring(m, 20)
 
 
 DECIDED = """

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from docweave.operators import curation, graph, knn, relational, repeated, search, training
+from docweave.operators import curation, graph, knn, merging, relational, repeated, search, training
 from docweave.plans import provider
 
 
@@ -129,3 +129,44 @@ def test_communities_hang_together(spark):
     assert sorted(n for r in got for n in r.members) == sorted(near)
     assert all(len(graph.connected_parts(set(r.members), near)) == 1 and r.community == min(r.members) for r in got)
     assert graph.connected_parts({1, 2, 3}, {1: {2: 1}, 2: {1: 1}, 3: {}}) in ([{1, 2}, {3}], [{3}, {1, 2}])
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 5, 60])
+def test_least_pairs_equal_all_pairs_cut(spark, kinds):
+    rng = random.Random(kinds)
+    rows = sorted({(rng.choice(["hot"] * 6 + ["x", "y"]), i, rng.randrange(kinds) if i > 40 else 0) for i in range(120)})
+    df = spark.createDataFrame([*rows, ("hot", None, 1)], "g string, i long, k long")
+    for cap in (1, 4, 30):
+        for kind in (None, "k"):
+            got = sorted((r.g, r.a, r.b) for r in relational.least_pairs(df, ["g"], "i", cap, kind).collect())
+            want = []
+            for g in ("hot", "x", "y"):
+                mine = [r for r in rows if r[0] == g]
+                want += [(g, a[1], b[1]) for a in mine for b in mine if a[1] < b[1] and (kind is None or a[2] != b[2])][:cap]
+            assert got == sorted(want)
+
+
+def test_entities_with_alike_names(spark):
+    rng = random.Random(2)
+    names = ["anna berg", "anna bergh", "carl", "karl", "dora"]
+    rows = [(rng.randrange(3), i, rng.choice(names)) for i in range(60)] + [(0, None, "carl"), (1, 99, None)]
+    df = spark.createDataFrame(rows, "doc_id long, entity_id long, name string")
+    near = {("anna berg", "anna bergh"), ("carl", "karl")}
+    for cap, at_least in ((5, None), (5, 75), (500, 75)):
+        want = set()
+        for d in range(3):
+            mine = sorted((r[1], r[2]) for r in rows if r[0] == d and r[1] is not None and r[2] is not None)
+            want |= set([(a, b) for a, x in mine for b, y in mine if a < b and (x == y or (at_least and tuple(sorted((x, y))) in near))][:cap])
+        assert {(r.a, r.b) for r in curation.co_occurring(df, cap, at_least).collect()} == want
+
+
+def test_definitions_to_compare_and_their_support(spark):
+    items = spark.createDataFrame([("a", 1, "relation"), ("b", 2, "relation"), ("c", 3, "entity"), ("d", 4, "relation"), (None, 5, "relation"), ("e", None, "relation")], "name string, pos int, kind string")
+    pairs = lambda only=None: sorted((r.a, r.b) for r in curation.definition_pairs(items, only).collect())
+    assert pairs() == [("a", "b"), ("a", "d"), ("b", "d")]
+    assert pairs(items.where("name = 'd'")) == [("a", "d"), ("b", "d")] and pairs(items.where("name = 'x'")) == []
+    assert curation.definition_pairs(items.where("false")).collect() == []
+    defs = spark.createDataFrame([("a", ["p1", "p2"]), ("b", []), ("c", None), ("d", ["p3"])], "name string, evidence array<string>")
+    answers = spark.createDataFrame([("a", "accept"), ("a", "reject"), ("a", "reject"), ("b", "accept"), ("d", "reject")], "name string, outcome string")
+    assert {r.name: r.supported for r in curation.supported(defs, answers).collect()} == {"a": True, "b": False, "c": False, "d": False}
+    assert {r.name: r.supported for r in curation.supported(defs, answers, 0.5).collect()} == {"a": False, "b": False, "c": False, "d": False}
