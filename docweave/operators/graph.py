@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.operators.components import connected_components
 from docweave.operators.relational import neighbours, top_per_key
 from docweave.storage import cut
 
@@ -86,89 +84,6 @@ def two_hop_paths(edges: DataFrame, salt: str = "path") -> DataFrame:
     return paths.groupBy("a").agg(F.min_by(F.struct("b", "c"), F.struct("h1", "h2", "b", "c")).alias("p")).select("a", "p.b", "p.c")
 
 
-def connected_parts(nodes: set, near: dict) -> list[set]:
-    """A set of nodes parted into what hangs together inside it; near: node -> its neighbours."""
-    left, out = set(nodes), []
-    while left:
-        part, todo = set(), [left.pop()]
-        while todo:
-            n = todo.pop()
-            part.add(n)
-            ahead = left & near[n].keys()
-            left -= ahead
-            todo += ahead
-        out.append(part)
-    return out
-
-
-def communities(edges: DataFrame, resolution: float = 1.0, min_size: int = 4, passes: int = 20) -> DataFrame:
-    """(component, community, members): modularity communities of the usable edges, one component a group.
-
-    Weights are rounded to three decimals; null, NaN and what rounds to nothing
-    is left out. Nodes move, in id order, to the neighbouring community of
-    greatest gain until none moves; communities are then merged the same way,
-    and what isn't connected inside is parted at the end. Only communities of at
-    least min_size nodes are given.
-    """
-    kind = edges.schema["src"].dataType.simpleString()
-    usable = edges.where(F.col("weight").isNotNull() & ~F.isnan("weight")).select("src", "dst", F.bround(F.col("weight").cast("double"), 3).alias("weight")).where("weight > 0 AND src <> dst")
-    parts = connected_components(usable.select("src", "dst"))
-    inside = usable.join(parts.withColumnRenamed("node", "src"), "src")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        component = pdf.component.iloc[0]
-        near: dict = {}
-        for r in pdf.groupby([pdf[["src", "dst"]].min(axis=1), pdf[["src", "dst"]].max(axis=1)]).weight.sum().items():
-            (u, v), w = r
-            near.setdefault(u, {})[v] = w
-            near.setdefault(v, {})[u] = w
-        groups = {n: {n} for n in near}
-        level = {n: dict(d) for n, d in near.items()}
-        total = sum(sum(d.values()) for d in level.values())
-        loops = dict.fromkeys(level, 0.0)
-        for _ in range(passes):
-            strength = {n: sum(d.values()) + loops[n] for n, d in level.items()}
-            label = {n: n for n in level}
-            weight = dict(strength)
-            moved_any = False
-            for _ in range(passes):
-                moved = False
-                for n in sorted(level):
-                    old = label[n]
-                    weight[old] -= strength[n]
-                    links: dict = {}
-                    for m, w in level[n].items():
-                        links[label[m]] = links.get(label[m], 0.0) + w
-                    gain = lambda c: links.get(c, 0.0) - resolution * strength[n] * weight.get(c, 0.0) / total  # noqa: B023, E731
-                    best = min([old, *sorted(links)], key=lambda c: (-round(gain(c), 12), c != old, c))
-                    label[n] = best
-                    weight[best] = weight.get(best, 0.0) + strength[n]
-                    moved |= best != old
-                moved_any |= moved
-                if not moved:
-                    break
-            if not moved_any:
-                break
-            merged: dict = {}
-            new_loops: dict = {}
-            new_groups: dict = {}
-            for n in sorted(level):
-                c = label[n]
-                merged.setdefault(c, {})
-                new_loops[c] = new_loops.get(c, 0.0) + loops[n]
-                new_groups.setdefault(c, set()).update(groups[n])
-                for m, w in level[n].items():
-                    if label[m] == c:
-                        new_loops[c] += w
-                    else:
-                        merged[c][label[m]] = merged[c].get(label[m], 0.0) + w
-            level, loops, groups = merged, new_loops, new_groups
-        rows = [(component, min(g), sorted(g)) for whole in groups.values() for g in connected_parts(whole, near) if len(g) >= min_size]
-        return pd.DataFrame(rows, columns=["component", "community", "members"])
-
-    return inside.groupBy("component").applyInPandas(run, f"component {kind}, community {kind}, members array<{kind}>")
-
-
 def passages(rows: DataFrame, query: str, budget: int) -> DataFrame:
     """Cited passages of each query: in (doc_id, ord, id) order, an oversize passage is skipped and the next may still fit."""
     lists = rows.withColumn("_t", F.struct("doc_id", "ord", "id", "tokens")).groupBy(query).agg(F.sort_array(F.collect_list("_t")).alias("ts"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.functions import vectors as vec
 from docweave.ids import sha_id, short_key, unit_fraction
-from docweave.operators import audit, gating, graph, knn, merging, search, training
+from docweave.operators import audit, communities, gating, graph, knn, merging, search, training
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
 from docweave.operators.text_index import Report, TextIndex
@@ -550,7 +550,7 @@ def guarded_union_find(spark, sf_dir):
 @query()
 def graph_communities(spark, sf_dir):
     """Modularity communities of the accepted edges."""
-    return graph.communities(_edges(spark, sf_dir).where("status = 'accepted'")).select("community", F.size("members").alias("size"), F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"))
+    return communities.communities(_edges(spark, sf_dir).where("status = 'accepted'")).select("community", F.size("members").alias("size"), F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"))
 
 
 # ---- audits, increments, snapshots ------------------------------------------------------

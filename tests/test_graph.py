@@ -3,7 +3,7 @@ from pathlib import Path
 
 import numpy as np
 
-from docweave.operators import graph, knn, merging
+from docweave.operators import communities, graph, knn, merging
 from docweave.operators.components import connected_components
 from docweave.operators.relational import neighbours, round_robin, upsert
 from pyspark.sql import functions as F
@@ -59,7 +59,7 @@ def test_union_find_keeps_existing_roots(spark):
 def test_two_cliques(spark):
     nodes = [[0, 1, 2, 3], [4, 5, 6, 7]]
     rows = [(a, b, 0.9) for c in nodes for a in c for b in c if a < b] + [(3, 4, 0.1), (0, 7, None), (1, 6, float("nan")), (2, 5, 0.0001)]
-    got = sorted(sorted(r.members) for r in graph.communities(spark.createDataFrame(rows, "src long, dst long, weight double")).collect())
+    got = sorted(sorted(r.members) for r in communities.communities(spark.createDataFrame(rows, "src long, dst long, weight double")).collect())
     assert got == nodes
 
 
