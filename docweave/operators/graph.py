@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators.relational import neighbours, top_per_key
-from docweave.storage import cut
+from docweave.storage import cut, scratch
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -55,23 +55,45 @@ def orphans(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:
 
 
 def expand(edges: DataFrame, seeds: DataFrame, hops: int, cap: int, judge=None) -> DataFrame:
-    """(id, hop, parent, edge_id): nodes reached from seeds in at most `hops` steps.
+    """(id, hop, parent, edge_id): expand_many for one question with seeds (id); judge filters the offered rows."""
 
-    Each frontier node offers its `cap` heaviest edges, before visited nodes are
-    taken out; of several ways to a node the first by (parent, rank, edge) counts.
-    judge may filter the offered rows (from_id, edge_id, neighbour, weight, rank).
+    def outcome(offered: DataFrame) -> DataFrame:
+        return judge(offered.drop("q", "hop")).withColumns({"q": F.lit(0), "hop": F.lit(None).cast("int"), "outcome": F.lit("accept")})
+
+    return expand_many(edges, seeds.select(F.lit(0).alias("q"), "id"), hops, cap, outcome if judge is not None else None)[0].drop("q")
+
+
+def expand_many(edges: DataFrame, seeds: DataFrame, hops: int, cap: int, judge=None) -> tuple[DataFrame, DataFrame]:
+    """((q, id, hop, parent, edge_id), (q, hop, from_id, edge_id, neighbour, weight, rank, outcome)) of all questions at once.
+
+    seeds: (q, id). Each frontier node of a question offers its `cap` heaviest
+    edges, before what that question has visited is taken out; judge adds an
+    outcome to the offered rows (or drops some). Of several accepted ways to a
+    node the first by (parent, rank, edge) counts. A node's edges are found once,
+    however many questions stand on it. It ends when no question has a frontier left.
     """
-    kind = edges.schema["src"].dataType.simpleString()
-    seen = cut(seeds.select(F.col("id").cast(kind).alias("id"), F.lit(0).alias("hop"), F.lit(None).cast(kind).alias("parent"), F.lit(None).cast(edges.schema["edge_id"].dataType).alias("edge_id")).distinct())
+    kind, edge = edges.schema["src"].dataType, edges.schema["edge_id"].dataType
+    start = seeds.select("q", F.col("id").cast(kind).alias("id")).where("id IS NOT NULL").distinct()
+    seen = cut(start.select("q", "id", F.lit(0).alias("hop"), F.lit(None).cast(kind).alias("parent"), F.lit(None).cast(edge).alias("edge_id")))
+    columns = ["q", "hop", "from_id", "edge_id", "neighbour", "weight", "rank", "outcome"]
+    told = []
     for hop in range(1, hops + 1):
-        offered = neighbours(edges, seen.where(F.col("hop") == hop - 1).select("id"), cap)
-        offered = offered.join(seen.select(F.col("id").alias("neighbour")), "neighbour", "left_anti")
-        if judge is not None:
-            offered = judge(offered)
-        first = top_per_key(offered.withColumnRenamed("rank", "turn"), ["neighbour"], 1, F.col("from_id"), F.col("turn"), F.col("edge_id"))
-        reached = first.select(F.col("neighbour").alias("id"), F.lit(hop).alias("hop"), F.col("from_id").alias("parent"), "edge_id")
+        frontier = seen.where(F.col("hop") == hop - 1).select("q", F.col("id").alias("from_id"))
+        if frontier.isEmpty():
+            break
+        near = neighbours(edges, frontier.select(F.col("from_id").alias("id")), cap)
+        offered = frontier.join(near, "from_id").join(seen.select("q", F.col("id").alias("neighbour")), ["q", "neighbour"], "left_anti").withColumn("hop", F.lit(hop))
+        judged = (judge(offered) if judge is not None else offered.withColumn("outcome", F.lit("accept"))).withColumn("hop", F.lit(hop))
+        judged = scratch(judged.select(*columns), f"offered-{hop}")
+        told.append(judged)
+        accepted = judged.where("outcome = 'accept'").withColumnRenamed("rank", "turn")
+        first = top_per_key(accepted, ["q", "neighbour"], 1, F.col("from_id"), F.col("turn"), F.col("edge_id"))
+        reached = first.select("q", F.col("neighbour").alias("id"), F.lit(hop).alias("hop"), F.col("from_id").alias("parent"), "edge_id")
         seen = cut(seen.unionByName(reached))
-    return seen
+    decisions = told[0] if told else neighbours(edges, start.where("false"), cap).select(F.lit(None).cast(start.schema["q"].dataType).alias("q"), F.lit(0).alias("hop"), "from_id", "edge_id", "neighbour", "weight", "rank", F.lit("").alias("outcome"))
+    for more in told[1:]:
+        decisions = decisions.unionByName(more)
+    return seen, decisions
 
 
 def two_hop_paths(edges: DataFrame, salt: str = "path") -> DataFrame:

@@ -511,6 +511,35 @@ def khop_expand(spark, sf_dir):
     return graph.expand(_edges(spark, sf_dir).where("status = 'accepted'"), seeds, 2, 3)
 
 
+MANY = EDGES_SQL + """, a AS (SELECT * FROM e WHERE status = 'accepted'), s AS (SELECT vec_id AS q, vec_id AS id FROM embeddings WHERE vec_id % 50 = 0),
+near AS (SELECT f.vec_id AS f, edge_id, CASE WHEN src = f.vec_id THEN dst ELSE src END AS n, weight FROM a JOIN embeddings f ON src = f.vec_id OR dst = f.vec_id),
+top AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY weight DESC NULLS LAST, edge_id) AS rn FROM near QUALIFY rn <= 4),
+o1 AS (SELECT q, f, edge_id, n, rn, CASE WHEN (q + f + n) % 4 = 0 THEN 'reject' ELSE 'accept' END AS outcome FROM s JOIN top ON f = id WHERE NOT EXISTS (SELECT 1 FROM s x WHERE x.q = s.q AND x.id = n)),
+h1 AS (SELECT q, n AS id, f AS parent, edge_id FROM o1 WHERE outcome = 'accept' QUALIFY row_number() OVER (PARTITION BY q, n ORDER BY f, rn, edge_id) = 1),
+v1 AS (SELECT q, id FROM s UNION SELECT q, id FROM h1),
+o2 AS (SELECT q, f, top.edge_id, n, rn, CASE WHEN (q + f + n) % 4 = 0 THEN 'reject' ELSE 'accept' END AS outcome FROM h1 JOIN top ON f = id WHERE NOT EXISTS (SELECT 1 FROM v1 x WHERE x.q = h1.q AND x.id = n)),
+h2 AS (SELECT q, n AS id, f AS parent, edge_id FROM o2 WHERE outcome = 'accept' QUALIFY row_number() OVER (PARTITION BY q, n ORDER BY f, rn, edge_id) = 1)
+"""
+
+
+def _many(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0")
+    judge = lambda offered: offered.withColumn("outcome", F.when((F.col("q") + F.col("from_id") + F.col("neighbour")) % 4 == 0, "reject").otherwise("accept"))
+    return graph.expand_many(_edges(spark, sf_dir).where("status = 'accepted'"), e.select(F.col("vec_id").alias("q"), F.col("vec_id").alias("id")), 2, 4, judge)
+
+
+@query(MANY + """SELECT q, id, 0 AS hop, NULL::BIGINT AS parent, NULL::VARCHAR AS edge_id FROM s UNION ALL SELECT q, id, 1, parent, edge_id FROM h1 UNION ALL SELECT q, id, 2, parent, edge_id FROM h2""")
+def expand_questions(spark, sf_dir):
+    """Nodes within two hops of many questions at once, every neighbour judged for its question."""
+    return _many(spark, sf_dir)[0]
+
+
+@query(MANY + "SELECT q, 1 AS hop, f AS from_id, edge_id, n AS neighbour, outcome FROM o1 UNION ALL SELECT q, 2, f, edge_id, n, outcome FROM o2")
+def expansion_decisions(spark, sf_dir):
+    """What was decided on the way of these expansions."""
+    return _many(spark, sf_dir)[1].select("q", "hop", "from_id", "edge_id", "neighbour", "outcome")
+
+
 @query(EDGES_SQL + """, w AS (SELECT src AS a, dst AS b FROM e WHERE status = 'accepted' UNION SELECT dst, src FROM e WHERE status = 'accepted'),
 h AS (SELECT a, b, sha256('path|' || a::VARCHAR || '|' || b::VARCHAR) AS h FROM w),
 p AS (SELECT x.a, x.b, y.b AS c, row_number() OVER (PARTITION BY x.a ORDER BY x.h, y.h, x.b, y.b) AS n FROM h x JOIN h y ON x.b = y.a AND x.a <> y.b)

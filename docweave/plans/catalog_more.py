@@ -16,7 +16,7 @@ from docweave.operators import curation as cu
 from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
 from docweave.operators.vector_index import Coding, VectorIndex
-from docweave.plans import provider
+from docweave.plans import answers, provider
 from docweave.plans.catalog import EDGES_SQL, KNN_SQL, ORACLES, _edges, query
 from docweave.session import GraphSession, Plan
 from docweave.storage import delete_on_exit, shared_dir, table
@@ -436,16 +436,28 @@ SELECT q, kept[i][1] AS id, 'p' || i::VARCHAR AS passage FROM (SELECT q, kept, u
 ORACLES["soft_relevance"] = KNN_SQL.format(where="") + f"SELECT vec_id AS id, neighbor_id AS neighbor, {OFFLINE.format(q=chr(39) + 'relevant' + chr(39), s='vec_id::VARCHAR || chr(45) || neighbor_id::VARCHAR')}::DOUBLE AS label, 'accepted' AS status FROM r WHERE rank <= 10"
 ORACLES["provider_gates"] = f"SELECT item_id::VARCHAR AS item_id, CASE WHEN {OFFLINE.format(q=chr(39) + 'related' + chr(39), s='text')} > 0.5 THEN 'accept' ELSE 'reject' END AS outcome FROM benchmark"
 
+@query(f"""
+WITH q(question, was) AS (VALUES ('related', true), ('relevant', true), ('of the same make', false))
+SELECT item_id::VARCHAR AS item_id, question, was AS reused, {OFFLINE.format(q='question', s='text')}::DOUBLE AS p FROM benchmark, q
+""")
+def reused_answers(spark, sf_dir):
+    """A new version of a question set: one question as it was, one moved, one reworded; only the last is asked."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("state"))
+    store = answers.temporary(spark)
+    store.ask(items, "links@1", [provider.Question("related"), provider.Question("of one make"), provider.Question("relevant")])
+    return store.ask(items, "links@2", [provider.Question("relevant"), provider.Question("related"), provider.Question("of the same make")]).select("item_id", "question", "reused", "p")
+
+
 # ---- stage steps without a query so far -----------------------------------------------------
 
 
 @query("""
-WITH c AS (SELECT conv_id AS doc_id, turn AS ord, [role, substr(text, 1, 5)] AS p FROM conversations)
+WITH c AS (SELECT conv_id AS doc_id, turn AS ord, [role, string_split(text, chr(10))[1]] AS p FROM conversations)
 SELECT doc_id, ord, coalesce(array_to_string(lag(p) OVER (PARTITION BY doc_id ORDER BY ord), ' > '), '') AS prefix FROM c
 """)
 def context_prefixes(spark, sf_dir):
     """Chunks with the headings at the end of the chunk before."""
-    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("ord"), F.array("role", F.substring("text", 1, 5)).alias("last_heading_path"))
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("ord"), F.array("role", F.get(F.split("text", "\n"), F.lit(0))).alias("last_heading_path"))
     return cu.context_prefix(c).select("doc_id", "ord", F.coalesce("context_prefix", F.lit("")).alias("prefix"))
 
 

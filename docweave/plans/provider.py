@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.ids import sha_id
@@ -111,8 +111,12 @@ def answer(asked: DataFrame, known: DataFrame | None = None, provider: Callable
 def valid(asked: DataFrame, answers: DataFrame) -> DataFrame:
     """Answers that fit what was asked: a probability between 0 and 1, an option that was offered, a level there is."""
     both = asked.select("item_id", "cache_key", "options").join(answers, "cache_key")
-    fits = F.when(F.col("kind") == "noul", F.col("p").between(0, 1)).when(F.col("kind") == "choice", F.array_contains("options", F.col("choice"))).otherwise(F.col("score").between(0, F.col("levels") - 1))
-    return both.where(F.coalesce(fits, F.lit(False)))
+    return both.where(F.coalesce(fits(), F.lit(False)))
+
+
+def fits() -> Column:
+    """The condition of valid, over an answer's columns and options."""
+    return F.when(F.col("kind") == "noul", F.col("p").between(0, 1)).when(F.col("kind") == "choice", F.array_contains("options", F.col("choice"))).otherwise(F.col("score").between(0, F.col("levels") - 1))
 
 
 def answer_maps(checked: DataFrame) -> DataFrame:

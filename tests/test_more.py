@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from docweave.operators import curation, graph, knn, merging, relational, repeated, search, training
-from docweave.plans import provider
+from docweave.plans import answers, provider
 
 
 def test_lone_nodes_are_their_own_and_refusals_are_told(spark):
@@ -118,19 +118,6 @@ def test_states_of_words(spark):
         curation.picked(df, {"n": "s.n"})
 
 
-def test_communities_hang_together(spark):
-    rng = random.Random(8)
-    edges = [(a, b, round(rng.random(), 2)) for a in range(60) for b in range(a) if rng.random() < (0.3 if a // 12 == b // 12 else 0.02)]
-    got = graph.communities(spark.createDataFrame(edges, "src long, dst long, weight double"), min_size=1).collect()
-    near = {}
-    for a, b, w in edges:
-        if round(w, 3) > 0:
-            near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = w
-    assert sorted(n for r in got for n in r.members) == sorted(near)
-    assert all(len(graph.connected_parts(set(r.members), near)) == 1 and r.community == min(r.members) for r in got)
-    assert graph.connected_parts({1, 2, 3}, {1: {2: 1}, 2: {1: 1}, 3: {}}) in ([{1, 2}, {3}], [{3}, {1, 2}])
-
-
 @pytest.mark.parametrize("kinds", [1, 2, 5, 60])
 def test_least_pairs_equal_all_pairs_cut(spark, kinds):
     rng = random.Random(kinds)
@@ -170,3 +157,47 @@ def test_definitions_to_compare_and_their_support(spark):
     answers = spark.createDataFrame([("a", "accept"), ("a", "reject"), ("a", "reject"), ("b", "accept"), ("d", "reject")], "name string, outcome string")
     assert {r.name: r.supported for r in curation.supported(defs, answers).collect()} == {"a": True, "b": False, "c": False, "d": False}
     assert {r.name: r.supported for r in curation.supported(defs, answers, 0.5).collect()} == {"a": False, "b": False, "c": False, "d": False}
+
+
+def test_expansion_of_many_questions_equals_each_alone(spark):
+    rng = random.Random(4)
+    edges = spark.createDataFrame([(f"e{i}", rng.randrange(40), rng.randrange(40), rng.choice([None, round(rng.random(), 1)])) for i in range(90)], "edge_id string, src long, dst long, weight double")
+    seeds = [(q, rng.randrange(40)) for q in range(6) for _ in range(2)] + [(9, 1000), (10, None)]
+    judge = lambda o: o.withColumn("outcome", F.when((F.col("from_id") + F.col("neighbour")) % 3 == 0, "reject").otherwise("accept"))
+    nodes, decisions = graph.expand_many(edges, spark.createDataFrame(seeds, "q long, id long"), 5, 3, judge)
+    got = sorted(((r.q, r.id, r.hop, r.parent, r.edge_id) for r in nodes.collect()), key=repr)
+    want = []
+    for q in {s[0] for s in seeds} - {10}:
+        alone = graph.expand(edges, spark.createDataFrame([(i,) for k, i in seeds if k == q], "id long"), 5, 3, lambda o: judge(o).where("outcome = 'accept'").drop("outcome"))
+        want += [(q, r.id, r.hop, r.parent, r.edge_id) for r in alone.collect()]
+    assert got == sorted(want, key=repr)
+    told = decisions.collect()
+    assert {r.outcome for r in told} == {"accept", "reject"} and all((r.outcome == "reject") == ((r.from_id + r.neighbour) % 3 == 0) for r in told)
+    assert not [r for r in told if r.q == 9] and graph.expand_many(edges, spark.createDataFrame([], "q long, id long"), 2, 3)[1].collect() == []
+
+
+def test_answers_outlive_versions(spark):
+    store = answers.temporary(spark)
+    items = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x"), ("d", None)], "item_id string, state string")
+    Q = provider.Question
+
+    def ask(question, kind, options, levels, state):
+        if kind == "choice":
+            return None, options[0], None
+        return 0.5, None, None
+
+    one = store.ask(items, "s@1", [Q("p"), Q("q", "choice", ("u", "v"))], ask).collect()
+    assert len(one) == 8 and not any(r.reused for r in one) and store.answers().count() == 6
+
+    def none(*_):
+        raise ValueError("asked again")
+
+    again = store.ask(items, "s@2", [Q("q", "choice", ("u", "v"))], none).collect()
+    assert len(again) == 4 and all(r.reused and r.choice == "u" for r in again)
+    # Other options, another set, another model: new questions.
+    for name, qs, model in (("s@2", [Q("q", "choice", ("v", "u"))], "offline"), ("t@1", [Q("p")], "offline"), ("s@1", [Q("p")], "big")):
+        got = store.ask(items, name, qs, ask, model).collect()
+        assert len(got) == 4 and not any(r.reused for r in got)
+    store.add(store.answers().select(*[c for c in store.answers().columns if c not in ("batch", "drift")]).withColumn("reuse_key", F.concat("reuse_key", F.lit("~"))), drift=True)
+    assert store.answers().where("reuse_key LIKE '%~'").isEmpty()
+    assert store.ask(items.where("false"), "s@3", [Q("p")], none).collect() == []
