@@ -21,27 +21,32 @@ gives an empty index, and a search without words an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docweave.operators.ordering import positions
 from docweave.operators.search import WebQuery, terms
-from docweave.storage import discard, scratch, written
+from docweave.storage import discard, scratch, ship, written
 
 #: Ranges of segments in one pushed filter; more are left to a join.
 RANGES = 200
 #: Segments scored in one round, beyond which all that can still matter are.
 TURN = 1 << 16
+#: Rows whose postings a task holds at once.
+ROWS = 2048
 
 
 @dataclass(frozen=True)
 class Layout:
-    """segment: rows of a segment; buckets: folders of terms; k1 and b: BM25's; first: segments of the first round at least."""
+    """segment: rows of a segment; buckets: folders of terms, which several tasks write for every split_rows rows; k1 and b: BM25's; first: segments of the first round at least."""
 
     segment: int = 32
     buckets: int = 32
+    split_rows: int = 2_000_000
     k1: float = 1.2
     b: float = 0.75
     first: int = 2
@@ -76,33 +81,28 @@ class TextIndex:
 
     @staticmethod
     def build(df: DataFrame, id_col: str, text_col: str, path: str, layout: Layout = Layout()) -> TextIndex:
-        """Writes the index of a table under path, which must not exist."""
+        """Writes the index of a table under path, which must not exist.
+
+        Postings of a row are made where the row is; rows are shuffled once, to their
+        order, where a segment's blocks are made in the same task; and blocks once, to their folders.
+        """
         spark = df.sparkSession
-        rows = scratch(df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(terms(F.col(text_col)), F.array()).alias("ts")), "index-terms")
-        size = F.size("ts").cast("int").alias("length")
-        words = rows.repartition("row").select("row", F.posexplode("ts").alias("pos", "term"))
-        found = scratch(words.groupBy("row", "term").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")), "index-postings")
-        common = found.groupBy("row").agg(F.max(F.struct("tf", "term"))["term"].alias("common"))
-        heads = rows.select("row", "id", size).join(common, "row", "left")
-        placed = positions(heads, "place", ["common", "length", "row"]).select("row", "id", "length", (F.col("place") - 1).alias("place"))
-        stats = heads.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), F.max(F.when(F.lit(False), F.col("id"))).alias("id"))
+        ship(spark)
+        rows = df.select(F.col(id_col).alias("id"), F.coalesce(terms(F.col(text_col)), F.array().cast("array<string>")).alias("ts"))
+        kind = rows.schema["id"].dataType.simpleString()
+        posted = scratch(rows.mapInArrow(_posted, f"id {kind}, length int, common string, terms array<string>, tfs array<int>, positions array<array<int>>"), "index-rows")
+        stats = posted.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), F.max(F.when(F.lit(False), F.col("id"))).alias("id"))
         stats.write.parquet(f"{path}/stats")
         held = spark.read.parquet(f"{path}/stats").first()
-        tf, long = F.col("tf"), F.col("length") / F.lit(held["mean"] or 1.0)
-        impact = tf * (layout.k1 + 1) / (tf + layout.k1 * (1 - layout.b + layout.b * long))
-        each = found.join(placed, "row").select("term", F.expr(f"place div {layout.segment}").alias("segment"), "place", "id", "tf", "length", "positions", impact.alias("impact"))
-        blocks = each.groupBy("term", "segment").agg(
-            F.count("*").cast("int").alias("n"), F.max("impact").alias("impact"),
-            F.sort_array(F.collect_list(F.struct("place", "id", "tf", "length", "impact", "positions"))).alias("all"))
-        # Positions apart, so that a search that needs none doesn't read them.
-        bare = F.transform("all", lambda r: F.struct(*[r[c].alias(c) for c in ("place", "id", "tf", "length", "impact")]))
-        blocks = blocks.select("term", "segment", "n", "impact", bare.alias("rows"), F.transform("all", lambda r: r["positions"]).alias("positions"))
+        ordered = posted.repartitionByRange("common", "length", "id").sortWithinPartitions("common", "length", "id")
+        row = f"struct<place:long,id:{kind},tf:int,length:int,impact:double>"
+        blocks = ordered.mapInArrow(_blocks(layout, held["mean"] or 1.0), f"term string, segment long, n int, impact double, rows array<{row}>, positions array<array<int>>")
         blocks = blocks.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(layout.buckets)).cast("int"))
-        # By range, so that a term with most of the postings is written by many tasks.
-        ordered = blocks.repartitionByRange("bucket", "term", "segment").sortWithinPartitions("bucket", "term", "segment")
-        ordered.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/blocks")
-        discard(found)
-        discard(rows)
+        # A folder of very many blocks is written by several tasks, whatever terms they are of.
+        splits = max(1, held["docs"] // layout.split_rows)
+        dealt = blocks.repartition("bucket", F.pmod(F.xxhash64("segment"), F.lit(splits))).sortWithinPartitions("bucket", "term", "segment")
+        dealt.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/blocks")
+        discard(posted)
         return TextIndex(spark, path, layout)
 
     def exists(self) -> bool:
@@ -222,6 +222,79 @@ class TextIndex:
         return each.where(found & ~none).select("id")
 
 
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal keys together and keeps their order, where groups begin in it)."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    return order, np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - 1)) if len(keys) else np.empty(0, np.int64)
+
+
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's postings: its terms in order of first use, with counts and positions, and the commonest term (ties: the first used)."""
+    for whole in batches:
+        for at in range(0, len(whole), ROWS):
+            batch = whole.slice(at, ROWS)
+            ts = batch.column(1)
+            size = np.diff(ts.offsets.to_numpy())
+            row = np.repeat(np.arange(len(batch)), size)
+            coded = ts.flatten().dictionary_encode()
+            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+            order, begin = _grouped(row * max(1, len(coded.dictionary)) + code)
+            tf = np.diff(np.append(begin, len(order)))
+            of, first = row[order[begin]], place[order[begin]]
+            # Terms of a row by first use.
+            turn = np.lexsort((first, of))
+            held = np.bincount(of, minlength=len(batch))
+            ends = np.concatenate(([0], np.cumsum(held)))
+            spans = np.repeat(begin[turn], tf[turn]) + np.arange(len(order)) - np.repeat(np.cumsum(tf[turn]) - tf[turn], tf[turn])
+            positions = _lists(np.concatenate(([0], np.cumsum(tf[turn]))), pa.array(place[order[spans]], pa.int32()))
+            names = coded.dictionary.take(pa.array(code[order[begin]][turn]))
+            best = np.full(len(batch), -1)
+            ranked = np.lexsort((first, -tf, of))
+            best[of[ranked[::-1]]] = ranked[::-1]
+            common = coded.dictionary.take(pa.array(np.where(best >= 0, code[order[begin]][np.maximum(best, 0)], 0), mask=best < 0)) if len(begin) else pa.nulls(len(batch), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size, pa.int32()), common, _lists(ends, names), _lists(ends, pa.array(tf[turn], pa.int32())), _lists(ends, positions)],
+                ["id", "length", "common", "terms", "tfs", "positions"])
+
+
+def _blocks(layout: Layout, mean: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of segments of rows as they come; a segment never spans two batches."""
+        from pyspark import TaskContext
+
+        place, segment = TaskContext.get().partitionId() << 33, TaskContext.get().partitionId() << 33
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                batch = whole.slice(at, ROWS)
+                names, tfs, spots = batch.column("terms"), batch.column("tfs"), batch.column("positions")
+                row = np.repeat(np.arange(len(batch)), np.diff(names.offsets.to_numpy()))
+                coded = names.flatten().dictionary_encode()
+                code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                if len(code):
+                    tf = tfs.flatten().to_numpy()
+                    length = batch.column("length").to_numpy()[row]
+                    impact = tf * (layout.k1 + 1) / (tf + layout.k1 * (1 - layout.b + layout.b * length / mean))
+                    order, begin = _grouped((row // layout.segment) * len(coded.dictionary) + code)
+                    ends = np.append(begin, len(order))
+                    rows = pa.StructArray.from_arrays(
+                        [pa.array(place + row[order]), batch.column("id").take(pa.array(row[order])), pa.array(tf[order], pa.int32()), pa.array(length[order], pa.int32()), pa.array(impact[order])],
+                        ["place", "id", "tf", "length", "impact"])
+                    yield pa.RecordBatch.from_arrays(
+                        [coded.dictionary.take(pa.array(code[order[begin]])), pa.array(segment + row[order[begin]] // layout.segment), pa.array(np.diff(ends), pa.int32()), pa.array(np.maximum.reduceat(impact[order], begin)),
+                         _lists(ends, rows), _lists(ends, spots.flatten().take(pa.array(order)))],
+                        ["term", "segment", "n", "impact", "rows", "positions"])
+                place += len(batch)
+                segment += -(-len(batch) // layout.segment)
+
+    return run
+
+
 def _holds(at: dict[str, Column], phrase: list[str]) -> Column:
     """Whether the words of a phrase stand one after the other; false where one is missing."""
     if len(phrase) == 1:

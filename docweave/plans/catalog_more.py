@@ -206,7 +206,7 @@ def vector_index_of(spark, sf_dir):
     if key not in _VECTORS or not _VECTORS[key].exists():
         where = f"{shared_dir(spark).rstrip('/')}/docweave-vector-index-{uuid.uuid4().hex}"
         delete_on_exit(spark, where)
-        _VECTORS[key] = VectorIndex.build(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", where, Coding(cells=16))
+        _VECTORS[key] = VectorIndex.build(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", where, Coding(cells=16, per_code=1))
     return _VECTORS[key]
 
 

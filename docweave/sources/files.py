@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import yaml
@@ -11,31 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from docweave.sources.listing import contents, listed
 from docweave.sources.parsers import HtmlRules, ParseError, parse_bytes
+from docweave.storage import scratch
 
 UNITS = "array<struct<ord:int,kind:string,text:string,heading_path:array<string>>>"
 PARSED = f"path string, mime string, title string, meta map<string,string>, units {UNITS}, error string"
 
 
-def discover(paths: list[str]) -> list[tuple[str, int, str]]:
-    """(file, number of the input, top folder in it): folders are walked, patterns filled in, the first input to reach a file has it.
-
-    In a folder that is walked, files whose own name begins with a dot are left out; hidden folders are not.
-    """
-    found: dict[str, tuple[int, str]] = {}
-    for n, raw in enumerate(paths):
-        roots = sorted(Path().glob(raw)) if any(c in raw for c in "*?[") and not raw.startswith("/") else sorted(Path("/").glob(raw[1:])) if any(c in raw for c in "*?[") else [Path(raw)]
-        for root in roots:
-            if root.is_dir():
-                for f in sorted(root.rglob("*")):
-                    if f.is_file() and not f.name.startswith("."):
-                        inner = f.relative_to(root).parts
-                        found.setdefault(str(f.resolve()), (n, inner[0] if len(inner) > 1 else ""))
-            elif root.is_file():
-                found.setdefault(str(root.resolve()), (n, ""))
-    return [(f, n, top) for f, (n, top) in found.items()]
-
-
 def _parsed(rules: HtmlRules):
     unit = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("heading_path", pa.list_(pa.string()))])
     kinds = [pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.list_(unit), pa.string()]
@@ -72,16 +54,9 @@ def parse_contents(contents: DataFrame, rules: HtmlRules = HtmlRules()) -> DataF
 
 
 def read_files(spark: SparkSession, paths: list[str], rules: HtmlRules = HtmlRules()) -> DataFrame:
-    """Discovered files with origin, parsed. Each file is named to Spark's binary reader, which would hide some names in a folder.
-
-    Local paths are walked here; a listing made elsewhere goes through parse_contents.
-    """
-    found = discover(paths)
-    if not found:
-        return spark.createDataFrame([], f"{PARSED}, input int, top string")
-    origin = spark.createDataFrame([(f"file:{f}", n, t) for f, n, t in found], "path string, input int, top string")
-    contents = spark.read.format("binaryFile").load([f for f, _, _ in found])
-    return parse_contents(contents, rules).join(origin, "path")
+    """Listed files with origin (input, top), parsed. Listing and reading are the tasks' work, not the driver's."""
+    found = scratch(listed(spark, paths), "files")
+    return parse_contents(contents(found), rules).join(found, "path")
 
 
 def units(parsed: DataFrame) -> DataFrame:

@@ -178,3 +178,49 @@ def test_the_last_record_of_a_key_stays(spark, tmp_path):
 
     got = files.read_records(spark, str(tmp_path / "r.jsonl"), StructType().add("id", StringType()).add("n", LongType()))
     assert sorted((r.id, r.n) for r in got.collect()) == [(f"k{i}", 995 + i) for i in range(5)]
+
+
+def test_listing_by_rounds(spark, tmp_path):
+    from docweave.sources.listing import contents, listed
+
+    names = ["a/x.txt", "a/_b/y.txt", "a/_b/.no", "a/.h/z.txt", "c/deep/er/w.md", "c/v.md", "top.txt", ".hidden", "d[1].txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "a" / "link.txt").symlink_to(tmp_path / "top.txt")
+    at = lambda *paths: {r.path.removeprefix(str(tmp_path) + "/"): (r.input, r.top) for r in listed(spark, [str(p) for p in paths]).collect()}
+    assert at(tmp_path) == {"a/x.txt": (0, "a"), "a/_b/y.txt": (0, "a"), "a/.h/z.txt": (0, "a"), "c/deep/er/w.md": (0, "c"), "c/v.md": (0, "c"), "top.txt": (0, ""), "d[1].txt": (0, "")}
+    assert at(tmp_path / "c", tmp_path / "a") == {"c/deep/er/w.md".replace("c/", "c/", 1): (0, "deep"), "c/v.md": (0, ""), "a/x.txt": (1, ""), "a/_b/y.txt": (1, "_b"), "a/.h/z.txt": (1, ".h"), "top.txt": (1, "")}
+    assert at(tmp_path / "top.txt", tmp_path / "nothing", tmp_path / ".hidden") == {"top.txt": (0, ""), ".hidden": (2, "")}
+    assert at(tmp_path / "*" / "*.md") == {"c/v.md": (0, "")} and set(at(tmp_path / "**" / "*.md")) == {"c/v.md", "c/deep/er/w.md"}
+    assert at(tmp_path / "c*") == {"c/v.md": (0, ""), "c/deep/er/w.md": (0, "deep")} and at(tmp_path / "empty") == {} and at() == {}
+    assert {r.path[len(str(tmp_path)) + 1 :]: bytes(r.content).decode() for r in contents(listed(spark, [str(tmp_path / "c")])).collect()} == {"c/v.md": "c/v.md", "c/deep/er/w.md": "c/deep/er/w.md"}
+    assert {r.path for r in listed(spark, [f"file://{tmp_path}/c"]).collect()} == {f"file://{tmp_path}/c/v.md", f"file://{tmp_path}/c/deep/er/w.md"}
+
+
+def test_versions_of_files_after_a_restart(spark, tmp_path):
+    import os
+
+    from docweave.streaming import versions
+
+    (tmp_path / "in").mkdir()
+    put = lambda name, text, at: ((tmp_path / "in" / name).write_text(text), os.utime(tmp_path / "in" / name, (at, at)))
+    run = lambda: versions.follow(spark, str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "out")).awaitTermination(120)
+    live = lambda: sorted((r.source_uri.rsplit("/", 1)[-1], r.version, bytes(r.content).decode()) for r in versions.live(spark, str(tmp_path / "out")).collect())
+    put("a.txt", "one", 1000)
+    put("b.txt", "bee", 1000)
+    run()
+    assert live() == [("a.txt", 1, "one"), ("b.txt", 1, "bee")]
+    put("a.txt", "two", 2000)
+    run()
+    put("a.txt", "three", 3000)
+    put("b.txt", "bee", 3000)  # touched, not changed
+    run()
+    run()  # nothing new
+    assert live() == [("a.txt", 3, "three"), ("b.txt", 1, "bee")]
+    assert sorted((r.source_uri.rsplit("/", 1)[-1], r.version) for r in versions.superseded(spark, str(tmp_path / "out")).collect()) == [("a.txt", 1), ("a.txt", 2)]
+    # A batch that runs again replaces what it wrote.
+    again = spark.createDataFrame(spark.read.parquet(f"{tmp_path}/out/batch=1").collect(), versions.VERSIONS)
+    versions.commit(again, 1, str(tmp_path / "out"))
+    assert live() == [("a.txt", 3, "three"), ("b.txt", 1, "bee")] and versions.began(spark, str(tmp_path / "out"), 1)
