@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,15 +28,42 @@ def overturn_rates(reviews: DataFrame, by: str, verdict: str, outcome: str) -> D
         F.round(F.count_if(F.col(verdict) != F.col(outcome)) / F.count("*"), 4).alias("rate"))
 
 
-def provenance_violations(rows: DataFrame, id_col: str, ids_col: str, decisions: DataFrame, sets: Sequence[str]) -> DataFrame:
-    """Accepted rows without an accepting decision of an allowed question set."""
+def provenance_violations(rows: DataFrame, id_col: str, ids_col: str, decisions: DataFrame, sets: Sequence[str], human: DataFrame | None = None) -> DataFrame:
+    """Accepted rows without an accepting decision of an allowed question set; human holds (id_col) of rows that a person accepted."""
     good = decisions.where((F.col("outcome") == "accept") & F.substring_index("question_set", "@", 1).isin(list(sets))).select("decision_id").distinct()
     cited = rows.select(id_col, F.explode(ids_col).alias("decision_id")).join(good, "decision_id", "left_semi").select(id_col).distinct()
-    return rows.where("status = 'accepted'").join(cited, id_col, "left_anti")
+    bare = rows.where("status = 'accepted'").join(cited, id_col, "left_anti")
+    return bare if human is None else bare.join(human.select(id_col).distinct(), id_col, "left_anti")
 
 
-def unmet_requirements(edges: DataFrame, decisions: DataFrame, groups: dict[str, list[list[str]]]) -> DataFrame:
-    """Accepted edges that lack an accepting decision in some group of sets their kind asks for; a kind without groups is unmet."""
+@dataclass(frozen=True)
+class Rule:
+    """A rule of the audit: accepted rows of a table that meet `when` (SQL) need an accepting decision of one of `sets`."""
+
+    name: str
+    table: str
+    id_col: str
+    sets: tuple[str, ...]
+    when: str = "true"
+    ids_col: str = "decision_ids"
+
+
+def audited(tables: dict[str, DataFrame], rules: Sequence[Rule], decisions: DataFrame, human: DataFrame | None = None) -> DataFrame:
+    """(rule, id) of what breaks the rules, ids as strings; human: (table, id) of rows that a person accepted."""
+    every = None
+    for r in rules:
+        rows = tables[r.table].where(r.when)
+        people = None if human is None else human.where(F.col("table") == r.table).select(F.col("id").cast(rows.schema[r.id_col].dataType).alias(r.id_col))
+        bad = provenance_violations(rows, r.id_col, r.ids_col, decisions, r.sets, people).select(F.lit(r.name).alias("rule"), F.col(r.id_col).cast("string").alias("id"))
+        every = bad if every is None else every.unionByName(bad)
+    return every
+
+
+def unmet_requirements(edges: DataFrame, decisions: DataFrame, groups: dict[str, list[list[str]]], human: DataFrame | None = None) -> DataFrame:
+    """Accepted edges that lack an accepting decision in some group of sets their kind asks for; a kind without groups is unmet.
+
+    human: (edge_id) of edges that a person accepted, which need nothing else.
+    """
     good = decisions.where("outcome = 'accept'").select("decision_id", F.substring_index("question_set", "@", 1).alias("set"))
     accepted = edges.where("status = 'accepted'")
     passed = accepted.select("edge_id", F.explode_outer("decision_ids").alias("decision_id")).join(good, "decision_id", "left").groupBy("edge_id").agg(F.collect_set("set").alias("passed"))
@@ -45,6 +73,8 @@ def unmet_requirements(edges: DataFrame, decisions: DataFrame, groups: dict[str,
         for sets in needs:
             every = every & F.arrays_overlap("passed", F.array(*[F.lit(s) for s in sets]))
         met = F.when(F.col("src_kind") == kind, every).otherwise(met)
+    if human is not None:
+        accepted = accepted.join(human.select("edge_id").distinct(), "edge_id", "left_anti")
     return accepted.join(passed, "edge_id").where(~met).select("edge_id", "src_kind", F.sort_array("passed").alias("passed"))
 
 

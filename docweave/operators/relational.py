@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docweave.storage import discard, scratch
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """DISTINCT ON: the first row of each key; end the order with an id to make it total."""
@@ -109,6 +111,35 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Column, u
     return joined.select(*[pick(c) for c in old.columns])
 
 
+def create_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 64) -> None:
+    """Writes a table in folders by hash of its keys, as upsert_buckets wants it."""
+    _bucketed(rows, keys, buckets).repartition("bucket_").write.partitionBy("bucket_").parquet(path)
+
+
+def _bucketed(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return rows.withColumn("bucket_", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_buckets(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], order: Column, update: Sequence[str] | None = None, buckets: int = 64) -> int:
+    """upsert into a table of create_buckets; only the folders that new keys fall in are read and rewritten. Gives how many.
+
+    The new state of these folders is written beside the table first and then put
+    in its place by one job that commits whole folders, so a run that dies before
+    leaves the table as it was, and the same run again gives the same table.
+    """
+    old = spark.read.parquet(path)
+    plain = [c for c in old.columns if c != "bucket_"]
+    fresh = _bucketed(new, keys, buckets)
+    touched = [r["bucket_"] for r in fresh.select("bucket_").distinct().collect()]  # buckets at most
+    if not touched:
+        return 0
+    some = old.where(F.col("bucket_").isin(touched)).select(*plain)
+    merged = scratch(_bucketed(upsert(some, new, keys, order, update), keys, buckets), "upsert")
+    merged.repartition("bucket_").write.partitionBy("bucket_").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    discard(merged)
+    return len(touched)
+
+
 def supersede(chunks: DataFrame, dead: DataFrame, edges: DataFrame, mentions: DataFrame) -> dict[str, DataFrame]:
     """Marks what falls with dead chunks: edges on them, their mentions, and entities left without a live mention."""
     gone = dead.select(F.col("chunk_id").alias("_c")).distinct()

@@ -160,6 +160,21 @@ def hard_negatives(near: DataFrame, texts: DataFrame, splits: DataFrame, n: int
     return top_per_key(first, ["id"], n, F.col("dist"), F.col("neighbor")).select("id", "neighbor", F.col("rank").alias("turn"))
 
 
+def judged_negatives(near: DataFrame, texts: DataFrame, splits: DataFrame, answers: DataFrame, n: int = 3) -> DataFrame:
+    """(id, neighbor, turn, status): the first n hard negatives of each row that the judge rejected; a row without one is rejected, with a null neighbor.
+
+    answers: (id, neighbor, outcome) for all candidates, judged before the cut, so
+    that a candidate found relevant makes room for the next. What wasn't judged
+    is no negative.
+    """
+    candidates = hard_negatives(near, texts, splits, 1 << 30).drop("turn")
+    fair = candidates.join(answers.where("outcome = 'reject'").select("id", "neighbor").distinct(), ["id", "neighbor"], "left_semi")
+    ranked = top_per_key(fair.join(near.select("id", "neighbor", "dist"), ["id", "neighbor"]), ["id"], n, F.col("dist"), F.col("neighbor"))
+    kept = ranked.select("id", "neighbor", F.col("rank").alias("turn"), F.lit("accepted").alias("status"))
+    none = near.select("id").distinct().join(kept.select("id"), "id", "left_anti")
+    return kept.unionByName(none.select("id", F.lit(None).cast(near.schema["neighbor"].dataType).alias("neighbor"), F.lit(None).cast("int").alias("turn"), F.lit("rejected").alias("status")))
+
+
 def coverage(claims: DataFrame, chunks: DataFrame, n: int, min_tokens: int, salt: str = "coverage") -> DataFrame:
     """(chunk_id, claim_id): at most n claims of each chunk by hash, or the chunk itself (a null claim) if it says enough and has none."""
     key = sha_id(F.lit(salt), F.col("claim_id").cast("string"))

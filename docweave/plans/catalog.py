@@ -618,6 +618,18 @@ def edge_requirements(spark, sf_dir):
     return out.select("edge_id", "src_kind", F.array_join("passed", ",").alias("passed"))
 
 
+@query(DECISIONS_SQL + """, k AS (SELECT edge_id, src_kind FROM x WHERE status = 'accepted' AND edge_id % 11 <> 0)
+SELECT CASE src_kind WHEN '1' THEN 'first' ELSE 'others' END AS rule, edge_id::VARCHAR AS id FROM k JOIN x USING (edge_id, src_kind)
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE list_contains(x.ids, d.decision_id) AND outcome = 'accept' AND CASE src_kind WHEN '1' THEN set IN ('click', 'view') ELSE set IN ('purchase', 'signup', 'error') END)
+""")
+def audited_rules(spark, sf_dir):
+    """What breaks several rules of provenance, rows that a person accepted aside."""
+    d, e = _decided(spark, sf_dir)
+    rules = [audit.Rule("first", "edges", "edge_id", ("click", "view"), "src_kind = '1'"), audit.Rule("others", "edges", "edge_id", ("purchase", "signup", "error"), "src_kind <> '1'")]
+    human = e.where("edge_id % 11 = 0").select(F.lit("edges").alias("table"), F.col("edge_id").cast("string").alias("id"))
+    return audit.audited({"edges": e}, rules, d, human)
+
+
 @query("""
 WITH p AS (SELECT l_orderkey AS a, l_partkey AS b FROM lineitem WHERE l_linenumber <= 2), d AS (SELECT l_orderkey AS a, l_partkey AS b FROM lineitem WHERE l_returnflag = 'R'),
 n AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'O')
@@ -668,6 +680,22 @@ def upsert_snapshot(spark, sf_dir):
     return rel.upsert(o.where("k % 2 = 0 OR k % 3 = 0"), new, ["k"], F.col("seq"), ["s"]).select("k", "s", F.round("p", 2).alias("p"))
 
 
+@query("""
+WITH n AS (SELECT o_orderkey AS k, 'N' AS s, o_totalprice * 3 AS p, o_custkey AS seq FROM orders WHERE o_custkey % 50 = 0 UNION ALL SELECT o_orderkey + 10000000, 'M', o_totalprice, o_custkey FROM orders WHERE o_custkey % 50 = 0)
+SELECT coalesce(n.k, o.o_orderkey) AS k, coalesce(n.s, o.o_orderstatus) AS s, round(coalesce(n.p, o.o_totalprice), 2) AS p FROM orders o FULL JOIN n ON n.k = o.o_orderkey
+""")
+def upsert_in_buckets(spark, sf_dir):
+    """A table in key buckets after an upsert of some customers' orders."""
+    path = f"{shared_dir(spark).rstrip('/')}/docweave-buckets-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("p"), F.col("o_custkey").alias("c"))
+    rel.create_buckets(o.drop("c"), path, ["k"], 16)
+    some = o.where("c % 50 = 0")
+    new = some.select("k", F.lit("N").alias("s"), (F.col("p") * 3).alias("p"), F.col("c").alias("seq")).unionByName(some.select((F.col("k") + 10000000).alias("k"), F.lit("M").alias("s"), "p", F.col("c").alias("seq")))
+    rel.upsert_buckets(spark, path, new, ["k"], F.col("seq"), buckets=16)
+    return spark.read.parquet(path).select("k", "s", F.round("p", 2).alias("p"))
+
+
 @query("""
 WITH dead AS (SELECT o_orderkey AS c FROM orders WHERE o_orderkey % 10 < 9), m AS (SELECT l_orderkey AS c, l_partkey AS e FROM lineitem)
 SELECT DISTINCT e AS entity_id FROM m WHERE c IN (SELECT c FROM dead) AND e NOT IN (SELECT e FROM m WHERE c NOT IN (SELECT c FROM dead))
@@ -788,6 +816,22 @@ def hard_negatives(spark, sf_dir):
     return training.hard_negatives(_knn(spark, sf_dir, 12), d, splits)
 
 
+NEGATIVES = ORACLES["hard_negatives"].split("o AS (SELECT *")[0]
+
+
+@query(NEGATIVES + """j AS (SELECT * FROM g WHERE (vec_id + neighbor_id) % 3 <> 0), o AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, neighbor_id) AS turn FROM j)
+SELECT vec_id AS id, neighbor_id AS neighbor, turn::INT AS turn, 'accepted' AS status FROM o WHERE turn <= 3
+UNION ALL SELECT vec_id, NULL, NULL, 'rejected' FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM o) AND vec_id IN (SELECT vec_id FROM r)
+""")
+def judged_negatives(spark, sf_dir):
+    """Near documents of the same split that a judge rejected; what has none is rejected itself."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    splits = d.select("id", training.split_of(F.col("id"), {"train": 0.6, "test": 0.4}).alias("split"))
+    near = _knn(spark, sf_dir, 12)
+    answers = near.select("id", "neighbor", F.when((F.col("id") + F.col("neighbor")) % 3 != 0, "reject").otherwise("accept").alias("outcome"))
+    return training.judged_negatives(near, d, splits, answers)
+
+
 @query("""
 SELECT l_orderkey AS example, CASE WHEN bool_or(l_returnflag = 'R') THEN 'rejected' WHEN bool_and(l_returnflag = 'A') THEN 'accepted' ELSE 'review' END AS status FROM lineitem GROUP BY 1
 """)
