@@ -6,9 +6,9 @@ most frequent pairs of neighbouring symbols are replaced by new symbols until no
 pair comes `least` times, which is twice: nothing else ends it. Pairs never span
 documents. Classical Re-Pair (Larsson and Moffat 1999) replaces one pair at a
 time; here all pairs that come at least `floor` times go in one round, the more
-frequent first where places overlap, and the floor halves whenever no pair
-reaches it. So pairs still go in the order of their frequency, to within a
-factor of two, and there are few rounds.
+frequent first where places overlap, and the floor falls eightfold whenever no
+pair reaches it. So pairs still go in the order of their frequency, to within a
+factor of eight, and there are few rounds.
 
 One shard is one binary value in this layout (little-endian, unsigned 32-bit
 unless said): magic b"RPR1"; number of terminals (first symbol that is a rule);

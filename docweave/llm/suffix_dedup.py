@@ -236,10 +236,9 @@ def longest_previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarra
 def repeated(data: np.ndarray, starts: np.ndarray, window: int, keep: str) -> np.ndarray:
     """Whether the factor of each window start also starts before it (or, for keep="none", anywhere else)."""
     order, common = suffix_array(data, starts, window)
-    if keep == "first":
-        longest = longest_previous_factors(order, common)
-    else:
-        longest = np.maximum(common, np.append(common[1:], 0)) if len(common) else common
+    longest = longest_previous_factors(order, common)
+    if keep != "first":  # what starts at a greater place is what comes before from behind
+        longest = np.maximum(longest, longest_previous_factors(len(order) - order, common))
     out = np.zeros(len(order), bool)
     out[order] = longest >= window
     return out

@@ -110,6 +110,21 @@ def test_suffix_arrays_and_factors_equal_brute_force(words, window, letters):
         assert sd.repeated(data, starts, window, keep).tolist() == [c in others(i) for i, c in enumerate(cut)]
 
 
+def test_factors_from_both_sides_tell_every_repeat():
+    rng = random.Random(6)
+    for window in (2, 5, 9):
+        data = np.frombuffer("".join(rng.choice("ab") for _ in range(160)).encode(), np.uint8)
+        starts = np.array(sorted(rng.sample(range(len(data) - window + 1), 60)))
+        held = [bytes(data[s : s + window]) for s in starts]
+        assert sd.repeated(data, starts, window, "none").tolist() == [held.count(h) > 1 for h in held]
+        assert sd.repeated(data, starts, window, "first").tolist() == [h in held[:i] for i, h in enumerate(held)]
+        order, common = sd.suffix_array(data, starts, window)
+        following = sd.longest_previous_factors(len(order) - order, common)
+        for i, n in zip(order.tolist(), following.tolist(), strict=True):
+            rest = [next((k for k in range(window) if data[starts[i] + k] != data[s + k]), window) for s in starts[i + 1 :]]
+            assert n == max(rest, default=0)
+
+
 def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
     rng = random.Random(6)
     texts = ["", " ", "a", "a b", "\x1c b\u00a0c\u2003 d", "x" * 70 + " " + "x" * 70, " ".join(rng.choice(["aa", "b", "cé", "d" * 90]) for _ in range(400)), "a\tb\nc\x0bd\x0ce\rf"]
