@@ -217,3 +217,13 @@ def least_pairs(members: DataFrame, keys: Sequence[str], item: str, cap: int, ki
     if kind:
         pairs = pairs.where("kind_ <> kind_b")
     return top_per_key(pairs, list(keys), cap, F.col("a"), F.col("b")).select(*keys, "a", "b")
+
+
+def reusable(chunks: DataFrame, runs: DataFrame) -> DataFrame:
+    """(text, chunk_id, uses): of each text the least chunk that a finished run made; chunks: (chunk_id, text, run_id), runs: (run_id, status).
+
+    Texts are grouped by their digest and themselves, so a collision can't give one text the chunk of another.
+    """
+    done = runs.where("status = 'finished'").select("run_id").distinct()
+    kept = chunks.where("text IS NOT NULL").join(done, "run_id", "left_semi")
+    return kept.groupBy(F.md5("text").alias("h"), "text").agg(F.min("chunk_id").alias("chunk_id"), F.count("*").alias("uses")).drop("h")

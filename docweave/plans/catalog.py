@@ -146,6 +146,18 @@ def reusable_chunk_text(spark, sf_dir):
         "chunk_id", "uses", long(F.char_length("text")).alias("n_chars"))
 
 
+@query("""
+WITH c AS (SELECT doc_id, text, doc_id % 17 AS run FROM documents WHERE text IS NOT NULL), f AS (SELECT user_id % 17 AS run FROM events GROUP BY 1 HAVING count(*) FILTER (WHERE event_type = 'error') * 5 < count(*))
+SELECT min(doc_id) AS chunk_id, count(*) AS uses, md5(text) AS digest FROM c WHERE run IN (SELECT run FROM f) GROUP BY text
+""")
+def reusable_from_finished_runs(spark, sf_dir):
+    """Texts with the chunk to reuse, from runs that finished."""
+    chunks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text", (F.col("doc_id") % 17).alias("run_id"))
+    e = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 17).alias("run_id")).agg(F.count_if(F.col("event_type") == "error").alias("failed"), F.count("*").alias("n"))
+    runs = e.select("run_id", F.when(F.col("failed") * 5 < F.col("n"), "finished").otherwise("failed").alias("status"))
+    return rel.reusable(chunks, runs).select("chunk_id", "uses", F.md5("text").alias("digest"))
+
+
 @query("""
 WITH u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS ord FROM documents WHERE text IS NOT NULL),
 s AS (SELECT doc_id, ord, length(t) AS n, sum(length(t) + 2) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM u)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.storage import written
+
 
 def export_examples(examples: DataFrame, path: str, form: str = "json") -> None:
     """One folder for each (template, split) as JSON lines or Parquet; cross_split stays out, no split is `unassigned`."""
@@ -59,6 +63,40 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Non
         fs.rename(path(f"{root}/{name}_next"), path(f"{root}/{name}"))
 
 
+def with_referencing(changed: set[str], references: Iterable[tuple[str, str]]) -> set[str]:
+    """Some tables with all that refer to them, directly or not; references: (child, parent) names, a schema's and so few."""
+    children: dict[str, set[str]] = {}
+    for child, parent in references:
+        children.setdefault(parent, set()).add(child)
+    out, todo = set(changed), list(changed)
+    while todo:
+        new = children.get(todo.pop(), set()) - out
+        out |= new
+        todo += new
+    return out
+
+
+def publish_changed(spark: SparkSession, tables: dict[str, DataFrame], root: str, references: Iterable[tuple[str, str]] = (), accepted: Iterable[str] = ("edges",)) -> list[str]:
+    """Publishes the tables whose contents differ from what is served, and the tables that refer to these; gives their names.
+
+    Of the tables named in accepted only accepted rows are served. All are
+    written beside the served ones before any is swapped in, so readers never see
+    a parent of one state with a child of another for longer than the renames take; a run that died goes on where it was.
+    """
+    only = {n: df.where("status = 'accepted'") if n in set(accepted) else df for n, df in tables.items()}
+    changed = set()
+    for name, df in only.items():
+        if not written(spark, f"{root}/{name}"):
+            changed.add(name)
+            continue
+        served = spark.read.parquet(f"{root}/{name}")
+        if sorted(served.columns) != sorted(df.columns) or state_digest(served).first() != state_digest(df).first():
+            changed.add(name)
+    names = [n for n in only if n in with_referencing(changed, references)]
+    publish(spark, {n: only[n] for n in names}, root)
+    return names
+
+
 def export_dataset(examples: DataFrame, path: str) -> None:
     """Examples as a dataset folder: data/<template>/<split>/*.parquet, payloads as JSON strings, and the fields and splits in dataset_info.json."""
     kept = examples.withColumn("split", F.coalesce("split", F.lit("unassigned"))).where("split <> 'cross_split'")

@@ -224,3 +224,21 @@ def test_versions_of_files_after_a_restart(spark, tmp_path):
     again = spark.createDataFrame(spark.read.parquet(f"{tmp_path}/out/batch=1").collect(), versions.VERSIONS)
     versions.commit(again, 1, str(tmp_path / "out"))
     assert live() == [("a.txt", 3, "three"), ("b.txt", 1, "bee")] and versions.began(spark, str(tmp_path / "out"), 1)
+
+
+def test_publishing_what_changed_and_what_refers_to_it(spark, tmp_path):
+    root = str(tmp_path / "served")
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, t string")
+    chunks = spark.createDataFrame([(10, 1), (11, 2)], "chunk_id long, doc_id long")
+    edges = spark.createDataFrame([("e", 10, "accepted"), ("f", 11, "review")], "edge_id string, src long, status string")
+    notes = spark.createDataFrame([(1,)], "n long")
+    refs = [("chunks", "documents"), ("edges", "chunks"), ("notes", "other")]
+    tables = {"documents": docs, "chunks": chunks, "edges": edges, "notes": notes}
+    publish = lambda t: export.publish_changed(spark, t, root, refs)
+    assert publish(tables) == ["documents", "chunks", "edges", "notes"] and publish(tables) == []
+    assert [r.edge_id for r in spark.read.parquet(f"{root}/edges").collect()] == ["e"]
+    assert publish(tables | {"notes": notes.selectExpr("n + 1 AS n")}) == ["notes"]
+    held = tables | {"notes": notes.selectExpr("n + 1 AS n")}
+    assert publish(held | {"documents": docs.where("doc_id = 1")}) == ["documents", "chunks", "edges"]
+    assert spark.read.parquet(f"{root}/documents").count() == 1 and spark.read.parquet(f"{root}/documents_prev").count() == 2
+    assert export.with_referencing({"a"}, [("b", "a"), ("c", "b"), ("a", "c"), ("d", "x")]) == {"a", "b", "c"}
