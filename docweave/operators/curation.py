@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from docweave.functions.fuzzy import alike
 from docweave.ids import sha_id
+from docweave.operators.merging import greedy_dedup
 from docweave.operators.ordering import positions
 from docweave.operators.relational import first_per_key, top_per_key
+from docweave.storage import scratch
 
 # ---- metadata and ownership ------------------------------------------------------------
 
@@ -215,13 +217,17 @@ def unexamined(edges: DataFrame) -> DataFrame:
     return edges.where("src_kind = 'chunk' AND NOT structural AND status <> 'superseded' AND NOT coalesce(evolution_seen, false)")
 
 
-def kept_proposals(proposed: Sequence[str], unsupported: set[str], overlaps: set[frozenset[str]], known: Sequence[str]) -> list[str]:
-    """Names taken greedily in order: supported, and overlapping neither a known type nor one taken before."""
-    taken: list[str] = []
-    for name in sorted(proposed):
-        if name not in unsupported and not any(frozenset((name, other)) in overlaps for other in [*known, *taken]):
-            taken.append(name)
-    return taken
+def kept_proposals(proposed: DataFrame, unsupported: DataFrame, overlaps: DataFrame, known: DataFrame) -> DataFrame:
+    """(name) taken greedily in order of name: supported, and overlapping neither a known type nor one taken before.
+
+    proposed, unsupported and known: (name); overlaps: (a, b), either way round.
+    """
+    both = overlaps.select("a", "b").unionByName(overlaps.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    taken = both.join(known.select(F.col("name").alias("b")), "b", "left_semi").select(F.col("a").alias("name"))
+    open_ = proposed.select("name").where("name IS NOT NULL").distinct().join(unsupported, "name", "left_anti").join(taken, "name", "left_anti")
+    open_ = scratch(open_, "proposals")
+    pairs = both.where("a < b").join(open_.select(F.col("name").alias("a")), "a", "left_semi").join(open_.select(F.col("name").alias("b")), "b", "left_semi")
+    return open_.join(greedy_dedup(pairs).select(F.col("dropped").alias("name")), "name", "left_anti")
 
 
 def definition_pairs(items: DataFrame, only: DataFrame | None = None) -> DataFrame:
@@ -294,6 +300,47 @@ def resolve_review(queue: DataFrame, prefix: str, verdict: str) -> DataFrame:
     return found.withColumn("verdict", checked).withColumn("overturned", F.col("outcome").isNotNull() & (F.col("outcome") != F.col("verdict")))
 
 
+def resolved_reviews(queue: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """(prefix, verdict, review_id, subject_kind, subject_id, overturned, problem) of many verdicts (prefix, verdict) at once.
+
+    queue: (review_id, subject_kind, subject_id, status, outcome). A verdict
+    counts where one review begins with its prefix and is open; else review_id is
+    null and problem says why. Only a decided outcome can be overturned.
+    """
+    lengths = verdicts.select(F.char_length("prefix").alias("n")).where("n > 0").distinct()
+    begins = queue.join(F.broadcast(lengths), F.char_length("review_id") >= F.col("n")).withColumn("prefix", F.substring(F.col("review_id"), F.lit(1), F.col("n")))  # a row for each length
+    asked = begins.join(verdicts.select("prefix").distinct(), "prefix", "left_semi")
+    found = asked.groupBy("prefix").agg(F.count("*").alias("n"), F.min(F.struct("review_id", "subject_kind", "subject_id", "status", "outcome")).alias("r"))
+    each = verdicts.join(found, "prefix", "left")
+    problem = F.when(F.col("n").isNull(), "no review").when(F.col("n") > 1, "several reviews").when(F.col("r.status") == "resolved", "already resolved").when(~F.col("verdict").isin("accept", "reject"), "no verdict")
+    decided = F.col("r.outcome").isin("accept", "reject")
+    of = lambda c: F.when(F.col("problem").isNull(), F.col(f"r.{c}")).alias(c)
+    over = F.when(F.col("problem").isNull(), F.coalesce(decided & (F.col("r.outcome") != F.col("verdict")), F.lit(False)))
+    return each.withColumn("problem", problem).select("prefix", "verdict", of("review_id"), of("subject_kind"), of("subject_id"), over.alias("overturned"), "problem")
+
+
+def with_verdicts(rows: DataFrame, id_col: str, kind: str, resolved: DataFrame) -> DataFrame:
+    """rows with the status that the verdicts on them give (accepted or rejected; the last by review id where there are several).
+
+    A document that was accepted is released from quarantine and in scope, a
+    rejected one the other way round, where the table has these columns.
+    """
+    last = first_per_key(resolved.where((F.col("subject_kind") == kind) & F.col("problem").isNull()), ["subject_id"], F.desc("review_id")).select(F.col("subject_id").alias("_s"), F.col("verdict").alias("_v"))
+    joined = rows.join(last, rows[id_col].cast("string") == F.col("_s").cast("string"), "left")
+    told, accepted = F.col("_v").isNotNull(), F.col("_v") == "accept"
+    new = {"status": F.when(accepted, "accepted").otherwise("rejected"), "quarantined": ~accepted, "in_scope": accepted}
+    return joined.select(*[(F.when(told, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)) for c in rows.columns])
+
+
+def reopened_links(items: DataFrame, edges: DataFrame) -> DataFrame:
+    """Link items (item_id, status) of chunks that no accepted edge holds any more go back to pending; edges: (src, dst, status, structural)."""
+    held = edges.where("status = 'accepted' AND NOT structural").select(F.explode(F.array("src", "dst")).alias("item_id")).distinct().withColumn("_h", F.lit(True))
+    lost = edges.where("status = 'review' AND NOT structural").select(F.explode(F.array("src", "dst")).alias("item_id")).distinct().withColumn("_l", F.lit(True))
+    joined = items.join(held, "item_id", "left").join(lost, "item_id", "left")
+    status = F.when((F.col("status") == "done") & F.col("_l").isNotNull() & F.col("_h").isNull(), "pending").otherwise(F.col("status"))
+    return joined.withColumn("status", status).drop("_h", "_l")
+
+
 def derived_metadata(docs: DataFrame, texts: DataFrame, decided: DataFrame) -> DataFrame:
     """(doc_id, field, values): a document's own values, else those its text names, else those that were decided."""
     ranked = docs.select("doc_id", "field", "values", F.lit(0).alias("r")).unionByName(texts.select("doc_id", "field", "values", F.lit(1).alias("r"))).unionByName(decided.select("doc_id", "field", "values", F.lit(2).alias("r")))

@@ -489,9 +489,68 @@ def resolved_review(spark, sf_dir):
 @query("SELECT list_sort(list(DISTINCT p_type)) AS kept FROM part WHERE p_type LIKE 'S%' AND p_type NOT LIKE '%TIN'")
 def kept_proposals(spark, sf_dir):
     """Proposed names that are supported and overlap nothing."""
-    names = [r[0] for r in table(spark, sf_dir, "part").where("p_type LIKE 'S%'").select("p_type").distinct().collect()]  # a controlled vocabulary, as proposals are
-    kept = cu.kept_proposals(names, {n for n in names if n.endswith("TIN")}, set(), ["known"])
-    return spark.createDataFrame([(kept,)], "kept array<string>")
+    names = table(spark, sf_dir, "part").where("p_type LIKE 'S%'").select(F.col("p_type").alias("name"))
+    none = names.where("false")
+    kept = cu.kept_proposals(names, names.where("name LIKE '%TIN'"), none.select(F.col("name").alias("a"), F.col("name").alias("b")), none)
+    return kept.agg(F.sort_array(F.collect_set("name")).alias("kept"))
+
+
+@query("""
+WITH RECURSIVE n AS (SELECT DISTINCT p_name AS name FROM part), o AS (SELECT x.name AS a, y.name AS b FROM n x JOIN n y ON x.name < y.name AND split_part(x.name, ' ', 2) = split_part(y.name, ' ', 2) AND (length(x.name) + length(y.name)) % 3 <> 0),
+p AS (SELECT name, row_number() OVER (ORDER BY name) AS i FROM n WHERE name NOT LIKE '%rod' AND name NOT IN (SELECT a FROM o WHERE b = 'small gizmo' UNION ALL SELECT b FROM o WHERE a = 'small gizmo')),
+r(i, taken) AS (SELECT 0, []::VARCHAR[] UNION ALL SELECT r.i + 1, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.b = p.name AND list_contains(r.taken, o.a)) THEN r.taken ELSE list_append(r.taken, p.name) END FROM r JOIN p ON p.i = r.i + 1)
+SELECT unnest(taken) AS name FROM r WHERE i = (SELECT max(i) FROM p)
+""")
+def greedy_proposals(spark, sf_dir):
+    """Names taken in order unless they overlap one taken before or a known one."""
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
+    a, b = names.select(F.col("name").alias("a"), F.split_part("name", F.lit(" "), F.lit(2)).alias("w")), names.select(F.col("name").alias("b"), F.split_part("name", F.lit(" "), F.lit(2)).alias("w"))
+    overlaps = a.join(b, "w").where("a < b AND (length(a) + length(b)) % 3 <> 0").select("a", "b")
+    return cu.kept_proposals(names, names.where("name LIKE '%rod'"), overlaps, names.where("name = 'small gizmo'"))
+
+
+QUEUE = """
+WITH q AS (SELECT event_id::VARCHAR || '-' || event_type AS review_id, user_id::VARCHAR AS subject_id, CASE WHEN event_id % 40 = 3 THEN 'resolved' ELSE 'open' END AS status, CASE event_id % 3 WHEN 0 THEN 'accept' WHEN 1 THEN 'reject' END AS outcome FROM events),
+v AS (SELECT event_id::VARCHAR || '-' AS prefix, CASE WHEN event_id % 4 < 2 THEN 'accept' ELSE 'reject' END AS verdict FROM events WHERE value > 60), r AS (
+SELECT prefix, verdict, CASE WHEN status = 'open' THEN review_id END AS review_id, CASE WHEN status = 'open' THEN subject_id END AS subject_id, CASE WHEN status = 'open' THEN coalesce(outcome <> verdict, false) END AS overturned, CASE WHEN status = 'resolved' THEN 'already resolved' END AS problem
+FROM v JOIN q ON split_part(q.review_id, '-', 1) || '-' = v.prefix)
+"""
+
+
+def _verdicts(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    queue = e.select(
+        F.concat_ws("-", F.col("event_id").cast("string"), "event_type").alias("review_id"), F.lit("user").alias("subject_kind"), F.col("user_id").cast("string").alias("subject_id"),
+        F.when(F.col("event_id") % 40 == 3, "resolved").otherwise("open").alias("status"), F.when(F.col("event_id") % 3 == 0, "accept").when(F.col("event_id") % 3 == 1, "reject").alias("outcome"))
+    verdicts = e.where("value > 60").select(F.concat(F.col("event_id").cast("string"), F.lit("-")).alias("prefix"), F.when(F.col("event_id") % 4 < 2, "accept").otherwise("reject").alias("verdict"))
+    return cu.resolved_reviews(queue, verdicts)
+
+
+@query(QUEUE + "SELECT prefix, verdict, review_id, subject_id, overturned, problem FROM r")
+def resolved_reviews(spark, sf_dir):
+    """Many verdicts at once, each on the one open review that its prefix names."""
+    return _verdicts(spark, sf_dir).drop("subject_kind")
+
+
+@query(QUEUE + """, l AS (SELECT subject_id, max_by(verdict, review_id) AS verdict FROM r WHERE problem IS NULL GROUP BY 1)
+SELECT user_id, CASE verdict WHEN 'accept' THEN 'accepted' WHEN 'reject' THEN 'rejected' ELSE 'review' END AS status, coalesce(verdict = 'reject', true) AS quarantined FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN l ON l.subject_id = u.user_id::VARCHAR
+""")
+def rows_with_verdicts(spark, sf_dir):
+    """The verdicts on the rows that they are about."""
+    rows = table(spark, sf_dir, "events").select("user_id").distinct().select("user_id", F.lit("review").alias("status"), F.lit(True).alias("quarantined"))
+    return cu.with_verdicts(rows, "user_id", "user", _verdicts(spark, sf_dir))
+
+
+@query("""
+WITH e AS (SELECT o_custkey AS src, (o_custkey * 7) % 1000 AS dst, CASE o_orderstatus WHEN 'F' THEN 'accepted' ELSE 'review' END AS status FROM orders),
+h AS (SELECT src AS id FROM e WHERE status = 'accepted' UNION SELECT dst FROM e WHERE status = 'accepted'), l AS (SELECT src AS id FROM e WHERE status = 'review' UNION SELECT dst FROM e WHERE status = 'review')
+SELECT c_custkey AS item_id, CASE WHEN c_custkey IN (SELECT id FROM l) AND c_custkey NOT IN (SELECT id FROM h) THEN 'pending' ELSE 'done' END AS status FROM customer
+""")
+def reopened_links(spark, sf_dir):
+    """Link items whose last accepted edge an audit took."""
+    e = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), ((F.col("o_custkey") * 7) % 1000).alias("dst"), F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("review").alias("status"), F.lit(False).alias("structural"))
+    items = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("item_id"), F.lit("done").alias("status"))
+    return cu.reopened_links(items, e)
 
 
 @query("""

@@ -227,3 +227,18 @@ def test_a_judge_makes_room_for_the_next_negative(spark):
     got = sorted((r.id, r.neighbor, r.turn, r.status) for r in training.judged_negatives(near, texts, splits, answers_).collect() if r.neighbor)
     assert got == [(1, 3, 1, "accepted"), (1, 5, 2, "accepted"), (1, 6, 3, "accepted")]
     assert sorted(r.id for r in training.judged_negatives(near, texts, splits, answers_).where("status = 'rejected'").collect()) == [2, 3]
+
+
+def test_verdicts_name_one_open_review(spark):
+    queue = spark.createDataFrame([("ab1", "doc", "1", "open", "accept"), ("ab2", "doc", "2", "open", None), ("c3", "doc", "1", "open", "reject"), ("d4", "doc", "4", "resolved", "accept"), ("e5", "edge", "1", "open", "escalate")], "review_id string, subject_kind string, subject_id string, status string, outcome string")
+    verdicts = spark.createDataFrame([("ab1", "reject"), ("ab", "accept"), ("ab2", "accept"), ("c", "accept"), ("d4", "accept"), ("x", "reject"), ("e", "reject"), ("", "accept")], "prefix string, verdict string")
+    done = curation.resolved_reviews(queue, verdicts)
+    got = {r.prefix: (r.review_id, r.overturned, r.problem) for r in done.collect()}
+    assert got == {"ab1": ("ab1", True, None), "ab": (None, None, "several reviews"), "ab2": ("ab2", False, None), "c": ("c3", True, None), "d4": (None, None, "already resolved"),
+                   "x": (None, None, "no review"), "e": ("e5", False, None), "": (None, None, "no review")}
+    docs = spark.createDataFrame([(1, "review", True, None), (2, "review", True, False), (3, "review", True, None)], "doc_id long, status string, quarantined boolean, in_scope boolean")
+    rows = {r.doc_id: (r.status, r.quarantined, r.in_scope) for r in curation.with_verdicts(docs, "doc_id", "doc", done).collect()}
+    assert rows == {1: ("accepted", False, True), 2: ("accepted", False, True), 3: ("review", True, None)}  # of two verdicts on 1 that of c3 is the last
+    edges = spark.createDataFrame([(1, 2, "review", False), (2, 3, "accepted", False), (4, 4, "review", True)], "src long, dst long, status string, structural boolean")
+    items = spark.createDataFrame([(i, "done") for i in (1, 2, 3, 4)] + [(5, "failed")], "item_id long, status string")
+    assert {r.item_id: r.status for r in curation.reopened_links(items, edges).collect()} == {1: "pending", 2: "done", 3: "done", 4: "done", 5: "failed"}
