@@ -307,8 +307,9 @@ def resolved_reviews(queue: DataFrame, verdicts: DataFrame) -> DataFrame:
     counts where one review begins with its prefix and is open; else review_id is
     null and problem says why. Only a decided outcome can be overturned.
     """
-    lengths = verdicts.select(F.char_length("prefix").alias("n")).where("n > 0").distinct()
-    begins = queue.join(F.broadcast(lengths), F.char_length("review_id") >= F.col("n")).withColumn("prefix", F.substring(F.col("review_id"), F.lit(1), F.col("n")))  # a row for each length
+    lengths = [r["n"] for r in verdicts.select(F.char_length("prefix").alias("n")).where("n > 0").distinct().collect()]  # as many as ids have letters at most
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.char_length("review_id"))
+    begins = queue.withColumn("prefix", F.explode(F.transform(fits, lambda n: F.substring(F.col("review_id"), F.lit(1), n)))).withColumn("n", F.lit(1))
     asked = begins.join(verdicts.select("prefix").distinct(), "prefix", "left_semi")
     found = asked.groupBy("prefix").agg(F.count("*").alias("n"), F.min(F.struct("review_id", "subject_kind", "subject_id", "status", "outcome")).alias("r"))
     each = verdicts.join(found, "prefix", "left")

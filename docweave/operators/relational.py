@@ -39,9 +39,20 @@ def shared_entity_pairs(mentions: DataFrame, chunk: str, entity: str, k: int, ho
     classes and not with the square of a hot entity's chunks.
     """
     m = mentions.select(F.col(chunk).alias("a"), F.col(entity).alias("e")).where("a IS NOT NULL AND e IS NOT NULL").distinct()
+    m = scratch(m, "mentions")
     often = m.groupBy("e").count().where(F.col("count") > hot).select("e")
     cold = m.join(often, "e", "left_anti")
-    pairs = cold.join(cold.withColumnRenamed("a", "b"), "e").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("cold"))
+    # Each pair is counted once, from its lower end.
+    half = cold.join(cold.withColumnRenamed("a", "b"), "e").where("a < b").groupBy("a", "b").agg(F.count("*").alias("cold"))
+    turned = lambda p: p.unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "cold"))
+    if often.isEmpty():
+        # Of others that share one entity only the least ids can be among the best, and they are among its k + 1 least members.
+        more = turned(half.where("cold > 1"))
+        least = top_per_key(cold, ["e"], k + 1, F.col("a")).select("e", F.col("a").alias("b"))
+        one = cold.join(least, "e").where("a <> b").select("a", "b", F.lit(1).cast("long").alias("cold"))
+        best = more.unionByName(one).groupBy("a", "b").agg(F.max("cold").alias("shared"))
+        return top_per_key(best, ["a"], k, F.desc("shared"), F.col("b"))
+    pairs = turned(half)
     none = F.array().cast(f"array<{m.schema['e'].dataType.simpleString()}>")
     marks = m.join(often, "e", "left_semi").groupBy("a").agg(F.sort_array(F.collect_set("e")).alias("hot"))
     other = marks.select(F.col("a").alias("b"), F.col("hot").alias("hot_b"))
