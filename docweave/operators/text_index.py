@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +43,10 @@ ROWS = 2048
 
 @dataclass(frozen=True)
 class Layout:
-    """segment: rows of a segment; buckets: folders of terms, which several tasks write for every split_rows rows; k1 and b: BM25's; first: segments of the first round at least."""
+    """segment: rows of a segment; buckets: folders of terms; k1 and b: BM25's; first: segments of the first round at least."""
 
     segment: int = 32
-    buckets: int = 32
-    split_rows: int = 2_000_000
+    buckets: int = 8
     k1: float = 1.2
     b: float = 0.75
     first: int = 2
@@ -83,14 +83,15 @@ class TextIndex:
     def build(df: DataFrame, id_col: str, text_col: str, path: str, layout: Layout = Layout()) -> TextIndex:
         """Writes the index of a table under path, which must not exist.
 
-        Postings of a row are made where the row is; rows are shuffled once, to their
-        order, where a segment's blocks are made in the same task; and blocks once, to their folders.
+        Rows are shuffled once, to their order, as their distinct words and numbers for
+        these; the task that gets them makes and writes the blocks of its segments.
+        So there is a file for each task and folder, sorted by term.
         """
         spark = df.sparkSession
         ship(spark)
         rows = df.select(F.col(id_col).alias("id"), F.coalesce(terms(F.col(text_col)), F.array().cast("array<string>")).alias("ts"))
         kind = rows.schema["id"].dataType.simpleString()
-        posted = scratch(rows.mapInArrow(_posted, f"id {kind}, length int, common string, terms array<string>, tfs array<int>, positions array<array<int>>"), "index-rows")
+        posted = scratch(rows.mapInArrow(_numbered, f"id {kind}, length int, common string, words string, numbers binary"), "index-rows")
         stats = posted.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), F.max(F.when(F.lit(False), F.col("id"))).alias("id"))
         stats.write.parquet(f"{path}/stats")
         held = spark.read.parquet(f"{path}/stats").first()
@@ -98,9 +99,7 @@ class TextIndex:
         row = f"struct<place:long,id:{kind},tf:int,length:int,impact:double>"
         blocks = ordered.mapInArrow(_blocks(layout, held["mean"] or 1.0), f"term string, segment long, n int, impact double, rows array<{row}>, positions array<array<int>>")
         blocks = blocks.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(layout.buckets)).cast("int"))
-        # A folder of very many blocks is written by several tasks, whatever terms they are of.
-        splits = max(1, held["docs"] // layout.split_rows)
-        dealt = blocks.repartition("bucket", F.pmod(F.xxhash64("segment"), F.lit(splits))).sortWithinPartitions("bucket", "term", "segment")
+        dealt = blocks.sortWithinPartitions("bucket", "term", "segment")
         dealt.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/blocks")
         discard(posted)
         return TextIndex(spark, path, layout)
@@ -233,8 +232,8 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's postings: its terms in order of first use, with counts and positions, and the commonest term (ties: the first used)."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row as its distinct terms in order of first use, joined by blanks, and a number among these for each place; and its commonest term (ties: the first used)."""
     for whole in batches:
         for at in range(0, len(whole), ROWS):
             batch = whole.slice(at, ROWS)
@@ -243,24 +242,23 @@ def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(np.arange(len(batch)), size)
             coded = ts.flatten().dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
             order, begin = _grouped(row * max(1, len(coded.dictionary)) + code)
-            tf = np.diff(np.append(begin, len(order)))
-            of, first = row[order[begin]], place[order[begin]]
-            # Terms of a row by first use.
-            turn = np.lexsort((first, of))
+            count, of, first = np.diff(np.append(begin, len(order))), row[order[begin]], order[begin]
+            turn = np.lexsort((first, of))  # a row's terms by first use
             held = np.bincount(of, minlength=len(batch))
             ends = np.concatenate(([0], np.cumsum(held)))
-            spans = np.repeat(begin[turn], tf[turn]) + np.arange(len(order)) - np.repeat(np.cumsum(tf[turn]) - tf[turn], tf[turn])
-            positions = _lists(np.concatenate(([0], np.cumsum(tf[turn]))), pa.array(place[order[spans]], pa.int32()))
-            names = coded.dictionary.take(pa.array(code[order[begin]][turn]))
+            number = np.empty(len(turn), np.uint32)
+            number[turn] = np.arange(len(turn)) - np.repeat(ends[:-1], held)
+            of_token = np.empty(len(order), np.uint32)
+            of_token[order] = np.repeat(number, count)
             best = np.full(len(batch), -1)
-            ranked = np.lexsort((first, -tf, of))
-            best[of[ranked[::-1]]] = ranked[::-1]
-            common = coded.dictionary.take(pa.array(np.where(best >= 0, code[order[begin]][np.maximum(best, 0)], 0), mask=best < 0)) if len(begin) else pa.nulls(len(batch), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), common, _lists(ends, names), _lists(ends, pa.array(tf[turn], pa.int32())), _lists(ends, positions)],
-                ["id", "length", "common", "terms", "tfs", "positions"])
+            ranked = np.lexsort((first, -count, of))[::-1]
+            best[of[ranked]] = ranked
+            names = coded.dictionary.take(pa.array(code[first[turn]]))
+            common = coded.dictionary.take(pa.array(np.where(best >= 0, code[first][np.maximum(best, 0)], 0), mask=best < 0)) if len(begin) else pa.nulls(len(batch), pa.string())
+            raw = pa.array(np.concatenate(([0], np.cumsum(size))) * 4, pa.int32())
+            numbers = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, raw.buffers()[1], pa.py_buffer(of_token)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), common, pc.binary_join(_lists(ends, names), " "), numbers], ["id", "length", "common", "words", "numbers"])
 
 
 def _blocks(layout: Layout, mean: float):
@@ -268,26 +266,35 @@ def _blocks(layout: Layout, mean: float):
         """Blocks of segments of rows as they come; a segment never spans two batches."""
         from pyspark import TaskContext
 
-        place, segment = TaskContext.get().partitionId() << 33, TaskContext.get().partitionId() << 33
+        place = segment = TaskContext.get().partitionId() << 33
         for whole in batches:
             for at in range(0, len(whole), ROWS):
                 batch = whole.slice(at, ROWS)
-                names, tfs, spots = batch.column("terms"), batch.column("tfs"), batch.column("positions")
-                row = np.repeat(np.arange(len(batch)), np.diff(names.offsets.to_numpy()))
-                coded = names.flatten().dictionary_encode()
-                code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(code):
-                    tf = tfs.flatten().to_numpy()
-                    length = batch.column("length").to_numpy()[row]
-                    impact = tf * (layout.k1 + 1) / (tf + layout.k1 * (1 - layout.b + layout.b * length / mean))
+                length = batch.column("length").to_numpy()
+                split = pc.split_pattern(batch.column("words"), " ")
+                coded = split.flatten().dictionary_encode()
+                local = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                first_word = split.offsets.to_numpy()[:-1] - split.offsets.to_numpy()[0]
+                if length.sum():
+                    row = np.repeat(np.arange(len(batch)), length)
+                    numbers = np.frombuffer(b"".join(batch.column("numbers").to_pylist()), np.uint32)
+                    code = local[first_word[row] + numbers]
+                    spot = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+                    # Tokens by segment and term, and in these by row and place.
                     order, begin = _grouped((row // layout.segment) * len(coded.dictionary) + code)
-                    ends = np.append(begin, len(order))
+                    new = np.zeros(len(order), bool)
+                    new[begin] = True
+                    new[1:] |= row[order[1:]] != row[order[:-1]]
+                    post = np.flatnonzero(new)  # a posting is a row's tokens of one term
+                    tf, of = np.diff(np.append(post, len(order))), row[order[post]]
+                    impact = tf * (layout.k1 + 1) / (tf + layout.k1 * (1 - layout.b + layout.b * length[of] / mean))
+                    ends = np.append(np.searchsorted(post, begin), len(post))
                     rows = pa.StructArray.from_arrays(
-                        [pa.array(place + row[order]), batch.column("id").take(pa.array(row[order])), pa.array(tf[order], pa.int32()), pa.array(length[order], pa.int32()), pa.array(impact[order])],
-                        ["place", "id", "tf", "length", "impact"])
+                        [pa.array(place + of), batch.column("id").take(pa.array(of)), pa.array(tf, pa.int32()), pa.array(length[of], pa.int32()), pa.array(impact)], ["place", "id", "tf", "length", "impact"])
+                    positions = _lists(np.append(post, len(order)), pa.array(spot[order], pa.int32()))
                     yield pa.RecordBatch.from_arrays(
-                        [coded.dictionary.take(pa.array(code[order[begin]])), pa.array(segment + row[order[begin]] // layout.segment), pa.array(np.diff(ends), pa.int32()), pa.array(np.maximum.reduceat(impact[order], begin)),
-                         _lists(ends, rows), _lists(ends, spots.flatten().take(pa.array(order)))],
+                        [coded.dictionary.take(pa.array(code[order[begin]])), pa.array(segment + row[order[begin]] // layout.segment), pa.array(np.diff(ends), pa.int32()), pa.array(np.maximum.reduceat(impact, ends[:-1])),
+                         _lists(ends, rows), _lists(ends, positions)],
                         ["term", "segment", "n", "impact", "rows", "positions"])
                 place += len(batch)
                 segment += -(-len(batch) // layout.segment)
