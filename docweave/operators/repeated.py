@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -71,7 +72,7 @@ class _Elements(HTMLParser):
 def _elements(rules: HtmlRules, text_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, own, selectors, texts = [], [], [], []
+            rows, own, selectors, texts, digests = [], [], [], [], []
             for i, html in enumerate(batch.column(1).to_pylist()):
                 page = _Elements(rules.skip)
                 page.feed(html or "")
@@ -84,8 +85,9 @@ def _elements(rules: HtmlRules, text_chars: int):
                         own.append(mine)
                         selectors.append(matching)
                         texts.append(shown)
+                        digests.append(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(own, pa.string()), pa.array(selectors, pa.list_(pa.string())), pa.array(texts, pa.string())], ["page", "own", "selectors", "text"])
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(own, pa.string()), pa.array(selectors, pa.list_(pa.string())), pa.array(texts, pa.string()), pa.array(digests, pa.string())], ["page", "own", "selectors", "text", "digest"])
 
     return run
 
@@ -95,14 +97,14 @@ def repeated_elements(pages: DataFrame, page_col: str, html_col: str, text_chars
 
     A selector is what an element is named by: its tag and classes, else its id,
     else its path from the nearest element that has either. It finds all elements
-    that it matches, those with further classes too. Texts are shown up to text_chars.
+    that it matches, those with further classes too. Texts are told apart whole and shown up to text_chars.
     """
     kind = pages.schema[page_col].dataType.simpleString()
     rows = pages.select(F.col(page_col).alias("page"), F.col(html_col).cast("string").alias("html"))
-    found = rows.mapInArrow(_elements(rules, text_chars), f"page {kind}, own string, selectors array<string>, text string")
+    found = rows.mapInArrow(_elements(rules, text_chars), f"page {kind}, own string, selectors array<string>, text string, digest string")
     named = found.select(F.col("own").alias("selector")).distinct()
-    hits = found.select("page", F.explode(F.array_distinct(F.array_append("selectors", F.col("own")))).alias("selector"), "text").distinct()
+    hits = found.select("page", F.explode(F.array_distinct(F.array_append("selectors", F.col("own")))).alias("selector"), "text", "digest").distinct()
     hits = hits.join(named, "selector", "left_semi")
-    texts = hits.groupBy("selector", "text").agg(F.countDistinct("page").alias("pages")).where(F.col("pages") >= least)
+    texts = hits.groupBy("selector", "digest").agg(F.min("text").alias("text"), F.countDistinct("page").alias("pages")).where(F.col("pages") >= least)
     reach = hits.groupBy("selector").agg(F.countDistinct("page").alias("all_pages"))
     return texts.join(reach, "selector").select("selector", "text", "pages", "all_pages")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docweave.functions import vectors as vec
 from docweave.ids import sha_id, unit_fraction
 from docweave.operators.relational import round_robin, top_per_key
-from docweave.storage import cut
+from docweave.storage import cut, scratch
 
 
 def split_of(key: Column, shares: dict[str, float], salt: str = "split") -> Column:
@@ -117,25 +117,45 @@ def hop_paths(edges: DataFrame, min_hops: int, max_hops: int, limit: int | None
 
     It is the path that a search in depth meets first, which tries edges in the
     order of their hashes; beginnings are followed in that order, `fan` of a node
-    at most. With a limit, the starts of least hash that have a path count.
+    at first. A path that they lead to comes before all that later beginnings
+    could; nodes without one, of whose beginnings some were left out, are
+    searched again with eight times as many. With a limit, the starts of least
+    hash that have a path count.
     """
+    best = _first_paths(edges, min_hops, max_hops, salt, fan, None)
+    h = sha_id(F.lit(salt), F.col("start").cast("string"))
+    return best if limit is None else best.orderBy(h, "start").limit(limit)
+
+
+def _first_paths(edges: DataFrame, min_hops: int, max_hops: int, salt: str, fan: int, only: DataFrame | None) -> DataFrame:
+    """hop_paths of some starts (start), or of all."""
     h = lambda *c: sha_id(F.lit(salt), *c)
     one = edges.select("edge_id", "src", "dst", h(F.col("edge_id").cast("string")).alias("h"))
     back = edges.where("NOT directed").select("edge_id", F.col("dst").alias("src"), F.col("src").alias("dst"), h(F.col("edge_id").cast("string")).alias("h"))
     ways = one.unionByName(back)
     span = max_hops - min_hops + 1
-    starts = ways.select(F.col("src").alias("start")).distinct()
+    starts = ways.select(F.col("src").alias("start")).distinct() if only is None else only
     starts = starts.withColumn("target", min_hops + F.floor(unit_fraction(h(F.lit("hops"), F.col("start").cast("string"))) * span).cast("int"))
     paths = starts.select("start", "target", F.array("start").alias("nodes"), F.array().cast("array<string>").alias("hashes"), F.array().cast(f"array<{edges.schema['edge_id'].dataType.simpleString()}>").alias("edge_ids"))
-    done = None
+    done, crowded = None, []
     for hop in range(1, max_hops + 1):
         step = paths.withColumn("src", F.element_at("nodes", -1)).join(ways, "src").where(~F.array_contains("nodes", F.col("dst")))
         grown = step.select("start", "target", F.array_append("nodes", F.col("dst")).alias("nodes"), F.array_append("hashes", F.col("h")).alias("hashes"), F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids"))
         complete = grown.where(F.col("target") == hop)
         done = complete if done is None else done.unionByName(complete)
-        paths = top_per_key(grown.where(F.col("target") > hop), ["start"], fan, F.col("hashes"), F.col("nodes")).drop("rank")
+        if hop < max_hops:
+            ranked = scratch(top_per_key(grown.where(F.col("target") > hop), ["start"], fan + 1, F.col("hashes"), F.col("nodes")), f"paths-{hop}")
+            crowded.append(ranked.where(F.col("rank") > fan).select("start"))
+            paths = ranked.where(F.col("rank") <= fan).drop("rank")
     best = done.groupBy("start").agg(F.min_by(F.struct("nodes", "edge_ids"), F.struct("hashes", "nodes")).alias("p")).select("start", "p.nodes", "p.edge_ids")
-    return best if limit is None else best.orderBy(h(F.col("start").cast("string")), "start").limit(limit)
+    if not crowded:
+        return best
+    best = scratch(best, "best-paths")
+    again = crowded[0]
+    for more in crowded[1:]:
+        again = again.unionByName(more)
+    again = scratch(again.distinct().join(best.select("start"), "start", "left_anti"), "crowded")
+    return best if again.isEmpty() else best.unionByName(_first_paths(edges, min_hops, max_hops, salt, 8 * fan, again))
 
 
 def split_hop_paths(edges: DataFrame, shares: dict[str, float], quota: int, min_hops: int, max_hops: int, salt: str = "path") -> DataFrame:

@@ -242,3 +242,18 @@ def test_verdicts_name_one_open_review(spark):
     edges = spark.createDataFrame([(1, 2, "review", False), (2, 3, "accepted", False), (4, 4, "review", True)], "src long, dst long, status string, structural boolean")
     items = spark.createDataFrame([(i, "done") for i in (1, 2, 3, 4)] + [(5, "failed")], "item_id long, status string")
     assert {r.item_id: r.status for r in curation.reopened_links(items, edges).collect()} == {1: "pending", 2: "done", 3: "done", 4: "done", 5: "failed"}
+
+
+def test_first_paths_are_found_whatever_the_fan(spark):
+    rng = random.Random(3)
+    rows = [(f"e{i}", rng.randrange(14), rng.randrange(14), rng.random() < 0.3) for i in range(40)]
+    edges = spark.createDataFrame([(e, a, b, d) for e, a, b, d in rows if a != b], "edge_id string, src long, dst long, directed boolean")
+    whole = sorted(map(repr, training.hop_paths(edges, 2, 3).collect()))
+    assert whole and sorted(map(repr, training.hop_paths(edges, 2, 3, fan=1).collect())) == whole
+
+
+def test_long_texts_of_elements_are_told_apart(spark):
+    long = "same words " * 40
+    rows = [(i, f"<body><p class='x'>{long}{'one' if i < 2 else i}</p></body>") for i in range(4)]
+    got = repeated.repeated_elements(spark.createDataFrame(rows, "page long, html string"), "page", "html").collect()
+    assert [(r.selector, r.pages, r.all_pages) for r in got] == [("p.x", 2, 4)]
