@@ -448,6 +448,22 @@ def reused_answers(spark, sf_dir):
     return store.ask(items, "links@2", [provider.Question("relevant"), provider.Question("related"), provider.Question("of the same make")]).select("item_id", "question", "reused", "p")
 
 
+@query("""
+WITH i AS (SELECT conv_id, min(turn) AS first, list_sort(list(DISTINCT role)) AS roles FROM conversations GROUP BY conv_id), p AS (SELECT DISTINCT conv_id, turn::VARCHAR AS part, turn % 2 AS odd FROM conversations),
+q AS (SELECT conv_id, NULL AS part, 'whole' AS logical, 'whole' AS question, [] AS options FROM i UNION ALL SELECT conv_id, NULL, 'speaker', 'Who asks?', roles FROM i
+ UNION ALL SELECT conv_id, part, 'asks', 'Does turn ' || part || ' ask?', [] FROM p UNION ALL SELECT conv_id, part, 'tone', 'Tone of ' || part, [] FROM p WHERE odd = 0)
+SELECT conv_id::VARCHAR AS item_id, part, logical, question, array_to_string(options, ',') AS options, 'k' || sha256('turns@3' || chr(31) || logical || chr(31) || coalesce(part, '') || chr(31))[1:12] AS key FROM q
+""")
+def fanned_questions(spark, sf_dir):
+    """Questions on conversations and on each of their turns, some of them only on some turns, with opaque keys."""
+    c = table(spark, sf_dir, "conversations").withColumn("item_id", F.col("conv_id").cast("string"))
+    items = c.groupBy("item_id").agg(F.min("turn").cast("string").alias("state"), F.sort_array(F.collect_set("role")).alias("roles"))
+    parts = c.select("item_id", F.col("turn").cast("string").alias("part"), F.when(F.col("turn") % 2 == 1, F.array(F.lit("asks"))).alias("only"))
+    Q = provider.Question
+    asked = provider.fanned(items, parts, "turns@3", [Q("whole"), Q("speaker", "choice", text="Who asks?", options_from="roles"), Q("asks", text="Does turn {part} ask?", fan=True), Q("tone", "score", levels=3, text="Tone of {part}", fan=True)])
+    return asked.select("item_id", "part", "logical", "question", F.array_join("options", ",").alias("options"), "key")
+
+
 # ---- stage steps without a query so far -----------------------------------------------------
 
 

@@ -10,19 +10,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.ids import sha_id
+from docweave.ids import sha_id, short_key
 
 ANSWERS = "cache_key string, question string, kind string, p double, choice string, score double, levels int"
 
 
 @dataclass(frozen=True)
 class Question:
-    """kind: noul (yes or no), choice (of options) or score (of levels)."""
+    """kind: noul (yes or no), choice (of options) or score (of levels).
+
+    For fanned: text is the wording (the name if empty; {part} stands for the
+    part), fan asks it for each part, options_from names a column of the items
+    that holds the options.
+    """
 
     name: str
     kind: str = "noul"
     options: tuple[str, ...] = ()
     levels: int = 0
+    text: str = ""
+    fan: bool = False
+    options_from: str | None = None
 
 
 def render(items: DataFrame, question_set: str, questions: Sequence[Question], model: str = "offline") -> DataFrame:
@@ -32,6 +40,31 @@ def render(items: DataFrame, question_set: str, questions: Sequence[Question], m
     return rows.withColumn("cache_key", sha_id(F.lit(model), F.lit(question_set), "state", "question", F.to_json("options")))
 
 
+def fanned(items: DataFrame, parts: DataFrame, question_set: str, questions: Sequence[Question], model: str = "offline") -> DataFrame:
+    """One row for each item and question, and for each part of an item where the question fans out; in render's columns, with logical, part and key.
+
+    items: (item_id, state, and columns of options); parts: (item_id, part, only),
+    where only lists the questions that are asked of a part, null all of them.
+    key is opaque: it tells neither the question nor the part to whoever answers.
+    A question with no options to choose from isn't asked.
+    """
+    every = None
+    for q in questions:
+        rows = items.withColumn("part", F.lit(None).cast("string"))
+        if q.fan:
+            some = parts.where(F.col("only").isNull() | F.array_contains("only", q.name)).select("item_id", F.col("part").cast("string").alias("part")).where("part IS NOT NULL").distinct()
+            rows = items.join(some, "item_id")
+        options = F.col(q.options_from) if q.options_from else F.array(*[F.lit(o) for o in q.options])
+        wording = F.replace(F.lit(q.text or q.name), F.lit("{part}"), F.coalesce("part", F.lit("")))
+        asked = rows.select(
+            "item_id", "state", wording.alias("question"), F.lit(q.kind).alias("kind"), options.cast("array<string>").alias("options"), F.lit(q.levels).alias("levels"), F.lit(q.name).alias("logical"), "part",
+            short_key(sha_id(F.lit(question_set), F.lit(q.name), F.coalesce("part", F.lit("")))).alias("key"))
+        if q.kind == "choice":
+            asked = asked.where(F.size("options") > 0)
+        every = asked if every is None else every.unionByName(asked)
+    return every.withColumn("cache_key", sha_id(F.lit(model), F.lit(question_set), "state", "question", F.to_json("options")))
+
+
 def packed(asked: DataFrame, window: int, most: int = 1 << 30, longest: int = 1 << 30, by: str = "state") -> DataFrame:
     """Questions of one state numbered into as few calls as its window of estimated tokens takes, in the order of question and key.
 

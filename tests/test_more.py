@@ -257,3 +257,16 @@ def test_long_texts_of_elements_are_told_apart(spark):
     rows = [(i, f"<body><p class='x'>{long}{'one' if i < 2 else i}</p></body>") for i in range(4)]
     got = repeated.repeated_elements(spark.createDataFrame(rows, "page long, html string"), "page", "html").collect()
     assert [(r.selector, r.pages, r.all_pages) for r in got] == [("p.x", 2, 4)]
+
+
+def test_questions_fan_out_over_parts(spark):
+    Q = provider.Question
+    items = spark.createDataFrame([("a", "s", ["u", "v"]), ("b", "t", [])], "item_id string, state string, names array<string>")
+    parts = spark.createDataFrame([("a", "p1", None), ("a", "p2", ["r"]), ("a", "p1", None), ("a", None, None), ("c", "p9", None)], "item_id string, part string, only array<string>")
+    asked = provider.fanned(items, parts, "s@1", [Q("w"), Q("n", "choice", options_from="names"), Q("q", text="Is {part} so?", fan=True), Q("r", "score", levels=2, text="How {part}?", fan=True)])
+    got = sorted((r.item_id, r.part or "", r.logical, r.question) for r in asked.collect())
+    assert got == [("a", "", "n", "n"), ("a", "", "w", "w"), ("a", "p1", "q", "Is p1 so?"), ("a", "p1", "r", "How p1?"), ("a", "p2", "r", "How p2?"), ("b", "", "w", "w")]
+    keys = [r.key for r in asked.collect()]
+    assert len(set(keys)) == 5 and all(len(k) == 13 for k in keys)  # a key is the question's and the part's, whatever the item
+    answered = provider.valid(asked, provider.answer(asked))
+    assert answered.count() == len(got) and answered.where("kind = 'choice'").first().choice == "u"
