@@ -70,24 +70,75 @@ def _ranked(best: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "neighbor", "rank", "dist")
 
 
+def _streamed(k: int, places: int, groups: bool, step: int = 4096):
+    """Rows sorted by (i, side, id): of each i its own rows (side 0), then all rows (side 1), of which only `step` and the k best so far are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, own = None, []
+        left: tuple | None = None
+        best = (np.empty(0, np.int64), np.empty(0), None)
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if left is not None and len(best[0]):
+                row, dist, other = best
+                rank = np.arange(len(row)) - np.searchsorted(row, row, "left") + 1
+                yield pa.RecordBatch.from_arrays([left[0].take(pa.array(row)), pa.array(other), pa.array(rank, pa.int32()), pa.array(dist)], ["id", "neighbor", "rank", "dist"])
+
+        for batch in batches:
+            i, side = batch.column("i").to_numpy(), batch.column("side").to_numpy()
+            cuts = np.flatnonzero((np.diff(i) != 0) | (np.diff(side) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(i)], strict=True):
+                if a == b:
+                    continue
+                if i[a] != block:
+                    yield from ended()
+                    block, own, left, best = i[a], [], None, (np.empty(0, np.int64), np.empty(0), None)
+                if side[a] == 0:
+                    own.append(batch.slice(a, b - a))
+                    continue
+                if left is None:
+                    if not own:
+                        continue
+                    mine = pa.Table.from_batches(own).combine_chunks()
+                    ids = mine.column("id").combine_chunks()
+                    left = (ids, np.asarray(ids), unit(mine.column("vec").combine_chunks()), np.asarray(mine.column("grp")))
+                for at in range(a, b, step):
+                    some = batch.slice(at, min(step, b - at))
+                    others = np.asarray(some.column("id"))
+                    barred = left[1][:, None] == others[None, :]
+                    if groups:
+                        barred |= left[3][:, None] == np.asarray(some.column("grp"))[None, :]
+                    rows, cols, dist = _shortlisted(left[2], unit(some.column("vec")), barred, min(k, len(others)), places)
+                    # Rows come by id, so of equal distances those found before stay first.
+                    row, dist = np.concatenate((best[0], rows)), np.concatenate((best[1], dist))
+                    other = others[cols] if best[2] is None else np.concatenate((best[2], others[cols]))
+                    order = np.lexsort((dist, row))
+                    row, dist, other = row[order], dist[order], other[order]
+                    first = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+                    best = (row[first], dist[first], other[first])
+        yield from ended()
+
+    return run
+
+
 def nearest(df: DataFrame, k: int, id_col: str, vec_col: str, group_col: str | None = None, block_rows: int = 4096, places: int = 9) -> DataFrame:
     """(id, neighbor, rank, dist): the k nearest others of each row by cosine distance.
 
     Rows with a null id, or a null, zero or non-finite vector, have no neighbours;
     with group_col, rows of one group aren't neighbours. Distances are ordered to
     `places` decimals, ties by neighbour id. Rows are dealt into blocks by id;
-    every pair of blocks is one bounded matrix product, and only each pair's k
-    best leave it. Where rows lie in clumps, `pruned` leaves pairs out.
+    a task holds a block and its best neighbours so far, and all rows come by it
+    in small pieces, each one bounded matrix product. So k rows a row leave it,
+    but every row is sent to every block: the work is all pairs. Where rows lie in clumps, `pruned` leaves pairs out.
     """
     kind = df.schema[id_col].dataType.simpleString()
     rows = _rows(df, id_col, vec_col, group_col)
     count = max(1, -(-rows.count() // block_rows))
     block = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = rows.select("*", block.alias("i"), every.alias("j"))
-    right = rows.select("*", block.alias("j"), every.alias("i"))
-    best = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_pair(k, places, bool(group_col)), f"id {kind}, neighbor {kind}, dist double")
-    return _ranked(best, k)
+    left = rows.select("id", "vec", "grp", block.alias("i"), F.lit(0).alias("side"))
+    right = rows.select("id", "vec", "grp", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i"), F.lit(1).alias("side"))
+    both = left.unionByName(right).repartition(count, "i").sortWithinPartitions("i", "side", "id")
+    return both.mapInArrow(_streamed(k, places, bool(group_col)), f"id {kind}, neighbor {kind}, rank int, dist double")
 
 
 def _placed(centers):
