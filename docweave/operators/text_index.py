@@ -95,7 +95,8 @@ class TextIndex:
         stats = posted.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), F.max(F.when(F.lit(False), F.col("id"))).alias("id"))
         stats.write.parquet(f"{path}/stats")
         held = spark.read.parquet(f"{path}/stats").first()
-        ordered = posted.repartitionByRange("common", "length", "id").sortWithinPartitions("common", "length", "id")
+        # Ranges are even in rows; by hash inside a term they are in lengths too. Segments follow the lengths inside a range.
+        ordered = posted.repartitionByRange("common", F.xxhash64("id")).sortWithinPartitions("common", "length", "id")
         row = f"struct<place:long,id:{kind},tf:int,length:int,impact:double>"
         blocks = ordered.mapInArrow(_blocks(layout, held["mean"] or 1.0), f"term string, segment long, n int, impact double, rows array<{row}>, positions array<array<int>>")
         blocks = blocks.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(layout.buckets)).cast("int"))
@@ -256,8 +257,9 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best[of[ranked]] = ranked
             names = coded.dictionary.take(pa.array(code[first[turn]]))
             common = coded.dictionary.take(pa.array(np.where(best >= 0, code[first][np.maximum(best, 0)], 0), mask=best < 0)) if len(begin) else pa.nulls(len(batch), pa.string())
-            raw = pa.array(np.concatenate(([0], np.cumsum(size))) * 4, pa.int32())
-            numbers = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, raw.buffers()[1], pa.py_buffer(of_token)])
+            narrow = of_token.astype(np.uint16) if held.max(initial=0) < 1 << 16 else of_token
+            raw = pa.array(np.concatenate(([0], np.cumsum(size))) * narrow.itemsize, pa.int32())
+            numbers = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, raw.buffers()[1], pa.py_buffer(narrow)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), common, pc.binary_join(_lists(ends, names), " "), numbers], ["id", "length", "common", "words", "numbers"])
 
 
@@ -277,7 +279,7 @@ def _blocks(layout: Layout, mean: float):
                 first_word = split.offsets.to_numpy()[:-1] - split.offsets.to_numpy()[0]
                 if length.sum():
                     row = np.repeat(np.arange(len(batch)), length)
-                    numbers = np.frombuffer(b"".join(batch.column("numbers").to_pylist()), np.uint32)
+                    numbers = np.concatenate([np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32) for raw, n in zip(batch.column("numbers").to_pylist(), length.tolist(), strict=True)])
                     code = local[first_word[row] + numbers]
                     spot = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
                     # Tokens by segment and term, and in these by row and place.

@@ -85,3 +85,10 @@ def test_repeated_ids_and_empty_tables(spark, tmp_path):
     _, empty = build(spark, [], tmp_path)
     assert empty.top(["red"], 5).collect() == [] and empty.top([], 5).collect() == [] and empty.match(search.websearch("red")).collect() == []
     assert empty.exists() and not TextIndex(spark, str(tmp_path / "none")).exists()
+
+
+def test_texts_of_very_many_words(spark, tmp_path):
+    rows = [(1, " ".join(f"w{i}" for i in range(70_000))), (2, "w5 w69999 w5"), (3, "w69999 w5")]
+    _, index = build(spark, rows, tmp_path)
+    assert [r.id for r in index.match(search.websearch('"w69998 w69999"')).collect()] == [1]
+    assert [r.id for r in index.match(search.websearch('"w69999 w5"')).orderBy("id").collect()] == [2, 3]
