@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,13 +110,35 @@ def export_dataset(examples: DataFrame, path: str) -> None:
     info.join(fields.agg(F.collect_list(F.struct("name", "dtype")).alias("features"))).coalesce(1).write.mode("overwrite").json(f"{path}/dataset_info.json")
 
 
-def export_statements(rows: DataFrame, path: str, table_name: str, per_file: int = 1000) -> None:
-    """INSERT statements, some rows a file, with strings quoted and nulls named; numbers and booleans stay bare."""
+def _pieces(cap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines of a task in pieces of at most cap bytes, line ends included; a longer line is a piece of its own."""
+        from pyspark import TaskContext
+
+        task, number, used = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            piece = []
+            for size in pc.binary_length(batch.column("value").cast(pa.binary())).to_pylist():
+                if used and used + size + 1 > cap:
+                    number, used = number + 1, 0
+                used += size + 1
+                piece.append(f"{task:06d}-{number:06d}")
+            yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(piece, pa.string())], ["value", "piece"])
+
+    return run
+
+
+def export_statements(rows: DataFrame, path: str, table_name: str, per_file: int = 1000, max_bytes: int | None = None) -> None:
+    """INSERT statements, some rows a file (or with max_bytes, files of at most so many bytes in folders by piece), with strings quoted and nulls named; numbers and booleans stay bare."""
     def literal(c: str, kind: str) -> Column:
         text = F.col(f"`{c}`").cast("string")
         plain = kind in ("int", "bigint", "smallint", "tinyint", "double", "float", "boolean") or kind.startswith("decimal")
         return F.coalesce(text if plain else F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
 
     values = F.concat_ws(", ", *[literal(c, k) for c, k in rows.dtypes])
-    said = F.concat(F.lit(f"INSERT INTO {table_name} ({', '.join(rows.columns)}) VALUES ("), values, F.lit(");"))
-    rows.select(said.alias("value")).write.option("maxRecordsPerFile", per_file).mode("overwrite").text(path)
+    said = rows.select(F.concat(F.lit(f"INSERT INTO {table_name} ({', '.join(rows.columns)}) VALUES ("), values, F.lit(");")).alias("value"))
+    if max_bytes is None:
+        said.write.option("maxRecordsPerFile", per_file).mode("overwrite").text(path)
+    else:
+        # Pieces of a task come one after the other, so one file is open at a time.
+        said.mapInArrow(_pieces(max_bytes), "value string, piece string").write.partitionBy("piece").mode("overwrite").text(path)

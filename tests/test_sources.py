@@ -242,3 +242,12 @@ def test_publishing_what_changed_and_what_refers_to_it(spark, tmp_path):
     assert publish(held | {"documents": docs.where("doc_id = 1")}) == ["documents", "chunks", "edges"]
     assert spark.read.parquet(f"{root}/documents").count() == 1 and spark.read.parquet(f"{root}/documents_prev").count() == 2
     assert export.with_referencing({"a"}, [("b", "a"), ("c", "b"), ("a", "c"), ("d", "x")]) == {"a", "b", "c"}
+
+
+def test_statements_in_files_of_so_many_bytes(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "é" * (i % 40) + ("x" * 900 if i == 7 else "")) for i in range(200)], "k long, t string").coalesce(2)
+    export.export_statements(rows, str(tmp_path / "out"), "t", max_bytes=600)
+    files_ = list((tmp_path / "out").rglob("part-*"))
+    lines = [line for f in files_ for line in f.read_text().splitlines()]
+    assert len(lines) == 200 and len(set(lines)) == 200 and len(files_) > 20
+    assert all(f.stat().st_size <= 600 or len(f.read_text().splitlines()) == 1 for f in files_)
