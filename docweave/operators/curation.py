@@ -358,6 +358,40 @@ def refreshed(old: DataFrame, new: DataFrame, text_changed: DataFrame) -> DataFr
     return out.select("doc_id", "before", "after", state.alias("state"))
 
 
+def chunk_values(chunks: DataFrame, occurrences: DataFrame, documents: DataFrame) -> DataFrame:
+    """(chunk_id, field, values): of each chunk its document's values, then those of the documents that reuse it, each once.
+
+    chunks: (chunk_id, doc_id); occurrences: (chunk_id, doc_id) of reuse; documents:
+    (doc_id, field, values array<string>). The reusing documents follow in the
+    order of their ids. A field without values isn't there.
+    """
+    ways = chunks.select("chunk_id", "doc_id", F.lit(0).alias("r")).unionByName(occurrences.select("chunk_id", "doc_id", F.lit(1).alias("r")))
+    first = ways.groupBy("chunk_id", "doc_id").agg(F.min("r").alias("r"))
+    each = first.join(documents, "doc_id").select("chunk_id", "field", "r", "doc_id", F.posexplode("values").alias("p", "value")).where("value IS NOT NULL")
+    seen = each.groupBy("chunk_id", "field", "value").agg(F.min(F.struct("r", "doc_id", "p")).alias("at"))
+    return seen.groupBy("chunk_id", "field").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]).alias("values"))
+
+
+def metadata_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(chunk_id, field, before, after) of what new values (chunk_id, field, values) change; the same values in another order are no change, nothing is an empty array."""
+    none = F.array().cast("array<string>")
+    both = old.withColumnRenamed("values", "before").join(new.withColumnRenamed("values", "after"), ["chunk_id", "field"], "full_outer")
+    told = both.select("chunk_id", "field", F.coalesce("before", none).alias("before"), F.coalesce("after", none).alias("after"))
+    return told.where(F.array_sort("before") != F.array_sort("after"))
+
+
+def metadata_report(changes: DataFrame) -> DataFrame:
+    """(field, before, after, chunks): how many chunks each change is made on, values joined by commas."""
+    text = lambda c: F.array_join(c, ",").alias(c)
+    return changes.groupBy("field", text("before"), text("after")).agg(F.count("*").alias("chunks"))
+
+
+def metadata_applied(old: DataFrame, changes: DataFrame) -> DataFrame:
+    """old (chunk_id, field, values) with the changes made; a field that ends without values goes."""
+    rest = old.join(changes.select("chunk_id", "field"), ["chunk_id", "field"], "left_anti").select("chunk_id", "field", "values")
+    return rest.unionByName(changes.where(F.size("after") > 0).select("chunk_id", "field", F.col("after").alias("values")))
+
+
 def structural_roles(units: DataFrame, key: str, share: float = 0.5) -> DataFrame:
     """(key, role) of chunks from their units (key, n, kind, tokens, ordered).
 

@@ -464,6 +464,23 @@ def fanned_questions(spark, sf_dir):
     return asked.select("item_id", "part", "logical", "question", F.array_join("options", ",").alias("options"), "key")
 
 
+@query("""
+WITH w AS (SELECT l_partkey AS chunk, l_orderkey AS doc, (l_orderkey <> min(l_orderkey) OVER (PARTITION BY l_partkey))::INT AS r FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem)),
+v AS (SELECT chunk, doc, r, 'status' AS field, o_orderstatus AS value FROM w JOIN orders ON o_orderkey = doc UNION ALL SELECT chunk, doc, r, 'priority', o_orderpriority FROM w JOIN orders ON o_orderkey = doc WHERE doc % 3 = 0),
+s AS (SELECT chunk, field, value, min((r, doc)) AS place FROM v GROUP BY ALL), n AS (SELECT chunk, field, list(value ORDER BY place) AS after FROM s GROUP BY ALL), o AS (SELECT chunk, field, list(value) AS before FROM v WHERE r = 0 GROUP BY ALL)
+SELECT field, coalesce(array_to_string(before, ','), '') AS before, coalesce(array_to_string(after, ','), '') AS after, count(*) AS chunks FROM o FULL JOIN n USING (chunk, field)
+WHERE coalesce(list_sort(before), []) <> coalesce(list_sort(after), []) GROUP BY ALL
+""")
+def metadata_report(spark, sf_dir):
+    """What it changes when chunks get the values of all documents that reuse them, counted by change."""
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("chunk_id"), F.col("l_orderkey").alias("doc_id")).distinct()
+    own = l.groupBy("chunk_id").agg(F.min("doc_id").alias("doc_id"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderstatus", "o_orderpriority")
+    documents = o.select("doc_id", F.lit("status").alias("field"), F.array("o_orderstatus").alias("values")).unionByName(o.where("doc_id % 3 = 0").select("doc_id", F.lit("priority").alias("field"), F.array("o_orderpriority").alias("values")))
+    old = cu.chunk_values(own, own.where("false"), documents)
+    return cu.metadata_report(cu.metadata_changes(old, cu.chunk_values(own, l, documents)))
+
+
 # ---- stage steps without a query so far -----------------------------------------------------
 
 

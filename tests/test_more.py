@@ -270,3 +270,16 @@ def test_questions_fan_out_over_parts(spark):
     assert len(set(keys)) == 5 and all(len(k) == 13 for k in keys)  # a key is the question's and the part's, whatever the item
     answered = provider.valid(asked, provider.answer(asked))
     assert answered.count() == len(got) and answered.where("kind = 'choice'").first().choice == "u"
+
+
+def test_metadata_of_reused_chunks_reported_and_applied(spark):
+    chunks = spark.createDataFrame([("c1", 1), ("c2", 2)], "chunk_id string, doc_id long")
+    reuse = spark.createDataFrame([("c1", 3), ("c1", 2), ("c1", 1)], "chunk_id string, doc_id long")
+    docs = spark.createDataFrame([(1, "v", ["b", "a"]), (2, "v", ["a", "c"]), (3, "v", ["d", None]), (3, "w", ["x"]), (2, "w", [])], "doc_id long, field string, values array<string>")
+    new = curation.chunk_values(chunks, reuse, docs)
+    get = lambda df: {(r.chunk_id, r.field): r["values"] for r in df.collect()}
+    assert get(new) == {("c1", "v"): ["b", "a", "c", "d"], ("c1", "w"): ["x"], ("c2", "v"): ["a", "c"]}
+    old = spark.createDataFrame([("c1", "v", ["b", "a"]), ("c2", "v", ["c", "a"]), ("c2", "gone", ["z"])], "chunk_id string, field string, values array<string>")
+    changes = curation.metadata_changes(old, new)
+    assert sorted((r.field, r.before, r.after, r.chunks) for r in curation.metadata_report(changes).collect()) == [("gone", "z", "", 1), ("v", "b,a", "b,a,c,d", 1), ("w", "", "x", 1)]
+    assert get(curation.metadata_applied(old, changes)) == {("c1", "v"): ["b", "a", "c", "d"], ("c1", "w"): ["x"], ("c2", "v"): ["c", "a"]}
