@@ -123,3 +123,13 @@ def multiset_changes(old: DataFrame, new: DataFrame, key: str, values: str) -> D
     a = old.select(key, F.array_join(F.sort_array(values), ",").alias("before"))
     b = new.select(key, F.array_join(F.sort_array(values), ",").alias("after"))
     return a.join(b, key).where(~F.col("before").eqNullSafe(F.col("after"))).groupBy("before", "after").agg(F.count("*").alias("n"))
+
+
+def planned_seconds(calls: Column, tokens: Column, items: Column, calls_per_minute: float, tokens_per_minute: float, seconds_per_item: float, concurrency: int) -> Column:
+    """The time that work takes: the slower of the limits on calls and tokens, and drafting over its concurrency."""
+    return F.greatest(calls / float(calls_per_minute) * 60, tokens * 60 / float(tokens_per_minute)) + items * seconds_per_item / concurrency
+
+
+def review_list(queue: DataFrame, kinds: Sequence[str], limit: int, kind: str = "kind", at: str = "created_at", id_col: str = "review_id") -> DataFrame:
+    """The latest items of some kinds, as many as the list shows, ties by id."""
+    return queue.where(F.col(kind).isin(list(kinds))).orderBy(F.desc(at), id_col).limit(limit)

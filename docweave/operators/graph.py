@@ -18,9 +18,13 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def hubs(edges: DataFrame, share: float = 0.99, min_degree: int = 1) -> DataFrame:
     """(node, degree, cut): nodes above the interpolated percentile of degrees and not below min_degree."""
-    d = degrees(edges)
-    bound = d.agg(F.percentile("degree", F.lit(share)).alias("cut"))
-    return d.join(F.broadcast(bound)).where((F.col("degree") > F.col("cut")) & (F.col("degree") >= min_degree))
+    return hubs_of(degrees(edges), share, min_degree)
+
+
+def hubs_of(degrees: DataFrame, share: float = 0.99, min_degree: int = 1) -> DataFrame:
+    """hubs by degrees (node, degree) that are known."""
+    bound = degrees.agg(F.percentile("degree", F.lit(share)).alias("cut"))
+    return degrees.join(F.broadcast(bound), F.col("degree") > F.col("cut")).where(F.col("degree") >= min_degree)
 
 
 def asymmetric(edges: DataFrame) -> DataFrame:

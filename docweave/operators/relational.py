@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docweave.ids import sha_id
 from docweave.storage import discard, scratch
 
 
@@ -238,3 +239,29 @@ def reusable(chunks: DataFrame, runs: DataFrame) -> DataFrame:
     done = runs.where("status = 'finished'").select("run_id").distinct()
     kept = chunks.where("text IS NOT NULL").join(done, "run_id", "left_semi")
     return kept.groupBy(F.md5("text").alias("h"), "text").agg(F.min("chunk_id").alias("chunk_id"), F.count("*").alias("uses")).drop("h")
+
+
+def merged_attributes(members: DataFrame, cluster: str, member: str) -> DataFrame:
+    """(cluster, key, value): attributes (cluster, member, key, value) of a cluster's members merged; the least member that has a key gives its value."""
+    return members.groupBy(cluster, "key").agg(F.min_by("value", member).alias("value"))
+
+
+def duplicate_edges(rows: DataFrame, id_col: str, text_col: str, relation: str = "DUPLICATE_OF") -> DataFrame:
+    """(src, dst, edge_id): every copy of a text points at the least row that has it; null texts are no copies."""
+    hashed = rows.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("src"), F.sha2(text_col, 256).alias("h"))
+    first = hashed.groupBy("h").agg(F.min("src").alias("dst"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = hashed.join(first, "h").where("src <> dst")
+    return pairs.select("src", "dst", sha_id(F.col("src").cast("string"), F.col("dst").cast("string"), F.lit(relation)).alias("edge_id"))
+
+
+def weighted(features: dict[str, tuple[float, Column]]) -> Column:
+    """The sum of weighted features (name: weight, value); one that is missing counts nothing."""
+    total = F.lit(0.0)
+    for weight, value in features.values():
+        total = total + weight * F.coalesce(value.cast("double"), F.lit(0.0))
+    return total
+
+
+def reranked(rows: DataFrame, features: dict[str, tuple[float, Column]], id_col: str, k: int, places: int = 6) -> DataFrame:
+    """(id, score): the k rows of greatest weighted answers, ties by id."""
+    return rows.select(id_col, F.round(weighted(features), places).alias("score")).orderBy(F.desc("score"), id_col).limit(k)

@@ -129,10 +129,7 @@ FROM h JOIN f USING (h) WHERE doc_id <> first
 """)
 def duplicate_of_edges(spark, sf_dir):
     """Every copy of a text points at the lowest document that has it."""
-    h = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("h"))
-    first = h.groupBy("h").agg(F.min("doc_id").alias("dst"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return h.join(first, "h").where("doc_id <> dst").select(
-        F.col("doc_id").alias("src"), "dst", sha_id(F.col("doc_id").cast("string"), F.col("dst").cast("string"), F.lit("DUPLICATE_OF")).alias("edge_id"))
+    return rel.duplicate_edges(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("""
@@ -277,8 +274,8 @@ FROM documents LEFT JOIN labels USING (doc_id) ORDER BY score DESC, doc_id LIMIT
 def composite_rerank(spark, sf_dir):
     """The 100 documents of greatest weighted answer, unanswered questions counting nothing."""
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    score = 0.5 * F.coalesce("quality", F.lit(0)) + 0.4 * (F.col("n_chars") % 100) / 100.0 - 0.1 * F.coalesce("toxic", F.lit(0))
-    return d.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(100)
+    features = {"quality": (0.5, F.col("quality")), "length": (0.4, F.col("n_chars") % 100 / 100.0), "toxic": (-0.1, F.col("toxic"))}
+    return rel.reranked(d, features, "doc_id", 100)
 
 
 @query(f"""
@@ -309,7 +306,7 @@ def edge_weight_features(spark, sf_dir):
     """Weighted features of candidate edges: similarity, being first, strength by rank; a missing feature counts nothing."""
     e = _knn(spark, sf_dir, 12)
     strength = F.round((F.lit(13) - F.col("rank")) / F.lit(12.0), 6)
-    weight = 0.4 * F.round(1 - F.col("dist"), 6) + 0.3 * (F.col("rank") == 1).cast("int") + 0.2 * strength
+    weight = rel.weighted({"similarity": (0.4, F.round(1 - F.col("dist"), 6)), "first": (0.3, (F.col("rank") == 1).cast("int")), "strength": (0.2, strength)})
     return e.select(F.col("id").alias("vec_id"), F.col("neighbor").alias("neighbor_id"), weight.cast("decimal(18,4)").cast("double").alias("weight"))
 
 
@@ -394,7 +391,7 @@ def attribute_merge_first_wins(spark, sf_dir):
     entries = F.array(F.struct(F.lit("type").alias("key"), F.col("p_type").alias("value")), F.struct(F.lit("size").alias("key"), F.col("p_size").cast("string").alias("value")),
                       F.struct(third.alias("key"), F.round("p_retailprice").cast("long").cast("string").alias("value")))
     e = table(spark, sf_dir, "part").select(F.col("p_brand").alias("cluster"), F.col("p_partkey").alias("member"), F.explode(entries).alias("e")).select("cluster", "member", "e.key", "e.value")
-    return e.groupBy("cluster", "key").agg(F.min_by("value", "member").alias("value"))
+    return rel.merged_attributes(e, "cluster", "member")
 
 
 @query("SELECT DISTINCT event_type, (props::JSON ->> 'k') AS value FROM events WHERE props IS NOT NULL")
@@ -409,9 +406,8 @@ SELECT node, degree, round(cut, 6) AS cut FROM d, c WHERE degree > cut AND degre
 """)
 def hub_degree_p99(spark, sf_dir):
     """Parts above the interpolated 99th percentile of degrees."""
-    d = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("node")).agg(F.count("*").alias("degree"))
-    bound = d.agg(F.percentile("degree", F.lit(0.99)).alias("cut"))
-    return d.join(F.broadcast(bound), F.col("degree") > F.col("cut")).where("degree >= 3").select("node", "degree", F.round("cut", 6).alias("cut"))
+    edges = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"))
+    return graph.hubs_of(edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree")), 0.99, 3).select("node", "degree", F.round("cut", 6).alias("cut"))
 
 
 @query("""
@@ -434,7 +430,7 @@ def plan_estimate(spark, sf_dir):
     """The planner's time: the slower of the call and token limits, and drafting time over its concurrency."""
     s = table(spark, sf_dir, "orders").agg(F.countDistinct("o_custkey").alias("items"), F.count("*").alias("calls"))
     t = table(spark, sf_dir, "lineitem").agg(F.count("*").alias("tokens"))
-    seconds = F.greatest(F.col("calls") / 1200.0 * 60, F.col("tokens") * 250 / 250000.0) + F.col("items") * 0.5 / 8
+    seconds = audit.planned_seconds(F.col("calls"), F.col("tokens") * 250, F.col("items"), 1200, 250_000 * 60, 0.5, 8)
     return s.join(F.broadcast(t)).select("items", "calls", F.round(seconds, 6).alias("seconds"))
 
 
@@ -738,7 +734,7 @@ def runnable_items(spark, sf_dir):
 @query("SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase') ORDER BY ts DESC, event_id LIMIT 20")
 def review_list(spark, sf_dir):
     """The 20 latest items of some kinds: a list with a limit."""
-    return table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase")).orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "event_type")
+    return audit.review_list(table(spark, sf_dir, "events"), ["click", "purchase"], 20, "event_type", "ts", "event_id").select("event_id", "event_type")
 
 
 @query("""
