@@ -183,6 +183,14 @@ def _whole_points(vecs: np.ndarray, scale: int, narrow: bool) -> np.ndarray:
     return np.array([[whole(x, scale) for x in row] for row in vecs.tolist()], object).reshape(len(vecs), -1)
 
 
+def _summed(dist: np.ndarray) -> int:
+    """Distances added up exactly: their sum may be beyond what a double holds though each is within."""
+    if dist.dtype == object:
+        return int(dist.sum())
+    whole_ = dist.astype(np.int64)
+    return (int((whole_ >> 26).sum()) << 26) + int((whole_ & ((1 << 26) - 1)).sum())
+
+
 class _Sums:
     """A task's sums of each cluster: components, then distances."""
 
@@ -193,7 +201,7 @@ class _Sums:
     def add(self, points: np.ndarray, cluster: np.ndarray, dist: np.ndarray) -> None:
         for i in np.unique(cluster).tolist():
             mine = cluster == i
-            total = [*points[mine].sum(axis=0).tolist(), dist[mine].sum()]
+            total = [*points[mine].sum(axis=0).tolist(), _summed(dist[mine])]
             self.sums[i] = [a + int(b) for a, b in zip(self.sums[i], total, strict=True)]
             self.n[i] += int(mine.sum())
             self.far[i] = max(self.far[i], int(dist[mine].max()))

@@ -66,6 +66,14 @@ def test_values_of_any_size_are_exact(spark):
     check(spark, rows, bk.Balls(k=6, size=3, rounds=3))
 
 
+def test_sums_of_great_distances_are_exact(spark):
+    rng = random.Random(10)
+    far = bk.narrow_limit(2) // 4
+    rows = [(i, [float(rng.choice([-1, 1]) * (far - rng.randint(0, 999))), float(rng.randint(-far, far))]) for i in range(400)]
+    check(spark, rows, bk.Balls(k=3, size=2, scale=1, rounds=2))
+    assert bk._summed(np.full(5000, float((1 << 52) + 1))) == 5000 * ((1 << 52) + 1)
+
+
 def test_fewer_rows_than_clusters_and_none(spark):
     check(spark, [(1, [0.1, 0.2]), (2, [0.3, 0.1])], bk.Balls(k=5, size=2))
     empty = bk.ball_kmeans(spark.createDataFrame([], SCHEMA), "id", "v", bk.Balls(k=5, size=2))
