@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.storage import scratch
+
 #: A word that may be an abbreviation, with stops inside and perhaps one at its end.
 WORD = r"(?<![\p{L}\p{N}_.])(\p{L}+(?:\.\p{L}+)*\.?)(?![\p{L}\p{N}_.])"
 CLOSERS = "\"')\\]}”’»"
@@ -32,7 +34,7 @@ def abbreviations(df: DataFrame, text_col: str, stops: Stops = Stops()) -> DataF
     """
     words = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD), F.lit(1))).alias("w"))
     each = words.select(F.regexp_replace("w", r"\.$", "").alias("word"), F.endswith(F.col("w"), F.lit(".")).cast("long").alias("stop"))
-    counts = each.groupBy("word").agg(F.count("*").alias("n"), F.sum("stop").alias("k"))
+    counts = scratch(each.groupBy("word").agg(F.count("*").alias("n"), F.sum("stop").alias("k")), "word-counts")  # read twice
     total = counts.agg((F.sum("k") / F.sum("n")).alias("p"))
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     p = F.greatest(F.least(F.col("p"), F.lit(1 - 1e-9)), F.lit(1e-9))
@@ -49,15 +51,12 @@ def sentences(text: Column, short: Iterable[str]) -> Column:
 
     No cut after a word of `short`, an abbreviation that the list must bound. Null stays null, a blank text has none.
     """
-    parts = F.split(F.trim(F.regexp_replace(text, rf"([.!?…][{CLOSERS}]*)\s+", "$1\x00")), "\x00")
-    last = lambda s: F.regexp_extract(F.lower(s), r"(?:^|[^\p{L}\p{N}_.])(\p{L}+(?:\.\p{L}+)*)\.$", 1)
-    goes_on = lambda s: last(s).isin(list(short)) if list(short) else F.lit(False)
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("held"))
-
-    def step(acc: Column, part: Column) -> Column:
-        joined = F.when(acc["held"] == "", part).otherwise(F.concat(acc["held"], F.lit(" "), part))
-        open_ = goes_on(part)
-        return F.struct(F.when(open_, acc["done"]).otherwise(F.concat(acc["done"], F.array(joined))).alias("done"), F.when(open_, joined).otherwise("").alias("held"))
-
-    found = F.aggregate(F.filter(parts, lambda s: s != ""), start, step, lambda acc: F.when(acc["held"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"]))))
-    return F.when(text.isNotNull(), found)
+    words = sorted(set(short), key=lambda w: (-len(w), w))
+    guarded = text
+    if words:
+        # What follows an abbreviation is kept from the cut below by a mark, which then goes.
+        any_of = "|".join(w.replace(".", r"\.") for w in words)
+        guarded = F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}_.])({any_of})\.\s+", "$1.\x01 ")
+    parts = F.split(F.regexp_replace(guarded, rf"([.!?…][{CLOSERS}]*)\s+", "$1\x00"), "\x00")
+    trimmed = F.transform(parts, lambda s: F.regexp_replace(F.replace(s, F.lit("\x01"), F.lit("")), r"^\s+|\s+$", ""))
+    return F.filter(trimmed, lambda s: s != "")
