@@ -22,7 +22,7 @@ from docweave.operators import relational as rel
 from docweave.operators.components import connected_components
 from docweave.operators.text_index import Report, TextIndex
 from docweave.sinks.export import fingerprint
-from docweave.storage import delete_on_exit, shared_dir, table
+from docweave.storage import delete_on_exit, scratch, shared_dir, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -443,7 +443,19 @@ FROM (SELECT *, (vec_id * 31 + neighbor_id * 17) AS hash_ FROM r WHERE rank <= 4
 """
 
 
+_EDGE_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def _edges(spark, sf_dir):
+    """Edges between near vectors, as a table: written once for an application and folder, and read by all that asks for edges."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EDGE_TABLES or not written(spark, _EDGE_TABLES[key]._scratch):
+        _EDGE_TABLES[key] = scratch(_made_edges(spark, sf_dir), "near-edges")
+    # Each reader gets a frame of its own, so that edges can be joined with edges.
+    return spark.read.schema(_EDGE_TABLES[key].schema).parquet(_EDGE_TABLES[key]._scratch)
+
+
+def _made_edges(spark, sf_dir):
     e = _knn(spark, sf_dir, 4)
     h = F.col("id") * 31 + F.col("neighbor") * 17
     return e.select(
