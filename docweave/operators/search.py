@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.storage import scratch
+
 TERM = r"[\p{L}\p{N}_]+"
 
 
@@ -91,12 +93,22 @@ def keyword_matches(asks: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """(id, neighbour, score, rank): for each row (id, keyword) the rows that satisfy most keywords, ties by id.
 
     A keyword of several words asks for all of them; keywords are alternatives,
-    so `a b` and `c` stand for (a and b) or c. index holds (id, term, tf).
+    so `a b` and `c` stand for (a and b) or c. index holds (id, term, tf). Rows
+    that ask for the same keywords have the same ranking but for themselves, so
+    only the k + 1 best of each set of keywords are found, and not the pairs of
+    all who ask and all who are found.
     """
-    asked = asks.select("id", "keyword", F.array_distinct(terms(F.col("keyword"))).alias("ts")).where(F.size("ts") > 0).distinct()
-    each = asked.select("id", "keyword", F.size("ts").alias("need"), F.explode("ts").alias("term"))
-    hits = each.join(index.select(F.col("id").alias("neighbour"), "term").distinct(), "term").where("id <> neighbour")
-    met = hits.groupBy("id", "keyword", "need", "neighbour").agg(F.count("*").alias("have")).where("have = need")
-    scored = met.groupBy("id", "neighbour").agg(F.count("*").alias("score"))
-    w = Window.partitionBy("id").orderBy(F.desc("score"), "neighbour")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    asked = asks.where("id IS NOT NULL").select("id", "keyword", F.array_distinct(terms(F.col("keyword"))).alias("ts")).where(F.size("ts") > 0).distinct()
+    classes = scratch(asked.groupBy("id").agg(F.sort_array(F.collect_set("keyword")).alias("asks")), "keyword-sets")
+    words = asked.select("keyword", F.size("ts").alias("need"), F.explode("ts").alias("term")).distinct()
+    held = index.select(F.col("id").alias("neighbour"), "term").where("neighbour IS NOT NULL").join(words.select("term").distinct(), "term", "left_semi").distinct()
+    met = words.join(held, "term").groupBy("keyword", "need", "neighbour").agg(F.count("*").alias("have")).where("have = need")
+    each = classes.select("asks").distinct().select("asks", F.explode("asks").alias("keyword"))
+    scored = each.join(met, "keyword").groupBy("asks", "neighbour").agg(F.count("*").alias("score"))
+    w = Window.partitionBy("asks").orderBy(F.desc("score"), "neighbour")
+    best = scored.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1)
+    # Without the row itself k of the k + 1 are left at least.
+    listed = best.groupBy("asks").agg(F.sort_array(F.collect_list(F.struct("n", "neighbour", "score"))).alias("best"))
+    others = F.slice(F.filter("best", lambda b: b["neighbour"] != F.col("id")), 1, k)
+    found = classes.join(listed, "asks").select("id", F.posexplode(others).alias("at", "b"))
+    return found.select("id", "b.neighbour", "b.score", (F.col("at") + 1).alias("rank"))

@@ -1,10 +1,12 @@
 import random
+import time
 import uuid
 from collections import Counter
 from math import log
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from docweave.operators import search
 from docweave.operators.text_index import Layout, Report, TextIndex
@@ -92,3 +94,16 @@ def test_texts_of_very_many_words(spark, tmp_path):
     _, index = build(spark, rows, tmp_path)
     assert [r.id for r in index.match(search.websearch('"w69998 w69999"')).collect()] == [1]
     assert [r.id for r in index.match(search.websearch('"w69999 w5"')).orderBy("id").collect()] == [2, 3]
+
+
+def test_rows_that_ask_alike_are_not_paired_with_all_that_are_found(spark):
+    """All ask for the same words and all hold one: pairs of both would be 400 million."""
+    n = 20_000
+    docs = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, "red barn").otherwise("barn").alias("text"))
+    asks = docs.select("id", F.explode(F.array(F.lit("red"), F.lit("barn"))).alias("keyword"))
+    began = time.monotonic()
+    got = search.keyword_matches(asks, search.postings(docs, "id", "text"), 2)
+    rows = {(r.id, r["rank"]): (r.neighbour, r.score) for r in got.collect()}
+    assert time.monotonic() - began < 60
+    assert len(rows) == 2 * n
+    assert rows[0, 1] == (3, 2) and rows[0, 2] == (6, 2) and rows[3, 1] == (0, 2) and rows[3, 2] == (6, 2) and rows[n - 1, 1] == (0, 2) and rows[n - 1, 2] == (3, 2)
