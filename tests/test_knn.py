@@ -1,7 +1,10 @@
 import math
+import tracemalloc
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from docweave.operators import knn
@@ -103,3 +106,30 @@ def test_index_of_odd_tables(spark, tmp_path):
     assert [(a, b) for a, b, _, _ in ours] == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)]
     with pytest.raises(ValueError):
         index(spark, [(1, [1.0, 2.0, 3.0], 0)], tmp_path)
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_block_is_compared_in_little_memory(copies):
+    """A block of 4096 rows against 12,000, at one time a crowd of copies near the rest: what is held at once stays small."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(12_000, 64))
+    if copies:
+        v[3000:9000] = v[0]
+    peer = [(i, v[i].tolist(), "g", 0, side) for side, n in ((0, 4096), (1, 12_000)) for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*peer, strict=True), [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.int32(), pa.int32()], strict=True)], ["id", "vec", "grp", "i", "side"])
+    tracemalloc.start()
+    try:
+        found = pa.Table.from_batches(knn._streamed(6, 9, False)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100e6
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for i in (0, 7, 3500, 4095):
+        want = sorted((round(1 - float(unit[i] @ w), 9), j) for j, w in enumerate(unit) if j != i)[:6]
+        assert [j for _, j in want] == [r["neighbor"] for r in found.filter(pa.compute.equal(found["id"], i)).to_pylist()]
+
+
+def test_blocks_grow_with_the_table():
+    """Every row is sent to every block, so their number is bounded until a block is at its widest."""
+    assert [knn._block_count(n, 4096) for n in (0, 4096, 100_000, 600_000, 10_000_000)] == [1, 1, 25, 48, 306]
