@@ -72,22 +72,34 @@ def packed(asked: DataFrame, window: int, most: int = 1 << 30, longest: int = 1
     question that is too long alone is an error.
     """
     size = lambda c: F.ceil(F.char_length(c) / 4).cast("long")
-    each = F.struct("question", "cache_key", size(F.concat_ws(" ", F.col("question"), F.array_join("options", " "))).alias("n"))
     room = F.lit(window) - size(F.col(by))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("held"), F.lit(0).cast("long").alias("call"), F.array().cast("array<struct<cache_key:string,call:bigint>>").alias("out"))
-
-    def step(acc, x):
-        full = (acc["held"] > 0) & ((acc["used"] + x["n"] > F.col("room")) | (acc["held"] >= most))
-        call = acc["call"] + full.cast("long")
-        return F.struct(
-            F.when(full, x["n"]).otherwise(acc["used"] + x["n"]).alias("used"), F.when(full, F.lit(1).cast("long")).otherwise(acc["held"] + 1).alias("held"), call.alias("call"),
-            F.array_append(acc["out"], F.struct(x["cache_key"].alias("cache_key"), call.alias("call"))).alias("out"))
-
-    lists = asked.groupBy(by).agg(F.sort_array(F.collect_set(each)).alias("qs")).withColumn("room", room)
-    too_long = F.exists("qs", lambda q: (q["n"] > F.col("room")) | (q["n"] > longest)) | (F.col("room") <= 0)
-    checked = lists.withColumn("qs", F.when(too_long, F.raise_error(F.lit("a state or question is over the window")).cast(lists.schema["qs"].dataType)).otherwise(F.col("qs")))
-    calls = checked.select(by, F.explode(F.aggregate("qs", start, step)["out"]).alias("c")).select(by, "c.cache_key", "c.call")
-    return asked.join(calls, [by, "cache_key"])
+    n = size(F.concat_ws(" ", F.col("question"), F.array_join("options", " ")))
+    each = asked.select(F.col(by).alias("state"), "question", "cache_key", n.alias("n"), room.alias("room")).distinct()
+    too_long = (F.col("n") > F.col("room")) | (F.col("n") > longest) | (F.col("room") <= 0)
+    checked = each.withColumn("n", F.when(too_long, F.raise_error(F.lit("a state or question is over the window")).cast("long")).otherwise(F.col("n")))
+    ordered = checked.repartition("state").sortWithinPartitions("state", "question", "cache_key", "n")
+    kinds = {f.name: f.dataType.simpleString() for f in checked.schema}
+    calls = ordered.mapInArrow(_numbered(most), f"state {kinds['state']}, cache_key {kinds['cache_key']}, call long")
+    return asked.join(calls.withColumnRenamed("state", by), [by, "cache_key"])
+
+
+def _numbered(most: int):
+    """Calls of rows (state, cache_key, n, room) that come by in order; of a state only its last call so far is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        began, state, used, held, call = False, None, 0, 0, 0
+        for batch in batches:
+            out = []
+            for s, n, room in zip(*(batch.column(c).to_pylist() for c in ("state", "n", "room")), strict=True):
+                if not began or s != state:
+                    began, state, used, held, call = True, s, 0, 0, 0
+                if held and ((room is not None and used + n > room) or held >= most):
+                    used, held, call = 0, 0, call + 1
+                used, held = used + n, held + 1
+                out.append(call)
+            yield pa.RecordBatch.from_arrays([batch.column("state"), batch.column("cache_key"), pa.array(out, pa.int64())], ["state", "cache_key", "call"])
+
+    return run
 
 
 def hierarchical(items: DataFrame, question_set: str, name: str, tree: dict[str, Sequence[str]], provider: Callable | None = None, model: str = "offline") -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -110,6 +111,15 @@ def test_questions_that_are_too_long_are_errors(spark):
             provider.packed(asked, window, longest=longest).collect()
 
 
+def test_many_questions_of_one_state_are_packed_as_they_come(spark):
+    """A list of all of them, copied at every step, took the square of their number."""
+    asked = spark.range(60_000).select(F.lit("s").alias("state"), F.format_string("q%06d", "id").alias("question"), F.format_string("k%06d", "id").alias("cache_key"), F.array(F.lit("")).alias("options"))
+    began = time.monotonic()
+    calls = {r.cache_key: r.call for r in provider.packed(asked, 60, 7).collect()}
+    assert time.monotonic() - began < 40
+    assert calls == {f"k{i:06d}": i // 7 for i in range(60_000)}
+
+
 def test_states_of_words(spark):
     df = spark.createDataFrame([("a", "", [], "x", 1), ("b", None, ["k"], "y", 2)], "t string, u string, ks array<string>, v string, n int").withColumn("s", F.struct("v", "n"))
     got = [r.state for r in curation.picked(df, {"title": "t", "sub": "u", "keys": "ks", "deep": "s.v"}, ["deep"]).collect()]
