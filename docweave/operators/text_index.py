@@ -39,6 +39,8 @@ RANGES = 200
 TURN = 1 << 16
 #: Rows whose postings a task holds at once.
 ROWS = 2048
+#: Words whose postings a task holds at once, where a segment doesn't have more, and words of all rows of a task.
+PLACES, TASK = 1 << 18, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -96,7 +98,9 @@ class TextIndex:
         stats.write.parquet(f"{path}/stats")
         held = spark.read.parquet(f"{path}/stats").first()
         # Ranges are even in rows; by hash inside a term they are in lengths too. Segments follow the lengths inside a range.
-        ordered = posted.repartitionByRange("common", F.xxhash64("id")).sortWithinPartitions("common", "length", "id")
+        # As many tasks as there are words for, so that what a task sorts doesn't grow with the table.
+        parts = max(spark.sparkContext.defaultParallelism, -(-int(held["docs"] * (held["mean"] or 0)) // TASK))
+        ordered = posted.repartitionByRange(parts, "common", F.xxhash64("id")).sortWithinPartitions("common", "length", "id")
         row = f"struct<place:long,id:{kind},tf:int,length:int,impact:double>"
         blocks = ordered.mapInArrow(_blocks(layout, held["mean"] or 1.0), f"term string, segment long, n int, impact double, rows array<{row}>, positions array<array<int>>")
         blocks = blocks.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(layout.buckets)).cast("int"))
@@ -263,6 +267,16 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), common, pc.binary_join(_lists(ends, names), " "), numbers], ["id", "length", "common", "words", "numbers"])
 
 
+def _pieces(length: np.ndarray, segment: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole segments (but for the last) with ROWS rows and PLACES words at most, or of one segment."""
+    ends, at = np.cumsum(length, dtype=np.int64), 0
+    while at < len(length):
+        few = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PLACES, "right")) - at
+        to = min(at + max(segment, min(few, ROWS) // segment * segment), len(length))
+        yield at, to
+        at = to
+
+
 def _blocks(layout: Layout, mean: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of segments of rows as they come; a segment never spans two batches."""
@@ -270,8 +284,8 @@ def _blocks(layout: Layout, mean: float):
 
         place = segment = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for at in range(0, len(whole), ROWS):
-                batch = whole.slice(at, ROWS)
+            for at, to in _pieces(whole.column("length").to_numpy(), layout.segment):
+                batch = whole.slice(at, to - at)
                 length = batch.column("length").to_numpy()
                 split = pc.split_pattern(batch.column("words"), " ")
                 coded = split.flatten().dictionary_encode()

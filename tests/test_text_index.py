@@ -4,11 +4,12 @@ import uuid
 from collections import Counter
 from math import log
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 
-from docweave.operators import search
+from docweave.operators import search, text_index
 from docweave.operators.text_index import Layout, Report, TextIndex
 
 WORDS = "the of and der die und house river stone clown idiot mill straße ünï 42 a_b".split()
@@ -107,3 +108,15 @@ def test_rows_that_ask_alike_are_not_paired_with_all_that_are_found(spark):
     assert time.monotonic() - began < 60
     assert len(rows) == 2 * n
     assert rows[0, 1] == (3, 2) and rows[0, 2] == (6, 2) and rows[3, 1] == (0, 2) and rows[3, 2] == (6, 2) and rows[n - 1, 1] == (0, 2) and rows[n - 1, 2] == (3, 2)
+
+
+def test_what_a_task_holds_does_not_grow(spark, tmp_path, monkeypatch):
+    """Tasks by the number of words, and in a task pieces by words too."""
+    assert list(text_index._pieces(np.array([10] * 70), 32)) == [(0, 64), (64, 70)]
+    assert list(text_index._pieces(np.array([1 << 17] * 70), 32)) == [(0, 32), (32, 64), (64, 70)]
+    monkeypatch.setattr(text_index, "TASK", 500)
+    rows = corpus(5)
+    index = build(spark, rows, tmp_path)[1]
+    words = sum(r.tf for r in index.postings().collect())
+    tasks = index._table().select(F.shiftright("segment", 33)).distinct().count()
+    assert words > 8000 and tasks > 8
