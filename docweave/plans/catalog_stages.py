@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docweave.operators import curation as cu
 from docweave.plans import provider
 from docweave.plans.catalog import TERMS, _knn, query, text_index
-from docweave.storage import table
+from docweave.storage import scratch, table
 
 
 @query("""
@@ -253,7 +253,7 @@ def fact_rows(spark, sf_dir):
 @query()
 def soft_relevance(spark, sf_dir):
     """Soft labels for near rows from the offline provider's answers."""
-    near = _knn(spark, sf_dir, 10)
+    near = scratch(_knn(spark, sf_dir, 10), "near")  # read three times
     items = near.select(F.concat_ws("-", F.col("id").cast("string"), F.col("neighbor").cast("string")).alias("item_id"), "id", "neighbor").withColumn("state", F.col("item_id"))
     asked = provider.render(items, "rag_passage@2", [provider.Question("relevant")])
     good = provider.valid(asked, provider.answer(asked)).join(items.select("item_id", "id", "neighbor"), "item_id")
