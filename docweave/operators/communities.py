@@ -14,6 +14,8 @@ from docweave.storage import discard, scratch
 
 #: Edges of a component that one task takes by itself.
 GROUP = 200_000
+#: Before the last round, moves of a level go on until fewer than one node in so many gains.
+FEW = 100
 #: Gains up to this are rounding.
 LEAST = 1e-10
 
@@ -123,9 +125,9 @@ def _parts(g: _Graph, label: list[int]) -> list[int]:
     return out
 
 
-def leiden(g: _Graph, pull: float, passes: int) -> list[int]:
-    """A label for each node: communities that hang together, in which no node gains by a move."""
-    label = list(range(len(g.near)))
+def leiden(g: _Graph, pull: float, passes: int, label: list[int] | None = None) -> list[int]:
+    """A label for each node: communities that hang together, in which no node gains by a move; from given labels on, or from single nodes."""
+    label = list(range(len(g.near))) if label is None else list(label)
     for _ in range(passes):
         # Down: move, refine, merge, until merging changes nothing.
         level, on, of = g, label, list(range(len(label)))
@@ -184,23 +186,22 @@ class _Level:
 def _wishes(level: _Level, pull: float, base: int, inside: bool) -> DataFrame:
     """(u, k, c, d, gain): nodes that gain by going from c to d; d is base + u for a community of its own."""
     nodes = level.nodes
-    ends = nodes.select(F.col("u").alias("v"), F.col("c").alias("d"))
-    links = level.edges.join(ends, "v").groupBy("u", "d").agg(F.sum("w").alias("w"))
-    totals = nodes.groupBy(F.col("c").alias("d")).agg(F.sum("k").alias("held"), F.count("*").alias("members"))
+    nodes = nodes.join(nodes.groupBy("c").agg(F.sum("k").alias("held"), F.count("*").alias("members")), "c")
+    movers = nodes
     if inside:
         # Only parts that hang well together in their community are joined, and only nodes that do join.
         whole = nodes.groupBy("s").agg(F.sum("k").alias("all"))
-        out = level.edges.join(nodes.select("u", "c"), "u").join(ends, "v").where("c <> d").groupBy("c").agg(F.sum("w").alias("cut"))
-        sound = nodes.groupBy("c", "s").agg(F.sum("k").alias("held")).join(whole, "s").join(out, "c").where(F.col("cut") >= pull * F.col("held") * (F.col("all") - F.col("held"))).select(F.col("c").alias("d"))
-        totals = totals.join(sound, "d", "left_semi")
-        nodes = nodes.join(totals.where("members = 1").select(F.col("d").alias("c")), "c", "left_semi")
-    each = nodes.select("u", "k", "c").join(links, "u").join(totals, "d")
-    gain = F.col("w") - pull * F.col("k") * (F.col("held") - F.when(F.col("c") == F.col("d"), F.col("k")).otherwise(0.0))
-    offers = each.select("u", "k", "c", "d", gain.alias("gain"))
-    best = offers.where("c <> d").groupBy("u").agg(F.max(F.struct("gain", (-F.col("d")).alias("turn"))).alias("b")).select("u", F.col("b.gain").alias("to"), (-F.col("b.turn")).alias("d"))
-    own = nodes.select("u", "k", "c").join(totals.withColumnRenamed("d", "c"), "c").join(links.select("u", F.col("d").alias("c"), "w"), ["u", "c"], "left")
-    stay = own.select("u", "k", "c", "members", (F.coalesce("w", F.lit(0.0)) - pull * F.col("k") * (F.col("held") - F.col("k"))).alias("stay"))
-    both = stay.join(best, "u", "left")
+        out = level.edges.join(nodes.select("u", "c"), "u").join(nodes.select(F.col("u").alias("v"), F.col("c").alias("d")), "v").where("c <> d").groupBy("c").agg(F.sum("w").alias("cut"))
+        sound = nodes.groupBy("c", "s").agg(F.sum("k").alias("held")).join(whole, "s").join(out, "c").where(F.col("cut") >= pull * F.col("held") * (F.col("all") - F.col("held"))).select("c")
+        nodes = nodes.join(sound, "c", "left_semi")
+        movers = nodes.where("members = 1")
+    ends = nodes.select(F.col("u").alias("v"), F.col("c").alias("d"), F.col("held").alias("there"))
+    links = level.edges.join(ends, "v").groupBy("u", "d").agg(F.sum("w").alias("w"), F.max("there").alias("there"))
+    offers = movers.select("u", "k", "c").join(links, "u")
+    to = F.struct((F.col("w") - pull * F.col("k") * F.col("there")).alias("gain"), (-F.col("d")).alias("turn"))
+    best = offers.groupBy("u").agg(F.max(F.when(F.col("c") != F.col("d"), to)).alias("b"), F.max(F.when(F.col("c") == F.col("d"), F.col("w"))).alias("own"))
+    stay = F.coalesce("own", F.lit(0.0)) - pull * F.col("k") * (F.col("held") - F.col("k"))
+    both = movers.join(best, "u", "left").select("u", "k", "c", "members", stay.alias("stay"), F.col("b.gain").alias("to"), (-F.col("b.turn")).alias("d"))
     alone = (F.col("members") > 1) & F.lit(not inside) & (F.coalesce("to", F.lit(0.0)) <= LEAST)
     d = F.when(alone, F.col("u") + base).otherwise(F.col("d"))
     gain = F.when(alone, -F.col("stay")).otherwise(F.col("to") - F.col("stay"))
@@ -210,42 +211,71 @@ def _wishes(level: _Level, pull: float, base: int, inside: bool) -> DataFrame:
 def _granted(wishes: DataFrame, pull: float, turn: int, base: int) -> DataFrame:
     """(u, d): moves that raise the quality whatever else moves with them.
 
-    A coin for each community and round says whether it gives or takes. One that
-    gives gives one node, the one that gains most; one that takes takes nodes by
-    falling gain as long as each gains with all before it inside.
+    A community gives or takes in a round, as that one of the wishes on it has it
+    whose hash is least; a wish that meets no other is always granted. Of two nodes
+    u and v that leave one community, or come into one, together, the quality
+    misses at most pull * k(u) * k(v) of what they gain one by one. So nodes go by
+    falling gain, as far as each gains with all before it that leave and come with it.
     """
-    def of(c: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))
-
-    able = wishes.where((of("c") == 0) & ((F.col("d") >= base) | (of("d") == 1)))
-    one = top_per_key(able, ["c"], 1, F.desc("gain"), F.col("u")).drop("rank")
-    before = F.sum("k").over(Window.partitionBy("d").orderBy(F.desc("gain"), "u").rowsBetween(Window.unboundedPreceding, -1))
-    return one.withColumn("before", F.coalesce(before, F.lit(0.0))).where(F.col("gain") > pull * F.col("k") * F.col("before") + LEAST).select("u", "d")
-
-
-def _settled(level: _Level, pull: float, base: int, inside: bool = False, rounds: int = 10_000) -> tuple[DataFrame, bool]:
-    """(nodes, whether any moved) after moves until no node gains."""
+    toss = F.struct(F.xxhash64("u", F.lit(turn)).alias("toss"), "u")
+    ends = wishes.select(F.col("c").alias("x"), toss.alias("toss"), F.lit(True).alias("gives"))
+    ends = ends.unionByName(wishes.where(F.col("d") < base).select(F.col("d").alias("x"), toss.alias("toss"), F.lit(False).alias("gives")))
+    role = ends.groupBy("x").agg(F.min_by("gives", "toss").alias("gives"))
+    able = wishes.join(role.where("gives").select(F.col("x").alias("c")), "c", "left_semi").join(role.where("gives").select(F.col("x").alias("d")), "d", "left_anti")
+    before = lambda c: F.coalesce(F.sum("k").over(Window.partitionBy(c).orderBy(F.desc("gain"), "u").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    both = able.withColumn("left", before("c")).withColumn("came", before("d"))
+    return both.where(F.col("gain") > pull * F.col("k") * (F.col("left") + F.col("came")) + LEAST).select("u", "d")
+
+
+def _settled(level: _Level, pull: float, base: int, inside: bool = False, least: int = 1, rounds: int = 10_000) -> tuple[DataFrame, bool]:
+    """(nodes, whether any moved) after moves until fewer than `least` nodes gain."""
     nodes, moved = level.nodes, False
     for turn in range(rounds):
-        wishes = scratch(_wishes(_Level(level.edges, nodes), pull, base, inside), "wishes")
-        if wishes.isEmpty():
+        fresh = base * (turn + 1)  # no name of a round before
+        wishes = scratch(_wishes(_Level(level.edges, nodes), pull, fresh, inside), "wishes")
+        if wishes.limit(least).count() < least:
+            discard(wishes)
             break
-        granted = _granted(wishes, pull, turn, base)
-        after = nodes.join(granted, "u", "left").withColumn("c", F.coalesce("d", "c")).drop("d")
-        # A community is named by its least member, so that new names stay free.
-        if not inside:
-            names = after.groupBy("c").agg(F.min("u").alias("least"))
-            after = after.join(names, "c").withColumn("c", F.col("least")).drop("least")
-        after = scratch(after.select(*nodes.columns), "moved")
+        granted = _granted(wishes, pull, turn, fresh)
+        after = scratch(nodes.join(granted, "u", "left").withColumn("c", F.coalesce("d", "c")).select(*nodes.columns), "moved")
         if moved:
             discard(nodes)
         discard(wishes)
         nodes, moved = after, True
+    if moved and not inside:
+        # A community is named by its least member, so that new names stay free.
+        names = nodes.groupBy("c").agg(F.min("u").alias("least"))
+        nodes = scratch(nodes.join(names, "c").withColumn("c", F.col("least")).select(*nodes.columns), "named")
     return nodes, moved
 
 
-def _great(edges: DataFrame, pull: float, passes: int) -> DataFrame:
-    """(node, label) of components given as (u, v, w) with each pair once; labels are members."""
+def _finished(level: _Level, pull: float, passes: int) -> DataFrame:
+    """(u, c): a merged level that is small enough for one task, settled there on all levels above it."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf[pdf.v < 0].sort_values("u")
+        names = own.u.to_numpy()
+        at = lambda x: np.searchsorted(names, x.to_numpy())
+        near = pdf[pdf.v >= 0]
+        pairs = {(int(a), int(b)): float(w) for a, b, w in zip(at(near.u), at(near.v), near.w, strict=True)}
+        g = _Graph.of(pairs, [0.0] * len(names))
+        # What a node has beyond its links lies inside it.
+        g.inside = [max(0.0, k - s) for k, s in zip(own.w.tolist(), g.strength, strict=True)]
+        g.strength = own.w.tolist()
+        found = leiden(g, pull, passes, at(own.c).tolist())
+        return pd.DataFrame({"u": names, "c": names[np.array(_least(found))]})
+
+    none = F.lit(-1).cast("long")
+    rows = level.edges.where("u < v").select("u", "v", "w", none.alias("c")).unionByName(level.nodes.select("u", none.alias("v"), F.col("k").alias("w"), "c"))
+    return rows.groupBy(F.lit(0).alias("all")).applyInPandas(run, "u long, c long")
+
+
+def _great(edges: DataFrame, pull: float, passes: int, group_edges: int) -> DataFrame:
+    """(node, label) of components given as (u, v, w) with each pair once; labels are members.
+
+    Levels of group_edges pairs at most, once they are merged, are finished in one
+    task. On the way down and up a few nodes that would still gain are left to the
+    next pass; the last moves go on until none gains.
+    """
     both = edges.select("u", "v", "w").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
     names = positions(both.select(F.col("u").alias("node")).distinct(), "place", ["node"]).select("node", F.col("place").cast("long").alias("place"))
     names = scratch(names, "names")
@@ -258,7 +288,7 @@ def _great(edges: DataFrame, pull: float, passes: int) -> DataFrame:
     for _ in range(passes):
         level, of = _Level(first, nodes), nodes.select("u", F.col("u").alias("on"))
         while True:
-            settled, _ = _settled(level, pull, base)
+            settled, _ = _settled(level, pull, base, least=max(1, level.nodes.count() // FEW))
             near = level.edges.join(settled.select("u", F.col("c").alias("cu")), "u").join(settled.select(F.col("u").alias("v"), F.col("c").alias("cv")), "v").where("cu = cv")
             apart = settled.select("u", "k", F.col("u").alias("c"), F.col("c").alias("s"))
             refined, merged = _settled(_Level(scratch(near.select("u", "v", "w"), "inside"), apart), pull, base, inside=True)
@@ -271,12 +301,13 @@ def _great(edges: DataFrame, pull: float, passes: int) -> DataFrame:
             least = nodes_.groupBy("s").agg(F.min("u").alias("least"))
             of = scratch(of.join(part.select(F.col("u").alias("on"), F.col("c").alias("to")), "on").select("u", F.col("to").alias("on")), "of")
             level = _Level(scratch(edges_, "edges"), scratch(nodes_.join(least, "s").select("u", "k", F.col("least").alias("c")), "nodes"))
+            if level.edges.count() <= 2 * group_edges and level.nodes.count() <= 2 * group_edges:
+                settled = scratch(_finished(level, pull, passes), "finished")
+                break
         back = of.join(settled.select(F.col("u").alias("on"), "c"), "on").select("u", "c")
         nodes = scratch(strength.join(back, "u"), "nodes")
-        nodes, moved = _settled(_Level(first, nodes), pull, base)
-        parts, torn = _held_together(first, nodes)
-        nodes = scratch(strength.join(parts, "u"), "nodes")
-        if not moved and not torn:
+        nodes, moved = _settled(_Level(first, nodes), pull, base, least=max(1, count // FEW))
+        if not moved:
             break
     while True:
         nodes, moved = _settled(_Level(first, nodes), pull, base)
@@ -323,7 +354,7 @@ def communities(edges: DataFrame, resolution: float = 1.0, min_size: int = 4, pa
     few, many = (inside.join(sizes.where(c).select("component"), "component", "left_semi") for c in (F.col("n") <= group_edges, F.col("n") > group_edges))
     found = few.groupBy("component").applyInPandas(_small(resolution / total, passes), f"node {kind}, label {kind}")
     if not many.isEmpty():
-        found = found.unionByName(_great(many, resolution / total, passes))
+        found = found.unionByName(_great(many, resolution / total, passes, group_edges))
     held = found.join(parts.withColumnRenamed("u", "node"), "node")
     listed = held.groupBy("component", "label").agg(F.sort_array(F.collect_list("node")).alias("members"))
     return listed.where(F.size("members") >= min_size).select("component", F.get("members", F.lit(0)).alias("community"), "members")

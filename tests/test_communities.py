@@ -78,3 +78,21 @@ def test_odd_edges(spark):
     rows = [(1, 2, None), (1, 3, float("nan")), (2, 2, 1.0), (4, 5, 0.0001)]
     assert labels(spark, rows, 10**6) == {}
     assert labels(spark, [*rows, (1, 2, 0.5), (2, 1, 0.25)], 10**6) == {1: 1, 2: 1}
+
+
+def test_a_community_gives_many_nodes_in_a_round(spark):
+    rows = [(u, 1.0, 0, u, 0.5) for u in range(1, 51)]
+    wishes = spark.createDataFrame(rows, "u long, k double, c long, d long, gain double")
+    assert {(r.u, r.d) for r in co._granted(wishes, 0.001, 0, 1000).collect()} == {(u, u) for u in range(1, 51)}
+    # Those that would no longer gain with all before them stay: 0.5 > 0.1 * (leavers before).
+    assert {r.u for r in co._granted(wishes, 0.1, 0, 1000).collect()} == {1, 2, 3, 4, 5}
+
+
+def test_merged_levels_end_in_one_task(spark, monkeypatch):
+    edges = graph(5, 4, 8, 0.7, 0.05)
+    levels, finished = [], co._finished
+    monkeypatch.setattr(co, "_finished", lambda level, *a: levels.append(level.nodes.count()) or finished(level, *a))
+    in_rounds, in_tasks = labels(spark, edges, len(edges) - 1), labels(spark, edges, 10**6)
+    assert levels and max(levels) < 32
+    check(edges, in_rounds)
+    assert quality(edges, in_rounds) > 0.95 * quality(edges, in_tasks) > 0
