@@ -30,40 +30,70 @@ def round_robin(df: DataFrame, strata: Sequence[str], quota: int, *order: Column
     return ranked.orderBy("turn", *strata).limit(quota)
 
 
-def shared_entity_pairs(mentions: DataFrame, chunk: str, entity: str, k: int, hot: int = 1000) -> DataFrame:
+def _common_pairs(m: DataFrame, often: DataFrame | None, wide: int) -> DataFrame:
+    """(a, b, shared): chunks, a < b, that share two entities or more, one of them at most of those in often.
+
+    Both hold any two of their common entities, so they are found by pairs of
+    entities, which are far fewer than pairs of chunks on an entity. Of the pairs
+    that two chunks have in common, n(n - 1) / 2 are of n rare ones and n h of
+    these with h frequent ones. A chunk of more than `wide` entities has too many
+    pairs and is compared with all that it shares a rare one with.
+    """
+    m = m.select("a", "e", F.lit(False).alias("hot")) if often is None else m.join(often.withColumn("hot", F.lit(True)), "e", "left").select("a", "e", F.coalesce("hot", F.lit(False)).alias("hot"))
+    broad = scratch(m.groupBy("a").agg(F.count("*").alias("n"), F.count_if("hot").alias("n_hot")).where((F.col("n") > wide) & (F.col("n_hot") < F.col("n"))).select("a"), "broad-chunks")
+    some = not broad.isEmpty()
+    few = m.join(broad, "a", "left_anti") if some else m
+    # A frequent entity comes second, behind a rare one.
+    first, second = few.where("NOT hot").select("a", "e"), few.select("a", F.col("e").alias("f"), "hot")
+    both = first.join(second, "a").where("hot OR e < f").select("e", "f", "hot", "a")
+    met = both.join(both.select("e", "f", F.col("a").alias("b")), ["e", "f"]).where("a < b")
+    counts = met.groupBy("a", "b").agg(F.count_if(~F.col("hot")).alias("rare"), F.count_if("hot").alias("mixed"))
+    rare = F.floor((1 + F.sqrt(1 + 8 * F.col("rare"))) / 2)
+    found = counts.select("a", "b", (rare + F.floor(F.col("mixed") / rare)).cast("long").alias("shared"))
+    if not some:
+        return found
+    cold = m.where("NOT hot").select("a", "e")
+    of = cold.join(broad, "a", "left_semi").select(F.col("a").alias("x"), "e").join(cold.select(F.col("a").alias("y"), "e"), "e").where("x <> y")
+    # Two broad chunks meet twice.
+    ends = of.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("n"), F.count_distinct("x").alias("times"))
+    counted = ends.select("a", "b", F.expr("n div times").alias("shared"))
+    if often is not None:
+        hot = m.where("hot").groupBy("a").agg(F.collect_set("e").alias("hot"))
+        none = F.array().cast(f"array<{m.schema['e'].dataType.simpleString()}>")
+        counted = counted.join(hot, "a", "left").join(hot.select(F.col("a").alias("b"), F.col("hot").alias("hot_b")), "b", "left")
+        counted = counted.select("a", "b", (F.col("shared") + F.size(F.array_intersect(F.coalesce("hot", none), F.coalesce("hot_b", none)))).alias("shared"))
+    return found.unionByName(counted.where("shared > 1"))
+
+
+def shared_entity_pairs(mentions: DataFrame, chunk: str, entity: str, k: int, hot: int = 1000, wide: int = 16) -> DataFrame:
     """(a, b, shared, rank): for each chunk the k others that share most entities, ties by id.
 
-    Entities of more than `hot` chunks are never joined with themselves. Chunks
-    that share the same set of them are one class; of each class only its k + 1
-    least ids can matter to a chunk that shares nothing else with it, since they
-    all share as many hot entities. So pairs through hot entities grow with the
-    classes and not with the square of a hot entity's chunks.
+    Of others that share one entity only the least ids can be among the best,
+    and they are among its k + 1 least members; those that share more are found
+    by pairs of entities. Entities of more than `hot` chunks are never joined
+    with themselves. Chunks that share the same set of them are one class; of
+    each class only its k + 1 least ids can matter to a chunk that shares nothing
+    else with it, since they all share as many hot entities. So pairs through hot
+    entities grow with the classes and not with the square of a hot entity's chunks.
     """
     m = mentions.select(F.col(chunk).alias("a"), F.col(entity).alias("e")).where("a IS NOT NULL AND e IS NOT NULL").distinct()
     m = scratch(m, "mentions")
-    often = m.groupBy("e").count().where(F.col("count") > hot).select("e")
-    cold = m.join(often, "e", "left_anti")
-    # Each pair is counted once, from its lower end.
-    half = cold.join(cold.withColumnRenamed("a", "b"), "e").where("a < b").groupBy("a", "b").agg(F.count("*").alias("cold"))
-    turned = lambda p: p.unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "cold"))
-    if often.isEmpty():
-        # Of others that share one entity only the least ids can be among the best, and they are among its k + 1 least members.
-        more = turned(half.where("cold > 1"))
-        least = top_per_key(cold, ["e"], k + 1, F.col("a")).select("e", F.col("a").alias("b"))
-        one = cold.join(least, "e").where("a <> b").select("a", "b", F.lit(1).cast("long").alias("cold"))
-        best = more.unionByName(one).groupBy("a", "b").agg(F.max("cold").alias("shared"))
-        return top_per_key(best, ["a"], k, F.desc("shared"), F.col("b"))
-    pairs = turned(half)
-    none = F.array().cast(f"array<{m.schema['e'].dataType.simpleString()}>")
-    marks = m.join(often, "e", "left_semi").groupBy("a").agg(F.sort_array(F.collect_set("e")).alias("hot"))
-    other = marks.select(F.col("a").alias("b"), F.col("hot").alias("hot_b"))
-    direct = pairs.join(marks, "a", "left").join(other, "b", "left").select("a", "b", (F.col("cold") + F.size(F.array_intersect(F.coalesce("hot", none), F.coalesce("hot_b", none)))).alias("shared"))
-    members = top_per_key(marks, ["hot"], k + 1, F.col("a")).select(F.col("hot").alias("hot_b"), F.col("a").alias("b"))
-    classes = marks.select("hot").distinct()
-    meet = classes.select("hot", F.explode("hot").alias("e")).join(classes.select(F.col("hot").alias("hot_b"), F.explode("hot").alias("e")), "e").groupBy("hot", "hot_b").agg(F.count("*").alias("shared"))
-    offered = top_per_key(meet.join(members, "hot_b"), ["hot"], k + 1, F.desc("shared"), F.col("b")).select("hot", "b", "shared")
-    through = marks.join(offered, "hot").where("a <> b").select("a", "b", "shared")
-    best = direct.unionByName(through).groupBy("a", "b").agg(F.max("shared").cast("long").alias("shared"))
+    often = scratch(m.groupBy("e").count().where(F.col("count") > hot).select("e"), "hot-entities")
+    any_hot = not often.isEmpty()
+    cold = m.join(often, "e", "left_anti") if any_hot else m
+    half = scratch(_common_pairs(m, often if any_hot else None, wide), "common-pairs")
+    more = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    least = top_per_key(cold, ["e"], k + 1, F.col("a")).select("e", F.col("a").alias("b"))
+    best = more.unionByName(cold.join(least, "e").where("a <> b").select("a", "b", F.lit(1).cast("long").alias("shared")))
+    if any_hot:
+        marks = m.join(often, "e", "left_semi").groupBy("a").agg(F.sort_array(F.collect_set("e")).alias("hot"))
+        members = top_per_key(marks, ["hot"], k + 1, F.col("a")).select(F.col("hot").alias("hot_b"), F.col("a").alias("b"))
+        classes = marks.select("hot").distinct()
+        meet = classes.select("hot", F.explode("hot").alias("e")).join(classes.select(F.col("hot").alias("hot_b"), F.explode("hot").alias("e")), "e").groupBy("hot", "hot_b").agg(F.count("*").alias("shared"))
+        offered = top_per_key(meet.join(members, "hot_b"), ["hot"], k + 1, F.desc("shared"), F.col("b")).select("hot", "b", "shared")
+        best = best.unionByName(marks.join(offered, "hot").where("a <> b").select("a", "b", "shared"))
+    # Dealt by chunk once, for the counting and for the ranking.
+    best = best.repartition("a").groupBy("a", "b").agg(F.max("shared").cast("long").alias("shared"))
     return top_per_key(best, ["a"], k, F.desc("shared"), F.col("b"))
 
 

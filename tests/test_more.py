@@ -34,6 +34,21 @@ def test_shared_entities_equal_all_pairs(spark, hot):
     assert {(r.a, r.b, r.shared, r.rank) for r in relational.shared_entity_pairs(df, "c", "e", 4, hot).collect()} == want
 
 
+@pytest.mark.parametrize("hot,wide", [(1000, 0), (1000, 3), (1000, 16), (3, 0), (3, 3), (9, 16), (9, 2)])
+def test_shared_entities_by_pairs_of_entities(spark, hot, wide):
+    rng = random.Random(hot + wide)
+    held = {(f"a{a}", e) for a in range(30) for e in rng.sample(range(14), rng.choice([1, 2, 3, 9]))} | {(f"a{a}", 99) for a in range(0, 30, 2)} | {(f"a{a}", 98) for a in range(0, 30, 3)} | {("b", 99), ("c", 98), ("c", 99), ("lone", 50)}
+    by = {}
+    for a, e in held:
+        by.setdefault(a, set()).add(e)
+    want = set()
+    for a in by:
+        scored = sorted((-len(by[a] & by[b]), b) for b in by if b != a and by[a] & by[b])[:3]
+        want |= {(a, b, -n, i) for i, (n, b) in enumerate(scored, 1)}
+    df = spark.createDataFrame(sorted(held), "c string, e long")
+    assert {(r.a, r.b, r.shared, r.rank) for r in relational.shared_entity_pairs(df, "c", "e", 3, hot, wide).collect()} == want
+
+
 def test_section_pairs_equal_all_pairs(spark):
     rng = random.Random(2)
     rows = [(rng.choice("aaaaabc"), rng.randrange(60)) for _ in range(120)]
