@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import vectors as vec
@@ -196,11 +196,22 @@ def judged_negatives(near: DataFrame, texts: DataFrame, splits: DataFrame, answe
 
 
 def coverage(claims: DataFrame, chunks: DataFrame, n: int, min_tokens: int, salt: str = "coverage") -> DataFrame:
-    """(chunk_id, claim_id): at most n claims of each chunk by hash, or the chunk itself (a null claim) if it says enough and has none."""
-    key = sha_id(F.lit(salt), F.col("claim_id").cast("string"))
-    some = top_per_key(claims.withColumn("_h", key), ["chunk_id"], n, F.col("_h"), F.col("claim_id")).select("chunk_id", "claim_id")
-    bare = chunks.where(F.col("tokens") >= min_tokens).join(claims.select("chunk_id").distinct(), "chunk_id", "left_anti")
-    return some.unionByName(bare.select("chunk_id", F.lit(None).cast(claims.schema["claim_id"].dataType).alias("claim_id")))
+    """(chunk_id, claim_id): at most n claims of each chunk by hash, or the chunk itself (a null claim) if it says enough and has none.
+
+    Claims and chunks are ranked together, a chunk behind its claims, so that one
+    deal of rows serves both: a join of chunks beside the ranking has so few bytes
+    that adaptive execution leaves it to one task.
+    """
+    key = F.unhex(sha_id(F.lit(salt), F.col("claim_id").cast("string")))
+    some = claims.select("chunk_id", "claim_id", key.alias("_h"), F.lit(0).alias("_own"), F.lit(1).cast("long").alias("_times"))
+    own = chunks.where(F.col("tokens") >= min_tokens).groupBy("chunk_id").agg(F.count("*").alias("_times"))
+    own = own.select("chunk_id", F.lit(None).cast(claims.schema["claim_id"].dataType).alias("claim_id"), F.lit(None).cast("binary").alias("_h"), F.lit(1).alias("_own"), "_times")
+    # A chunk without an id has no claims, not even those without a chunk.
+    rows = some.unionByName(own).withColumn("_apart", F.col("chunk_id").isNull() & (F.col("_own") == 1))
+    w = Window.partitionBy("chunk_id", "_apart").orderBy("_own", "_h", "claim_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = rows.withColumn("_n", F.row_number().over(w)).withColumn("_first", F.first("_own").over(w)).where(F.col("_n") <= max(n, 1))
+    kept = ranked.where(((F.col("_own") == 0) & (F.col("_n") <= n)) | ((F.col("_own") == 1) & (F.col("_first") == 1)))
+    return kept.select("chunk_id", "claim_id", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int"))).alias("_t")).drop("_t")
 
 
 def inherited(ids: Column, more: Column) -> Column:

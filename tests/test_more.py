@@ -308,3 +308,21 @@ def test_metadata_of_reused_chunks_reported_and_applied(spark):
     changes = curation.metadata_changes(old, new)
     assert sorted((r.field, r.before, r.after, r.chunks) for r in curation.metadata_report(changes).collect()) == [("gone", "z", "", 1), ("v", "b,a", "b,a,c,d", 1), ("w", "", "x", 1)]
     assert get(curation.metadata_applied(old, changes)) == {("c1", "v"): ["b", "a", "c", "d"], ("c1", "w"): ["x"], ("c2", "v"): ["c", "a"]}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_coverage_ranks_claims_and_chunks_in_one_deal(spark, n):
+    rng = random.Random(n)
+    claims = [(rng.choice([None, *range(8)]), f"c{rng.randrange(30)}") for _ in range(40)] + [(1, None), (1, "x"), (1, "x")]
+    chunks = [(c, t) for c in (None, None, 1, 2, *range(20, 25), 20, 20, 20) for t in (5, 50)]
+    by = {}
+    for c, x in claims:
+        by.setdefault(c, []).append(x)
+    key = lambda x: (x is not None, hashlib.sha256(f"coverage\x1f{x}\x1f".encode()).hexdigest())
+    want = [(c, x) for c, xs in by.items() for x in sorted((x for x in xs if x is not None), key=key)[:n]]
+    want += [(c, None) for c, t in chunks if t >= 10 and (c is None or c not in by)]
+    some = spark.createDataFrame([r for r in claims if r[1] is not None], "chunk_id long, claim_id string")
+    found = training.coverage(some, spark.createDataFrame(chunks, "chunk_id long, tokens long"), n, 10)
+    assert Counter(map(tuple, found.collect())) == Counter(want)
+    # A join of chunks beside the ranking would be left to one task, and grow with the chunks.
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
