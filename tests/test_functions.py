@@ -1,6 +1,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,17 @@ def test_tidy_and_embedding(spark):
     v = column(spark, "alpha beta beta", "string", lambda c: tx.embedder(16)(c))
     assert sum(x * x for x in v) == pytest.approx(1, abs=1e-6)
     assert column(spark, "", "string", lambda c: tx.embedder(4)(c)) == [0, 0, 0, 0]
+
+
+def test_pieces_of_texts_leave_as_they_are_made(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab \n") for _ in range(rng.choice([0, 3, 16, 17, 400]))) for _ in range(40)] + [None, "\n" * 40, "x" * 90]
+    want = [(i, n, c) for i, t in enumerate(texts) if t is not None for n, c in enumerate(tx.fit_text(t, 4))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(3)
+    found = tx.fitted(df, "id", "t", 4)
+    assert found.columns == ["id", "ord", "chunk"] and sorted(map(tuple, found.collect())) == want
+    monkeypatch.setattr(tx, "HELD", 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "t"])
+    parts = list(tx._fitted(4)(iter([batch])))
+    assert len(parts) > 10 and all(sum(map(len, p.column("chunk").to_pylist())) < 50 + 16 for p in parts)
+    assert [tuple(r.values()) for p in parts for r in p.to_pylist()] == want
