@@ -157,6 +157,7 @@ def leiden(g: _Graph, pull: float, passes: int, label: list[int] | None = None)
 
 def _small(pull: float, passes: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["u", "v"])
         names = np.unique(pdf[["u", "v"]].to_numpy().ravel())
         u, v = np.searchsorted(names, pdf.u), np.searchsorted(names, pdf.v)
         pairs = {(int(a), int(b)): float(w) for a, b, w in zip(u, v, pdf.w, strict=True)}
@@ -255,7 +256,7 @@ def _finished(level: _Level, pull: float, passes: int) -> DataFrame:
         own = pdf[pdf.v < 0].sort_values("u")
         names = own.u.to_numpy()
         at = lambda x: np.searchsorted(names, x.to_numpy())
-        near = pdf[pdf.v >= 0]
+        near = pdf[pdf.v >= 0].sort_values(["u", "v"])
         pairs = {(int(a), int(b)): float(w) for a, b, w in zip(at(near.u), at(near.v), near.w, strict=True)}
         g = _Graph.of(pairs, [0.0] * len(names))
         # What a node has beyond its links lies inside it.
@@ -276,6 +277,8 @@ def _great(edges: DataFrame, pull: float, passes: int, group_edges: int) -> Data
     task. On the way down and up a few nodes that would still gain are left to the
     next pass; the last moves go on until none gains.
     """
+    # Weights in thousandths are whole, so that their sums are exact in any order and the result hangs on nothing but the graph.
+    edges, pull = edges.select("u", "v", F.round(F.col("w") * 1000).alias("w")), pull / 1000
     both = edges.select("u", "v", "w").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
     names = positions(both.select(F.col("u").alias("node")).distinct(), "place", ["node"]).select("node", F.col("place").cast("long").alias("place"))
     names = scratch(names, "names")
