@@ -133,3 +133,38 @@ def test_a_block_is_compared_in_little_memory(copies):
 def test_blocks_grow_with_the_table():
     """Every row is sent to every block, so their number is bounded until a block is at its widest."""
     assert [knn._block_count(n, 4096) for n in (0, 4096, 100_000, 600_000, 10_000_000)] == [1, 1, 25, 48, 306]
+
+
+def test_few_rows_leave_the_comparison_of_cells(spark, monkeypatch):
+    """k rows a row and pass, however many pairs of blocks there are, from noise that no cell can be left out in; floats are sent as such."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist(), i % 3) for i in range(300)]
+    ranked, made = knn._ranked, []
+    monkeypatch.setattr(knn, "_ranked", lambda best, k: made.append(best.count()) or ranked(best, k))
+    report = {}
+    found = got(knn.pruned(spark.createDataFrame(rows, "id long, v array<float>, grp int"), 5, "id", "v", "grp", cells=6, first=2, block_rows=20, report=report))
+    same(found, brute(rows, 5, True))
+    assert report["products"] == report["of"] >= 200 and max(made) <= 2 * 5 * len(rows)
+
+
+@pytest.mark.parametrize("groups", [False, True])
+def test_a_bound_leaves_out_what_is_farther(groups):
+    """What lies at a row's bound is found, since its id may win; a row without a bound finds its k nearest."""
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=6), str(i % 4)) for i in range(90)]
+    rows[40:48] = [(i, rows[0][1], str(i % 4)) for i in range(40, 48)]
+    want = brute(rows, 4, groups)
+    kth = {i: d for i, _, rank, d in want if rank == 3 and i % 5}
+    peer = [(i, v.tolist(), g, 0, side, kth.get(i) if side == 0 else None) for side, some in ((0, rows[:41]), (1, rows)) for i, v, g in some]
+    columns = zip(zip(*peer, strict=True), [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.int32(), pa.int32(), pa.float64()], strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["id", "vec", "grp", "i", "side", "bound"])
+    found = sorted(tuple(r.values()) for b in knn._streamed(4, 9, groups, 16)(iter([batch])) for r in b.to_pylist())
+    same(found, [w for w in want if w[0] < 41 and w[3] <= kth.get(w[0], 2)])
+
+
+def test_places_of_any_number_of_columns():
+    rng = np.random.default_rng(11)
+    for shape in ((0, 5), (1, 3), (7, 9), (16, 64)):
+        for share in (0, 0.05, 1):
+            hit = rng.random(shape) < share
+            assert np.array_equal(knn._places(hit), np.flatnonzero(hit))
